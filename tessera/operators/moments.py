@@ -174,3 +174,31 @@ def fit_line(m: Moments) -> tuple[float, float]:
     """One-feature least squares (regr_slope / regr_intercept)."""
     slope = float(m.cxy[0] / m.cxx[0, 0])
     return slope, float(m.mu_y - slope * m.mu_x[0])
+
+
+def merge(a: Moments, b: Moments) -> Moments:
+    """Moments of the union of two disjoint row sets (Chan et al. pairwise update)."""
+    n = a.n + b.n
+    delta = b.mean - a.mean
+    mean = a.mean + delta * (b.n / n)
+    cov = (a.n * a.cov + b.n * b.cov) / n + np.outer(delta, delta) * (a.n * b.n / (n * n))
+    return Moments(a.names, n, mean, cov, a.has_label)
+
+
+def standardize(m: Moments, stats: dict[str, tuple[float, float]]) -> Moments:
+    """Moments of z-scored features (x - mu)/sd given scaler statistics,
+    derived exactly without another pass: mean' = (mean-mu)/sd, cov' = D cov D."""
+    scale = np.ones(len(m.names))
+    shift = np.zeros(len(m.names))
+    for i, name in enumerate(m.names[: m.d]):
+        mu, sd = stats[name]
+        scale[i] = 1.0 / sd
+        shift[i] = mu
+    mean = (m.mean - shift) * scale
+    cov = m.cov * np.outer(scale, scale)
+    return Moments(m.names, m.n, mean, cov, m.has_label)
+
+
+def scaler_from(m: Moments) -> dict[str, tuple[float, float]]:
+    """Population z-score statistics of the features, read off the moments."""
+    return {name: (float(m.mean[i]), float(np.sqrt(m.cov[i, i]))) for i, name in enumerate(m.names[: m.d])}

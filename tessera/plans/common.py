@@ -12,6 +12,9 @@ from ..sources.readers import table
 # Regression mapping of the driver tables.
 LI_X = ["l_quantity", "l_discount", "l_tax"]
 LI_Y = "l_extendedprice"
+# (l_orderkey, l_linenumber) repeats in the driver data: order by the whole row.
+LI_ORDER = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate", "l_quantity",
+            "l_extendedprice", "l_discount", "l_tax"]
 
 
 def tbl(spark: SparkSession, sf: str, name: str) -> DataFrame:
