@@ -33,13 +33,19 @@ def confusion_exprs(y, yhat) -> list[Column]:
             F.count_if((p == 0) & (y == 1)).alias("fn"), F.count_if((p == 0) & (y == 0)).alias("tn")]
 
 
-def precision_recall_f1(df: DataFrame, y, yhat) -> DataFrame:
-    """One-row table tp, fp, fn, precision, recall, f1 (NULL on 0/0)."""
-    c = df.agg(*confusion_exprs(y, yhat))
+def prf_columns() -> list[Column]:
+    """precision, recall, f1 from tp / fp / fn columns (NULL on 0/0)."""
     prec = F.try_divide(F.col("tp").cast("double"), (F.col("tp") + F.col("fp")).cast("double"))
     rec = F.try_divide(F.col("tp").cast("double"), (F.col("tp") + F.col("fn")).cast("double"))
     f1 = F.try_divide(F.lit(2.0) * prec * rec, prec + rec)
-    return c.select("tp", "fp", "fn", "tn", prec.alias("precision"), rec.alias("recall"), f1.alias("f1"))
+    return [prec.alias("precision"), rec.alias("recall"), f1.alias("f1")]
+
+
+def precision_recall_f1(df: DataFrame, y, yhat, *extra: Column) -> DataFrame:
+    """One-row table tp, fp, fn, tn, precision, recall, f1 (NULL on 0/0),
+    plus any ``extra`` aggregates computed in the same pass."""
+    c = df.agg(*confusion_exprs(y, yhat), *extra)
+    return c.select("*", *prf_columns())
 
 
 def binary_cross_entropy_expr(y, z, from_logits: bool = True) -> Column:
