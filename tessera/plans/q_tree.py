@@ -1 +1,141 @@
-"""Queries (filled in below)."""
+"""Tree queries: binary features of lineitem, label = (l_returnflag = 'R')."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from ..operators import tree as tr
+from ..operators.prepare import split_label
+from .common import tbl
+from .registry import query
+
+BIN = {
+    "open": ("l_linestatus = 'O'", F.col("l_linestatus") == "O"),
+    "big_discount": ("l_discount >= 0.05", F.col("l_discount") >= 0.05),
+    "high_tax": ("l_tax >= 0.04", F.col("l_tax") >= 0.04),
+    "large_qty": ("l_quantity >= 25", F.col("l_quantity") >= 25),
+    "pricey": ("l_extendedprice >= 50000", F.col("l_extendedprice") >= 50000),
+}
+FEATS = list(BIN)
+DEPTH = 3
+
+
+def binary_frame(spark, sf):
+    li = tbl(spark, sf, "lineitem")
+    return li.select(*[F.when(c, 1).otherwise(0).alias(n) for n, (_, c) in BIN.items()],
+                     F.when(F.col("l_returnflag") == "R", 1).otherwise(0).alias("y"))
+
+
+def _h(p: str) -> str:
+    return f"(CASE WHEN {p} <= 0 OR {p} >= 1 THEN 0.0 ELSE -({p}) * log2({p}) - (1 - ({p})) * log2(1 - ({p})) END)"
+
+
+def _gain_sql(j: int) -> str:
+    left = f"(CASE WHEN l{j} = 0 THEN 0.0 ELSE l{j} / n * {_h(f'l1_{j} / l{j}')} END)"
+    right = f"(CASE WHEN n - l{j} = 0 THEN 0.0 ELSE (n - l{j}) / n * {_h(f'(n1 - l1_{j}) / (n - l{j})')} END)"
+    return f"({_h('n1 / n')} - ({left} + {right}))"
+
+
+def _best_sql(k: int) -> str:
+    conds = []
+    for j in range(k):
+        c = [f"g{j} > 0"] + [f"g{j} > g{i}" for i in range(j)] + [f"g{j} >= g{i}" for i in range(j + 1, k)]
+        conds.append(f"WHEN {' AND '.join(c)} THEN {j}")
+    return f"CASE {' '.join(conds)} ELSE -1 END"
+
+
+def _tree_sql() -> str:
+    k = len(FEATS)
+    fsel = ", ".join(f"CASE WHEN {sql} THEN 1 ELSE 0 END AS {n}" for n, (sql, _) in BIN.items())
+    parts = [f"r0 AS (SELECT 1::BIGINT AS node, {fsel}, CASE WHEN l_returnflag = 'R' THEN 1 ELSE 0 END AS y "
+             f"FROM lineitem)"]
+    outs = []
+    for d in range(DEPTH + 1):
+        sums = ", ".join(f"sum({f}) AS l{j}, sum({f} * y) AS l1_{j}" for j, f in enumerate(FEATS))
+        parts.append(f"s{d} AS (SELECT node, count(*) AS n, sum(y) AS n1, {sums} FROM r{d} GROUP BY node)")
+        if d == DEPTH:
+            outs.append(f"SELECT node, {d} AS depth, -1 AS feature, n, n1, NULL::DOUBLE AS gain FROM s{d}")
+            break
+        gains = ", ".join(f"{_gain_sql(j)} AS g{j}" for j in range(k))
+        parts.append(f"g{d} AS (SELECT *, {gains} FROM s{d})")
+        gsel = " ".join(f"WHEN {j} THEN g{j}" for j in range(k))
+        parts.append(f"b{d} AS (SELECT *, {_best_sql(k)} AS best FROM g{d})")
+        outs.append(f"SELECT node, {d} AS depth, best AS feature, n, n1, CASE best {gsel} END AS gain FROM b{d}")
+        fval = "CASE b.best " + " ".join(f"WHEN {j} THEN r.{f}" for j, f in enumerate(FEATS)) + " END"
+        parts.append(f"r{d + 1} AS (SELECT 2 * r.node + CASE WHEN {fval} = 1 THEN 0 ELSE 1 END AS node, "
+                     f"{', '.join('r.' + f for f in FEATS)}, r.y FROM r{d} r JOIN b{d} b ON r.node = b.node "
+                     f"WHERE b.best >= 0)")
+    parts.append("u AS (" + " UNION ALL ".join(outs) + ")")
+    return ("WITH " + ",\n".join(parts) + "\nSELECT CAST(node AS BIGINT) AS node_id, CAST(depth AS BIGINT) AS depth, "
+            "CAST(feature AS BIGINT) AS feature, CAST(n AS BIGINT) AS n, CAST(n1 AS BIGINT) AS n_pos, "
+            "round(gain, 10) AS gain FROM u")
+
+
+@query("decision_tree_levelwise", _tree_sql())
+def decision_tree_levelwise(spark, sf):
+    """D1 routing, D2/D3 gains from one per-level aggregate, D4 best split, D5 level-wise tree to depth 3."""
+    t = tr.build_tree(binary_frame(spark, sf), FEATS, "y", DEPTH)
+    return t.withColumn("gain", F.round("gain", 10))
+
+
+ROOT_SQL = ("WITH r AS (SELECT " + ", ".join(f"CASE WHEN {sql} THEN 1 ELSE 0 END AS {n}" for n, (sql, _) in BIN.items())
+            + ", CASE WHEN l_returnflag = 'R' THEN 1 ELSE 0 END AS y FROM lineitem), s AS (SELECT count(*) AS n, "
+            "sum(y) AS n1, " + ", ".join(f"sum({f}) AS l{j}, sum({f} * y) AS l1_{j}" for j, f in enumerate(FEATS))
+            + " FROM r)\n" + " UNION ALL ".join(
+                f"SELECT '{f}' AS feature, round({_gain_sql(j)}, 10) AS gain, round({_h('n1 / n')}, 10) AS node_entropy "
+                f"FROM s" for j, f in enumerate(FEATS)))
+
+
+@query("information_gain_root", ROOT_SQL)
+def information_gain_root(spark, sf):
+    """D3 at the root: information gain of each binary feature and the node entropy."""
+    data = binary_frame(spark, sf)
+    gains = tr.root_gains(data, FEATS, "y")
+    r = data.agg(F.count(F.lit(1)).alias("n"), F.sum("y").alias("n1")).first()
+    h = tr.entropy(r["n1"] / r["n"])
+    return spark.createDataFrame([(f, round(g, 10), round(h, 10)) for f, g in zip(FEATS, gains)],
+                                 "feature string, gain double, node_entropy double")
+
+
+NUM = ["l_quantity", "l_discount", "l_tax", "l_extendedprice"]
+
+
+def num_frame(spark, sf):
+    li = tbl(spark, sf, "lineitem")
+    key = F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
+    return li.select(*NUM, F.when(F.col("l_returnflag") == "R", 1).otherwise(0).alias("y"),
+                     split_label(key, [("train", 0.8), ("test", 0.2)]).alias("split"))
+
+
+@query("ml_tree_ensembles")
+def ml_tree_ensembles(spark, sf):
+    """D6 decision tree, D7 random forest, D8 boosted trees with a validation set; train/test accuracy."""
+    d = num_frame(spark, sf)
+    train, test = d.where(F.col("split") == "train"), d.where(F.col("split") == "test")
+    rows = []
+    m = tr.decision_tree(train, NUM, "y", max_depth=4, min_instances=10)
+    rows.append(("decision_tree", tr.accuracy(m, train, NUM, "y"), tr.accuracy(m, test, NUM, "y")))
+    m = tr.random_forest(train, NUM, "y", n_trees=20, max_depth=4)
+    rows.append(("random_forest", tr.accuracy(m, train, NUM, "y"), tr.accuracy(m, test, NUM, "y")))
+    gb = d.withColumn("is_val", F.col("split") == "test")
+    m = tr.boosted_trees(gb, NUM, "y", max_iter=20, step=0.1, validation_col="is_val")
+    rows.append(("boosted_trees", tr.accuracy(m, train, NUM, "y"), tr.accuracy(m, test, NUM, "y")))
+    return spark.createDataFrame([(n, round(a, 6), round(b, 6)) for n, a, b in rows],
+                                 "model string, train_accuracy double, test_accuracy double")
+
+
+@query("tree_param_sweep")
+def tree_param_sweep(spark, sf):
+    """Max depth x min node size grid for the pyspark.ml tree; train and test accuracy per setting."""
+    d = num_frame(spark, sf).cache()
+    train, test = d.where(F.col("split") == "train"), d.where(F.col("split") == "test")
+    rows = []
+    for depth in (1, 2, 4, 8):
+        for mi in (1, 50):
+            m = tr.decision_tree(train, NUM, "y", max_depth=depth, min_instances=mi)
+            rows.append((depth, mi, round(tr.accuracy(m, train, NUM, "y"), 6), round(tr.accuracy(m, test, NUM, "y"), 6)))
+    d.unpersist()
+    schema = T.StructType([T.StructField("max_depth", T.LongType()), T.StructField("min_instances", T.LongType()),
+                           T.StructField("train_accuracy", T.DoubleType()), T.StructField("test_accuracy", T.DoubleType())])
+    return spark.createDataFrame(rows, schema)
