@@ -88,13 +88,16 @@ def shifted(indexed: DataFrame, keys, cols: Sequence[str], by: int, rn: str = "r
 
 
 def rolling_mean(df: DataFrame, keys, order_cols: Sequence[str], value: str, window: int,
-                 partial: bool = False, out: str = "rolling_mean", keep_index: bool = False) -> DataFrame:
+                 partial: bool = False, out: str = "rolling_mean", keep_index: bool = False,
+                 with_sum: bool = False) -> DataFrame:
     """Mean of ``value`` over the last ``window`` rows of the key.
 
     ``partial=False`` (W1) gives NULL while fewer than ``window`` rows exist
     (pandas' default); ``partial=True`` (W2) averages the rows seen so far.
     Computed as (S(rn) - S(rn - window)) / count from exact DECIMAL prefix
     sums; S(rn - window) is looked up by an equi-join on (key, rn).
+    ``with_sum`` also returns the window's sum and row count
+    (``window_sum``, ``window_rows``).
     """
     ks = _keys_list(keys)
     idx = keyed_index(df, ks, order_cols, sum_cols=[value])
@@ -102,9 +105,12 @@ def rolling_mean(df: DataFrame, keys, order_cols: Sequence[str], value: str, win
     lagged = shifted(idx, ks, [cum], window, prefix="_w_")
     prev = F.coalesce(F.col(f"_w_{cum}"), F.lit(0).cast(DEC))
     cnt = F.least(F.col("rn"), F.lit(window))
-    mean = ((F.col(cum) - prev) / cnt).cast("double")
+    mean = (F.col(cum) - prev).cast("double") / cnt.cast("double")  # exact window sum, then one division
     res = mean if partial else F.when(F.col("rn") >= F.lit(window), mean)
-    outdf = lagged.withColumn(out, res).drop(f"_w_{cum}", cum)
+    outdf = lagged.withColumn(out, res)
+    if with_sum:
+        outdf = outdf.withColumns({"window_sum": (F.col(cum) - prev).cast("double"), "window_rows": cnt})
+    outdf = outdf.drop(f"_w_{cum}", cum)
     if not keep_index:
         outdf = outdf.drop("rn", "n_key")
     return outdf

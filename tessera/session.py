@@ -27,6 +27,9 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
     if master:
         builder = builder.master(master)
     conf = dict(DEFAULT_CONF)
+    if master and master.startswith("local"):
+        # local mode runs everything in the driver JVM
+        conf["spark.driver.memory"] = os.environ.get("TESSERA_DRIVER_MEMORY", "8g")
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
