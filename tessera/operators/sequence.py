@@ -128,7 +128,11 @@ def evaluate_policy(trans: DataFrame, rew: DataFrame, policy: DataFrame, gamma:
     values = rew.select("s", F.lit(0.0).alias("v"))
     sweeps = 0
     for sweeps in range(1, max_sweeps + 1):
-        new = bellman_backup(tp, rew, values, gamma).select("s", F.col("q").alias("v"))
+        ev = (tp.join(values.select(F.col("s").alias("sp"), "v"), "sp", "left")
+              .groupBy("s").agg(F.sum(F.col("p") * F.coalesce("v", F.lit(0.0))).alias("ev")))
+        # states without outgoing transitions (terminal) keep V = r
+        new = rew.join(ev, "s", "left").select("s", (F.col("r") + F.lit(gamma) * F.coalesce("ev", F.lit(0.0)))
+                                               .alias("v"))
         new = cut_lineage(new) if sweeps % checkpoint_every == 0 else new.persist(StorageLevel.MEMORY_AND_DISK)
         change = (new.join(values.withColumnRenamed("v", "old"), "s", "left")
                   .agg(F.max(F.abs(F.col("v") - F.coalesce("old", F.lit(0.0))))).first()[0])

@@ -11,11 +11,11 @@ from .common import tbl
 from .registry import query
 
 BIN = {
-    "open": ("l_linestatus = 'O'", F.col("l_linestatus") == "O"),
-    "big_discount": ("l_discount >= 0.05", F.col("l_discount") >= 0.05),
-    "high_tax": ("l_tax >= 0.04", F.col("l_tax") >= 0.04),
-    "large_qty": ("l_quantity >= 25", F.col("l_quantity") >= 25),
-    "pricey": ("l_extendedprice >= 50000", F.col("l_extendedprice") >= 50000),
+    "open": ("l_linestatus = 'O'", lambda: F.col("l_linestatus") == "O"),
+    "big_discount": ("l_discount >= 0.05", lambda: F.col("l_discount") >= 0.05),
+    "high_tax": ("l_tax >= 0.04", lambda: F.col("l_tax") >= 0.04),
+    "large_qty": ("l_quantity >= 25", lambda: F.col("l_quantity") >= 25),
+    "pricey": ("l_extendedprice >= 50000", lambda: F.col("l_extendedprice") >= 50000),
 }
 FEATS = list(BIN)
 DEPTH = 3
@@ -23,7 +23,7 @@ DEPTH = 3
 
 def binary_frame(spark, sf):
     li = tbl(spark, sf, "lineitem")
-    return li.select(*[F.when(c, 1).otherwise(0).alias(n) for n, (_, c) in BIN.items()],
+    return li.select(*[F.when(c(), 1).otherwise(0).alias(n) for n, (_, c) in BIN.items()],
                      F.when(F.col("l_returnflag") == "R", 1).otherwise(0).alias("y"))
 
 
