@@ -54,9 +54,21 @@ def linear(z) -> Column:
 ACTIVATIONS = {"sigmoid": sigmoid, "relu": relu, "linear": linear}
 
 
-def softmax(arr) -> Column:
-    """F4 on an array column; max-shifted (same value, no overflow)."""
+def _elems(a: Column, n: int) -> list[Column]:
+    return [a.getItem(i) for i in range(n)]
+
+
+def softmax(arr, n: int | None = None) -> Column:
+    """F4 on an array column; max-shifted (same value, no overflow).  With a
+    known length ``n`` the result is built element-wise (compiled code)
+    instead of with higher-order functions (interpreted)."""
     a = _c(arr)
+    if n is not None:
+        xs = _elems(a, n)
+        m = F.greatest(*xs) if n > 1 else xs[0]
+        ex = [F.exp(x - m) for x in xs]
+        tot = reduce(lambda p, q: p + q, ex)
+        return F.array(*[e / tot for e in ex])
     m = F.array_max(a)
     e = F.transform(a, lambda x: F.exp(x - m))
     s = F.aggregate(e, F.lit(0.0), lambda acc, x: acc + x)
@@ -80,8 +92,10 @@ def dot(cols: Sequence, weights: Sequence[float], bias: float = 0.0) -> Column:
     return reduce(lambda a, b: a + b, terms, F.lit(float(bias)))
 
 
-def array_dot(a, b) -> Column:
-    """F6 on two array columns."""
+def array_dot(a, b, n: int | None = None) -> Column:
+    """F6 on two array columns (element-wise expression when ``n`` is known)."""
+    if n is not None:
+        return reduce(lambda p, q: p + q, [x * y for x, y in zip(_elems(_c(a), n), _elems(_c(b), n))])
     return F.aggregate(F.zip_with(_c(a), _c(b), lambda x, y: x * y), F.lit(0.0), lambda s, v: s + v)
 
 
@@ -91,20 +105,24 @@ def sq_dist_cols(cols: Sequence, point: Sequence[float]) -> Column:
     return reduce(lambda a, b: a + b, terms)
 
 
-def array_sq_dist(a, b) -> Column:
-    """F7 on array columns."""
+def array_sq_dist(a, b, n: int | None = None) -> Column:
+    """F7 on array columns (element-wise expression when ``n`` is known)."""
+    if n is not None:
+        return reduce(lambda p, q: p + q, [(x - y) * (x - y) for x, y in zip(_elems(_c(a), n), _elems(_c(b), n))])
     return F.aggregate(F.zip_with(_c(a), _c(b), lambda x, y: (x - y) * (x - y)), F.lit(0.0), lambda s, v: s + v)
 
 
-def array_norm(a) -> Column:
-    return F.sqrt(array_dot(a, a))
+def array_norm(a, n: int | None = None) -> Column:
+    return F.sqrt(array_dot(a, a, n))
 
 
-def l2_normalize(a, eps: float = 1e-12) -> Column:
+def l2_normalize(a, eps: float = 1e-12, n: int | None = None) -> Column:
     """F8: v / max(||v||, sqrt(eps)) (the usual l2_normalize guard)."""
     a = _c(a)
-    n = F.greatest(array_norm(a), F.lit(eps ** 0.5))
-    return F.transform(a, lambda x: x / n)
+    norm = F.greatest(array_norm(a, n), F.lit(eps ** 0.5))
+    if n is not None:
+        return F.array(*[x / norm for x in _elems(a, n)])
+    return F.transform(a, lambda x: x / norm)
 
 
 def binary_entropy(p) -> Column:

@@ -70,10 +70,13 @@ def keyed_index(df: DataFrame, keys, order_cols: Sequence[str], sum_cols: Sequen
     return out.drop("_off", "_first", "_mid", "_part")
 
 
-def global_position(df: DataFrame, order_cols: Sequence[str], name: str = "pos") -> DataFrame:
-    """0-based position of each row in ``order_cols`` order (whole table)."""
+def global_position(df: DataFrame, order_cols: Sequence[str], name: str = "pos",
+                    total: str | None = None) -> DataFrame:
+    """0-based position of each row in ``order_cols`` order (whole table);
+    ``total`` also keeps the table's row count as a column of that name."""
     out = keyed_index(df, [], order_cols, rn="_rn1", total="_ntot")
-    return out.withColumn(name, F.col("_rn1") - F.lit(1)).drop("_rn1", "_ntot")
+    out = out.withColumn(name, F.col("_rn1") - F.lit(1)).drop("_rn1")
+    return out.withColumnRenamed("_ntot", total) if total else out.drop("_ntot")
 
 
 def shifted(indexed: DataFrame, keys, cols: Sequence[str], by: int, rn: str = "rn",

@@ -103,11 +103,12 @@ def learning_curve(df: DataFrame, features: Sequence[str], y: str, order_cols: S
     per prefix step (one grouped job) and merged cumulatively."""
     cols = list(features)
     train = df.where(F.col(split_col) == "train").select(*order_cols, *cols, y)
-    pos = global_position(train, order_cols, "_pos")
-    n = pos.agg(F.count(F.lit(1))).first()[0]
-    step = F.floor(F.col("_pos") * F.lit(steps) / F.lit(n)).cast("int")
-    parts = mo.compute_moments_by(pos.withColumn("_step", step), "_step", cols, y)
-    cv = mo.compute_moments(df.where(F.col(split_col) == "cv"), cols, y)
+    pos = global_position(train, order_cols, "_pos", total="_n")
+    step = F.floor(F.col("_pos") * F.lit(steps) / F.col("_n")).cast("int")
+    tr = pos.select(step.alias("_step"), *cols, y)
+    cvr = df.where(F.col(split_col) == "cv").select(F.lit(-1).alias("_step"), *cols, y)
+    parts = mo.compute_moments_by(tr.unionByName(cvr), "_step", cols, y)  # prefixes and cv in one job
+    cv = parts.pop(-1)
     rows, acc = [], None
     for k in range(steps):
         if k in parts:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from ..operators import linear as lin
 from ..operators import moments as mo
 from ..operators.evaluate import halved_mse_expr
-from ..operators.prepare import zscore
+from ..operators.prepare import zscore, zscore_transform
 from .common import LI_ORDER, LI_X, LI_Y, long_table, tbl
 from .registry import query
 from .sqlgen import moments_select, ols_weights_sql
@@ -42,11 +42,17 @@ UNION ALL SELECT 'train_mse_half', round(mse, 3) FROM e
 
 @query("linreg_flagship", FLAGSHIP_SQL)
 def linreg_flagship(spark, sf):
-    """T1 z-score, A7 moments, M10 least squares, M1 scoring, E1 halved MSE."""
+    """T1 z-score, A7 moments, M10 least squares, M1 scoring, E1 halved MSE.
+
+    One aggregate reads the raw moments; the z-score statistics (T1 fit) are
+    its means and population variances, and the moments of the z-scored
+    features follow exactly from them.  The returned frame applies the
+    scaler and the model to every row (T2, M1) and averages the error (E1)."""
     li = tbl(spark, sf, "lineitem").select(*LI_X, LI_Y)
-    z, _ = zscore(li, LI_X)
-    w, b, _ = lin.fit_least_squares(z, LI_X, LI_Y)
-    scored = lin.predict_linear(z, LI_X, w, b)
+    raw = mo.compute_moments(li, LI_X, LI_Y)
+    stats = mo.scaler_from(raw)
+    w, b = mo.least_squares(mo.standardize(raw, stats))
+    scored = lin.predict_linear(zscore_transform(li, stats), LI_X, w, b)
     one = scored.agg(halved_mse_expr(LI_Y, "prediction").alias("mse"))
     pairs = [("intercept", F.lit(b))] + [(c, F.lit(float(wj))) for c, wj in zip(LI_X, w)]
     return long_table(one, pairs + [("train_mse_half", F.col("mse"))], 3)

@@ -369,8 +369,8 @@ def scalar_functions(spark, sf):
     z = F.col("l_quantity") / 5.0 - 5.0
     a, b, c = F.col("l_quantity") / 50.0, F.col("l_discount") * 10.0, F.col("l_tax") * 10.0
     d = li.select(z.alias("z"), a.alias("a"), b.alias("b"), c.alias("c"), F.array(a, b, c).alias("v"))
-    sm = fn.softmax("v")
-    unit = fn.l2_normalize("v")
+    sm = fn.softmax("v", n=3)
+    unit = fn.l2_normalize("v", n=3)
     shifted = F.array(F.col("b"), F.col("c"), F.col("a"))
     return d.agg(
         rnd(F.avg(fn.sigmoid("z")), 8).alias("avg_sigmoid"),
@@ -381,9 +381,9 @@ def scalar_functions(spark, sf):
         F.count_if(fn.argmax("v") == 2).alias("n_argmax_2"),
         F.count_if(fn.argmin("v") == 1).alias("n_argmin_1"),
         rnd(F.avg(fn.dot(["a", "b", "c"], [0.5, -2.0, 3.0], 1.0)), 8).alias("avg_dot"),
-        rnd(F.avg(fn.array_dot("v", shifted)), 8).alias("avg_array_dot"),
-        rnd(F.avg(fn.array_sq_dist("v", F.array(F.lit(0.5), F.lit(0.5), F.lit(0.5)))), 8).alias("avg_sq_dist"),
-        rnd(F.avg(fn.array_norm("v")), 8).alias("avg_norm"),
+        rnd(F.avg(fn.array_dot("v", shifted, n=3)), 8).alias("avg_array_dot"),
+        rnd(F.avg(fn.array_sq_dist("v", F.array(F.lit(0.5), F.lit(0.5), F.lit(0.5)), n=3)), 8).alias("avg_sq_dist"),
+        rnd(F.avg(fn.array_norm("v", n=3)), 8).alias("avg_norm"),
         rnd(F.avg(unit[0]), 8).alias("avg_unit_0"),
         rnd(F.avg(fn.binary_entropy("b")), 8).alias("avg_entropy"),
         rnd(F.avg(F.pow("a", 2) + F.cos("b") + F.exp("c") + F.abs("z") + F.round("z", 1)), 8).alias("avg_elementwise"),

@@ -16,6 +16,7 @@ from ..functions.core import array_dot, l2_normalize
 from ..operators import recommend as rc
 from ..operators.dense import dense_exprs
 from ..operators.prepare import minmax_inverse
+from ..session import cut_lineage
 from .common import rnd, tbl
 from .registry import query
 
@@ -24,11 +25,14 @@ RATINGS_SQL = ("ratings AS (SELECT o.o_custkey AS user_id, l.l_partkey AS item_i
 TOPU_SQL = ("topu AS (SELECT user_id FROM ratings GROUP BY user_id ORDER BY count(*) DESC, user_id LIMIT 3)")
 
 
-def ratings_frame(spark, sf):
+def ratings_frame(spark, sf, materialize: bool = False):
+    """The rating table; ``materialize`` writes it once to the shared
+    checkpoint folder for queries that read it in several jobs."""
     li = tbl(spark, sf, "lineitem").select("l_orderkey", "l_partkey", "l_quantity")
     od = tbl(spark, sf, "orders").select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey")
-    return (li.join(od, "l_orderkey").groupBy(F.col("o_custkey").alias("user_id"), F.col("l_partkey").alias("item_id"))
-            .agg(F.avg("l_quantity").alias("rating")))
+    r = (li.join(od, "l_orderkey").groupBy(F.col("o_custkey").alias("user_id"), F.col("l_partkey").alias("item_id"))
+         .agg(F.avg("l_quantity").alias("rating")))
+    return cut_lineage(r) if materialize else r
 
 
 def requested_users(ratings) -> list[int]:
@@ -179,7 +183,7 @@ def cofi_train(spark, sf):
 # --- C3 / C4 / C5 / C6 -------------------------------------------------------------
 
 def scored_requested(spark, sf):
-    r = ratings_frame(spark, sf)
+    r = ratings_frame(spark, sf, materialize=True)
     users = requested_users(r)
     items, ufac = factors(spark, sf, K1)
     urows = [row.asDict() for row in ufac.where(F.col("user_id").isin(users)).collect()]
@@ -267,7 +271,7 @@ def nearest_item(spark, sf):
     """Exact nearest other embedding (lowest id on ties) by blocked co-groups; no pair rows emitted."""
     from ..functions.core import array_cols
     emb = tbl(spark, sf, "embeddings").select("vec_id", *array_cols("embedding", 64, "e"))
-    nn = rc.nearest_items(emb, "vec_id", [f"e{i}" for i in range(64)], block_rows=128)
+    nn = rc.nearest_items(emb, "vec_id", [f"e{i}" for i in range(64)])
     return nn.select("vec_id", "nearest_id", rnd("sq_dist", 6).alias("sq_dist"))
 
 
@@ -398,7 +402,7 @@ def two_tower_recommend(spark, sf):
     ucols = [F.col(c) for c in USER_IN]
     for w, b, a in UT:
         ucols = dense_exprs(ucols, w, b, a)
-    uvec = us.select("user_id", l2_normalize(F.array(*ucols), 1e-12).alias("uv")).collect()
+    uvec = us.select("user_id", l2_normalize(F.array(*ucols), 1e-12, n=3).alias("uv")).collect()
     part = tbl(spark, sf, "part")
     its = part.select(F.col("p_partkey").alias("item_id"), "p_name", (F.col("p_size") / 50.0).alias("p_size_s"),
                       (F.col("p_retailprice") / 2000.0).alias("price_s"),
@@ -406,11 +410,11 @@ def two_tower_recommend(spark, sf):
     icols = [F.col(c) for c in ITEM_IN]
     for w, b, a in IT:
         icols = dense_exprs(icols, w, b, a)
-    itn = its.select("item_id", "p_name", l2_normalize(F.array(*icols), 1e-12).alias("iv"))
+    itn = its.select("item_id", "p_name", l2_normalize(F.array(*icols), 1e-12, n=3).alias("iv"))
     # J3 as a generator: each item row emits one row per requested user (literal user vectors)
     scored = itn.select("item_id", "p_name", F.inline(F.array(*[
-        F.struct(F.lit(u["user_id"]).alias("user_id"), array_dot(F.col("iv"), F.array(*[F.lit(float(x)) for x in u["uv"]]))
-                 .alias("s")) for u in uvec])))
+        F.struct(F.lit(u["user_id"]).alias("user_id"), array_dot(F.col("iv"), F.array(*[F.lit(float(x)) for x in u["uv"]]),
+                                                                 n=3).alias("s")) for u in uvec])))
     rng = r.agg(F.min("rating").alias("lo"), F.max("rating").alias("hi")).first()
     scored = scored.withColumn("predicted", minmax_inverse(F.col("s"), (rng["lo"], rng["hi"])))
     seen = scored.join(r.select("user_id", "item_id", "rating"), ["user_id", "item_id"], "left").withColumn(
@@ -419,3 +423,92 @@ def two_tower_recommend(spark, sf):
     return top.select("user_id", F.col("rank").cast("long"), "item_id", "p_name", rnd("predicted", 6).alias("predicted"),
                       rnd("rating", 6).alias("rating"))
 
+
+
+ITEM_PROFILE_SQL = f"""
+WITH {RATINGS_SQL},
+m AS (SELECT item_id, avg(rating) AS ave_rating, count(*) AS n_ratings FROM ratings GROUP BY item_id)
+SELECT p.p_partkey AS item_id, p.p_size, round(coalesce(m.ave_rating, 0.0), 6) AS ave_rating,
+       CAST(coalesce(m.n_ratings, 0) AS BIGINT) AS n_ratings,
+       {', '.join(f"CAST(CASE WHEN p.p_type = '{t}' THEN 1 ELSE 0 END AS INTEGER) AS p_type_{t}" for t in TYPES)}
+FROM part p LEFT JOIN m ON m.item_id = p.p_partkey
+"""
+
+
+@query("item_profile", ITEM_PROFILE_SQL)
+def item_profile(spark, sf):
+    """T13 item side: size, mean rating and rating count (0 when unrated), P9 one-hot type flags."""
+    from ..operators.prepare import one_hot
+    part = tbl(spark, sf, "part").select(F.col("p_partkey").alias("item_id"), "p_size", "p_type")
+    means = rc.item_means(ratings_frame(spark, sf), "item_id", "rating")
+    j = one_hot(part, ["p_type"]).join(means, "item_id", "left")
+    return j.select("item_id", "p_size", rnd(F.coalesce("item_mean", F.lit(0.0)), 6).alias("ave_rating"),
+                    F.coalesce("n_ratings", F.lit(0)).cast("long").alias("n_ratings"),
+                    *[f"p_type_{t}" for t in TYPES])
+
+
+def _new_user_sql() -> str:
+    ucols = _tower_sql(USER_IN, UT)
+    icols = _tower_sql(ITEM_IN, IT)
+    un = "sqrt(" + " + ".join(f"u{j} * u{j}" for j in range(3)) + ")"
+    inn = "sqrt(" + " + ".join(f"v{j} * v{j}" for j in range(3)) + ")"
+    return f"""
+WITH {RATINGS_SQL},
+j AS (SELECT r.*, p.p_type FROM ratings r JOIN part p ON p.p_partkey = r.item_id),
+prof AS (SELECT user_id, count(*) AS rating_count, avg(rating) AS rating_ave,
+       {', '.join(f"coalesce(avg(rating) FILTER (WHERE p_type = '{t}'), 0.0) AS {t}" for t in TYPES)} FROM j GROUP BY user_id),
+ps AS (SELECT max(rating_count) AS mc FROM prof),
+us AS (SELECT avg(rating_count) / max(mc) AS rating_count_s, avg(rating_ave) / 50.0 AS rating_ave_s,
+       {', '.join(f'avg({t}) / 50.0 AS {t}_s' for t in TYPES)} FROM prof, ps),
+ut AS (SELECT {', '.join(f'{c} AS u{j}' for j, c in enumerate(ucols))} FROM us),
+utn AS (SELECT {', '.join(f'u{j} / greatest({un}, 1e-6) AS u{j}' for j in range(3))} FROM ut),
+its AS (SELECT p_partkey AS item_id, p_name, p_size / 50.0 AS p_size_s, p_retailprice / 2000.0 AS price_s,
+        {', '.join(f"CASE WHEN p_type = '{t}' THEN 1.0 ELSE 0.0 END AS is_{t}" for t in TYPES)} FROM part),
+itt AS (SELECT item_id, p_name, {', '.join(f'{c} AS v{j}' for j, c in enumerate(icols))} FROM its),
+itn AS (SELECT item_id, p_name, {', '.join(f'v{j} / greatest({inn}, 1e-6) AS v{j}' for j in range(3))} FROM itt),
+rng AS (SELECT min(rating) AS lo, max(rating) AS hi FROM ratings),
+sc AS (SELECT i.item_id, i.p_name, ({' + '.join(f'u.u{j} * i.v{j}' for j in range(3))} + 1.0) / 2.0 * (hi - lo) + lo AS predicted
+       FROM itn i, utn u, rng)
+SELECT CAST(row_number() OVER (ORDER BY predicted DESC, item_id) AS BIGINT) AS rank, item_id, p_name,
+       round(predicted, 6) AS predicted FROM sc QUALIFY rank <= 10
+"""
+
+
+@query("new_user_recommend", _new_user_sql())
+def new_user_recommend(spark, sf):
+    """C8 (new user): a cold-start user with the average profile (T13), user tower, every item scored once for
+    that user (J3 as a projection), T3 inverse scaling, W7 top-10 with names (J1)."""
+    r = ratings_frame(spark, sf, materialize=True)
+    it = tbl(spark, sf, "part").select(F.col("p_partkey").alias("item_id"), "p_type")
+    prof = rc.user_profile(r, it, "user_id", "item_id", "p_type", "rating", TYPES)
+    mc = prof.agg(F.max("rating_count")).first()[0]
+    avg = prof.agg((F.avg("rating_count") / F.lit(float(mc))).alias("rating_count_s"),
+                   (F.avg("rating_ave") / 50.0).alias("rating_ave_s"), *[(F.avg(t) / 50.0).alias(f"{t}_s") for t in TYPES])
+    ucols = [F.col(c) for c in USER_IN]
+    for w, b, a in UT:
+        ucols = dense_exprs(ucols, w, b, a)
+    uv = avg.select(l2_normalize(F.array(*ucols), 1e-12, n=3).alias("uv")).first()["uv"]
+    part = tbl(spark, sf, "part")
+    its = part.select(F.col("p_partkey").alias("item_id"), "p_name", (F.col("p_size") / 50.0).alias("p_size_s"),
+                      (F.col("p_retailprice") / 2000.0).alias("price_s"),
+                      *[F.when(F.col("p_type") == t, 1.0).otherwise(0.0).alias(f"is_{t}") for t in TYPES])
+    icols = [F.col(c) for c in ITEM_IN]
+    for w, b, a in IT:
+        icols = dense_exprs(icols, w, b, a)
+    itn = its.select("item_id", "p_name", l2_normalize(F.array(*icols), 1e-12, n=3).alias("iv"))
+    rng = r.agg(F.min("rating").alias("lo"), F.max("rating").alias("hi")).first()
+    s = array_dot(F.col("iv"), F.array(*[F.lit(float(x)) for x in uv]), n=3)
+    scored = itn.select("item_id", "p_name", minmax_inverse(s, (rng["lo"], rng["hi"])).alias("predicted"))
+    top = rc.top_k(scored, None, [F.col("predicted").desc(), F.col("item_id")], 10)
+    return top.select(F.col("rank").cast("long"), "item_id", "p_name", rnd("predicted", 6).alias("predicted"))
+
+
+@query("als_fit")
+def als_fit(spark, sf):
+    """C2 fast path: pyspark.ml ALS (rank 4, 5 sweeps) on the rating table; training RMSE and factor counts."""
+    r = ratings_frame(spark, sf, materialize=True)
+    model = rc.ml_als(r, "user_id", "item_id", "rating", rank=4, reg=0.1, iters=5)
+    pred = model.transform(r)
+    rmse = pred.agg(F.sqrt(F.avg((F.col("prediction") - F.col("rating")) ** 2))).first()[0]
+    return spark.createDataFrame([(round(float(rmse), 4), model.userFactors.count(), model.itemFactors.count())],
+                                 "train_rmse double, n_user_factors long, n_item_factors long")

@@ -163,7 +163,7 @@ def add_new_user(spark, sf):
     """Prepend a new user's ratings (top rating for the 10 most rated items) with unionByName, then T12 means."""
     from ..operators.recommend import item_means, most_rated
     from .q_recommend import ratings_frame
-    r = ratings_frame(spark, sf)
+    r = ratings_frame(spark, sf, materialize=True)
     top = most_rated(r, "item_id", "rating", 10).select("item_id")
     best = r.agg(F.max("rating")).first()[0]
     new = top.select(F.lit(-1).cast("long").alias("user_id"), "item_id", F.lit(float(best)).alias("rating"))
