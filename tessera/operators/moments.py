@@ -101,11 +101,15 @@ def compute_moments(df: DataFrame, features: Sequence[str], label: str | None =
     return _from_row(row, names, label is not None)
 
 
-def compute_moments_by(df: DataFrame, key: str, features: Sequence[str], label: str | None = None) -> dict:
+def compute_moments_by(df: DataFrame, key: str, features: Sequence[str], label: str | None = None,
+                       max_groups: int = 10_000) -> dict:
     """A7 per group of a low-cardinality key (e.g. the split label): one job,
-    one row per group (partial aggregation keeps skewed groups cheap)."""
+    one row per group (partial aggregation keeps skewed groups cheap).  The
+    number of groups brought to the driver is checked against ``max_groups``."""
     names = list(features) + ([label] if label else [])
-    rows = df.select(key, *names).groupBy(key).agg(*moment_exprs(names)).collect()
+    rows = df.select(key, *names).groupBy(key).agg(*moment_exprs(names)).limit(max_groups + 1).collect()
+    if len(rows) > max_groups:
+        raise ValueError(f"more than {max_groups} groups of {key}")
     return {r[key]: _from_row(r, names, label is not None) for r in rows}
 
 

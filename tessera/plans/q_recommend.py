@@ -308,8 +308,9 @@ def most_rated_items(spark, sf):
     """The 10 most rated items with their mean rating and name."""
     top = rc.most_rated(ratings_frame(spark, sf), "item_id", "rating", 10)
     names = tbl(spark, sf, "part").select(F.col("p_partkey").alias("item_id"), "p_name")
-    return top.join(F.broadcast(names), "item_id").select("item_id", "num_ratings", rnd("ave_rating", 6)
-                                                          .alias("ave_rating"), "p_name")
+    # the top-10 side is the bounded one: broadcast it, stream the name table past it
+    return names.join(F.broadcast(top), "item_id").select("item_id", "num_ratings", rnd("ave_rating", 6)
+                                                           .alias("ave_rating"), "p_name")
 
 
 TYPES = ["ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD"]
