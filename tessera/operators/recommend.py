@@ -21,7 +21,7 @@ from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import cut_lineage
+from ..session import cut_lineage, fits_broadcast, spread
 
 # Adam's default decay rates and epsilon of the optimiser the
 # reference trains with.
@@ -65,10 +65,14 @@ def _dot_k(k: int, a: str = "x_", b: str = "w_") -> Column:
 
 
 def joined_predictions(ratings: DataFrame, items: DataFrame, users: DataFrame, user: str, item: str,
-                       rating: str, k: int) -> DataFrame:
-    """Ratings joined to item and user factors; err = w_u.x_i + b_u - y."""
+                       rating: str, k: int, broadcast_factors: bool = False) -> DataFrame:
+    """Ratings joined to item and user factors; err = w_u.x_i + b_u - y.
+    ``broadcast_factors`` (for factor tables whose size the caller has
+    proven small) keeps the rating table where it is."""
     it = items.select(item, *[F.col(f"f_{j}").alias(f"x_{j}") for j in range(k)])
     us = users.select(user, *[F.col(f"f_{j}").alias(f"w_{j}") for j in range(k)], F.col("b").alias("bu"))
+    if broadcast_factors:
+        it, us = F.broadcast(it), F.broadcast(us)
     j = ratings.select(user, item, rating).join(it, item).join(us, user)
     return j.withColumn("err", _dot_k(k) + F.col("bu") - F.col(rating))
 
@@ -133,6 +137,9 @@ def train_factors(ratings: DataFrame, items: DataFrame, users: DataFrame, user:
     Returns (items, users, history) with history = [(step, cost before step)]."""
     fnames = [f"f_{j}" for j in range(k)]
     unames = fnames + ["b"]
+    ratings = spread(ratings.select(user, item, rating)).persist(StorageLevel.MEMORY_AND_DISK)
+    # factor tables keep their row counts across steps: one count each proves their size
+    small = fits_broadcast(items.count(), k + 1) and fits_broadcast(users.count(), k + 2)
     if optimizer == "adam":
         items = items.withColumns({f"{p}_{c}": F.lit(0.0) for c in fnames for p in ("m", "v")})
         users = users.withColumns({f"{p}_{c}": F.lit(0.0) for c in unames for p in ("m", "v")})
@@ -142,7 +149,7 @@ def train_factors(ratings: DataFrame, items: DataFrame, users: DataFrame, user:
     ilam = {c: lam for c in fnames}
     gcols = {c: f"g_{c}" for c in unames}
     for t in range(1, iters + 1):
-        j = joined_predictions(ratings, items, users, user, item, rating, k).persist(StorageLevel.MEMORY_AND_DISK)
+        j = joined_predictions(ratings, items, users, user, item, rating, k, small).persist(StorageLevel.MEMORY_AND_DISK)
         gu = j.groupBy(user).agg(*[F.sum(F.col("err") * F.col(f"x_{q}")).alias(f"g_f_{q}") for q in range(k)],
                                  F.sum("err").alias("g_b"), F.sum(F.col("err") * F.col("err")).alias("_sse"))
         gi = j.groupBy(item).agg(*[F.sum(F.col("err") * F.col(f"w_{q}")).alias(f"g_f_{q}") for q in range(k)])
@@ -167,6 +174,7 @@ def train_factors(ratings: DataFrame, items: DataFrame, users: DataFrame, user:
             f.unpersist()
         held = [users_n, items_n]
         users, items = users_n.drop("_old_sq", "_sse"), items_n.drop("_old_sq")
+    ratings.unpersist()
     return items.select(item, *fnames), users.select(user, *unames), history
 
 

@@ -65,6 +65,33 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint into the shared checkpoint folder (never local)."""
+    """Reliable checkpoint into the shared checkpoint folder (never local).
+
+    The frame is persisted first: an eager checkpoint runs one job to
+    materialise and a second one to write the files, and without the
+    persist the second job would recompute the whole plan (e.g. a sort)."""
+    from pyspark import StorageLevel
     ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    held = df.persist(StorageLevel.MEMORY_AND_DISK)
+    out = held.checkpoint(eager=True)
+    held.unpersist()
+    return out
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Working set for an iterative operator: when the input has fewer
+    partitions than the cluster has cores (a few large files or row groups),
+    round-robin it over ``defaultParallelism`` partitions once so that every
+    later pass uses all cores; otherwise leave the partitioning alone."""
+    target = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(target) if df.rdd.getNumPartitions() < target else df
+
+
+# Upper bound for an explicit broadcast: the table's size is proven from its
+# row count times its row width, never guessed.
+BROADCAST_LIMIT_BYTES = 256 * 1024 * 1024
+
+
+def fits_broadcast(n_rows: int, n_cols: int, bytes_per_value: int = 8,
+                   limit: int = BROADCAST_LIMIT_BYTES) -> bool:
+    return n_rows * max(1, n_cols) * bytes_per_value <= limit
