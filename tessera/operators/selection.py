@@ -102,7 +102,7 @@ def learning_curve(df: DataFrame, features: Sequence[str], y: str, order_cols: S
     Train rows get a distributed global position; moments are aggregated
     per prefix step (one grouped job) and merged cumulatively."""
     cols = list(features)
-    train = df.where(F.col(split_col) == "train").select(*order_cols, *cols, y)
+    train = df.where(F.col(split_col) == "train").select(*dict.fromkeys([*order_cols, *cols, y]))
     pos = global_position(train, order_cols, "_pos", total="_n")
     step = F.floor(F.col("_pos") * F.lit(steps) / F.col("_n")).cast("int")
     tr = pos.select(step.alias("_step"), *cols, y)
