@@ -20,6 +20,20 @@ SIGMOID_CLIP = 500.0
 LOG1PEXP_MAX = 20.0
 
 
+def qname(name: str) -> str:
+    """A column name quoted for SQL text."""
+    return "`" + name.replace("`", "``") + "`"
+
+
+def num(x: float) -> str:
+    """A double literal for SQL text that parses back to exactly ``x``."""
+    return f"CAST({float(x)!r} AS DOUBLE)"
+
+
+def _names(cols) -> bool:
+    return all(isinstance(c, str) for c in cols)
+
+
 def _c(x) -> Column:
     if isinstance(x, Column):
         return x
@@ -54,6 +68,17 @@ def linear(z) -> Column:
 ACTIVATIONS = {"sigmoid": sigmoid, "relu": relu, "linear": linear}
 
 
+def activation_sql(name: str, z: str) -> str:
+    """F1 / F3 / linear as SQL text around the expression ``z``."""
+    if name == "relu":
+        return f"greatest({z}, {num(0.0)})"
+    if name == "sigmoid":
+        return f"({num(1.0)} / ({num(1.0)} + exp(-greatest(least({z}, {num(SIGMOID_CLIP)}), {num(-SIGMOID_CLIP)}))))"
+    if name == "linear":
+        return z
+    raise ValueError(name)
+
+
 def _elems(a: Column, n: int) -> list[Column]:
     return [a.getItem(i) for i in range(n)]
 
@@ -86,8 +111,16 @@ def argmin(arr) -> Column:
     return (F.array_position(a, F.array_min(a)) - 1).cast("int")
 
 
+def dot_sql(cols: Sequence[str], weights: Sequence[float], bias: float = 0.0) -> str:
+    return "(" + " + ".join([num(bias)] + [f"{qname(c)} * {num(w)}" for c, w in zip(cols, weights)]) + ")"
+
+
 def dot(cols: Sequence, weights: Sequence[float], bias: float = 0.0) -> Column:
-    """F6 / M1 on scalar columns: sum_j w_j*x_j + b as one generated sum."""
+    """F6 / M1 on scalar columns: b + sum_j w_j*x_j as one generated sum.
+    For named columns the sum is handed to Spark as one SQL expression
+    (one call instead of several per term)."""
+    if _names(cols):
+        return F.expr(dot_sql(cols, weights, bias))
     terms = [_c(c) * F.lit(float(w)) for c, w in zip(cols, weights)]
     return reduce(lambda a, b: a + b, terms, F.lit(float(bias)))
 
@@ -99,8 +132,14 @@ def array_dot(a, b, n: int | None = None) -> Column:
     return F.aggregate(F.zip_with(_c(a), _c(b), lambda x, y: x * y), F.lit(0.0), lambda s, v: s + v)
 
 
+def sq_dist_sql(cols: Sequence[str], point: Sequence[float]) -> str:
+    return "(" + " + ".join(f"({qname(c)} - {num(p)}) * ({qname(c)} - {num(p)})" for c, p in zip(cols, point)) + ")"
+
+
 def sq_dist_cols(cols: Sequence, point: Sequence[float]) -> Column:
     """squared L2 distance of scalar columns to a literal point."""
+    if _names(cols):
+        return F.expr(sq_dist_sql(cols, point))
     terms = [(_c(c) - F.lit(float(p))) * (_c(c) - F.lit(float(p))) for c, p in zip(cols, point)]
     return reduce(lambda a, b: a + b, terms)
 

@@ -14,7 +14,7 @@ from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.core import sq_dist_cols
+from ..functions.core import sq_dist_sql
 from ..session import spread
 
 
@@ -31,8 +31,8 @@ def nearest(cols: Sequence[str], centroids: np.ndarray) -> Column:
     centroids = np.asarray(centroids, dtype=float)
     if centroids.size > MAX_EXPR_TERMS:
         return _nearest_udf(centroids)(F.array(*[F.col(c).cast("double") for c in cols]))
-    cands = [F.struct(sq_dist_cols(cols, c).alias("d"), F.lit(k).alias("k")) for k, c in enumerate(centroids)]
-    return F.array_min(F.array(*cands))["k"]
+    cands = ", ".join(f"named_struct('d', {sq_dist_sql(cols, c)}, 'k', {k})" for k, c in enumerate(centroids))
+    return F.expr(f"array_min(array({cands})).k")
 
 
 def _nearest_udf(centroids: np.ndarray):

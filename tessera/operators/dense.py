@@ -21,7 +21,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.core import ACTIVATIONS
+from ..functions.core import ACTIVATIONS, activation_sql, dot_sql
 from ..session import spread
 
 MAX_EXPR_TERMS = 256
@@ -54,10 +54,15 @@ def forward(df: DataFrame, in_cols: Sequence[str], layers: Sequence[tuple], out_
     terms = sum(w.size for w, _, _ in layers)
     m = layers[-1][0].shape[1]
     if terms <= MAX_EXPR_TERMS:
-        cur = [F.col(c).cast("double") for c in in_cols]
-        for w, b, a in layers:
-            cur = dense_exprs(cur, w, b, a)
-        return df.withColumns({f"{out_prefix}{j}": c for j, c in enumerate(cur)})
+        # one SQL expression per unit; hidden units become columns the next layer names
+        cur, out = list(in_cols), df
+        for li, (w, b, a) in enumerate(layers):
+            last = li == len(layers) - 1
+            names = [f"{out_prefix}{j}" if last else f"_{out_prefix}_h{li}_{j}" for j in range(w.shape[1])]
+            out = out.withColumns({n: F.expr(activation_sql(a, dot_sql(cur, w[:, j], b[j])))
+                                   for j, n in enumerate(names)})
+            cur = names
+        return out.drop(*[c for c in out.columns if c.startswith(f"_{out_prefix}_h")])
 
     @F.pandas_udf("array<double>")
     def forward_batch(x: pd.Series) -> pd.Series:

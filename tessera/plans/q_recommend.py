@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from ..functions.core import array_dot, l2_normalize
 from ..operators import recommend as rc
-from ..operators.dense import dense_exprs
+from ..operators import dense as dn
 from ..operators.prepare import minmax_inverse
 from ..session import cut_lineage
 from .common import rnd, tbl
@@ -400,18 +400,14 @@ def two_tower_recommend(spark, sf):
     us = prof.where(F.col("user_id").isin(users)).select(
         "user_id", (F.col("rating_count") / F.lit(float(mc))).alias("rating_count_s"),
         (F.col("rating_ave") / 50.0).alias("rating_ave_s"), *[(F.col(t) / 50.0).alias(f"{t}_s") for t in TYPES])
-    ucols = [F.col(c) for c in USER_IN]
-    for w, b, a in UT:
-        ucols = dense_exprs(ucols, w, b, a)
-    uvec = us.select("user_id", l2_normalize(F.array(*ucols), 1e-12, n=3).alias("uv")).collect()
+    ut = dn.forward(us, USER_IN, UT, "u")
+    uvec = ut.select("user_id", l2_normalize(F.array("u0", "u1", "u2"), 1e-12, n=3).alias("uv")).collect()
     part = tbl(spark, sf, "part")
     its = part.select(F.col("p_partkey").alias("item_id"), "p_name", (F.col("p_size") / 50.0).alias("p_size_s"),
                       (F.col("p_retailprice") / 2000.0).alias("price_s"),
                       *[F.when(F.col("p_type") == t, 1.0).otherwise(0.0).alias(f"is_{t}") for t in TYPES])
-    icols = [F.col(c) for c in ITEM_IN]
-    for w, b, a in IT:
-        icols = dense_exprs(icols, w, b, a)
-    itn = its.select("item_id", "p_name", l2_normalize(F.array(*icols), 1e-12, n=3).alias("iv"))
+    itn = dn.forward(its, ITEM_IN, IT, "v").select("item_id", "p_name", l2_normalize(
+        F.array("v0", "v1", "v2"), 1e-12, n=3).alias("iv"))
     # J3 as a generator: each item row emits one row per requested user (literal user vectors)
     scored = itn.select("item_id", "p_name", F.inline(F.array(*[
         F.struct(F.lit(u["user_id"]).alias("user_id"), array_dot(F.col("iv"), F.array(*[F.lit(float(x)) for x in u["uv"]]),
@@ -485,18 +481,14 @@ def new_user_recommend(spark, sf):
     mc = prof.agg(F.max("rating_count")).first()[0]
     avg = prof.agg((F.avg("rating_count") / F.lit(float(mc))).alias("rating_count_s"),
                    (F.avg("rating_ave") / 50.0).alias("rating_ave_s"), *[(F.avg(t) / 50.0).alias(f"{t}_s") for t in TYPES])
-    ucols = [F.col(c) for c in USER_IN]
-    for w, b, a in UT:
-        ucols = dense_exprs(ucols, w, b, a)
-    uv = avg.select(l2_normalize(F.array(*ucols), 1e-12, n=3).alias("uv")).first()["uv"]
+    uv = dn.forward(avg, USER_IN, UT, "u").select(l2_normalize(F.array("u0", "u1", "u2"), 1e-12, n=3)
+                                                   .alias("uv")).first()["uv"]
     part = tbl(spark, sf, "part")
     its = part.select(F.col("p_partkey").alias("item_id"), "p_name", (F.col("p_size") / 50.0).alias("p_size_s"),
                       (F.col("p_retailprice") / 2000.0).alias("price_s"),
                       *[F.when(F.col("p_type") == t, 1.0).otherwise(0.0).alias(f"is_{t}") for t in TYPES])
-    icols = [F.col(c) for c in ITEM_IN]
-    for w, b, a in IT:
-        icols = dense_exprs(icols, w, b, a)
-    itn = its.select("item_id", "p_name", l2_normalize(F.array(*icols), 1e-12, n=3).alias("iv"))
+    itn = dn.forward(its, ITEM_IN, IT, "v").select("item_id", "p_name", l2_normalize(
+        F.array("v0", "v1", "v2"), 1e-12, n=3).alias("iv"))
     rng = r.agg(F.min("rating").alias("lo"), F.max("rating").alias("hi")).first()
     s = array_dot(F.col("iv"), F.array(*[F.lit(float(x)) for x in uv]), n=3)
     scored = itn.select("item_id", "p_name", minmax_inverse(s, (rng["lo"], rng["hi"])).alias("predicted"))

@@ -6,6 +6,7 @@ import math
 
 from pyspark.sql import functions as F
 
+from ..functions.core import dot_sql
 from ..operators import ordering as od
 from ..operators import sequence as sq
 from .common import rnd, tbl
@@ -81,8 +82,10 @@ def _state_cols(t, v):
     return [F.when(t == x, 1.0).otherwise(0.0) for x in TYPES] + [v / 100.0]
 
 
-def _q(state, w, b):
-    return F.array(*[sum((state[i] * F.lit(w[i][a]) for i in range(6)), F.lit(float(b[a]))) for a in range(5)])
+def _q(prefix: str, w, b):
+    """Q values of the 5 actions: fixed linear maps of the named state columns."""
+    names = [f"{prefix}{i}" for i in range(6)]
+    return F.expr("array(" + ", ".join(dot_sql(names, [w[i][a] for i in range(6)], b[a]) for a in range(5)) + ")")
 
 
 def _state_sql(t: str, v: str) -> list[str]:
@@ -115,10 +118,10 @@ def td_loss_q(spark, sf):
     """B1: logged transitions (next event per user), Q and target-Q from fixed linear maps, TD targets and MSE; P13 gather."""
     e = events(spark, sf).select("event_id", "user_id", "ts", "event_type", "value")
     tr = sq.transitions(e, "user_id", ORDER, ["event_type", "value"])
-    s = _state_cols(F.col("event_type"), F.col("value"))
-    ns = _state_cols(F.col("next_event_type"), F.col("next_value"))
+    tr = tr.withColumns({f"s{i}": c for i, c in enumerate(_state_cols(F.col("event_type"), F.col("value")))}
+                        | {f"ns{i}": c for i, c in enumerate(_state_cols(F.col("next_event_type"), F.col("next_value")))})
     action = F.array_position(F.array(*[F.lit(x) for x in TYPES]), F.col("next_event_type")).cast("int") - 1
-    out = sq.td_loss(tr, _q(s, WQ, BQ), action, F.col("next_value") / 100.0, _q(ns, WT, [0.0] * 5), F.col("done"),
+    out = sq.td_loss(tr, _q("s", WQ, BQ), action, F.col("next_value") / 100.0, _q("ns", WT, [0.0] * 5), F.col("done"),
                      GAMMA_TD)
     return out.select(rnd("loss", 8).alias("loss"), "n", rnd("mean_target", 8).alias("mean_target"))
 
