@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.core import sq_dist_sql
-from ..session import spread
+from ..session import working_set
 
 
 # Above this many distance terms (k * d) a generated expression no longer
@@ -83,7 +83,7 @@ def init_centroids(df: DataFrame, cols: Sequence[str], k: int, key: str, seed: i
 def run_kmeans(df: DataFrame, cols: Sequence[str], initial, max_iters: int = 10):
     """K3: Lloyd iterations from given initial centroids.  Returns the final
     centroids and the list of centroids after each iteration."""
-    data = spread(df.select(*cols)).persist(StorageLevel.MEMORY_AND_DISK)
+    data = working_set(df.select(*cols))
     cents = np.asarray(initial, dtype=float)
     history = []
     try:

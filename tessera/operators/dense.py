@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.core import ACTIVATIONS, activation_sql, dot_sql
-from ..session import spread
+from ..session import working_set
 
 MAX_EXPR_TERMS = 256
 ADAM_B1, ADAM_B2, ADAM_EPS = 0.9, 0.999, 1e-7
@@ -149,7 +149,7 @@ def train_full_batch(df: DataFrame, in_cols: Sequence[str], label: str, layers,
     """Full-batch Adam; per step one Spark job computes sum of loss and
     gradient over all rows.  The objective is mean loss + l2/(2m)*sum W^2
     (biases unpenalised).  Returns (layers, history[(step, objective)])."""
-    data = spread(df.select(*[F.col(c).cast("double") for c in in_cols], F.col(label).cast("double").alias("_y"))).cache()
+    data = working_set(df.select(*[F.col(c).cast("double") for c in in_cols], F.col(label).cast("double").alias("_y")))
     m = data.count()
     theta = _flatten(layers)
     mom, vel = np.zeros_like(theta), np.zeros_like(theta)

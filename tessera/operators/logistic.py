@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.core import dot, log_1pexp, sigmoid
-from ..session import spread
+from ..session import working_set
 
 
 def logit(cols: Sequence[str], w: Sequence[float], b: float) -> Column:
@@ -72,7 +72,7 @@ def fit_gradient_descent(df: DataFrame, cols: Sequence[str], label: str, w0: Seq
 
     Returns (w, b, history) where history rows are (iter, cost_before_step, w, b)
     after the update of that step."""
-    data = spread(df.select(*cols, F.col(label).cast("double").alias(label))).persist(StorageLevel.MEMORY_AND_DISK)
+    data = working_set(df.select(*cols, F.col(label).cast("double").alias(label)))
     w = np.asarray(w0, dtype=float).copy()
     b = float(b0)
     hist = []

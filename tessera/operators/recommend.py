@@ -21,7 +21,7 @@ from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import cut_lineage, fits_broadcast, spread
+from ..session import cut_lineage, fits_broadcast, working_set
 
 # Adam's default decay rates and epsilon of the optimiser the
 # reference trains with.
@@ -137,7 +137,7 @@ def train_factors(ratings: DataFrame, items: DataFrame, users: DataFrame, user:
     Returns (items, users, history) with history = [(step, cost before step)]."""
     fnames = [f"f_{j}" for j in range(k)]
     unames = fnames + ["b"]
-    ratings = spread(ratings.select(user, item, rating)).persist(StorageLevel.MEMORY_AND_DISK)
+    ratings = working_set(ratings.select(user, item, rating))
     # factor tables keep their row counts across steps: one count each proves their size
     small = fits_broadcast(items.count(), k + 1) and fits_broadcast(users.count(), k + 2)
     if optimizer == "adam":

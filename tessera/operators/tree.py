@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..session import spread
+from ..session import working_set
 
 
 def entropy(p: float) -> float:
@@ -79,8 +79,7 @@ def build_tree(df: DataFrame, features: Sequence[str], label: str, max_depth: in
     without positive gain becomes a leaf (the reference would split it on
     its last column)."""
     spark: SparkSession = df.sparkSession
-    data = spread(df.select(*features, F.col(label).cast("long").alias(label))).withColumn("node_id", F.lit(1).cast("long"))
-    data = data.persist(StorageLevel.MEMORY_AND_DISK)
+    data = working_set(df.select(*features, F.col(label).cast("long").alias(label)).withColumn("node_id", F.lit(1).cast("long")))
     out, frames = [], [data]
     try:
         active = data

@@ -78,13 +78,27 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Working set for an iterative operator: when the input has fewer
-    partitions than the cluster has cores (a few large files or row groups),
-    round-robin it over ``defaultParallelism`` partitions once so that every
-    later pass uses all cores; otherwise leave the partitioning alone."""
+def working_set(df: DataFrame) -> DataFrame:
+    """Persisted working set of an iterative operator.
+
+    The projection is persisted and materialised once.  When the cached data
+    has fewer partitions than the cluster has cores (a few large files or
+    row groups), it is round-robin spread over ``defaultParallelism``
+    partitions so that every later pass uses all cores; otherwise the
+    partitioning is left alone.  (The partition count is read from the
+    cached data: asking a plan with shuffles for it would run the shuffles.)
+    Callers unpersist the returned frame."""
+    from pyspark import StorageLevel
+    level = StorageLevel.MEMORY_AND_DISK
+    data = df.persist(level)
+    data.count()
     target = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(target) if df.rdd.getNumPartitions() < target else df
+    if data.rdd.getNumPartitions() >= target:
+        return data
+    spread = data.repartition(target).persist(level)
+    spread.count()
+    data.unpersist()
+    return spread
 
 
 # Upper bound for an explicit broadcast: the table's size is proven from its
