@@ -10,7 +10,6 @@ persisted once (features only) for the loop.
 from collections.abc import Sequence
 
 import numpy as np
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 

@@ -153,6 +153,35 @@ def boosted_trees(df: DataFrame, features: Sequence[str], label: str, max_iter:
                          **kw).fit(_assemble(df, features, label))
 
 
+def param_sweep(train: DataFrame, test: DataFrame, features: Sequence[str], label: str,
+                max_depths: Sequence[int], min_instances: Sequence[int], parallelism: int = 4) -> list[tuple]:
+    """A pyspark.ml parameter grid over tree depth and minimum node size,
+    fitted concurrently (each setting's jobs are submitted from its own
+    thread); returns (max_depth, min_instances, train_accuracy, test_accuracy)."""
+    from concurrent.futures import ThreadPoolExecutor
+
+    from pyspark.ml.classification import DecisionTreeClassifier
+    from pyspark.ml.tuning import ParamGridBuilder
+    est = DecisionTreeClassifier(featuresCol="_features", labelCol=label, seed=55)
+    grid = ParamGridBuilder().addGrid(est.maxDepth, list(max_depths)).addGrid(
+        est.minInstancesPerNode, list(min_instances)).build()
+    tr = _assemble(train, features, label).cache()
+    te = _assemble(test, features, label).cache()
+
+    def fit_one(pm):
+        model = est.fit(tr, pm)
+        acc = [float(model.transform(d).agg(F.avg(F.when(F.col("prediction") == F.col(label), 1.0).otherwise(0.0)))
+                     .first()[0]) for d in (tr, te)]
+        return int(pm[est.maxDepth]), int(pm[est.minInstancesPerNode]), acc[0], acc[1]
+
+    try:
+        with ThreadPoolExecutor(max_workers=parallelism) as pool:
+            return list(pool.map(fit_one, grid))
+    finally:
+        tr.unpersist()
+        te.unpersist()
+
+
 def accuracy(model, df: DataFrame, features: Sequence[str], label: str) -> float:
     pred = model.transform(_assemble(df, features, label))
     return float(pred.agg(F.avg(F.when(F.col("prediction") == F.col(label), 1.0).otherwise(0.0))).first()[0])
