@@ -103,7 +103,8 @@ def rolling_mean(df: DataFrame, keys, order_cols: Sequence[str], value: str, win
     (``window_sum``, ``window_rows``).
     """
     ks = _keys_list(keys)
-    idx = keyed_index(df, ks, order_cols, sum_cols=[value])
+    # both sides of the lag join read the indexed table: materialise it once
+    idx = cut_lineage(keyed_index(df, ks, order_cols, sum_cols=[value]))
     cum = f"cum_{value}"
     lagged = shifted(idx, ks, [cum], window, prefix="_w_")
     prev = F.coalesce(F.col(f"_w_{cum}"), F.lit(0).cast(DEC))

@@ -28,7 +28,7 @@ def transitions(df: DataFrame, keys, order_cols: Sequence[str], cols: Sequence[s
     """Consecutive pairs within each key: every row with the next row's
     ``cols`` as ``next_<col>`` and ``done`` = the next row is the key's last."""
     ks = [keys] if isinstance(keys, str) else list(keys)
-    idx = keyed_index(df, ks, order_cols)
+    idx = cut_lineage(keyed_index(df, ks, order_cols))  # read by both sides of the lead join
     nxt = shifted(idx, ks, cols, -1, prefix="next_")
     nxt = nxt.where(F.col(f"next_{cols[0]}").isNotNull())
     return nxt.withColumn("done", F.col("rn") + F.lit(1) == F.col("n_key"))
