@@ -199,7 +199,8 @@ def kmeans_centroids(spark, sf):
 
 @query("kmeans_assign", _kmeans_sql("SELECT vec_id, CAST(k AS BIGINT) AS cluster FROM {a}"))
 def kmeans_assign(spark, sf):
-    """K1: nearest-centroid assignment of every embedding after the K3 loop (a projection, no shuffle)."""
+    """Nearest-centroid assignment of every embedding after the K3 loop (point x centroid as a projection
+    over literal centroids: no join, no shuffle)."""
     emb, cents = kmeans_fit(spark, sf)
     return cl.assign(emb, ECOLS, cents).select("vec_id", F.col("cluster").cast("long"))
 

@@ -219,7 +219,8 @@ FROM g, d GROUP BY w, b
 
 @query("cost_surface", COST_SURFACE_SQL)
 def cost_surface_q(spark, sf):
-    """Cost and gradient at every (w, b) grid point from one moment pass (grid exploded, no join)."""
+    """Cost and gradient at every (w, b) grid point from one moment pass (the parameter grid is exploded
+    next to the one-row moments, so grid x data needs no join)."""
     from ..operators.selection import cost_surface
     d = tbl(spark, sf, "lineitem").select(F.col("l_quantity").alias("x"), (F.col(LI_Y) / 1000.0).alias("y"))
     out = cost_surface(d, "x", "y", GRID_W, GRID_B)
@@ -339,3 +340,16 @@ def learning_curve_q(spark, sf):
     d = split_lineitem(spark, sf)
     out = learning_curve(d, LI_X, "y", LI_ORDER, 10)
     return out.select("train_rows", *[F.round(c, 6).alias(c) for c in ("train_mse_half", "cv_mse_half")])
+
+
+@query("linear_gd_step_decay")
+def linear_gd_step_decay(spark, sf):
+    """M8 + M9: 400 gradient-descent steps on z-scored features with 40 progress points; at a progress point
+    where the cost did not change, alpha is divided by 10.  Final weights, cost and learning rate."""
+    li = tbl(spark, sf, "lineitem").select(*LI_X, (F.col(LI_Y) / 1000.0).alias("y"))
+    z, _ = zscore(li, LI_X)
+    m = mo.compute_moments(z, LI_X, "y")
+    w, b, hist = mo.gradient_descent_on_moments(m, [0.0] * 3, 0.0, 0.5, 400, decay_points=40)
+    rows = [("intercept", round(b, 6))] + [(c, round(float(v), 6)) for c, v in zip(LI_X, w)]
+    rows.append(("final_cost", round(hist[-1][1], 6)))
+    return spark.createDataFrame(rows, "term string, value double")

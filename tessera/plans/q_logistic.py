@@ -131,10 +131,10 @@ FROM p
 
 @query("binary_cross_entropy", CE_SQL)
 def binary_cross_entropy(spark, sf):
-    """E5: binary cross-entropy from logits (stable form) and from probabilities."""
-    z = base(spark, sf).withColumn("zz", lg.logit(LI_X, W_LOG, B_LOG))
+    """E5: binary cross-entropy from logits (stable form) and from M2 probabilities sigmoid(w.x + b)."""
+    z = lg.predict_logistic(base(spark, sf).withColumn("zz", lg.logit(LI_X, W_LOG, B_LOG)), LI_X, W_LOG, B_LOG)
     out = z.agg(binary_cross_entropy_expr("y", "zz").alias("bce_logits"),
-                binary_cross_entropy_expr("y", sigmoid(F.col("zz")), from_logits=False).alias("bce_probability"))
+                binary_cross_entropy_expr("y", "probability", from_logits=False).alias("bce_probability"))
     return out.select(*[rnd(c, 8).alias(c) for c in out.columns])
 
 

@@ -23,7 +23,7 @@ FROM lineitem
 @query("csv_roundtrip", IO_SQL)
 def csv_roundtrip(spark, sf):
     """S12 sink (CSV into the shared checkpoint folder), S1 headerless reader with explicit schema and row
-    positions, S3 header reader, S4 external header file; totals read back."""
+    positions, S2 header line skipped by option, S3 header reader, S4 external header file; totals read back."""
     base = ensure_checkpoint_dir(spark).rstrip("/") + f"/io-{uuid.uuid4().hex}"
     li = tbl(spark, sf, "lineitem").select(*LI_X)
     li.write.mode("overwrite").csv(f"{base}/plain")
@@ -33,10 +33,12 @@ def csv_roundtrip(spark, sf):
     named = rd.apply_header_file(spark, rd.read_numeric_csv(spark, f"{base}/plain", ["a", "b", "c"], with_id=False),
                                  f"{base}/names")
     hdr = rd.read_csv_with_header(spark, f"{base}/with_header", rd.numeric_schema(LI_X))
+    skipped = rd.read_numeric_csv(spark, f"{base}/with_header", LI_X, header=True, with_id=False)
     a = plain.agg(F.count(F.lit(1)).alias("n"), *[F.round(F.sum(c), 4).alias(f"sum_{c}") for c in LI_X],
                   F.max("id").alias("max_id")).first()
     h = hdr.agg(F.count(F.lit(1)).alias("n"), *[F.round(F.sum(c), 4).alias(f"hsum_{c}") for c in LI_X]).first()
-    assert named.columns == LI_X
+    if named.columns != LI_X or skipped.count() != h["n"]:
+        raise RuntimeError("header handling lost or renamed data")
     row = (a["n"], *[a[f"sum_{c}"] for c in LI_X], a["max_id"], h["n"], *[h[f"hsum_{c}"] for c in LI_X])
     schema = ("n long, " + ", ".join(f"sum_{c} double" for c in LI_X) + ", max_id long, n_header_read long, "
               + ", ".join(f"hsum_{c} double" for c in LI_X))
