@@ -63,7 +63,3 @@ def test_latest_n(skewed):
     got = od.latest_n(skewed, "user_id", ["ts", "event_id"], 4).toPandas()
     want = _pdf(skewed).groupby("user_id").tail(4)
     assert sorted(got["event_id"]) == sorted(want["event_id"])
-
-
-def test_pandas_is_used_only_as_reference():
-    assert pd.__version__
