@@ -237,20 +237,24 @@ def nearest_items(df: DataFrame, id_col: str, vec_cols: Sequence[str], block_row
     base = base.withColumn("_blk", F.pmod(F.xxhash64("_id"), F.lit(blocks)))
     fan = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
     queries = base.select(F.col("_blk").alias("_a"), fan.alias("_b"), "_id", *cols)
-    cands = base.select(fan.alias("_a"), F.col("_blk").alias("_b"), "_id", *cols)
+    # the candidate side gets its own column names: two projections of one frame
+    # would otherwise share attribute ids, and the optimizer may prune one side
+    ccols = [f"_c{i}" for i in range(len(cols))]
+    cands = base.select(fan.alias("_a"), F.col("_blk").alias("_b"), F.col("_id").alias("_cid"),
+                        *[F.col(c).alias(n) for c, n in zip(cols, ccols)])
 
     def best_in_pair(q: pd.DataFrame, c: pd.DataFrame) -> pd.DataFrame:
         if q.empty or c.empty:
             return pd.DataFrame({"_id": pd.Series([], dtype="int64"), "_nn": pd.Series([], dtype="int64"),
                                  "_d": pd.Series([], dtype="float64")})
         qa = q[cols].to_numpy(dtype=float)
-        ca = c[cols].to_numpy(dtype=float)
+        ca = c[ccols].to_numpy(dtype=float)
         d = np.zeros((len(qa), len(ca)))
         for j in range(qa.shape[1]):
             diff = qa[:, j:j + 1] - ca[None, :, j]
             d += diff * diff
         qid = q["_id"].to_numpy()
-        cid = c["_id"].to_numpy()
+        cid = c["_cid"].to_numpy()
         d[qid[:, None] == cid[None, :]] = np.inf  # self excluded
         order = np.argsort(cid, kind="stable")   # lowest id first, so argmin picks it on ties
         d, cid = d[:, order], cid[order]

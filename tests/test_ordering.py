@@ -1,7 +1,6 @@
 """Skew-safe ordering: positions, rolling means and neighbours equal the per-key window result."""
 
 import numpy as np
-import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
