@@ -24,7 +24,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import cut_lineage
+from ..session import cut_lineage, fits_broadcast
 
 DEC = "decimal(38,12)"
 
@@ -60,6 +60,10 @@ def keyed_index(df: DataFrame, keys, order_cols: Sequence[str], sum_cols: Sequen
     for c in sum_cols:
         chunk_cols[f"_pre_{c}"] = F.coalesce(F.sum(f"_cs_{c}").over(before), F.lit(0).cast(DEC))
     chunks = chunks.withColumns(chunk_cols).drop("_n", *[f"_cs_{c}" for c in sum_cols])
+    # one row per (key, partition), aggregated from the written table: count it and
+    # broadcast it when that proven size allows, so the stamped rows are not shuffled
+    if fits_broadcast(chunks.count(), len(chunks.columns)):
+        chunks = F.broadcast(chunks)
     out = stamped.join(chunks, ks + ["_part"]).withColumn(
         rn, (F.col("_off") + F.col("_mid") - F.col("_first") + F.lit(1)).cast("long"))
     if sum_cols:
