@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import cut_lineage
 from .common import DOC_COLUMNS, pick, present, squash_ws
 
 SALTS = 16
@@ -48,7 +49,8 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     smallest doc_id stays.  Rows that repeat both doc_id and text are counted, and
     exactly one of them can stay.  Null doc_ids sort last; a group of null ids only
     keeps one row, with a null keep_id.  An empty table gives an empty result."""
-    best = winners(docs, id_col, text_col, salts).filter("group_size > 1")
+    # written first: the join then deals out both sides itself and can split a hot digest
+    best = cut_lineage(winners(docs, id_col, text_col, salts).filter("group_size > 1"))
     rows = (_keyed(docs, id_col, text_col).groupBy("doc_id", "sha", "fp")
             .agg(F.count(F.lit(1)).alias("copies")))
     joined = rows.join(best, ["sha", "fp"], "left")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_dedup, quality_rules
+from . import exact_dedup, quality_rules, simhash
 
 QUERIES = {}
 ORACLE = {}
@@ -87,3 +87,9 @@ FROM b JOIN v ON b.source IS NOT DISTINCT FROM v.source
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base rules per document, failures shrunk per source with a beta prior, verdicts joined back."""
     return quality_rules.quality_rules(table(spark, sf_dir, "documents"))
+
+
+@query("op10_simhash")
+def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SimHash fingerprints of documents, linked at 3 differing bits or fewer by pigeonhole probing."""
+    return simhash.simhash_groups(table(spark, sf_dir, "documents"))
