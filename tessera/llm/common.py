@@ -41,6 +41,12 @@ def squash_ws(df: DataFrame, src: str, out: str) -> DataFrame:
     return single.withColumn(out, F.when(x.contains("  "), F.regexp_replace(x, " +", " ")).otherwise(x))
 
 
+def filter_above(df: DataFrame, condition: Column) -> DataFrame:
+    """Filter on computed columns without letting the optimizer push the filter below them
+    (it would repeat their expressions, once per use, inside the condition)."""
+    return df.withColumn("above", F.monotonically_increasing_id()).filter(condition & (F.col("above") >= 0)).drop("above")
+
+
 def ship(module: str) -> None:
     """Send this module's functions to the workers by value: an executor needs no copy of the package."""
     cloudpickle.register_pickle_by_value(sys.modules[module])

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage
-from .common import DOC_COLUMNS, HAS_WORD, pick, squash_ws
+from .common import DOC_COLUMNS, HAS_WORD, filter_above, pick, squash_ws
 
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
@@ -130,5 +130,5 @@ def keep_passing(docs: DataFrame, max_host_rate: float = MAX_HOST_RATE) -> DataF
     marks = failing(rows).select(F.col("source").alias("host"), "base_failed")
     bad = cut_lineage(host_verdicts(marks, max_host_rate).filter("NOT host_ok")
                       .select(F.col("host").alias("bad_host")))
-    good = failing(rows).filter(~F.col("base_failed")).select(*DOC_COLUMNS)
+    good = filter_above(failing(rows), ~F.col("base_failed")).select(*DOC_COLUMNS)
     return good.join(bad, good.source.eqNullSafe(bad.bad_host), "left_anti")

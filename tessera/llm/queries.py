@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_dedup, quality_rules, simhash
+from . import exact_dedup, mixing, packing, quality_rules, simhash
 
 QUERIES = {}
 ORACLE = {}
@@ -93,3 +93,15 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SimHash fingerprints of documents, linked at 3 differing bits or fewer by pigeonhole probing."""
     return simhash.simhash_groups(table(spark, sf_dir, "documents"))
+
+
+@query("op4_mixing")
+def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Domain posteriors learned from labels, and document rates that meet the domain token targets."""
+    return mixing.mixing_rates(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query("op8_packing")
+def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token lengths of documents packed by best fit into sequences of five permitted lengths."""
+    return packing.pack_documents(table(spark, sf_dir, "documents"))
