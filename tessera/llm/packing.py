@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import pick, ship
-from .tokenizing import ByteBpeEncoder
+from .tokenizing import ByteBpeEncoder, shared
 
 ship(__name__)
 
@@ -99,9 +99,9 @@ def token_sizes(docs: DataFrame, tokenizer: str = TOKENIZER, id_col: str = "doc_
     rows = pick(docs, doc_id=id_col, text=text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc = ByteBpeEncoder(tokenizer)
+        enc = shared(("ids", tokenizer), lambda: ByteBpeEncoder(tokenizer))
         for b in batches:
-            n = [len(enc.encode(t.as_py() or "")) // enc.dtype.itemsize + 1 for t in b.column(1)]
+            n = [len(ids) // enc.dtype.itemsize + 1 for ids in enc.encode_all([t or "" for t in b.column(1).to_pylist()])]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n, pa.int64())], names=["doc_id", "n_tokens"])
 
     return rows.mapInArrow(run, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, n_tokens long")

@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import exact_dedup, mixing, packing, quality_rules, simhash
+from . import (exact_dedup, langid, line_dedup, mixing, packing, quality_rules, simhash, token_counts,
+               token_files)
 
 QUERIES = {}
 ORACLE = {}
@@ -105,3 +107,57 @@ def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token lengths of documents packed by best fit into sequences of five permitted lengths."""
     return packing.pack_documents(table(spark, sf_dir, "documents"))
+
+
+@query("op2_token_counts")
+def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Exact token counts of documents from prefix tables, and the longest prefix within 2048 tokens."""
+    return token_counts.token_counts(table(spark, sf_dir, "documents"))
+
+
+@query("op7_token_files")
+def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as token ids in flat files with 64-bit offsets, written in doc_id order and read back."""
+    return token_files.token_files(table(spark, sf_dir, "documents"))
+
+
+@query("op3_language_id")
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document by a byte convolutional network fitted on the labelled part."""
+    return langid.identify_language(table(spark, sf_dir, "documents"))
+
+
+OP5_SQL = r"""
+WITH l AS (
+  SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
+         generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS i FROM documents
+), w AS (
+  SELECT doc_id, i, line, row_number() OVER (PARTITION BY doc_id ORDER BY i) AS k
+  FROM l WHERE regexp_matches(line, '[^\x20\x09-\x0D]')
+), g AS (
+  SELECT doc_id, k, line || chr(10) || lead(line, 1) OVER d || chr(10) || lead(line, 2) OVER d AS key
+  FROM w WINDOW d AS (PARTITION BY doc_id ORDER BY k)
+), later AS (
+  SELECT doc_id, k FROM (SELECT doc_id, k, row_number() OVER (PARTITION BY key ORDER BY doc_id, k) AS nth
+                         FROM g WHERE key IS NOT NULL) WHERE nth > 1
+), gone AS (
+  SELECT DISTINCT doc_id, k + d AS k FROM later, (SELECT unnest([0, 1, 2]) AS d)
+), runs AS (
+  SELECT doc_id, count(*) AS n_removed, sum(CASE WHEN prev IS NULL OR prev < k - 1 THEN 1 ELSE 0 END) AS n_runs
+  FROM (SELECT doc_id, k, lag(k) OVER (PARTITION BY doc_id ORDER BY k) AS prev FROM gone) GROUP BY doc_id
+), kept AS (
+  SELECT l.doc_id, string_agg(l.line, chr(10) ORDER BY l.i) AS t, count(w.k) AS n_kept
+  FROM l LEFT JOIN w ON l.doc_id = w.doc_id AND l.i = w.i
+  WHERE NOT EXISTS (SELECT 1 FROM gone WHERE gone.doc_id = w.doc_id AND gone.k = w.k) GROUP BY l.doc_id
+)
+SELECT d.doc_id, coalesce(n_kept, 0) + coalesce(n_removed, 0) AS n_lines, coalesce(n_removed, 0) AS n_removed,
+       CAST(coalesce(n_runs, 0) AS BIGINT) AS n_runs, sha256(coalesce(t, '')) AS kept_sha256
+FROM documents d LEFT JOIN kept ON d.doc_id = kept.doc_id LEFT JOIN runs ON d.doc_id = runs.doc_id
+"""
+
+
+@query("op5_line_dedup", OP5_SQL)
+def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs of three or more lines that repeat an earlier place are deleted, found by winnowing."""
+    return (line_dedup.line_dedup(table(spark, sf_dir, "documents"))
+            .select("doc_id", "n_lines", "n_removed", "n_runs", F.sha2("kept_text", 256).alias("kept_sha256")))

@@ -10,8 +10,10 @@ from .common import ship
 
 ship(__name__)
 
-#: Encoded chunks kept per task; beyond it the cache starts anew (a memory bound, not a limit on texts).
-MAX_CACHED = 400_000
+#: Encoded chunks kept per worker; beyond it the cache starts anew (a memory bound, not a limit on texts).
+MAX_CACHED = 800_000
+#: Characters of text cut into chunks at once.
+BATCH_CHARS = 4_000_000
 
 
 def public_path(name: str) -> str:
@@ -31,8 +33,19 @@ def load(name: str):
     return found
 
 
+def shared(key: tuple, make):
+    """One object per worker process and key: later tasks of the same worker go on with its caches."""
+    import sys
+    import types
+    store = sys.modules.setdefault("tessera_worker_objects", types.ModuleType("tessera_worker_objects"))
+    held = store.__dict__.setdefault("held", {})
+    if key not in held:
+        held[key] = make()
+    return held[key]
+
+
 class ByteBpeEncoder:
-    """encode(text) -> ids as little-endian unsigned integers, equal to the library's ids for the whole text.
+    """encode_all(texts) -> ids of each as little-endian unsigned integers, equal to the library's ids for the whole text.
 
     For byte-level BPE whose pre-tokenizer lets a word take at most one space before it.  A text
     is cut before every space or newline that stands alone between two other characters; no
@@ -45,30 +58,41 @@ class ByteBpeEncoder:
         self.known: dict[str, bytes | None] = {}
         self.heads: dict[str, bytes | None] = {}
 
-    def _whole(self, text: str) -> bytes:
-        return np.array(self.tk.encode(text, add_special_tokens=False).ids, self.dtype).tobytes()
-
-    def _chunk(self, chunk: str, lead: str) -> bytes | None:
-        """ids of ``lead`` + chunk, None if white space makes the cuts around it unsafe."""
-        body = chunk[1:] if chunk[:1] == "\n" else chunk
-        if not body or body[0].isspace() or body[-1].isspace():
-            return None
-        return self._whole(chunk if chunk[0] == "\n" else lead + chunk)
-
-    def encode(self, text: str) -> bytes:
-        if not text:
-            return b""
-        first, *rest = text.replace("\n", " \n").split(" ")
-        known, heads = self.known, self.heads
+    def _ids(self, texts: list[str]) -> list[bytes]:
+        return [np.array(e.ids, self.dtype).tobytes()
+                for e in self.tk.encode_batch(texts, add_special_tokens=False)] if texts else []
+
+    def _learn(self, known: dict[str, bytes | None], chunks: set[str], lead: str) -> None:
+        """Encode the chunks not met before, each after ``lead`` (a newline at its start takes none).
+        None marks a chunk whose white space makes the cuts around it unsafe."""
         if len(known) > MAX_CACHED:
             known.clear()
-        if len(heads) > MAX_CACHED:
-            heads.clear()
-        if first not in heads:
-            heads[first] = self._chunk(first, "")
-        for w in set(rest).difference(known):
-            known[w] = self._chunk(w, " ")
-        try:
-            return heads[first] + b"".join(map(known.__getitem__, rest))
-        except TypeError:
-            return self._whole(text)
+        new = list(chunks.difference(known))
+        safe = []
+        for c in new:
+            body = c[1:] if c[:1] == "\n" else c
+            if not body or body[0].isspace() or body[-1].isspace():
+                known[c] = None
+            else:
+                safe.append(c)
+        known.update(zip(safe, self._ids([c if c[0] == "\n" else lead + c for c in safe]), strict=True))
+
+    def encode_all(self, texts: list[str]) -> list[bytes]:
+        """ids of each text (those of an empty text are none); at most BATCH_CHARS of text are cut at once."""
+        out: list[bytes] = []
+        at = 0
+        while at < len(texts):
+            end, size = at, 0
+            while end < len(texts) and (end == at or size + len(texts[end]) <= BATCH_CHARS):
+                size += len(texts[end])
+                end += 1
+            cut = [t.replace("\n", " \n").split(" ") for t in texts[at:end]]
+            self._learn(self.heads, {c[0] for c in cut}, "")
+            self._learn(self.known, set().union(*(c[1:] for c in cut)), " ")
+            for text, (first, *rest) in zip(texts[at:end], cut, strict=True):
+                try:
+                    out.append(self.heads[first] + b"".join(map(self.known.__getitem__, rest)) if text else b"")
+                except TypeError:
+                    out += self._ids([text])
+            at = end
+        return out
