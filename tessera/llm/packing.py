@@ -21,6 +21,8 @@ LENGTHS = (512, 1024, 2048, 4096, 8192)
 #: A sequence of length c costs c + OVERHEAD (its share of a step's fixed cost, in tokens).
 OVERHEAD = 64
 SHARD_ITEMS = 4096
+#: Texts tokenized at once.
+ROWS = 500
 
 
 def best_fit(sizes: list[int], lengths: tuple[int, ...] = LENGTHS, overhead: int = OVERHEAD) -> list[tuple[int, int, int]]:
@@ -101,7 +103,8 @@ def token_sizes(docs: DataFrame, tokenizer: str = TOKENIZER, id_col: str = "doc_
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = shared(("ids", tokenizer), lambda: ByteBpeEncoder(tokenizer))
         for b in batches:
-            n = [len(ids) // enc.dtype.itemsize + 1 for ids in enc.encode_all([t or "" for t in b.column(1).to_pylist()])]
+            n = [len(ids) // enc.dtype.itemsize + 1 for lo in range(0, b.num_rows, ROWS)
+                 for ids in enc.encode_all([t or "" for t in b.column(1).slice(lo, ROWS).to_pylist()])]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n, pa.int64())], names=["doc_id", "n_tokens"])
 
     return rows.mapInArrow(run, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, n_tokens long")

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import (exact_dedup, langid, line_dedup, mixing, packing, quality_rules, simhash, token_counts,
-               token_files)
+               suffix_dedup, token_files)
 
 QUERIES = {}
 ORACLE = {}
@@ -161,3 +161,10 @@ def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Runs of three or more lines that repeat an earlier place are deleted, found by winnowing."""
     return (line_dedup.line_dedup(table(spark, sf_dir, "documents"))
             .select("doc_id", "n_lines", "n_removed", "n_runs", F.sha2("kept_text", 256).alias("kept_sha256")))
+
+
+@query("op6_suffix_dedup")
+def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes of documents covered by a 400-byte string that also starts elsewhere, removed."""
+    return (suffix_dedup.suffix_dedup(table(spark, sf_dir, "documents"))
+            .select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256")))

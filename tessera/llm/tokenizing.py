@@ -11,9 +11,10 @@ from .common import ship
 ship(__name__)
 
 #: Encoded chunks kept per worker; beyond it the cache starts anew (a memory bound, not a limit on texts).
-MAX_CACHED = 800_000
+MAX_CACHED = 300_000
 #: Characters of text cut into chunks at once.
-BATCH_CHARS = 4_000_000
+BATCH_CHARS = 2_000_000
+LEARN_BATCH = 4096
 
 
 def public_path(name: str) -> str:
@@ -59,8 +60,11 @@ class ByteBpeEncoder:
         self.heads: dict[str, bytes | None] = {}
 
     def _ids(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, self.dtype).tobytes()
-                for e in self.tk.encode_batch(texts, add_special_tokens=False)] if texts else []
+        out: list[bytes] = []
+        for at in range(0, len(texts), LEARN_BATCH):
+            out += [np.array(e.ids, self.dtype).tobytes()
+                    for e in self.tk.encode_batch_fast(texts[at:at + LEARN_BATCH], add_special_tokens=False)]
+        return out
 
     def _learn(self, known: dict[str, bytes | None], chunks: set[str], lead: str) -> None:
         """Encode the chunks not met before, each after ``lead`` (a newline at its start takes none).
