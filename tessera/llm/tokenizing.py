@@ -11,7 +11,7 @@ from .common import ship
 ship(__name__)
 
 #: Encoded chunks kept per worker; beyond it the cache starts anew (a memory bound, not a limit on texts).
-MAX_CACHED = 300_000
+MAX_CACHED = 700_000
 #: Characters of text cut into chunks at once.
 BATCH_CHARS = 2_000_000
 LEARN_BATCH = 4096
