@@ -34,15 +34,8 @@ class PrefixBpe:
         self.rank = {tuple(m.split(" ")) if isinstance(m, str) else tuple(m): i for i, m in enumerate(merges)}
         self.longest = max((len(v) for v in vocab), default=1)
         self.ok: dict[tuple[str, str], bool] = {}
-
-    def merge(self, symbols: list[str]) -> list[str]:
-        """Plain BPE: merge the pair of lowest rank, leftmost first, until none is left."""
-        while len(symbols) > 1:
-            r, i = min((self.rank.get(p, 1 << 60), i) for i, p in enumerate(zip(symbols, symbols[1:], strict=False)))
-            if r == 1 << 60:
-                break
-            symbols = [*symbols[:i], symbols[i] + symbols[i + 1], *symbols[i + 2:]]
-        return symbols
+        self.parts: dict[str, tuple[str, str] | None] = {}
+        self.spines: dict[tuple[str, int], list[tuple[str, int]]] = {}
 
     def symbols(self, token: str) -> list[str]:
         if self.end and token.endswith(self.end) and len(token) > len(self.end):
@@ -50,35 +43,76 @@ class PrefixBpe:
             return [*body[:-1], body[-1] + self.end]
         return list(token)
 
+    def split(self, token: str) -> tuple[str, str] | None:
+        """The last merge that makes ``token`` (None for a single symbol or a token BPE never makes)."""
+        if token not in self.parts:
+            syms = self.symbols(token)
+            done = None
+            while len(syms) > 1:
+                pair = min(zip(syms, syms[1:], strict=False), key=lambda p: self.rank.get(p, 1 << 60))
+                if pair not in self.rank:
+                    break
+                done = pair if len(syms) == 2 else None
+                i = next(i for i, p in enumerate(zip(syms, syms[1:], strict=False)) if p == pair)
+                syms = [*syms[:i], pair[0] + pair[1], *syms[i + 2:]]
+            self.parts[token] = done
+        return self.parts[token]
+
+    def spine(self, token: str, side: int) -> list[tuple[str, int]]:
+        """The parts of a token at its left (0) or right (1) edge, each with the rank that ends it."""
+        got = self.spines.get((token, side))
+        if got is None:
+            got = [(token, 1 << 60)]
+            while pair := self.split(got[-1][0]):
+                got.append((pair[side], self.rank[pair]))
+            self.spines[token, side] = got
+        return got
+
     def follows(self, s: str, t: str) -> bool:
-        """Whether BPE leaves s and t apart (s empty: whether it makes t one token)."""
+        """Whether BPE leaves s and t apart (s empty: whether it makes t one token).
+
+        It joins them if some part at the right edge of s and some part at the left edge of t have a
+        merge that ranks before whatever ends either part; of equal ranks the leftmost goes first."""
+        if len(self.symbols(t)) > 1 and self.split(t) is None:
+            return False
+        if not s:
+            return True
         known = self.ok.get((s, t))
         if known is None:
-            want = [s, t] if s else [t]
-            known = self.ok[s, t] = self.merge([x for w in want for x in self.symbols(w)]) == want
+            rank = self.rank.get
+            known = not any((r := rank((x, y))) is not None and r < ends_x and r <= ends_y
+                            for x, ends_x in self.spine(s, 1) for y, ends_y in self.spine(t, 0))
             if len(self.ok) > MAX_CACHED:
                 self.ok.clear()
+            self.ok[s, t] = known
         return known
 
+    def _before(self, piece: str, j: int, last: list[str], mark: str) -> int:
+        """Where the last token of the first j symbols begins (``mark``: the end mark, if the prefix ends there)."""
+        for k in range(max(0, j - self.longest), j):
+            t = piece[k:j] + mark
+            if t in self.vocab and self.follows(last[k], t):
+                return k
+        raise ValueError(f"no token ends at symbol {j}")
+
+    def open_table(self, piece: str, n: int) -> tuple[list[str], list[int]]:
+        """last[j], count[j] for j = 0 .. n: last token and token count of the first j symbols, not yet ended."""
+        last, count = [""], [0]
+        for j in range(1, n + 1):
+            k = self._before(piece, j, last, "")
+            last.append(piece[k:j])
+            count.append(count[k] + 1)
+        return last, count
+
+    def total(self, piece: str) -> int:
+        """Tokens of the whole piece: the table of its proper prefixes, closed by the ending token."""
+        last, count = self.open_table(piece, len(piece) - 1)
+        return count[self._before(piece, len(piece), last, self.end)] + 1
+
     def prefix_counts(self, piece: str) -> list[int]:
         """count[j - 1]: tokens of the first j symbols of ``piece`` taken as a whole pre-token."""
-        vocab, last, count, out = self.vocab, [""], [0], []
-        for j in range(1, len(piece) + 1):
-            ended = open_ = None
-            for k in range(max(0, j - self.longest), j):
-                t = piece[k:j]
-                if open_ is None and t in vocab and self.follows(last[k], t):
-                    open_ = k
-                if ended is None and t + self.end in vocab and self.follows(last[k], t + self.end):
-                    ended = k
-                if ended is not None and open_ is not None:
-                    break
-            if ended is None or open_ is None:
-                raise ValueError(f"no token ends at symbol {j}")
-            last.append(piece[open_:j])
-            count.append(count[open_] + 1)
-            out.append(count[ended] + 1)
-        return out
+        last, count = self.open_table(piece, len(piece) - 1)
+        return [count[self._before(piece, j, last, self.end)] + 1 for j in range(1, len(piece) + 1)]
 
 
 class PrefixCounter:
@@ -96,7 +130,7 @@ class PrefixCounter:
         self.special = [t["content"] for t in spec.get("added_tokens", [])]
         self.bpe = PrefixBpe(model["vocab"], model["merges"], model.get("end_of_word_suffix") or "")
         self.tables: dict[str, tuple[int, ...]] = {"": ()}
-        self.pieces: dict[str, list[int]] = {}
+        self.pieces: dict[str, int] = {}
         self.totals: dict[str, int] = {"": 0}
 
     def _library(self, text: str) -> int:
@@ -106,19 +140,19 @@ class PrefixCounter:
         norm = self.tk.normalizer.normalize_str(chunk) if self.tk.normalizer else chunk
         return [p for p, _ in self.tk.pre_tokenizer.pre_tokenize_str(norm)]
 
-    def _piece(self, piece: str) -> list[int]:
+    def _piece(self, piece: str) -> int:
         got = self.pieces.get(piece)
         if got is None:
-            got = self.bpe.prefix_counts(piece)
+            got = self.bpe.total(piece)
             if len(piece) <= MAX_MEMO:
                 self.pieces[piece] = got
         return got
 
     def _total(self, chunk: str) -> int:
-        """Tokens of a whole chunk: the last table entries of its pre-tokens."""
+        """Tokens of a whole chunk: the closed tables of its pre-tokens."""
         if any(s in chunk for s in self.special):
             return self._library(chunk)
-        return sum(self._piece(p)[-1] for p in self._pieces(chunk))
+        return sum(map(self._piece, self._pieces(chunk)))
 
     def table(self, chunk: str) -> tuple[int, ...]:
         """Token count after each character of a chunk.  One pre-token that keeps its characters
@@ -126,7 +160,7 @@ class PrefixCounter:
         got = self.tables.get(chunk)
         if got is None:
             if chunk.isascii() and chunk.isalpha():
-                got = tuple(self._piece(self._pieces(chunk)[0]))
+                got = tuple(self.bpe.prefix_counts(self._pieces(chunk)[0]))
             else:
                 got = tuple(self._total(chunk[:j]) for j in range(1, len(chunk) + 1))
             if len(chunk) <= MAX_MEMO:
