@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import json
+import re
 from collections.abc import Iterator
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -19,6 +21,13 @@ TOKENIZER = "word_bpe_49k.json"
 LIMIT = 2048
 #: Longer pre-tokens are counted by the library (the table would hold one entry per character anyway).
 MAX_MEMO = 4096
+#: Pre-tokens up to this length fill only the entries asked for; longer ones fill the table left to right.
+LAZY = 200
+#: Characters of text cut into chunks at once.
+BATCH_CHARS = 500_000
+#: Chunks pre-tokenized in one call of the library.
+LEARN_BATCH = 2048
+WHITE = re.compile(r"\s")
 
 
 class PrefixBpe:
@@ -26,13 +35,16 @@ class PrefixBpe:
 
     A BPE encoding of a prefix is its last token plus the encoding of what comes before, and a
     token t may follow the last token s exactly if BPE encodes s + t as [s, t].  So one table,
-    last[j] and count[j] for the first j symbols (not yet ended), is filled left to right; the
-    count of the prefix as a word of its own closes it with the token that carries the end mark."""
+    last and count of each prefix (not yet ended), holds every answer; the count of the prefix
+    as a word of its own closes it with the token that carries the end mark."""
 
     def __init__(self, vocab: dict[str, int], merges: list, end: str):
         self.vocab, self.end = vocab, end
         self.rank = {tuple(m.split(" ")) if isinstance(m, str) else tuple(m): i for i, m in enumerate(merges)}
         self.longest = max((len(v) for v in vocab), default=1)
+        self.open_tokens = {v: v for v in vocab}
+        self.end_tokens = {v[:len(v) - len(end)]: v for v in vocab if v.endswith(end) and len(v) > len(end)}
+        self.open: dict[str, tuple[str, int]] = {"": ("", 0)}
         self.ok: dict[tuple[str, str], bool] = {}
         self.parts: dict[str, tuple[str, str] | None] = {}
         self.spines: dict[tuple[str, int], list[tuple[str, int]]] = {}
@@ -73,15 +85,14 @@ class PrefixBpe:
 
         It joins them if some part at the right edge of s and some part at the left edge of t have a
         merge that ranks before whatever ends either part; of equal ranks the leftmost goes first."""
-        if len(self.symbols(t)) > 1 and self.split(t) is None:
-            return False
-        if not s:
-            return True
         known = self.ok.get((s, t))
         if known is None:
             rank = self.rank.get
-            known = not any((r := rank((x, y))) is not None and r < ends_x and r <= ends_y
-                            for x, ends_x in self.spine(s, 1) for y, ends_y in self.spine(t, 0))
+            if len(self.symbols(t)) > 1 and self.split(t) is None:
+                known = False
+            else:
+                known = not s or not any((r := rank((x, y))) is not None and r < ends_x and r <= ends_y
+                                         for x, ends_x in self.spine(s, 1) for y, ends_y in self.spine(t, 0))
             if len(self.ok) > MAX_CACHED:
                 self.ok.clear()
             self.ok[s, t] = known
@@ -104,8 +115,30 @@ class PrefixBpe:
             count.append(count[k] + 1)
         return last, count
 
+    def entry(self, prefix: str) -> tuple[str, int]:
+        """Last token and token count of a prefix not yet ended; the entry depends on the prefix alone,
+        so all pieces that begin with it share it."""
+        got = self.open.get(prefix)
+        if got is None:
+            got = self.open[prefix] = self.closed(prefix, self.open_tokens)
+        return got
+
+    def closed(self, prefix: str, tokens: dict[str, str]) -> tuple[str, int]:
+        """Last token (one of ``tokens``) and token count of a prefix, from the entries of the prefixes before it."""
+        n, known = len(prefix), self.ok.get
+        for k in range(max(0, n - self.longest), n):
+            t = tokens.get(prefix[k:])
+            if t is not None:
+                last, count = self.entry(prefix[:k])
+                fits = known((last, t))
+                if fits or fits is None and self.follows(last, t):
+                    return t, count + 1
+        raise ValueError("no token ends here")
+
     def total(self, piece: str) -> int:
         """Tokens of the whole piece: the table of its proper prefixes, closed by the ending token."""
+        if len(piece) <= LAZY:
+            return self.closed(piece, self.end_tokens)[1]
         last, count = self.open_table(piece, len(piece) - 1)
         return count[self._before(piece, len(piece), last, self.end)] + 1
 
@@ -154,6 +187,31 @@ class PrefixCounter:
             return self._library(chunk)
         return sum(map(self._piece, self._pieces(chunk)))
 
+    def _learn(self, new: list[str]) -> None:
+        """Totals of chunks not met before.  Pre-tokens never cross a space, so a batch of chunks is
+        joined by spaces and pre-tokenized in one call; each pre-token goes to the chunk it starts in."""
+        totals, plain = self.totals, []
+        for c in new:
+            if WHITE.search(c) or len(c) > MAX_MEMO or any(s in c for s in self.special):
+                totals[c] = self._total(c)
+            else:
+                plain.append(c)
+        for at in range(0, len(plain), LEARN_BATCH):
+            some = plain[at:at + LEARN_BATCH]
+            norm = " ".join(some)
+            if self.tk.normalizer:
+                norm = self.tk.normalizer.normalize_str(norm)
+            ends = [e + i for i, e in enumerate(accumulate(map(len, norm.split(" "))))]
+            if len(ends) != len(some):
+                totals.update((c, self._total(c)) for c in some)
+                continue
+            counts, i = [0] * len(some), 0
+            for piece, (start, _) in self.tk.pre_tokenizer.pre_tokenize_str(norm):
+                while start >= ends[i]:
+                    i += 1
+                counts[i] += self._piece(piece)
+            totals.update(zip(some, counts, strict=True))
+
     def table(self, chunk: str) -> tuple[int, ...]:
         """Token count after each character of a chunk.  One pre-token that keeps its characters
         (plain letters) is read off its table; other chunks count each prefix by its own pre-tokens."""
@@ -167,18 +225,19 @@ class PrefixCounter:
                 self.tables[chunk] = got
         return got
 
-    def chunk_counts(self, text: str) -> list[int]:
-        """Tokens of each chunk of ``text`` cut at single spaces and newlines."""
-        chunks = text.replace("\n", " ").split(" ")
+    def chunk_counts(self, texts: list[str]) -> Iterator[tuple[list[str], list[int]]]:
+        """Chunks of each text, cut at single spaces and newlines, and their tokens."""
         totals = self.totals
         if len(totals) > MAX_CACHED:
-            totals.clear()
             self.pieces.clear()
-            self.tables.clear()
-            self.tables[""] = ()
-        for c in set(chunks).difference(totals):
-            totals[c] = self._total(c)
-        return list(map(totals.__getitem__, chunks))
+            for held, empty in ((totals, 0), (self.tables, ()), (self.bpe.open, ("", 0))):
+                held.clear()
+                held[""] = empty
+        cut = [t.replace("\n", " ").split(" ") for t in texts]
+        if new := set().union(*cut).difference(totals):
+            self._learn(list(new))
+        for chunks in cut:
+            yield chunks, list(map(totals.__getitem__, chunks))
 
     def prefix_counts(self, text: str) -> np.ndarray:
         """n[j]: tokens of text[:j], for j = 0 .. len(text)."""
@@ -205,14 +264,25 @@ def prefix_tables(docs: DataFrame, tokenizer: str = TOKENIZER, id_col: str = "do
     rows = pick(docs, doc_id=id_col, text=text_col)
     kind = rows.schema["doc_id"].dataType.simpleString()
 
+    def counted(pc: PrefixCounter, col: pa.Array) -> Iterator[tuple[str, list[str], list[int]]]:
+        at = 0
+        texts = [t or "" for t in col.to_pylist()]
+        while at < len(texts):
+            end, size = at, 0
+            while end < len(texts) and (end == at or size + len(texts[end]) <= BATCH_CHARS):
+                size += len(texts[end])
+                end += 1
+            for text, found in zip(texts[at:end], pc.chunk_counts(texts[at:end]), strict=True):
+                yield text, *found
+            at = end
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pc = shared(("counts", tokenizer), lambda: PrefixCounter(tokenizer))
         for b in batches:
             n_bytes, n_tokens, ends, counts, fit = [], [], [], [], []
-            for t in b.column(1):
-                text = t.as_py() or ""
-                n = np.cumsum(pc.chunk_counts(text), dtype=np.int64)
-                size = np.fromiter(map(len, text.replace("\n", " ").split(" ")), np.int64, len(n))
+            for text, chunks, tokens in counted(pc, b.column(1)):
+                n = np.cumsum(tokens, dtype=np.int64)
+                size = np.fromiter(map(len, chunks), np.int64, len(n))
                 end = np.cumsum(size + 1) - 1
                 n_bytes.append(len(text.encode()))
                 n_tokens.append(int(n[-1]))
