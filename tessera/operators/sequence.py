@@ -30,7 +30,7 @@ def transitions(df: DataFrame, keys, order_cols: Sequence[str], cols: Sequence[s
     ks = [keys] if isinstance(keys, str) else list(keys)
     idx = cut_lineage(keyed_index(df, ks, order_cols))  # read by both sides of the lead join
     nxt = shifted(idx, ks, cols, -1, prefix="next_")
-    nxt = nxt.where(F.col(f"next_{cols[0]}").isNotNull())
+    nxt = nxt.where(F.col("rn") < F.col("n_key"))  # a null in the next row's data is still a next row
     return nxt.withColumn("done", F.col("rn") + F.lit(1) == F.col("n_key"))
 
 
@@ -69,132 +69,68 @@ def bellman_backup(trans: DataFrame, rew: DataFrame, values: DataFrame, gamma: f
     return ev.join(rew, "s").select("s", "a", (F.col("r") + F.lit(gamma) * F.col("ev")).alias("q"))
 
 
-# Above this many transition rows the sweeps run as distributed joins;
-# below it the (size-checked) model tables are iterated on the driver.
-LOCAL_MODEL_ROWS = 200_000
-
-
-def _model_is_small(trans: DataFrame, limit: int) -> bool:
-    return trans.limit(limit + 1).count() <= limit
-
-
-def _local_arrays(trans: DataFrame, rew: DataFrame):
-    import numpy as np
-    rw = {r["s"]: float(r["r"]) for r in rew.collect()}
-    states = sorted(rw)
-    sidx = {st: i for i, st in enumerate(states)}
-    rows = trans.collect()
-    actions = sorted({r["a"] for r in rows})
-    aidx = {a: i for i, a in enumerate(actions)}
-    p = np.zeros((len(states), len(actions), len(states)))
-    has = np.zeros((len(states), len(actions)), dtype=bool)
-    for r in rows:
-        if r["sp"] in sidx:
-            p[sidx[r["s"]], aidx[r["a"]], sidx[r["sp"]]] += float(r["p"])
-        has[sidx[r["s"]], aidx[r["a"]]] = True
-    return states, actions, np.array([rw[st] for st in states]), p, has
-
-
-def _local_evaluate(r, p, pol, gamma, tol, max_sweeps):
-    import numpy as np
-    v = np.zeros(len(r))
-    sweeps = 0
-    for sweeps in range(1, max_sweeps + 1):
-        new = r + gamma * np.einsum("sj,j->s", p[np.arange(len(r)), pol], v)
-        change = float(np.max(np.abs(new - v))) if len(v) else 0.0
-        v = new
-        if change < tol:
-            break
-    return v, sweeps
-
-
 def evaluate_policy(trans: DataFrame, rew: DataFrame, policy: DataFrame, gamma: float, tol: float = 1e-10,
-                    max_sweeps: int = 10_000, checkpoint_every: int = 10,
-                    local_max_rows: int = LOCAL_MODEL_ROWS) -> tuple[DataFrame, int]:
-    """Synchronous sweeps V <- Q(s, pi(s)) until max |change| < tol.
-    Small models (checked row count) are swept on the driver; otherwise each
-    sweep is one backup restricted to the policy's actions plus one
-    aggregate for the change, with lineage cut every ``checkpoint_every``."""
-    spark = trans.sparkSession
-    if _model_is_small(trans, local_max_rows):
-        import numpy as np
-        states, actions, r, p, _ = _local_arrays(trans, rew)
-        pol_map = {row["s"]: row["a"] for row in policy.collect()}
-        pol = np.array([actions.index(pol_map[st]) if pol_map.get(st) in actions else 0 for st in states])
-        v, sweeps = _local_evaluate(r, p, pol, gamma, tol, max_sweeps)
-        return spark.createDataFrame([(st, float(x)) for st, x in zip(states, v)],
-                                     f"s {rew.schema['s'].dataType.simpleString()}, v double"), sweeps
-    tp = trans.join(policy.select("s", "a"), ["s", "a"]).persist(StorageLevel.MEMORY_AND_DISK)
-    values = rew.select("s", F.lit(0.0).alias("v"))
-    sweeps = 0
-    for sweeps in range(1, max_sweeps + 1):
-        ev = (tp.join(values.select(F.col("s").alias("sp"), "v"), "sp", "left")
-              .groupBy("s").agg(F.sum(F.col("p") * F.coalesce("v", F.lit(0.0))).alias("ev")))
-        # states without outgoing transitions (terminal) keep V = r
-        new = rew.join(ev, "s", "left").select("s", (F.col("r") + F.lit(gamma) * F.coalesce("ev", F.lit(0.0)))
-                                               .alias("v"))
-        new = cut_lineage(new) if sweeps % checkpoint_every == 0 else new.persist(StorageLevel.MEMORY_AND_DISK)
+                    max_sweeps: int = 10_000, sweeps_per_job: int = 5,
+                    start: DataFrame | None = None) -> tuple[DataFrame, int]:
+    """Synchronous sweeps V <- r(s) + gamma * sum_sp p V(sp) under the policy, from ``start`` (default 0).
+
+    ``sweeps_per_job`` sweeps are one plan, written as a table that cuts the lineage; it ends when such a
+    round changes no value by ``tol`` and raises if ``max_sweeps`` pass before.  A state without
+    transitions under its action (terminal, or an action the model lacks) has V = r.  Returns the
+    values and the number of sweeps."""
+    tp = trans.join(policy.select("s", "a"), ["s", "a"]).select("s", "sp", "p").persist(StorageLevel.MEMORY_AND_DISK)
+    values = start.select("s", "v") if start is not None else rew.select("s", F.lit(0.0).alias("v"))
+    sweeps, change = 0, None
+    while sweeps < max_sweeps:
+        new = values
+        for _ in range(min(sweeps_per_job, max_sweeps - sweeps)):
+            ev = (tp.join(new.select(F.col("s").alias("sp"), "v"), "sp", "left")
+                  .groupBy("s").agg(F.sum(F.col("p") * F.coalesce("v", F.lit(0.0))).alias("ev")))
+            new = rew.join(ev, "s", "left").select(
+                "s", (F.col("r") + F.lit(gamma) * F.coalesce("ev", F.lit(0.0))).alias("v"))
+            sweeps += 1
+        new = cut_lineage(new)
         change = (new.join(values.withColumnRenamed("v", "old"), "s", "left")
                   .agg(F.max(F.abs(F.col("v") - F.coalesce("old", F.lit(0.0))))).first()[0])
-        values.unpersist()
         values = new
         if change is None or change < tol:
-            break
+            tp.unpersist()
+            return values, sweeps
     tp.unpersist()
-    return values, sweeps
+    raise RuntimeError(f"values still change by {change} after {sweeps} sweeps")
 
 
-def greedy_policy(q: DataFrame, current: DataFrame | None = None) -> DataFrame:
-    """B4 improvement: best action per state; with a current policy the
-    action only changes when strictly better (its Q is kept on ties)."""
+def greedy_policy(q: DataFrame, current: DataFrame | None = None, margin: float = 0.0) -> DataFrame:
+    """B4 improvement: best action per state, the lowest of equals.  With a current policy the action
+    only changes where another is better by more than ``margin``, and states without any action keep theirs."""
     best = q.groupBy("s").agg(F.max_by("a", F.struct("q", (-F.col("a")).alias("na"))).alias("a"),
                               F.max("q").alias("qmax"))
     if current is None:
         return best.select("s", "a")
-    cur = current.join(q, ["s", "a"]).select("s", F.col("a").alias("a_cur"), F.col("q").alias("q_cur"))
-    j = best.join(cur, "s", "left")
-    return j.select("s", F.when(F.col("a_cur").isNotNull() & (F.col("qmax") <= F.col("q_cur")), F.col("a_cur"))
-                    .otherwise(F.col("a")).alias("a"))
-
-
-def policy_iteration(trans: DataFrame, rew: DataFrame, gamma: float, initial_action: int = 0, max_rounds: int = 50,
-                     local_max_rows: int = LOCAL_MODEL_ROWS):
-    """Evaluate, improve greedily (strict), repeat until the policy is stable."""
-    spark = trans.sparkSession
-    if _model_is_small(trans, local_max_rows):
-        import numpy as np
-        states, actions, r, p, has = _local_arrays(trans, rew)
-        pol = np.full(len(states), actions.index(initial_action) if initial_action in actions else 0)
-        v = np.zeros(len(states))
-        for _ in range(max_rounds):
-            v, _ = _local_evaluate(r, p, pol, gamma, 1e-10, 10_000)
-            q = r[:, None] + gamma * np.einsum("saj,j->sa", p, v)
-            q = np.where(has, q, -np.inf)
-            new = pol.copy()
-            for i in range(len(states)):
-                best = int(np.argmax(q[i]))  # first (lowest) action on ties
-                if q[i, best] > q[i, pol[i]]:
-                    new[i] = best
-            if np.array_equal(new, pol):
-                break
-            pol = new
-        atype = trans.schema["a"].dataType.simpleString()
-        stype = rew.schema["s"].dataType.simpleString()
-        policy = spark.createDataFrame([(st, actions[a]) for st, a in zip(states, pol)], f"s {stype}, a {atype}")
-        values = spark.createDataFrame([(st, float(x)) for st, x in zip(states, v)], f"s {stype}, v double")
-        return policy, values
-    policy = rew.select("s", F.lit(initial_action).cast(trans.schema["a"].dataType).alias("a"))
-    policy = cut_lineage(policy)
+    cur = current.select("s", F.col("a").alias("a_cur")).join(
+        q.select("s", F.col("a").alias("a_cur"), F.col("q").alias("q_cur")), ["s", "a_cur"], "left")
+    better = F.col("a").isNotNull() & (F.col("q_cur").isNull() | (F.col("qmax") > F.col("q_cur") + F.lit(margin)))
+    return cur.join(best, "s", "left").select("s", F.when(better, F.col("a")).otherwise(F.col("a_cur")).alias("a"))
+
+
+def policy_iteration(trans: DataFrame, rew: DataFrame, gamma: float, initial_action: int = 0,
+                     max_rounds: int = 10_000, tol: float = 1e-10, max_sweeps: int = 10_000):
+    """Evaluate, improve greedily, repeat until the policy is stable; raises if it is not after ``max_rounds``.
+
+    One policy row per state of ``rew``; a terminal state keeps ``initial_action``.  Each evaluation goes on from
+    the values before; an action changes only for a gain above ten times ``tol``, so that what an
+    evaluation leaves open cannot flip equal actions for ever."""
+    policy = cut_lineage(rew.select("s", F.lit(initial_action).cast(trans.schema["a"].dataType).alias("a")))
     values = None
     for _ in range(max_rounds):
-        values, _ = evaluate_policy(trans, rew, policy, gamma)
+        values, _ = evaluate_policy(trans, rew, policy, gamma, tol, max_sweeps, start=values)
         q = bellman_backup(trans, rew, values, gamma)
-        new = cut_lineage(greedy_policy(q, policy))
+        new = cut_lineage(greedy_policy(q, policy, 10 * tol))
         changed = new.join(policy.withColumnRenamed("a", "old"), "s").where(F.col("a") != F.col("old")).count()
         policy = new
         if changed == 0:
-            break
-    return policy, values
+            return policy, values
+    raise RuntimeError(f"the policy still changes after {max_rounds} rounds")
 
 
 # --- B6 -----------------------------------------------------------------------

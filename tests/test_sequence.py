@@ -1,4 +1,4 @@
-"""Bellman operators: distributed sweeps equal the driver path and a numpy solve."""
+"""Bellman operators against a numpy solve, with terminal states and unknown actions."""
 
 import numpy as np
 import pytest
@@ -28,23 +28,40 @@ def test_bellman_backup(spark):
     assert q[(1, 0)] == 50.0 and q[(4, 1)] == 20.0 and q[(2, 1)] == 0.0
 
 
-@pytest.mark.parametrize("local", [True, False])
-def test_policy_iteration_line_world(spark, local):
+def test_policy_iteration_line_world(spark):
     trans, rew = line_world(spark)
-    pol, val = sq.policy_iteration(trans, rew, GAMMA, local_max_rows=10_000 if local else 0)
+    pol, val = sq.policy_iteration(trans, rew, GAMMA)
     v = {r.s: r.v for r in val.collect()}
     assert v[0] == 100.0 and v[5] == 40.0
     assert v[1] == pytest.approx(50.0) and v[2] == pytest.approx(25.0)
     assert v[3] == pytest.approx(12.5) and v[4] == pytest.approx(20.0)
     p = {r.s: r.a for r in pol.collect()}
-    assert p[1] == 0 and p[2] == 0 and p[3] == 0 and p[4] == 1
+    assert p == {0: 0, 1: 0, 2: 0, 3: 0, 4: 1, 5: 0}  # terminal states keep the initial action
 
 
-@pytest.mark.parametrize("local", [True, False])
-def test_policy_evaluation_equals_linear_solve(spark, local):
+def test_policy_limits_and_unknown_actions(spark):
+    trans, rew = line_world(spark)
+    policy = spark.createDataFrame([(s, 7) for s in range(6)], "s int, a int")
+    v, _ = sq.evaluate_policy(trans, rew, policy, GAMMA)
+    assert {r.s: r.v for r in v.collect()} == dict(enumerate(REWARDS))
+    pol, _ = sq.policy_iteration(trans, rew, GAMMA, initial_action=7)
+    assert {r.s: r.a for r in pol.collect()} == {0: 7, 1: 0, 2: 0, 3: 0, 4: 1, 5: 7}
+    with pytest.raises(RuntimeError):
+        sq.evaluate_policy(trans, rew, policy.withColumn("a", policy.a * 0), GAMMA, max_sweeps=1)
+    with pytest.raises(RuntimeError):
+        sq.policy_iteration(trans, rew, GAMMA, max_rounds=1)
+
+
+def test_transitions_keep_a_null_next_row(spark):
+    df = spark.createDataFrame([("u", 1, "a"), ("u", 2, None), ("u", 3, "c")], "k string, at int, x string")
+    out = {(r.at, r.next_x, r.done) for r in sq.transitions(df, "k", ["at"], ["x"]).collect()}
+    assert out == {(1, None, False), (2, "c", True)}
+
+
+def test_policy_evaluation_equals_linear_solve(spark):
     trans, rew = line_world(spark)
     policy = spark.createDataFrame([(s, 1) for s in range(6)], "s int, a int")
-    v, _ = sq.evaluate_policy(trans, rew, policy, GAMMA, local_max_rows=10_000 if local else 0)
+    v, _ = sq.evaluate_policy(trans, rew, policy, GAMMA)
     got = {r.s: r.v for r in v.collect()}
     p = np.zeros((6, 6))
     for s in range(1, 5):
