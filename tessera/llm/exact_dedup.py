@@ -67,16 +67,17 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 def keep_first(docs: DataFrame, salts: int = SALTS) -> DataFrame:
     """The rows of a documents table that exact dedup keeps, with the columns of documents.
 
-    Rows equal in doc_id and normalised text are combined first (map side), the
-    smallest by (n_chars, lang, source, text) standing for them; the kept one of each
-    group is then found by its (doc_id, hash) key.  The text moves once for this."""
-    rows = pick(docs, *DOC_COLUMNS)
-    keyed = (squash_ws(rows.withColumn("t", present("text")), "t", "norm")
-             .withColumn("sha", F.unhex(F.sha2("norm", 256))).withColumn("fp", F.xxhash64("norm")))
-    other = [c for c in DOC_COLUMNS if c != "doc_id"]
-    one = (keyed.groupBy("doc_id", "sha", "fp")
-           .agg(F.min(F.struct("n_chars", "lang", "source", "text")).alias("row")))
-    best = winners(docs, salts=salts).select("sha", "fp", "keep_id")
-    hit = one.join(best, (one.sha == best.sha) & (one.fp == best.fp)
-                   & one.doc_id.eqNullSafe(best.keep_id), "left_semi")
-    return hit.select("doc_id", *[F.col(f"row.{c}").alias(c) for c in other]).select(*DOC_COLUMNS)
+    The same three stages as ``winners``, each grouping by digest and full normalised text, carry the
+    winning row along: the smallest doc_id (null last), of equal ones the smallest by (n_chars, lang,
+    source), then a null text, the normalised form, the least text.  A row's text travels only where it
+    differs from the normalised one, so each stage moves a text once and no join is needed."""
+    keyed = (squash_ws(pick(docs, *DOC_COLUMNS).withColumn("t", present("text")), "t", "norm")
+             .withColumn("sha", F.unhex(F.sha2("norm", 256))).withColumn("fp", F.xxhash64("norm"))
+             .withColumn("salt", F.pmod(F.spark_partition_id(), F.lit(salts)))
+             .withColumn("row", F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "n_chars", "lang", "source",
+                                         F.col("text").isNotNull().alias("has_text"),
+                                         F.when(F.col("text") != F.col("norm"), F.col("text")).alias("other"))))
+    merged = keyed.groupBy("sha", "salt", "norm", "fp").agg(F.min("row").alias("row"))
+    kept = merged.groupBy("sha", "norm", "fp").agg(F.min("row").alias("row"))
+    text = F.when(F.col("row.has_text"), F.coalesce(F.col("row.other"), F.col("norm")))
+    return kept.select(*[(text if c == "text" else F.col(f"row.{c}")).alias(c) for c in DOC_COLUMNS])
