@@ -45,8 +45,9 @@ def _c(x) -> Column:
 def sigmoid(z, clip: bool = True) -> Column:
     """1/(1+e^-z); with ``clip`` z is limited to [-500, 500] first."""
     z = _c(z)
-    if clip:
-        z = F.greatest(F.least(z, F.lit(SIGMOID_CLIP)), F.lit(-SIGMOID_CLIP))
+    if clip:  # greatest and least skip nulls and rank NaN highest: a missing input stays missing
+        z = F.when(z.isNull() | F.isnan(z), z).otherwise(
+            F.greatest(F.least(z, F.lit(SIGMOID_CLIP)), F.lit(-SIGMOID_CLIP)))
     return F.lit(1.0) / (F.lit(1.0) + F.exp(-z))
 
 
@@ -57,8 +58,9 @@ def log_1pexp(x, maximum: float = LOG1PEXP_MAX) -> Column:
 
 
 def relu(z) -> Column:
-    """F3."""
-    return F.greatest(_c(z), F.lit(0.0))
+    """F3; null stays null."""
+    z = _c(z)
+    return F.when(z.isNotNull(), F.greatest(z, F.lit(0.0)))
 
 
 def linear(z) -> Column:
@@ -71,9 +73,10 @@ ACTIVATIONS = {"sigmoid": sigmoid, "relu": relu, "linear": linear}
 def activation_sql(name: str, z: str) -> str:
     """F1 / F3 / linear as SQL text around the expression ``z``."""
     if name == "relu":
-        return f"greatest({z}, {num(0.0)})"
+        return f"nvl2({z}, greatest({z}, {num(0.0)}), NULL)"
     if name == "sigmoid":
-        return f"({num(1.0)} / ({num(1.0)} + exp(-greatest(least({z}, {num(SIGMOID_CLIP)}), {num(-SIGMOID_CLIP)}))))"
+        clipped = f"greatest(least({z}, {num(SIGMOID_CLIP)}), {num(-SIGMOID_CLIP)})"
+        return f"({num(1.0)} / ({num(1.0)} + exp(-if({z} IS NULL OR isnan({z}), {z}, {clipped}))))"
     if name == "linear":
         return z
     raise ValueError(name)

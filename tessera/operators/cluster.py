@@ -24,14 +24,15 @@ MAX_EXPR_TERMS = 256
 
 def nearest(cols: Sequence[str], centroids: np.ndarray) -> Column:
     """K1: index of the nearest centroid by squared L2 distance; the lowest
-    index wins ties.  Small k*d: a generated expression (struct comparison
+    index wins ties, a null coordinate gives null.  Small k*d: a generated expression (struct comparison
     orders by distance, then index).  Large k*d: a vectorised pandas UDF over
     Arrow batches with the k x d centroids in its closure."""
     centroids = np.asarray(centroids, dtype=float)
+    missing = " OR ".join(f"`{c}` IS NULL" for c in cols)
     if centroids.size > MAX_EXPR_TERMS:
-        return _nearest_udf(centroids)(F.array(*[F.col(c).cast("double") for c in cols]))
+        return F.when(~F.expr(missing), _nearest_udf(centroids)(F.array(*[F.col(c).cast("double") for c in cols])))
     cands = ", ".join(f"named_struct('d', {sq_dist_sql(cols, c)}, 'k', {k})" for k, c in enumerate(centroids))
-    return F.expr(f"array_min(array({cands})).k")
+    return F.expr(f"if({missing}, NULL, array_min(array({cands})).k)")
 
 
 def _nearest_udf(centroids: np.ndarray):
@@ -57,7 +58,7 @@ def assign(df: DataFrame, cols: Sequence[str], centroids, out: str = "cluster")
 
 def centroid_means(df: DataFrame, cols: Sequence[str], cluster: str = "cluster") -> dict[int, np.ndarray]:
     """A2: per-cluster means (k rows to the driver)."""
-    rows = df.groupBy(cluster).agg(*[F.avg(c).alias(c) for c in cols]).collect()
+    rows = df.where(F.col(cluster).isNotNull()).groupBy(cluster).agg(*[F.avg(c).alias(c) for c in cols]).collect()
     return {int(r[cluster]): np.array([r[c] for c in cols], dtype=float) for r in rows}
 
 

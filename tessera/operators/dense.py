@@ -14,17 +14,23 @@ Adam update to a parameter vector whose size is the model's, not the data's.
 """
 
 import math
+import sys
 from collections.abc import Sequence
+from functools import reduce
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.core import ACTIVATIONS, activation_sql, dot_sql
 from ..session import working_set
 
+cloudpickle.register_pickle_by_value(sys.modules[__name__])  # executors need no copy of the package
+
 MAX_EXPR_TERMS = 256
+LAYER_ACTIVATIONS = ("relu", "sigmoid", "linear", "softmax")
 ADAM_B1, ADAM_B2, ADAM_EPS = 0.9, 0.999, 1e-7
 
 
@@ -45,11 +51,31 @@ def _np_act(name: str, z: np.ndarray) -> np.ndarray:
         return np.maximum(z, 0.0)
     if name == "sigmoid":
         return 1.0 / (1.0 + np.exp(-np.clip(z, -500, 500)))
-    return z
+    if name == "softmax":
+        e = np.exp(z - z.max(axis=1, keepdims=True))
+        return e / e.sum(axis=1, keepdims=True)
+    if name == "linear":
+        return z
+    raise ValueError(name)
+
+
+def _layer_exprs(activation: str, zs: Sequence[str]) -> list[str]:
+    """Outputs of a layer as SQL over the columns that hold its weighted sums."""
+    if activation != "softmax":
+        return [activation_sql(activation, z) for z in zs]
+    top = f"greatest({', '.join(zs)})" if len(zs) > 1 else zs[0]
+    total = " + ".join(f"exp({z} - {top})" for z in zs)
+    return [f"exp({z} - {top}) / ({total})" for z in zs]
 
 
 def forward(df: DataFrame, in_cols: Sequence[str], layers: Sequence[tuple], out_prefix: str = "out") -> DataFrame:
-    """R2: apply a stack of (W, b, activation) layers; outputs out0..out{m-1}."""
+    """R2: apply a stack of (W, b, activation) layers; outputs out0..out{m-1}.
+
+    Activations: relu, sigmoid, linear, softmax; others raise.  A null input makes every output null, a
+    NaN input follows the arithmetic; both hold whatever the size of the stack."""
+    for _, _, a in layers:
+        if a not in LAYER_ACTIVATIONS:
+            raise ValueError(f"unknown activation {a!r}")
     layers = [(np.asarray(w, dtype=float), np.asarray(b, dtype=float), a) for w, b, a in layers]
     terms = sum(w.size for w, _, _ in layers)
     m = layers[-1][0].shape[1]
@@ -59,8 +85,9 @@ def forward(df: DataFrame, in_cols: Sequence[str], layers: Sequence[tuple], out_
         for li, (w, b, a) in enumerate(layers):
             last = li == len(layers) - 1
             names = [f"{out_prefix}{j}" if last else f"_{out_prefix}_h{li}_{j}" for j in range(w.shape[1])]
-            out = out.withColumns({n: F.expr(activation_sql(a, dot_sql(cur, w[:, j], b[j])))
-                                   for j, n in enumerate(names)})
+            zs = [f"_{out_prefix}_h{li}_z{j}" for j in range(w.shape[1])]
+            out = out.withColumns({z: F.expr(dot_sql(cur, w[:, j], b[j])) for j, z in enumerate(zs)})
+            out = out.withColumns({n: F.expr(e) for n, e in zip(names, _layer_exprs(a, zs), strict=True)})
             cur = names
         return out.drop(*[c for c in out.columns if c.startswith(f"_{out_prefix}_h")])
 
@@ -72,7 +99,9 @@ def forward(df: DataFrame, in_cols: Sequence[str], layers: Sequence[tuple], out_
         return pd.Series(list(a))
 
     tmp = df.withColumn("_fwd", forward_batch(F.array(*[F.col(c).cast("double") for c in in_cols])))
-    return tmp.withColumns({f"{out_prefix}{j}": F.col("_fwd")[j] for j in range(m)}).drop("_fwd")
+    whole = reduce(lambda p, q: p & q, [F.col(c).isNotNull() for c in in_cols])
+    return tmp.withColumns({f"{out_prefix}{j}": F.when(whole, F.coalesce(F.col("_fwd")[j], F.lit(float("nan"))))
+                            for j in range(m)}).drop("_fwd")
 
 
 # --- R5: data-parallel full-batch training ------------------------------------

@@ -287,8 +287,9 @@ def most_rated(ratings: DataFrame, item: str, rating: str, k: int = 10) -> DataF
 def user_profile(ratings: DataFrame, item_genres: DataFrame, user: str, item: str, genre: str, rating: str,
                  levels: Sequence[str]) -> DataFrame:
     """Per user the rating count, mean rating and mean rating per genre
-    (pivot over a given, bounded list of genre levels; 0 when none)."""
-    j = ratings.join(item_genres.select(item, genre), item)
+    (pivot over a given, bounded list of genre levels; 0 when none).  Users whose
+    items carry no genre keep their row."""
+    j = ratings.join(item_genres.select(item, genre), item, "left")
     per = j.groupBy(user).pivot(genre, list(levels)).agg(F.avg(rating))
     per = per.fillna(0.0, subset=list(levels))
     tot = ratings.groupBy(user).agg(F.count(F.lit(1)).alias("rating_count"), F.avg(rating).alias("rating_ave"))

@@ -38,10 +38,9 @@ def read_numeric_csv(spark: SparkSession, path: str, names: Sequence[str], *, in
     """
     schema = numeric_schema(names, int_cols)
     if sep is None:
-        lines = spark.read.text(path).where(F.trim("value") != "")
-        if header:
-            first = lines.first()
-            lines = lines.where(F.col("value") != first.value)
+        # one column that no separator cuts; the reader skips the first line of each file as its header
+        lines = (spark.read.schema("value string").option("header", header).option("sep", "\u0001").option("quote", "")
+                 .csv(path).where(F.trim("value") != ""))
         parts = F.split(F.trim("value"), r"\s+")
         df = lines.select(*[parts.getItem(i).cast(f.dataType).alias(f.name) for i, f in enumerate(schema.fields)])
     else:

@@ -74,3 +74,12 @@ def test_init_is_deterministic_and_distinct(spark):
     a = cl.init_centroids(df, ["x", "y"], 5, "id", seed=3)
     b = cl.init_centroids(df.repartition(4), ["x", "y"], 5, "id", seed=3)
     assert np.array_equal(a, b) and len({tuple(r) for r in a}) == 5
+
+
+def test_nearest_of_a_missing_coordinate_is_null_in_both_forms(spark, monkeypatch):
+    from tessera.operators import cluster as cl
+    df = spark.createDataFrame([(1, 0.9, 1.0), (2, None, 1.0)], "id int, x double, y double")
+    for terms in (256, 0):
+        monkeypatch.setattr(cl, "MAX_EXPR_TERMS", terms)
+        got = {r.id: r.cluster for r in cl.assign(df, ["x", "y"], [[0.0, 0.0], [1.0, 1.0]]).collect()}
+        assert got == {1: 1, 2: None}

@@ -67,3 +67,24 @@ def test_full_batch_training_reduces_objective(spark):
     _, hist = dn.train_full_batch(df.repartition(4), ["a", "b"], "y", layers, "mse", lr=0.05, steps=30)
     assert hist[-1][1] < 0.5 * hist[0][1]
     assert F is not None
+
+
+def test_forward_has_one_meaning_at_every_size(spark, monkeypatch):
+    """Softmax, null and NaN inputs and unknown activations: generated expressions equal the batched form."""
+    from tessera.operators import dense as dn
+    rng = np.random.default_rng(3)
+    layers = [(rng.normal(size=(2, 4)), rng.normal(size=4), "relu"), (rng.normal(size=(4, 3)), rng.normal(size=3), "sigmoid"),
+              (rng.normal(size=(3, 3)), rng.normal(size=3), "softmax")]
+    df = spark.createDataFrame([(1, 0.5, -1.0), (2, None, 1.0), (3, float("nan"), 1.0), (4, 2.0, 3.0)], "id int, a double, b double")
+    small = {r.id: (r.out0, r.out1, r.out2) for r in dn.forward(df, ["a", "b"], layers).collect()}
+    monkeypatch.setattr(dn, "MAX_EXPR_TERMS", 0)
+    large = {r.id: (r.out0, r.out1, r.out2) for r in dn.forward(df, ["a", "b"], layers).collect()}
+    for i in (1, 4):
+        np.testing.assert_allclose(small[i], large[i], rtol=1e-12)
+        assert abs(sum(small[i]) - 1.0) < 1e-12
+    assert small[2] == large[2] == (None, None, None)
+    assert all(np.isnan(x) for x in (*small[3], *large[3]))
+    for terms in (0, 256):
+        monkeypatch.setattr(dn, "MAX_EXPR_TERMS", terms)
+        with pytest.raises(ValueError):
+            dn.forward(df, ["a", "b"], [(np.ones((2, 1)), np.zeros(1), "tanh")])

@@ -89,3 +89,11 @@ def test_hash_init_is_stable(spark):
     b = rc.init_factors(ids.repartition(5), "item_id", 3, "x").orderBy("item_id").collect()
     assert a == b and all(-0.5 <= r.f_0 < 0.5 for r in a)
     assert ids.select(F.countDistinct("item_id")).first()[0] == 50
+
+
+def test_user_profile_keeps_users_without_genres(spark):
+    from tessera.operators import recommend as rc
+    ratings = spark.createDataFrame([("u", 1, 4.0), ("v", 2, 2.0)], "user string, item int, rating double")
+    tags = spark.createDataFrame([(1, "a")], "item int, genre string")
+    out = {r.user: (r.rating_count, r.a) for r in rc.user_profile(ratings, tags, "user", "item", "genre", "rating", ["a"]).collect()}
+    assert out == {"u": (1, 4.0), "v": (1, 0.0)}

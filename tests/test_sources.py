@@ -79,3 +79,10 @@ def test_generators_are_deterministic(spark):
                for r in rows)
     rep = syn.replicate(spark.range(5), 3)
     assert rep.count() == 15 and rep.select("copy").distinct().count() == 3
+
+
+def test_header_of_white_space_files_drops_only_the_first_line(spark, tmp_path):
+    from tessera.sources.readers import read_numeric_csv
+    (tmp_path / "a.txt").write_text("1 2\n1 2\n3  4\n\n1 2\n")
+    out = read_numeric_csv(spark, str(tmp_path / "a.txt"), ["x", "y"], header=True, sep=None, with_id=False)
+    assert sorted((r.x, r.y) for r in out.collect()) == [(1.0, 2.0), (1.0, 2.0), (3.0, 4.0)]
