@@ -15,6 +15,9 @@ MAX_CACHED = 700_000
 #: Characters of text cut into chunks at once.
 BATCH_CHARS = 2_000_000
 LEARN_BATCH = 4096
+#: Chunks encoded as one string, and what stands before each that starts with a space.
+JOINED = 64
+BETWEEN = "\nX"
 
 
 def public_path(name: str) -> str:
@@ -58,12 +61,35 @@ class ByteBpeEncoder:
         self.dtype = np.dtype("<u2") if self.tk.get_vocab_size() <= 1 << 16 else np.dtype("<u4")
         self.known: dict[str, bytes | None] = {}
         self.heads: dict[str, bytes | None] = {}
+        self.between = np.frombuffer(self._ids([BETWEEN])[0], self.dtype)
 
-    def _ids(self, texts: list[str]) -> list[bytes]:
+    def _ids(self, texts: list[str], step: int = LEARN_BATCH) -> list[bytes]:
         out: list[bytes] = []
-        for at in range(0, len(texts), LEARN_BATCH):
+        for at in range(0, len(texts), step):
             out += [np.array(e.ids, self.dtype).tobytes()
-                    for e in self.tk.encode_batch_fast(texts[at:at + LEARN_BATCH], add_special_tokens=False)]
+                    for e in self.tk.encode_batch_fast(texts[at:at + step], add_special_tokens=False)]
+        return out
+
+    def _joined_ids(self, chunks: list[str]) -> list[bytes]:
+        """ids of chunks that all start with a space, or all with a newline, JOINED to a string: a new line
+        starts before each (BETWEEN, or the chunk's own), a cut the encoding respects, so the ids are split
+        at the newline's id.  A string whose lines come out otherwise is encoded chunk by chunk."""
+        if not chunks or len(self.between) != 2:
+            return self._ids(chunks)
+        own = chunks[0][0] == "\n"
+        skip = 0 if own else self.between.nbytes
+        parts = [chunks[at:at + JOINED] for at in range(0, len(chunks), JOINED)]
+        raws = self._ids(["".join(p) if own else BETWEEN + BETWEEN.join(p) for p in parts],
+                         LEARN_BATCH // JOINED)
+        out: list[bytes] = []
+        for part, raw in zip(parts, raws, strict=True):
+            ids = np.frombuffer(raw, self.dtype)
+            lines = np.flatnonzero(ids == self.between[0])
+            if len(lines) != len(part) or lines[0] or not (own or (ids[lines + 1] == self.between[1]).all()):
+                out += self._ids(part)
+                continue
+            at = [*(lines * self.dtype.itemsize).tolist(), len(raw)]
+            out += [raw[p + skip:q] for p, q in zip(at, at[1:])]
         return out
 
     def _learn(self, known: dict[str, bytes | None], chunks: set[str], lead: str) -> None:
@@ -71,15 +97,16 @@ class ByteBpeEncoder:
         None marks a chunk whose white space makes the cuts around it unsafe."""
         if len(known) > MAX_CACHED:
             known.clear()
-        new = list(chunks.difference(known))
-        safe = []
-        for c in new:
+        words, lines = [], []
+        for c in chunks.difference(known):
             body = c[1:] if c[:1] == "\n" else c
             if not body or body[0].isspace() or body[-1].isspace():
                 known[c] = None
             else:
-                safe.append(c)
-        known.update(zip(safe, self._ids([c if c[0] == "\n" else lead + c for c in safe]), strict=True))
+                (words if body is c else lines).append(c)
+        spaced = [lead + c for c in words]
+        known.update(zip(words, self._joined_ids(spaced) if lead else self._ids(spaced), strict=True))
+        known.update(zip(lines, self._joined_ids(lines), strict=True))
 
     def encode_all(self, texts: list[str]) -> list[bytes]:
         """ids of each text (those of an empty text are none); at most BATCH_CHARS of text are cut at once."""

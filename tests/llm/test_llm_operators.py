@@ -177,6 +177,8 @@ def test_byte_encoder_on_odd_white_space():
     from tessera.llm.tokenizing import ByteBpeEncoder
     enc = ByteBpeEncoder(token_files.TOKENIZER)
     texts = ["", "a", " a", "a ", "\n", "a\n\nb", "a \n b", "a  b", "a   b", "\n\n\na", "x\n", "é  b\t\tc <|endoftext|> d", "  ", "a\n b"]
+    parts = ["a", "b1", " ", "\n", "é", "X", "\nX", "\t", "<|endoftext|>", "'ll"]
+    texts += ["".join(parts[(k * k * 7 + j * (k + 3)) % len(parts)] for j in range(k % 40)) for k in range(400)]
     for t, raw in zip(texts, enc.encode_all(texts), strict=True):
         assert raw == np.array(enc.tk.encode(t, add_special_tokens=False).ids, enc.dtype).tobytes()
 
