@@ -103,7 +103,8 @@ def read_token_files(spark: SparkSession, folder: str) -> DataFrame:
     start = the shard's base plus the document's offset; the checksum is over the ids as
     little-endian unsigned 32-bit integers."""
     manifest = with_bases(spark.read.parquet(f"{folder}/manifest"))
-    shards = manifest.repartition(F.col("shard"))
+    # a count of one's own: adaptive execution would put the few manifest rows, so all files, into one task
+    shards = manifest.repartitionByRange(max(1, manifest.count()), "shard")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyarrow import fs
