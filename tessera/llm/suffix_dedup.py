@@ -7,7 +7,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage
@@ -69,6 +69,30 @@ def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return rows.withColumn("k1", F.xxhash64(name, "t")).withColumn("k2", F.xxhash64("t", name, F.lit(1)))
 
 
+def _ranks(keyed: DataFrame, length: int, window: int) -> DataFrame:
+    """f of every sampled suffix, as in ``_marks``, and nothing else."""
+    half = length - window + 1
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for t in b.column(0):
+                raw = t.as_py().encode()
+                a = sample_suffixes(raw, length, window)[0].tolist()
+                for at in range(0, len(a), ROWS_OUT):
+                    f = [xxhash.xxh3_64_intdigest(raw[x:x + half]) for x in a[at:at + ROWS_OUT]]
+                    yield pa.RecordBatch.from_arrays([_signed(np.array(f, np.uint64))], names=["f"])
+
+    return keyed.select("t").mapInArrow(run, "f long")
+
+
+def _several_places(*place: str) -> Column:
+    """Whether the rows of a group name more than one place: then some part of it has two values."""
+    out = F.lit(False)
+    for c in place:
+        out = out | (F.min(c) != F.max(c))
+    return out
+
+
 def _marks(keyed: DataFrame, length: int, window: int) -> DataFrame:
     """k1, k2, a, lo, hi, f, u1, u2 per sampled suffix: it serves the starts a - hi .. a - lo; f ranks its
     first length - window + 1 bytes, which lie in every string it serves; u1, u2 rank all of their bytes."""
@@ -132,28 +156,27 @@ def repeated_starts(docs: DataFrame, length: int = LENGTH, window: int = WINDOW,
     to the full length: suffixes that agree on all bytes of all strings they serve are settled
     together; in the classes with others left, one suffix per distinct content ranks every string
     it serves at full length and equal ranks meet again.  Ranks at full length are 128-bit hashes
-    of the bytes.  Groups are only ever reduced to a count, a first and a last place."""
+    of the bytes.  Groups are only ever reduced to a count, one place and the bounds of its parts."""
     keyed = _keyed(docs, id_col, text_col)
     marks = _marks(keyed, length, window)
-    twice = cut_lineage(marks.groupBy("f").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("f"))
+    twice = cut_lineage(_ranks(keyed, length, window).groupBy("f").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("f"))
     alive = cut_lineage(marks.join(twice, "f", "left_semi"))
-    place = F.struct("k1", "k2", "a")
     content = ["f", "lo", "hi", "u1", "u2"]
-    hulls = cut_lineage(alive.groupBy(*content).agg(F.min(place).alias("one"), F.max(place).alias("other"))
-                        .withColumn("settled", F.col("one") != F.col("other")))
+    # the three firsts of a group come from one row; any row will do, as the contents are equal
+    hulls = cut_lineage(alive.groupBy(*content).agg(*[F.first(c).alias(c) for c in ("k1", "k2", "a")],
+                                                    _several_places("k1", "k2", "a").alias("settled")))
     spans = alive.join(hulls.filter("settled").select(*content), content, "left_semi").select(
         "k1", "k2", (F.col("a") - F.col("hi")).alias("s"), (F.col("a") - F.col("lo")).alias("e"))
     left = cut_lineage(hulls.filter("NOT settled").select("f").distinct())
     asked = (hulls.join(left, "f", "left_semi")
-             .select("one.k1", "one.k2", F.struct((F.col("one.a") - F.col("hi")).alias("s"),
-                                                  (F.col("one.a") - F.col("lo")).alias("e")).alias("span"))
+             .select("k1", "k2", F.struct((F.col("a") - F.col("hi")).alias("s"),
+                                          (F.col("a") - F.col("lo")).alias("e")).alias("span"))
              .groupBy("k1", "k2").agg(F.collect_set("span").alias("spans")))
     asked = cut_lineage(asked)
     texts = keyed.join(asked, ["k1", "k2"]).select("t", "k1", "k2", "spans")
     found = cut_lineage(_positions(texts, length))
-    start = F.struct("k1", "k2", "p")
-    equal = cut_lineage(found.groupBy("x1", "x2").agg(F.min(start).alias("one"), F.max(start).alias("other"))
-                        .filter("one <> other").select("x1", "x2"))
+    equal = cut_lineage(found.groupBy("x1", "x2").agg(_several_places("k1", "k2", "p").alias("several"))
+                        .filter("several").select("x1", "x2"))
     single = found.join(equal, ["x1", "x2"], "left_semi").select("k1", "k2", F.col("p").alias("s"), F.col("p").alias("e"))
     return spans.unionByName(single).groupBy("k1", "k2").agg(F.collect_set(F.struct("s", "e")).alias("spans"))
 
