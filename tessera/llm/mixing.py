@@ -1,12 +1,14 @@
 """Mixing documents to target domain weights (DataFrame functions only).
 
-A classifier learned from the labelled table gives every document posteriors over
-domains; nonnegative document rates are then fitted by distributed projected-gradient
-least squares so that the expected tokens of each domain meet their targets."""
+A classifier learned from the labelled table gives every document posteriors over domains;
+it goes by surface flags and by words present, so a language without them is not held against a
+text.  Nonnegative document rates are then fitted by distributed projected-gradient least squares
+so that the expected tokens of each domain meet their targets."""
 
 from __future__ import annotations
 
 import math
+from functools import reduce
 
 import numpy as np
 from pyspark.sql import Column, DataFrame
@@ -17,8 +19,15 @@ from .common import DOC_COLUMNS, HAS_WORD, filter_above, pick, present
 
 #: The classifier is fitted on at most this many labelled documents (those with the smallest hash of doc_id).
 MAX_LABELLED = 4000
-#: Words whose presence the classifier looks at.
-VOCABULARY = 32
+#: Words whose presence counts as evidence, at most, and the least information (nats) of one.
+VOCABULARY = 1024
+MIN_GAIN = 9.0
+#: A domain's evidence counts as such when it leads every other domain's by this many nats.
+LEVELS = (2.0, 6.0)
+#: The evidence is calibrated on documents that did not choose its words, by as many parts.
+FOLDS = 4
+#: Added to counts of words, seen and expected.
+PRIOR = 0.5
 MAX_DOMAINS = 64
 MAX_STEPS = 24
 #: Largest miss of a domain, as a share of all tokens.
@@ -35,32 +44,67 @@ def label_domains(labels: DataFrame) -> DataFrame:
             .groupBy("doc_id").agg(F.min("domain").alias("domain")))
 
 
-def _featured(rows: DataFrame, vocabulary: list[str] | None = None) -> DataFrame:
-    """Add n_tokens (words), flat (lower-case letter runs between spaces) and boolean features
-    (surface flags; presence of each vocabulary word) to a frame with ``text``."""
+def _featured(rows: DataFrame) -> DataFrame:
+    """Add n_tokens (words), words (distinct lower-case letter runs) and boolean surface flags x0, x1, ...
+    that need no language to a frame with ``text``."""
     t = F.col("t")
     out = rows.withColumn("t", present("text"))
-    out = (out.withColumn("flat", F.concat(F.lit(" "), F.regexp_replace(F.lower(t), r"[^\p{L}]+", " "), F.lit(" ")))
+    out = (out.withColumn("flat", F.trim(F.regexp_replace(F.lower(t), r"[^\p{L}]+", " ")))
            .withColumn("n_tokens", F.regexp_count("t", F.lit(HAS_WORD + "+")).cast("long"))
-           .withColumn("marks", F.regexp_count("t", F.lit(r"[#*$%&|<>]"))))
-    flags = [F.col("n_tokens") < 50, 50 * F.col("marks") > F.length("t"), F.length("t") > 8 * F.col("n_tokens")]
-    words = [F.col("flat").contains(f" {w} ") for w in vocabulary or []]
-    return out.select("*", *[c.alias(f"x{i}") for i, c in enumerate([*flags, *words])])
+           .withColumn("marks", F.regexp_count("t", F.lit(r"[#*$%&|<>]")))
+           .withColumn("twice", F.regexp_count("t", F.lit(r"(?<!\S)(\S++)\s++\1(?!\S)")))
+           .withColumn("capitals", F.regexp_count("t", F.lit(r"\p{Lu}"))))
+    shouts = F.length("t") - F.length(F.replace(t, F.lit("!"), F.lit("")))
+    flags = [F.col("n_tokens") < 50, 50 * F.col("marks") > F.length("t"), F.length("t") > 8 * F.col("n_tokens"),
+             10 * F.col("twice") > F.col("n_tokens"), 3 * F.col("capitals") > F.length("flat"), 40 * shouts > F.length("t")]
+    return out.select("*", F.split("flat", " ").alias("words"), *[c.alias(f"x{i}") for i, c in enumerate(flags)])
 
 
-N_FLAGS = 3
+N_FLAGS = 6
+
+
+class Evidence:
+    """Words and, for every domain, the log ratio of each word's documents to those expected."""
+
+    def __init__(self, words: list[str], ratios: list[list[float]]):
+        self.words, self.ratios = words, ratios
+
+    def attach(self, featured: DataFrame, keep: list[str]) -> DataFrame:
+        """``keep`` and the features x0, x1, ... (flags, then every domain's lead over LEVELS) of featured rows.
+
+        Only the words present are summed, so a language or a length without any is no evidence."""
+        d = range(len(self.ratios))
+        flags = [f"x{i}" for i in range(N_FLAGS)]
+        if self.words:
+            known = F.split(F.lit(" ".join(self.words)), " ")
+            rows = featured.withColumn("met", F.array_intersect("words", known))
+            rows = rows.select(*keep, *flags, F.transform("met", lambda w: F.array_position(known, w).cast("int") - 1).alias("at"))
+
+            def total(ratio: list[float]) -> Column:
+                weight = F.split(F.lit(" ".join(map(repr, ratio))), " ").cast("array<double>")
+                return F.aggregate("at", F.lit(0.0), lambda a, i: a + F.get(weight, i))
+
+            rows = rows.select(*keep, *flags, *[total(r).alias(f"e{i}") for i, r in enumerate(self.ratios)])
+        else:
+            rows = featured.select(*keep, *flags, *[F.lit(0.0).alias(f"e{i}") for i in d])
+        leads = []
+        for i in d:
+            others = [F.col(f"e{j}") for j in d if j != i]
+            top = F.greatest(*others) if len(others) > 1 else others[0] if others else F.lit(0.0)
+            leads += [F.col(f"e{i}") - top > level for level in LEVELS]
+        return rows.select(*keep, *flags, *[c.alias(f"x{N_FLAGS + i}") for i, c in enumerate(leads)])
 
 
 class Posterior:
-    """A fitted Bernoulli naive Bayes model: domains, vocabulary and log-odds as plain numbers."""
+    """A fitted naive Bayes model over flags and evidence: domains and log-odds as plain numbers."""
 
-    def __init__(self, domains: list[str], vocabulary: list[str], base: list[float], weight: list[list[float]]):
-        self.domains, self.vocabulary, self.base, self.weight = domains, vocabulary, base, weight
+    def __init__(self, domains: list[str], evidence: Evidence, base: list[float], weight: list[list[float]]):
+        self.domains, self.evidence, self.base, self.weight = domains, evidence, base, weight
 
     def attach(self, rows: DataFrame) -> DataFrame:
         """Add n_tokens and p (array of posteriors in the order of ``domains``) to rows with ``text``."""
         keep = rows.columns
-        scored = _featured(rows, self.vocabulary)
+        scored = self.evidence.attach(_featured(rows), [*keep, "n_tokens"])
         scores = [F.lit(b) + sum((F.when(F.col(f"x{i}"), F.lit(w)).otherwise(F.lit(0.0))
                                   for i, w in enumerate(ws)), F.lit(0.0))
                   for b, ws in zip(self.base, self.weight, strict=True)]
@@ -73,16 +117,44 @@ class Posterior:
         return scored.select(*keep, "n_tokens", F.array(*[F.col(f"e{d}") / total for d in range(len(scores))]).alias("p"))
 
 
+def choose_words(rows: DataFrame, names: list[str], vocabulary: int = VOCABULARY) -> Evidence:
+    """The words that say most about the domain of documents of one language and size.
+
+    ``rows``: domain, stratum (language and size), words.  A word's documents in a domain are compared
+    with those expected if, within every stratum, its presence told nothing; so a word that only
+    marks a language or long texts has ratio 1.  Only the chosen words' counts reach the driver."""
+    size = range(len(names))
+    strata = rows.groupBy("stratum").agg(*[F.avg((F.col("domain") == d).cast("double")).alias(f"e{i}")
+                                           for i, d in enumerate(names)])
+    words = (rows.join(F.broadcast(strata), "stratum")
+             .select("domain", *[f"e{i}" for i in size], F.explode("words").alias("w")).filter("w <> ''")
+             .groupBy("w").agg(*[F.sum((F.col("domain") == d).cast("double")).alias(f"n{i}") for i, d in enumerate(names)],
+                               *[F.round(F.sum(f"e{i}"), 9).alias(f"e{i}") for i in size]))
+    gain = sum((F.when(F.col(f"n{i}") > 0, F.col(f"n{i}") * F.log(F.col(f"n{i}") / F.col(f"e{i}"))).otherwise(F.lit(0.0))
+                for i in size), F.lit(0.0))
+    best = (words.withColumn("gain", F.round(gain, 6)).filter(F.col("gain") >= MIN_GAIN)
+            .orderBy(F.desc("gain"), "w").limit(vocabulary).collect())
+    return Evidence([r.w for r in best], [[math.log((r[f"n{i}"] + PRIOR) / (r[f"e{i}"] + PRIOR)) for r in best] for i in size])
+
+
 def fit_posterior(docs: DataFrame, domains: DataFrame, max_labelled: int = MAX_LABELLED,
                   vocabulary: int = VOCABULARY) -> Posterior | None:
     """Learn the model from the labelled documents (None if there are none).
 
     The labelled sample is bounded by ``max_labelled`` rows of ``domains`` and so is safe to
-    broadcast.  The vocabulary is the words with the highest mutual information between
-    presence and domain; counts per word and domain come from one grouped aggregate, and
-    only the chosen words' counts reach the driver."""
+    broadcast.  How often the evidence leads in each domain is counted on parts of the sample that
+    did not choose the words (equal texts are in one part); the words used are those of the whole sample.
+    ``lang``, if ``docs`` has it, only groups the sample; it is not read when documents are scored."""
     chosen = domains.orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_labelled)
-    sample = cut_lineage(pick(docs, "doc_id", "text").join(F.broadcast(chosen), "doc_id").select("domain", "text"))
+    lang = [] if "lang" in docs.columns else [F.lit(None).cast("string").alias("lang")]
+    plain = pick(docs, "doc_id", "text", *([] if lang else ["lang"])).select("*", *lang)
+    size = F.floor(F.log2(F.greatest(F.col("n_tokens"), F.lit(1)))).cast("string")
+    flags = [f"x{i}" for i in range(N_FLAGS)]
+    sample = cut_lineage(
+        _featured(plain.join(F.broadcast(chosen), "doc_id"))
+        .select("domain", *flags, F.array_distinct("words").alias("words"),
+                F.pmod(F.xxhash64("t"), F.lit(FOLDS)).alias("fold"),
+                F.concat(size, F.lit(" "), present("lang")).alias("stratum")))
     sizes = {r.domain: r.n for r in sample.groupBy("domain").agg(F.count(F.lit(1)).alias("n")).limit(MAX_DOMAINS + 1)
              .collect()}
     if not sizes:
@@ -91,28 +163,18 @@ def fit_posterior(docs: DataFrame, domains: DataFrame, max_labelled: int = MAX_L
         raise ValueError(f"more than {MAX_DOMAINS} domains")
     names = sorted(sizes)
     n = sum(sizes.values())
-    words = (_featured(sample).select("domain", F.explode(F.array_distinct(F.split(F.trim("flat"), " "))).alias("w"))
-             .filter("w <> ''").groupBy("w").agg(*[F.sum((F.col("domain") == d).cast("double")).alias(f"n{i}")
-                                                   for i, d in enumerate(names)]))
-
-    def info(cell: Column, side: Column, size: float) -> Column:
-        return F.when(cell > 0, cell / n * F.log(cell * n / (side * size))).otherwise(F.lit(0.0))
-
-    seen = sum((F.col(f"n{i}") for i in range(len(names))), F.lit(0.0))
-    gain = sum((info(F.col(f"n{i}"), F.col("seen"), sizes[d])
-                + info(F.lit(float(sizes[d])) - F.col(f"n{i}"), F.lit(float(n)) - F.col("seen"), sizes[d])
-                for i, d in enumerate(names)), F.lit(0.0))
-    best = (words.withColumn("seen", seen).withColumn("gain", F.round(gain, 9))
-            .orderBy(F.desc("gain"), "w").limit(vocabulary).collect())
-    flags = _featured(sample).groupBy("domain").agg(*[F.sum(F.col(f"x{i}").cast("double")).alias(f"f{i}")
-                                                      for i in range(N_FLAGS)]).collect()
-    flag = {r.domain: [r[f"f{i}"] for i in range(N_FLAGS)] for r in flags}
+    parts = [choose_words(sample.filter(F.col("fold") != f), names, vocabulary)
+             .attach(sample.filter(F.col("fold") == f), ["domain"]) for f in range(FOLDS)]
+    width = N_FLAGS + len(names) * len(LEVELS)
+    counts = (reduce(DataFrame.unionByName, parts).groupBy("domain")
+              .agg(*[F.sum(F.col(f"x{i}").cast("double")).alias(f"f{i}") for i in range(width)]).collect())
+    count = {r.domain: [r[f"f{i}"] for i in range(width)] for r in counts}
     base, weight = [], []
-    for i, d in enumerate(names):
-        yes = [(c + 1) / (sizes[d] + 2) for c in [*flag[d], *(r[f"n{i}"] for r in best)]]
+    for d in names:
+        yes = [(c + 1) / (sizes[d] + 2) for c in count[d]]
         base.append(math.log(sizes[d] / n) + sum(math.log(1 - q) for q in yes))
         weight.append([math.log(q / (1 - q)) for q in yes])
-    return Posterior(names, [r.w for r in best], base, weight)
+    return Posterior(names, choose_words(sample, names, vocabulary), base, weight)
 
 
 def _rate(p: Column, pulls: list[list[float]]) -> Column:
@@ -162,7 +224,7 @@ def fit_rates(scored: DataFrame, domains: list[str], targets: dict[str, float],
 
 
 def document_rates(docs: DataFrame, labels: DataFrame, targets: dict[str, float] | None = None) -> DataFrame:
-    """``docs`` (distinct column names; doc_id, text) with n_tokens, p, rate and copies.
+    """``docs`` (distinct column names; doc_id, text, and lang if there) with n_tokens, p, rate and copies.
 
     copies = floor(rate), plus one with the fraction as probability (a hash of doc_id and text
     decides, so a rerun decides alike).  Without labelled documents every rate is 1.  A null
@@ -185,7 +247,7 @@ def document_rates(docs: DataFrame, labels: DataFrame, targets: dict[str, float]
 
 def mixing_rates(docs: DataFrame, labels: DataFrame, targets: dict[str, float] | None = None) -> DataFrame:
     """doc_id, n_tokens, domain (most likely), score (its posterior), rate and copies for every document."""
-    rated = document_rates(pick(docs, "doc_id", "text"), labels, targets)
+    rated = document_rates(pick(docs, "doc_id", "text", *[c for c in docs.columns if c == "lang"][:1]), labels, targets)
     return rated.select("doc_id", "n_tokens", "domain", F.array_max("p").alias("score"), "rate", "copies")
 
 

@@ -1,6 +1,7 @@
 """The corpus operators against brute force, on a fixture with nulls, empty and long texts, ties and repeats."""
 
 import hashlib
+import os
 import re
 import zlib
 
@@ -239,6 +240,23 @@ def test_mixing_meets_targets(spark):
     assert [r.rate for r in none.distinct().select("rate").distinct().collect()] == [1.0]
 
 
+def test_mixing_tells_clean_and_toxic_in_every_language(spark):
+    """Recall on labelled documents of sf0.1 whose texts the fit did not see, a quarter by hash."""
+    folder = "/root/testdata/sf0.1"
+    if not os.path.exists(folder):
+        pytest.skip("no test data")
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    one = docs.groupBy("text").agg(F.min("doc_id").alias("doc_id"), F.min_by("lang", "doc_id").alias("lang"))
+    domains = mixing.label_domains(spark.read.parquet(f"{folder}/labels.parquet"))
+    known = one.withColumn("held", F.pmod(F.xxhash64("text", F.lit("held out")), F.lit(4)) == 0).join(domains, "doc_id")
+    model = mixing.fit_posterior(docs, known.filter("NOT held").select("doc_id", "domain"))
+    got = model.attach(known.filter("held").select("doc_id", "text", "lang", "domain")).toPandas()
+    got["hit"] = [model.domains[int(np.argmax(p))] == d for p, d in zip(got.p, got.domain, strict=True)]
+    clean, toxic = got[got.domain == "q1t0"], got[got.domain == "q1t1"]
+    assert set(clean.lang) == {"en", "fr", "de", "es"} and (clean.groupby("lang").hit.mean() > 0.95).all()
+    assert toxic[toxic.lang == "en"].hit.mean() > 0.9 and toxic[toxic.lang != "en"].hit.mean() > 0.8
+
+
 def test_packing_fits_and_keeps_every_token(spark):
     sizes = [(i, int(x)) for i, x in enumerate(np.random.default_rng(2).integers(0, 3000, 400))] + [(7, 20_000), (8, None)] + [(5, 100)] * 50
     items = spark.createDataFrame(sizes, "doc_id long, n_tokens int")
