@@ -8,6 +8,7 @@ so that the expected tokens of each domain meet their targets."""
 from __future__ import annotations
 
 import math
+import warnings
 from functools import reduce
 
 import numpy as np
@@ -29,9 +30,12 @@ FOLDS = 4
 #: Added to counts of words, seen and expected.
 PRIOR = 0.5
 MAX_DOMAINS = 64
-MAX_STEPS = 24
-#: Largest miss of a domain, as a share of all tokens.
-TOLERANCE = 2e-3
+MAX_STEPS = 50
+#: Distinct posteriors the driver takes; the model has at most 2^N_FLAGS (1 + domains x LEVELS) = 8256.
+MAX_KINDS = 10_000
+#: Largest miss of a domain, as a share of its target; of a domain without target, as a share of all tokens.
+TOLERANCE = 1e-2
+UNWANTED = 2e-3
 #: Share of tokens per (quality, toxic) domain of the labels table.
 TARGETS = {"q1t0": 0.85, "q0t0": 0.12, "q1t1": 0.02, "q0t1": 0.01}
 
@@ -185,49 +189,56 @@ def _rate(p: Column, pulls: list[list[float]]) -> Column:
     return r
 
 
-def fit_rates(scored: DataFrame, domains: list[str], targets: dict[str, float],
-              max_steps: int = MAX_STEPS, tolerance: float = TOLERANCE) -> list[list[float]]:
-    """Steps (one pull per domain each) of projected-gradient least squares.
+def fit_rates(scored: DataFrame, domains: list[str], targets: dict[str, float], max_steps: int = MAX_STEPS,
+              tolerance: float = TOLERANCE) -> tuple[list[list[float]], dict[str, tuple[float, float]]]:
+    """Steps (one pull per domain each) of projected-gradient least squares, and the targets missed.
 
     Minimises the whitened squared miss of the domain equations sum_i tok_i p_id r_i = T_d over
-    r >= 0, where T_d is the domain's share of all tokens and the whitening G = sum_i tok_i p_i p_i'
-    is summed over all documents in one aggregate.  Preconditioned by 1/tok_i, a document's step
-    depends on its posteriors only, and the system's largest eigenvalue is 1, so the step length
-    is 1; it is exact until a rate meets the bound at 0.  Every step is one aggregate over
-    (n_tokens, p) of all documents; a document's rate is replayed from the few step vectors, so
-    nothing per document is stored between steps.  Stops when every domain is within
-    ``tolerance`` of all tokens from its target, or after ``max_steps``."""
-    size = range(len(domains))
-    p, tok = F.col("p"), F.col("n_tokens")
-
-    def mass(pulls: list[list[float]]) -> np.ndarray:
-        rated = scored.withColumn("r", _rate(p, pulls))
-        row = rated.agg(*[F.sum(tok * p[d] * F.col("r")).alias(f"m{d}") for d in size]).first()
-        return np.array([row[f"m{d}"] or 0.0 for d in size])
-
-    now = mass([])
+    r >= 0, where T_d is the domain's share of all tokens and the whitening is G = sum_i tok_i p_i p_i'.
+    Preconditioned by 1/tok_i, a document's step depends on its posteriors only, and the system's
+    largest eigenvalue is 1, so the step length is 1; it is exact until a rate meets the bound at 0.
+    From then on the step whitened over the documents with a rate above 0 is tried first, and kept if
+    it lessens the miss.  Documents of equal posteriors move alike, so one aggregate over all of them
+    sums the tokens of each distinct posterior (at most MAX_KINDS) and the steps run on these sums;
+    a document's rate is replayed from the step vectors.  Stops when every domain is within
+    ``tolerance`` of its target (one without target: within UNWANTED of all tokens), or after
+    ``max_steps``; domains still farther off are returned as {domain: (share reached, target)}."""
+    rows = scored.groupBy("p").agg(F.sum("n_tokens").alias("n")).limit(MAX_KINDS + 1).collect()
+    if len(rows) > MAX_KINDS:
+        raise ValueError(f"more than {MAX_KINDS} distinct posteriors")
+    rows.sort(key=lambda r: r.p)
+    p = np.array([r.p for r in rows]).reshape(-1, len(domains))
+    tok = np.array([r.n or 0 for r in rows], float)
+    now = tok @ p
     total = now.sum()
     share = np.array([max(0.0, targets.get(d, 0.0)) if now[i] > 0 else 0.0 for i, d in enumerate(domains)])
     if total <= 0 or share.sum() <= 0:
-        return []
+        return [], {}
     goal = total * share / share.sum()
-    gram = scored.agg(*[F.sum(tok * p[i] * p[j]).alias(f"g{i}_{j}") for i in size for j in size if j <= i]).first()
-    whiten = np.linalg.pinv(np.array([[gram[f"g{max(i, j)}_{min(i, j)}"] for j in size] for i in size]), hermitian=True)
+    near = np.where(goal > 0, tolerance * goal, UNWANTED * total)
+    rate = np.ones(len(p))
+    whiten = np.linalg.pinv(p.T @ (p * tok[:, None]), hermitian=True)
     pulls: list[list[float]] = []
-    for _ in range(max_steps):
+    while (np.abs(now - goal) > near).any() and len(pulls) < max_steps:
         off = now - goal
-        if np.abs(off).max() <= tolerance * total:
-            break
-        pulls.append((whiten @ off).tolist())
-        now = mass(pulls)
-    return pulls
-
-
-def document_rates(docs: DataFrame, labels: DataFrame, targets: dict[str, float] | None = None) -> DataFrame:
+        moved = p[rate > 0]
+        quick = np.linalg.pinv(moved.T @ (moved * tok[rate > 0][:, None]), hermitian=True) @ off
+        then = (tok * np.maximum(0.0, rate - p @ quick)) @ p - goal
+        pull = quick if then @ whiten @ then < 0.9 * (off @ whiten @ off) else whiten @ off
+        pulls.append(pull.tolist())
+        rate = np.maximum(0.0, rate - p @ pull)
+        now = (tok * rate) @ p
+    return pulls, {d: (now[i] / total, goal[i] / total) for i, d in enumerate(domains) if abs(now[i] - goal[i]) > near[i]}
+
+
+def document_rates(docs: DataFrame, labels: DataFrame, targets: dict[str, float] | None = None,
+                   texts: bool = True) -> DataFrame:
     """``docs`` (distinct column names; doc_id, text, and lang if there) with n_tokens, p, rate and copies.
 
     copies = floor(rate), plus one with the fraction as probability (a hash of doc_id and text
-    decides, so a rerun decides alike).  Without labelled documents every rate is 1.  A null
+    decides, so a rerun decides alike).  Targets that cannot be met are named in a
+    warning.  Without ``texts`` the scores are written once, else read twice from the texts.
+    Without labelled documents every rate is 1.  A null
     text has no tokens; its rate follows from its posteriors like any other.  Rows repeated
     in doc_id and text get the same copies."""
     model = fit_posterior(docs, label_domains(labels))
@@ -235,19 +246,24 @@ def document_rates(docs: DataFrame, labels: DataFrame, targets: dict[str, float]
         plain = docs.withColumn("n_tokens", F.regexp_count(present("text"), F.lit(HAS_WORD + "+")).cast("long"))
         return plain.withColumn("p", F.array().cast("array<double>")).withColumn("rate", F.lit(1.0)) \
             .withColumn("copies", F.lit(1)).withColumn("domain", F.lit(None).cast("string"))
-    scored = cut_lineage(model.attach(pick(docs, "text")).select("n_tokens", "p"))
-    pulls = fit_rates(scored, model.domains, targets or TARGETS)
-    rated = model.attach(docs).withColumn("rate", F.round(_rate(F.col("p"), pulls), 9))
     u = F.pmod(F.xxhash64("doc_id", "text", F.lit("mixing")), F.lit(1 << 40)) / F.lit(float(1 << 40))
+    rated = model.attach(docs.withColumn("u", u))
+    if not texts:
+        rated = cut_lineage(rated.drop("text"))
+    pulls, missed = fit_rates(rated.select("n_tokens", "p"), model.domains, targets or TARGETS)
+    if missed:
+        warnings.warn("domain targets missed: " + ", ".join(f"{d} {now:.4g} of {goal:.4g}" for d, (now, goal)
+                                                            in missed.items()), stacklevel=2)
+    rated = rated.withColumn("rate", F.round(_rate(F.col("p"), pulls), 9))
     whole = F.floor("rate")
     names = F.array(*[F.lit(d) for d in model.domains])
-    return (rated.withColumn("copies", (whole + (u < F.col("rate") - whole).cast("int")).cast("int"))
+    return (rated.withColumn("copies", (whole + (F.col("u") < F.col("rate") - whole).cast("int")).cast("int")).drop("u")
             .withColumn("domain", F.get(names, F.array_position("p", F.array_max("p")).cast("int") - 1)))
 
 
 def mixing_rates(docs: DataFrame, labels: DataFrame, targets: dict[str, float] | None = None) -> DataFrame:
     """doc_id, n_tokens, domain (most likely), score (its posterior), rate and copies for every document."""
-    rated = document_rates(pick(docs, "doc_id", "text", *[c for c in docs.columns if c == "lang"][:1]), labels, targets)
+    rated = document_rates(pick(docs, "doc_id", "text", *[c for c in docs.columns if c == "lang"][:1]), labels, targets, texts=False)
     return rated.select("doc_id", "n_tokens", "domain", F.array_max("p").alias("score"), "rate", "copies")
 
 

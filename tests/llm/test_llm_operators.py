@@ -257,6 +257,21 @@ def test_mixing_tells_clean_and_toxic_in_every_language(spark):
     assert toxic[toxic.lang == "en"].hit.mean() > 0.9 and toxic[toxic.lang != "en"].hit.mean() > 0.8
 
 
+def test_rates_meet_small_targets_or_tell(spark):
+    rng = np.random.default_rng(5)
+    names, kinds = ["a", "b", "c"], np.array([[0.97, 0.02, 0.01], [0.05, 0.9, 0.05], [0.02, 0.03, 0.95], [0.5, 0.3, 0.2]])
+    rows = [(int(rng.integers(1, 400)), kinds[k].tolist()) for k in rng.choice(4, 500, p=[0.5, 0.3, 0.1, 0.1])]
+    scored = spark.createDataFrame(rows, "n_tokens long, p array<double>")
+    targets = {"a": 0.96, "b": 0.024, "c": 0.016}
+    pulls, missed = mixing.fit_rates(scored, names, targets)
+    assert not missed
+    rates = scored.select("n_tokens", "p", mixing._rate(F.col("p"), pulls).alias("r")).toPandas()
+    mass = (np.stack(rates.p) * (rates.n_tokens * rates.r).to_numpy()[:, None]).sum(axis=0)
+    assert all(abs(m / rates.n_tokens.sum() - t) <= 0.01 * t for m, t in zip(mass, targets.values(), strict=True))
+    _, missed = mixing.fit_rates(scored, names, {"a": 0.9999, "b": 0.00005, "c": 0.00005})
+    assert {"b", "c"} <= set(missed) and all(now > goal for d, (now, goal) in missed.items() if d != "a")
+
+
 def test_packing_fits_and_keeps_every_token(spark):
     sizes = [(i, int(x)) for i, x in enumerate(np.random.default_rng(2).integers(0, 3000, 400))] + [(7, 20_000), (8, None)] + [(5, 100)] * 50
     items = spark.createDataFrame(sizes, "doc_id long, n_tokens int")
