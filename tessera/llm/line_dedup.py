@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from ..session import cut_lineage
 from .common import HAS_WORD, pick, present
 
-#: A repeated run of this many lines or more always shares a fingerprint and is removed.
+#: A repeated run of this many lines or more always shares a fingerprint and is removed; this is the smallest
+#: repeat caught: one or two repeated lines with other neighbours stay, however long.
 RUN = 3
 
 
