@@ -1,4 +1,4 @@
-"""Suffix-array style dedup of repeated byte strings by prefix doubling over sampled suffixes."""
+"""Dedup of repeated byte strings by hashes at anchors sampled by content (no doubling, no sorted suffixes)."""
 
 from __future__ import annotations
 
@@ -151,9 +151,10 @@ def repeated_starts(docs: DataFrame, length: int = LENGTH, window: int = WINDOW,
                     text_col: str = "text") -> DataFrame:
     """k1, k2, spans: per document the ranges s .. e of starts of strings that also start elsewhere.
 
-    Prefix doubling over sampled suffixes.  Round 1 ranks each suffix by its first half of the length
-    (over half of it); Spark groups the ranks and suffixes that are alone drop out.  Round 2 doubles
-    to the full length: suffixes that agree on all bytes of all strings they serve are settled
+    Anchor sampling and direct hash grouping in place of prefix doubling: no position is sorted and no
+    pair of ranks is formed.  Round 1 hashes the bytes at each sampled anchor (over half of the length);
+    Spark groups the hashes and suffixes that are alone drop out.  Round 2 hashes the full length
+    directly: suffixes that agree on all bytes of all strings they serve are settled
     together; in the classes with others left, one suffix per distinct content ranks every string
     it serves at full length and equal ranks meet again.  Ranks at full length are 128-bit hashes
     of the bytes.  Groups are only ever reduced to a count, one place and the bounds of its parts."""
