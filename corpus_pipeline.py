@@ -40,7 +40,8 @@ def sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 STAGES = [("quality", quality), ("exact_dedup", exact), ("near_dedup", near), ("mixing", mixture), ("packing", sequences)]
 
-# Rates are fitted by iteration and texts are tokenized: not expressible in SQL (tested by brute force).
+# Rates are fitted by iteration and texts are tokenized: not expressible in SQL (the chain is tested for
+# its stage names and for doc_ids from the input only; most stages have brute-force tests of their own).
 ORACLE_SQL = None
 
 
