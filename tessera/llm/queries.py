@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (exact_dedup, langid, line_dedup, mixing, packing, quality_rules, simhash, token_counts,
-               suffix_dedup, token_files)
+from . import (exact_dedup, langid, line_dedup, mixing, packing, periodic_runs, quality_rules, simhash,
+               suffix_dedup, token_counts, token_files)
 
 QUERIES = {}
 ORACLE = {}
@@ -168,3 +168,9 @@ def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bytes of documents covered by a 400-byte string that also starts elsewhere, removed."""
     return (suffix_dedup.suffix_dedup(table(spark, sf_dir, "documents"))
             .select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256")))
+
+
+@query("op11_periodic_runs")
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Periodic runs of words in documents, by maximal pairs over an LCP-interval tree."""
+    return periodic_runs.run_digests(table(spark, sf_dir, "documents"))
