@@ -1,32 +1,36 @@
-"""Row order without hot tasks (shared by SURVEY T11, W1-W3, B1, B6).
-
-A ``Window.partitionBy(key).orderBy(ts)`` puts every row of a key into one
-task; when one key holds a third of the data that task is the job.  Here the
-order is established by a global sort instead (range partitioning samples
-the full sort key, so a hot key is spread over many partitions), rows are
-stamped with ``monotonically_increasing_id`` right after the sort and the
-result is checkpointed into the shared checkpoint folder, which freezes the
-stamps against recomputation.  Per-key positions are then
-
-    rn = (rows of the key in earlier partitions) + (local offset) + 1,
-
-where the first term comes from a tiny per-(key, partition) count table.
-Prefix sums use the same decomposition with DECIMAL arithmetic, so that
-differences of prefix sums (rolling windows) are exact.  Every shuffle below
-is keyed by (key, partition) or (key, position): no group is larger than one
-sorted partition.
+"""Row order without hot tasks (shared by SURVEY T9, T11, W1-W3, B1, B6).
+
+``Window.partitionBy(key).orderBy(ts)`` puts every row of a key into one
+task; when one key holds a third of the data that task is the job.  Here only
+keys with more rows than a block may hold are cut, at boundaries sampled from
+their own order columns (as range partitioning does), into consecutive blocks:
+``deal`` adds the block number, and windows run per (key, block).  What a row
+needs from beyond its block is small and comes from the side:
+
+* offsets of positions are sums of the blocks' row counts;
+* windows over the last w rows get copies of the w - 1 rows before their block,
+  windows that look ahead the rows after it (``with_carried``).
+
+The number of blocks is bounded by the cluster's setting (four per shuffle
+partition), so sampled boundaries and block counts are bounded too; results
+do not depend on the sample.  Rows are shuffled once, by (key, block), and
+nothing is written.  The frame is read more than once (row counts; for cut keys also a
+sample and the block counts), so it must give the same rows each time.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
+from math import ceil, isqrt
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from ..session import cut_lineage, fits_broadcast
-
-DEC = "decimal(38,12)"
+SAMPLES = 32  # sampled rows per block boundary
+BLOCK = "_block"
+COPY = "_copy"
 
 
 def _keys_list(keys) -> list[str]:
@@ -37,41 +41,136 @@ def _keys_list(keys) -> list[str]:
     return list(keys)
 
 
-def keyed_index(df: DataFrame, keys, order_cols: Sequence[str], sum_cols: Sequence[str] = (),
-                rn: str = "rn", total: str = "n_key") -> DataFrame:
-    """Add 1-based ``rn`` within ``keys`` in ``order_cols`` order, the key's row
-    count ``total``, and for each of ``sum_cols`` an exact running sum
-    ``cum_<col>`` (DECIMAL(38,12)) including the current row.
+def _small(df: DataFrame, rows: list, fields: list[T.StructField]) -> DataFrame:
+    """A broadcast frame of driver rows whose number is bounded by the number of blocks."""
+    return F.broadcast(df.sparkSession.createDataFrame(rows, T.StructType(fields)))
+
+
+def join_keys(left: DataFrame, right: DataFrame, pairs: Sequence[tuple[str, str]], how: str = "inner") -> DataFrame:
+    """Join that matches null keys too; the right side's key columns go."""
+    on = F.lit(True)
+    for a, b in pairs:
+        on = on & left[a].eqNullSafe(right[b])
+    return left.join(right, on, how).drop(*[b for _, b in pairs])
+
+
+@dataclass
+class Dealt:
+    """A frame with its block column, and the row counts of the blocks of cut keys."""
+
+    frame: DataFrame
+    keys: list[str]
+    order: list[str]
+    sizes: dict[tuple, list[tuple[int, int]]]  # key -> [(block, rows)] in order of the block
+
+    def window(self, descending: bool = False):
+        cols = [F.col(c).desc() if descending else F.col(c).asc() for c in self.order]
+        return Window.partitionBy(*self.keys, BLOCK).orderBy(*cols)
+
+    def key_fields(self) -> list[T.StructField]:
+        return [T.StructField(f"_k{i}", self.frame.schema[k].dataType) for i, k in enumerate(self.keys)]
+
+    def key_pairs(self, block: str) -> list[tuple[str, str]]:
+        return [(k, f"_k{i}") for i, k in enumerate(self.keys)] + [(BLOCK, block)]
+
+
+def deal(df: DataFrame, keys, order: Sequence[str], per_block: int = 10_000) -> Dealt:
+    """Add ``_block``: -1 for a key of at most ``per_block`` rows (or n / (4 shuffle partitions), if
+    more), else 0, 1, ... along ``order``.  Rows that tie in all of ``order`` share a block, so
+    it should end with a unique column."""
+    ks, spark = _keys_list(keys), df.sparkSession
+    blocks = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n = df.count()
+    limit = max(per_block, ceil(n / blocks))
+    if ks:
+        hot = df.groupBy(*ks).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > limit).collect()
+    else:
+        hot = [Row(_n=n)] if n > limit else []
+    uncut = Dealt(df.withColumn(BLOCK, F.lit(-1)), ks, list(order), {})
+    if not hot:
+        return uncut
+    kf = uncut.key_fields()
+    pairs = [(k, f.name) for k, f in zip(ks, kf, strict=True)]
+    row = F.struct(*[F.col(c).alias(f"o{i}") for i, c in enumerate(order)])
+    marked = join_keys(df, _small(df, [(*r,) for r in hot], [*kf, T.StructField("_n", T.LongType())]), pairs) if ks else df
+    sample = (marked.where(F.pmod(F.xxhash64(*order), F.lit(max(1, limit // SAMPLES))) == 0)
+              .groupBy(*ks).agg(F.sort_array(F.collect_set(row)).alias("s"))
+              .where(F.size("s") >= SAMPLES)
+              .withColumn("s", F.transform(F.sequence(F.lit(1), F.floor(F.size("s") / SAMPLES).cast("int")),
+                                           lambda i: F.col("s")[i * SAMPLES - 1])))
+    kind = sample.schema["s"].dataType
+    cuts = [(*r[:-1], r["s"], r["s"][isqrt(len(r["s"])) - 1::isqrt(len(r["s"]))], isqrt(len(r["s"])))
+            for r in sample.collect()]
+    if not cuts:
+        return uncut
+    fields = [*kf, T.StructField("_fine", kind), T.StructField("_coarse", kind), T.StructField("_step", T.IntegerType())]
+    bounds = _small(df, cuts, fields)
+    wide = join_keys(df, bounds, pairs, "left") if ks else join_keys(
+        df.withColumn("_all", F.lit(0)), bounds.withColumn("_k0", F.lit(0)), [("_all", "_k0")]).drop("_all")
+    skip = F.size(F.filter("_coarse", lambda b: b <= row)) * F.col("_step")  # two steps of about the root of the bounds
+    block = skip + F.size(F.filter(F.slice("_fine", skip + 1, F.col("_step")), lambda b: b <= row))
+    dealt = wide.withColumn(BLOCK, F.when(F.col("_fine").isNull(), F.lit(-1)).otherwise(block)).drop("_fine", "_coarse", "_step")
+    sizes: dict[tuple, list[tuple[int, int]]] = {}
+    for r in dealt.where(F.col(BLOCK) >= 0).groupBy(*ks, BLOCK).agg(F.count(F.lit(1)).alias("_n")).collect():
+        sizes.setdefault(tuple(r[:-2]), []).append((r[BLOCK], r["_n"]))
+    for found in sizes.values():
+        found.sort()
+    return Dealt(dealt, ks, list(order), sizes)
 
-    ``order_cols`` should end with a unique column so that ties are broken
-    the same way on every run.  Empty ``keys`` orders the whole table.
-    """
-    ks = _keys_list(keys)
-    stamped = df.orderBy(*[F.col(c) for c in ks + list(order_cols)]).withColumn(
-        "_mid", F.monotonically_increasing_id())
-    stamped = cut_lineage(stamped).withColumn("_part", F.shiftright("_mid", 33))
-    sums = [F.sum(F.col(c).cast(DEC)).alias(f"_cs_{c}") for c in sum_cols]
-    chunks = stamped.groupBy(*ks, "_part").agg(F.count(F.lit(1)).alias("_n"), F.min("_mid").alias("_first"), *sums)
-    before = (Window.partitionBy(*ks) if ks else Window.partitionBy()).orderBy("_part")
-    before = before.rowsBetween(Window.unboundedPreceding, -1)
-    whole = Window.partitionBy(*ks) if ks else Window.partitionBy()
-    chunk_cols = {"_off": F.coalesce(F.sum("_n").over(before), F.lit(0)),
-                  total: F.sum("_n").over(whole)}
-    for c in sum_cols:
-        chunk_cols[f"_pre_{c}"] = F.coalesce(F.sum(f"_cs_{c}").over(before), F.lit(0).cast(DEC))
-    chunks = chunks.withColumns(chunk_cols).drop("_n", *[f"_cs_{c}" for c in sum_cols])
-    # one row per (key, partition), aggregated from the written table: count it and
-    # broadcast it when that proven size allows, so the stamped rows are not shuffled
-    if fits_broadcast(chunks.count(), len(chunks.columns)):
-        chunks = F.broadcast(chunks)
-    out = stamped.join(chunks, ks + ["_part"]).withColumn(
-        rn, (F.col("_off") + F.col("_mid") - F.col("_first") + F.lit(1)).cast("long"))
-    if sum_cols:
-        local = Window.partitionBy(*ks, "_part").orderBy("_mid").rowsBetween(Window.unboundedPreceding, 0)
-        out = out.withColumns({f"cum_{c}": (F.col(f"_pre_{c}") + F.sum(F.col(c).cast(DEC)).over(local)).cast(DEC)
-                               for c in sum_cols})
-        out = out.drop(*[f"_pre_{c}" for c in sum_cols])
-    return out.drop("_off", "_first", "_mid", "_part")
+
+def with_carried(d: Dealt, before: int = 0, after: int = 0) -> DataFrame:
+    """The dealt frame with ``_copy`` (false), and copies (true) of the up to ``before`` rows that precede and
+    ``after`` rows that follow each block of a cut key, so that a window per (key, block) sees them."""
+    out = d.frame.withColumn(COPY, F.lit(False))
+    for count, descending in ((before, True), (after, False)):
+        if not count or not d.sizes:
+            continue
+        goes = []  # rows of block a also go to block b, with ``gap`` rows of other blocks between
+        for key, blocks in d.sizes.items():
+            path = blocks if descending else blocks[::-1]
+            for i, (a, _) in enumerate(path):
+                gap = 0
+                for b, n in path[i + 1:]:
+                    goes.append((*key, a, b, gap))
+                    gap += n
+                    if gap >= count:
+                        break
+        fields = [*d.key_fields(), *[T.StructField(c, T.IntegerType()) for c in ("_from", "_to")], T.StructField("_gap", T.LongType())]
+        edge = (d.frame.where(F.col(BLOCK) >= 0).withColumn("_r", F.row_number().over(d.window(descending)))
+                .where(F.col("_r") <= count))
+        moved = join_keys(edge, _small(d.frame, goes, fields), d.key_pairs("_from")).where(F.col("_r") + F.col("_gap") <= count)
+        out = out.unionByName(moved.withColumn(BLOCK, F.col("_to")).withColumn(COPY, F.lit(True)).select(*out.columns))
+    return out
+
+
+def _positions(d: Dealt, rows: DataFrame, rn: str, total: str, copies: bool = False) -> DataFrame:
+    w = d.window()
+    every = Window.partitionBy(*d.keys, BLOCK)
+    if copies:
+        own = F.when(F.col(COPY), 0).otherwise(1)
+        rows = rows.withColumns({rn: F.sum(own).over(w.rowsBetween(Window.unboundedPreceding, 0)), total: F.sum(own).over(every)})
+    else:
+        rows = rows.withColumns({rn: F.row_number().over(w).cast("long"), total: F.count(F.lit(1)).over(every)})
+    if not d.sizes:
+        return rows
+    offsets = []
+    for key, blocks in d.sizes.items():
+        at, n = 0, sum(c for _, c in blocks)
+        for b, c in blocks:
+            offsets.append((*key, b, at, n))
+            at += c
+    fields = [*d.key_fields(), T.StructField("_b", T.IntegerType()), T.StructField("_off", T.LongType()), T.StructField("_tot", T.LongType())]
+    return (join_keys(rows, _small(d.frame, offsets, fields), d.key_pairs("_b"), "left")
+            .withColumns({rn: F.col(rn) + F.coalesce("_off", F.lit(0)), total: F.coalesce("_tot", F.col(total))})
+            .drop("_off", "_tot"))
+
+
+def keyed_index(df: DataFrame, keys, order_cols: Sequence[str], rn: str = "rn", total: str = "n_key",
+                per_block: int = 10_000) -> DataFrame:
+    """Add the 1-based position ``rn`` within ``keys`` in ``order_cols`` order and the key's row count
+    ``total``.  Empty ``keys`` orders the whole table."""
+    d = deal(df, keys, order_cols, per_block)
+    return _positions(d, d.frame, rn, total).drop(BLOCK)
 
 
 def global_position(df: DataFrame, order_cols: Sequence[str], name: str = "pos",
@@ -83,48 +182,100 @@ def global_position(df: DataFrame, order_cols: Sequence[str], name: str = "pos",
     return out.withColumnRenamed("_ntot", total) if total else out.drop("_ntot")
 
 
-def shifted(indexed: DataFrame, keys, cols: Sequence[str], by: int, rn: str = "rn",
-            prefix: str = "lag_") -> DataFrame:
-    """Value of ``cols`` at position rn - by within the key (lag for by>0,
-    lead for by<0), as an equi-join on the unique (key, rn) pair.  Rows
-    without such a neighbour get NULL."""
-    ks = _keys_list(keys)
-    other = indexed.select(*ks, (F.col(rn) + F.lit(by)).alias(rn),
-                           *[F.col(c).alias(f"{prefix}{c}") for c in cols])
-    return indexed.join(other, ks + [rn], "left")
+def following(df: DataFrame, keys, order_cols: Sequence[str], cols: Sequence[str], steps: int = 1, prefix: str = "next_",
+              per_block: int = 10_000) -> DataFrame:
+    """``cols`` of the row ``steps`` on within the key as ``<prefix><col>``, and ``left``: how many of the
+    key's next ``steps`` + 1 rows exist (a null value in a next row is still a next row)."""
+    d = deal(df, keys, order_cols, per_block)
+    w = d.window()
+    there = [F.coalesce(F.lead(F.lit(1), i).over(w), F.lit(0)) for i in range(1, steps + 2)]
+    out = with_carried(d, after=steps + 1).withColumns(
+        {f"{prefix}{c}": F.lead(c, steps).over(w) for c in cols} | {"left": sum(there[1:], there[0])})
+    return out.where(~F.col(COPY)).drop(BLOCK, COPY)
 
 
 def rolling_mean(df: DataFrame, keys, order_cols: Sequence[str], value: str, window: int,
                  partial: bool = False, out: str = "rolling_mean", keep_index: bool = False,
-                 with_sum: bool = False) -> DataFrame:
+                 with_sum: bool = False, per_block: int = 10_000) -> DataFrame:
     """Mean of ``value`` over the last ``window`` rows of the key.
 
-    ``partial=False`` (W1) gives NULL while fewer than ``window`` rows exist
-    (pandas' default); ``partial=True`` (W2) averages the rows seen so far.
-    Computed as (S(rn) - S(rn - window)) / count from exact DECIMAL prefix
-    sums; S(rn - window) is looked up by an equi-join on (key, rn).
-    ``with_sum`` also returns the window's sum and row count
-    (``window_sum``, ``window_rows``).
-    """
-    ks = _keys_list(keys)
-    # both sides of the lag join read the indexed table: materialise it once
-    idx = cut_lineage(keyed_index(df, ks, order_cols, sum_cols=[value]))
-    cum = f"cum_{value}"
-    lagged = shifted(idx, ks, [cum], window, prefix="_w_")
-    prev = F.coalesce(F.col(f"_w_{cum}"), F.lit(0).cast(DEC))
-    cnt = F.least(F.col("rn"), F.lit(window))
-    mean = (F.col(cum) - prev).cast("double") / cnt.cast("double")  # exact window sum, then one division
-    res = mean if partial else F.when(F.col("rn") >= F.lit(window), mean)
-    outdf = lagged.withColumn(out, res)
+    ``partial=False`` (W1) gives NULL unless all ``window`` rows are there and not NULL
+    (pandas' default); ``partial=True`` (W2) averages the values seen so far.  A NULL value takes a
+    place in the window but counts neither in the sum nor in the divisor.  Sums are of doubles over the
+    window's own rows.  ``with_sum`` also returns the window's sum and its count of values
+    (``window_sum``, ``window_rows``); ``keep_index`` the position ``rn`` and row count ``n_key``."""
+    d = deal(df, keys, order_cols, per_block)
+    w = d.window().rowsBetween(-(window - 1), 0)
+    v = F.col(value).cast("double")
+    rows = with_carried(d, before=window - 1).withColumns({"_sum": F.sum(v).over(w), "_cnt": F.count(v).over(w)})
+    if keep_index:
+        rows = _positions(d, rows, "rn", "n_key", copies=True)
+    mean = F.when(F.col("_cnt") >= (1 if partial else window), F.col("_sum") / F.col("_cnt"))
+    rows = rows.where(~F.col(COPY)).withColumn(out, mean)
     if with_sum:
-        outdf = outdf.withColumns({"window_sum": (F.col(cum) - prev).cast("double"), "window_rows": cnt})
-    outdf = outdf.drop(f"_w_{cum}", cum)
-    if not keep_index:
-        outdf = outdf.drop("rn", "n_key")
-    return outdf
+        rows = rows.withColumns({"window_sum": F.coalesce("_sum", F.lit(0.0)), "window_rows": F.col("_cnt")})
+    return rows.drop("_sum", "_cnt", BLOCK, COPY)
+
+
+def latest_n(df: DataFrame, keys, order_cols: Sequence[str], n: int, position: str | None = None) -> DataFrame:
+    """The last ``n`` rows of each key in order (a bounded buffer).  ``row_number() <= n`` keeps n rows
+    per key and task before the shuffle, so a hot key is no hot task.  ``position`` names a column for the
+    1-based place within the key, from the keys' row counts."""
+    ks = _keys_list(keys)
+    w = (Window.partitionBy(*ks) if ks else Window.partitionBy()).orderBy(*[F.col(c).desc() for c in order_cols])
+    last = df.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= n)
+    if position:
+        rows = df.withColumn("_all", F.lit(0)) if not ks else df
+        last = last.withColumn("_all", F.lit(0)) if not ks else last
+        names = ks or ["_all"]
+        counts = rows.groupBy(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(names)]).agg(F.count(F.lit(1)).alias("_n"))
+        last = join_keys(last, counts, [(k, f"_k{i}") for i, k in enumerate(names)])
+        last = last.withColumn(position, F.col("_n") - F.col("_r") + F.lit(1)).drop("_n", "_all")
+    return last.drop("_r")
+
+
+# --- order statistics -----------------------------------------------------------
+
+def order_statistics(df: DataFrame, order_cols: Sequence[str], ranks: Sequence[int], per_block: int = 10_000) -> dict[int, Row]:
+    """rank (1-based) -> the values of ``order_cols`` of the row at that rank, without a full sort.
+
+    One pass counts the rows between sampled boundaries; only blocks that hold an asked rank are looked at
+    again, cut anew while they exceed ``per_block`` rows, and then ranked.  Ranks beyond the table are left out."""
+    rows = df.select(*order_cols)
+    asked = sorted({int(r) for r in ranks if r >= 1})
+    if not asked:
+        return {}
+    d = deal(rows, [], order_cols, per_block)
+    blocks = d.sizes.get((), [(-1, None)])
+    found: dict[int, Row] = {}
+    at = 0
+    small: dict[int, int] = {}
+    for b, n in blocks:
+        inside = [r - at for r in asked if r > at and (n is None or r <= at + n)]
+        if inside and n is not None and n > 4 * per_block and len(blocks) > 1:
+            part = order_statistics(d.frame.where(F.col(BLOCK) == b), order_cols, inside, per_block)
+            found |= {r + at: v for r, v in part.items()}
+        elif inside:
+            small[b] = at
+        at += n or 0
+    if small:
+        near = d.frame.where(F.col(BLOCK).isin(list(small)))
+        placed = near.withColumn("_rn", F.row_number().over(d.window()).cast("long"))
+        start = F.lit(0).cast("long")
+        for b, s in small.items():
+            start = F.when(F.col(BLOCK) == b, F.lit(s)).otherwise(start)
+        placed = placed.withColumn("_rank", F.col("_rn") + start).where(F.col("_rank").isin(asked))
+        found |= {r["_rank"]: Row(**{c: r[c] for c in order_cols}) for r in placed.collect()}
+    return found
 
 
-def latest_n(df: DataFrame, keys, order_cols: Sequence[str], n: int) -> DataFrame:
-    """The last ``n`` rows of each key in order (a bounded buffer)."""
-    idx = keyed_index(df, keys, order_cols)
-    return idx.where(F.col("rn") > F.col("n_key") - F.lit(n)).drop("n_key")
+def at_or_before(order_cols: Sequence[str], cut: Row) -> Column:
+    """Condition: the row's ``order_cols`` are not after ``cut`` (nulls first, as in sorting)."""
+    cond: Column = F.lit(True)
+    for c in reversed(list(order_cols)):
+        v = cut[c]
+        if v is None:
+            cond = F.col(c).isNull() & cond
+        else:
+            cond = F.col(c).isNull() | (F.col(c) < F.lit(v)) | ((F.col(c) == F.lit(v)) & cond)
+    return cond

@@ -1,9 +1,8 @@
 """Sequences and decision arithmetic on logged data.
 
-Ordered work goes through ``ordering.keyed_index`` (a global sort plus a
-tiny per-(key, partition) offset table), so neither a hot user nor a single
-global order ever lands in one task.  Neighbouring rows (the next state of
-a transition) are equi-joins on the unique (key, position) pair.
+Ordered work goes through ``ordering.deal`` (windows over blocks of a key, with
+copies of the few rows a block needs from its neighbours), so neither a hot
+user nor a single global order ever lands in one task.
 
 The Bellman operators work on tables: ``transitions(s, a, sp, p)``,
 ``rewards(s, r)`` and ``values(s, v)``.  A backup is a join of transitions
@@ -21,17 +20,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage
-from .ordering import keyed_index, latest_n, rolling_mean, shifted  # noqa: F401  (re-exported)
+from .ordering import following, latest_n, rolling_mean  # noqa: F401  (re-exported)
 
 
 def transitions(df: DataFrame, keys, order_cols: Sequence[str], cols: Sequence[str]) -> DataFrame:
     """Consecutive pairs within each key: every row with the next row's
     ``cols`` as ``next_<col>`` and ``done`` = the next row is the key's last."""
-    ks = [keys] if isinstance(keys, str) else list(keys)
-    idx = cut_lineage(keyed_index(df, ks, order_cols))  # read by both sides of the lead join
-    nxt = shifted(idx, ks, cols, -1, prefix="next_")
-    nxt = nxt.where(F.col("rn") < F.col("n_key"))  # a null in the next row's data is still a next row
-    return nxt.withColumn("done", F.col("rn") + F.lit(1) == F.col("n_key"))
+    nxt = following(df, keys, order_cols, cols).where(F.col("left") > 0)
+    return nxt.withColumn("done", F.col("left") == F.lit(1)).drop("left")
 
 
 def td_targets(reward: Column, q_next: Column, done: Column, gamma: float) -> Column:

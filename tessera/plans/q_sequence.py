@@ -32,7 +32,7 @@ FROM events
 
 @query("rolling_mean_events", ROLL_SQL)
 def rolling_mean_events(spark, sf):
-    """Mean of the last 5 values per user, NULL for the first 4 rows (skew-safe positions + exact prefix sums)."""
+    """Mean of the last 5 values per user, NULL for the first 4 rows (windows over blocks of a user, with the 4 rows before each block)."""
     out = od.rolling_mean(events(spark, sf).select("event_id", "user_id", "ts", "value"), "user_id", ORDER, "value", 5,
                           with_sum=True)
     return out.select("event_id", "user_id", F.when(F.col("rolling_mean").isNotNull(), rnd("window_sum", 6)
@@ -65,8 +65,8 @@ WHERE rn > n - 10
 @query("latest_events", LATEST_SQL)
 def latest_events(spark, sf):
     """The latest 10 events of every user (bounded buffer), with their position."""
-    out = od.latest_n(events(spark, sf).select("event_id", "user_id", "ts"), "user_id", ORDER, 10)
-    return out.select("user_id", "event_id", F.col("rn").alias("position"))
+    out = od.latest_n(events(spark, sf).select("event_id", "user_id", "ts"), "user_id", ORDER, 10, "position")
+    return out.select("user_id", "event_id", "position")
 
 
 # --- B1: TD loss ------------------------------------------------------------------
