@@ -105,8 +105,10 @@ def deal(df: DataFrame, keys, order: Sequence[str], per_block: int = 10_000) ->
         return uncut
     fields = [*kf, T.StructField("_fine", kind), T.StructField("_coarse", kind), T.StructField("_step", T.IntegerType())]
     bounds = _small(df, cuts, fields)
-    wide = join_keys(df, bounds, pairs, "left") if ks else join_keys(
-        df.withColumn("_all", F.lit(0)), bounds.withColumn("_k0", F.lit(0)), [("_all", "_k0")]).drop("_all")
+    if ks:
+        wide = join_keys(df, bounds, pairs, "left")
+    else:
+        wide = df.withColumns({f.name: bounds.select(f.name).scalar() for f in fields})
     skip = F.size(F.filter("_coarse", lambda b: b <= row)) * F.col("_step")  # two steps of about the root of the bounds
     block = skip + F.size(F.filter(F.slice("_fine", skip + 1, F.col("_step")), lambda b: b <= row))
     dealt = wide.withColumn(BLOCK, F.when(F.col("_fine").isNull(), F.lit(-1)).otherwise(block)).drop("_fine", "_coarse", "_step")
