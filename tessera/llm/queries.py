@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (exact_dedup, langid, line_dedup, mixing, packing, periodic_runs, quality_rules, simhash,
-               suffix_dedup, token_counts, token_files)
+from . import (exact_dedup, fingerprints, langid, line_dedup, mixing, packing, periodic_runs, quality_rules,
+               simhash, suffix_dedup, token_counts, token_files)
 
 QUERIES = {}
 ORACLE = {}
@@ -174,3 +174,9 @@ def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Periodic runs of words in documents, by maximal pairs over an LCP-interval tree."""
     return periodic_runs.run_digests(table(spark, sf_dir, "documents"))
+
+
+@query("op13_fingerprints")
+def op13_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Homomorphic multiset hashes of documents and of their edited texts, and how alike they are."""
+    return fingerprints.document_fingerprints(table(spark, sf_dir, "documents"))
