@@ -196,6 +196,31 @@ def following(df: DataFrame, keys, order_cols: Sequence[str], cols: Sequence[str
     return out.where(~F.col(COPY)).drop(BLOCK, COPY)
 
 
+# Running aggregates: the function over rows, and how a block's value meets what earlier blocks carry in.
+RUNNING = {"sum": (F.sum, lambda a, b: a + b), "min": (F.min, lambda a, b: F.least(a, b)),
+           "max": (F.max, lambda a, b: F.greatest(a, b)), "xor": (F.bit_xor, lambda a, b: a.bitwiseXOR(b))}
+
+
+def running(df: DataFrame, keys, order_cols: Sequence[str], outs: dict[str, tuple[str, str]],
+            per_block: int = 10_000) -> DataFrame:
+    """Add running aggregates within ``keys``, the current row included: {name: (kind, column)}, kind one of
+    sum, min, max, xor.  NULLs are passed over."""
+    d = deal(df, keys, order_cols, per_block)
+    w = d.window().rowsBetween(Window.unboundedPreceding, 0)
+    out = d.frame.withColumns({name: RUNNING[kind][0](col).over(w) for name, (kind, col) in outs.items()})
+    if not d.sizes:
+        return out.drop(BLOCK)
+    before = (Window.partitionBy(*d.keys).orderBy(BLOCK) if d.keys else Window.partitionBy().orderBy(BLOCK))
+    before = before.rowsBetween(Window.unboundedPreceding, -1)
+    chunks = d.frame.where(F.col(BLOCK) >= 0).groupBy(*d.keys, BLOCK).agg(
+        *[RUNNING[kind][0](col).alias(f"_c_{name}") for name, (kind, col) in outs.items()])
+    chunks = chunks.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(d.keys)], F.col(BLOCK).alias("_b"),
+                           *[RUNNING[kind][0](f"_c_{name}").over(before).alias(f"_p_{name}") for name, (kind, _) in outs.items()])
+    out = join_keys(out, F.broadcast(chunks), d.key_pairs("_b"), "left")  # a row a block: bounded
+    return out.withColumns({name: F.coalesce(RUNNING[kind][1](F.col(f"_p_{name}"), F.col(name)), f"_p_{name}", name)
+                            for name, (kind, _) in outs.items()}).drop(BLOCK, *[f"_p_{name}" for name in outs])
+
+
 def rolling_mean(df: DataFrame, keys, order_cols: Sequence[str], value: str, window: int,
                  partial: bool = False, out: str = "rolling_mean", keep_index: bool = False,
                  with_sum: bool = False, per_block: int = 10_000) -> DataFrame:

@@ -153,3 +153,21 @@ def test_order_helpers_on_an_empty_table(hot):
     assert od.keyed_index(none, "k", ["t"]).count() == 0
     assert od.rolling_mean(none, [], ["t"], "v", 3).count() == 0
     assert od.order_statistics(none, ["t"], [1, 5]) == {}
+
+
+def test_running_aggregates_across_blocks(hot):
+    df = hot.select("k", "t", "i", F.when(F.col("i") % 5 > 0, F.col("i") * 7919 % 1000).alias("x"))
+    outs = {"s": ("sum", "x"), "lo": ("min", "x"), "hi": ("max", "x"), "b": ("xor", "x")}
+    for keys in ("k", []):
+        got = od.running(df, keys, ["t", "i"], outs, per_block=100).toPandas().sort_values(["t", "i"])
+        got["k"] = got["k"].fillna(-1) if keys else 0
+        for _, g in got.groupby("k"):
+            seen, xor = [], 0
+            for r in g.itertuples():
+                if not np.isnan(r.x):
+                    seen.append(int(r.x))
+                    xor ^= int(r.x)
+                if seen:
+                    assert (r.s, r.lo, r.hi, r.b) == (sum(seen), min(seen), max(seen), xor)
+                else:
+                    assert np.isnan(r.s) and np.isnan(r.b)
