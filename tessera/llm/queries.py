@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (exact_dedup, fingerprints, langid, line_dedup, mixing, packing, periodic_runs, quality_rules,
-               simhash, suffix_dedup, token_counts, token_files)
+from . import (exact_dedup, fingerprints, langid, line_dedup, mixing, packing, periodic_runs, prefix_trie,
+               quality_rules, simhash, suffix_dedup, token_counts, token_files)
 
 QUERIES = {}
 ORACLE = {}
@@ -180,3 +180,54 @@ def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op13_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Homomorphic multiset hashes of documents and of their edited texts, and how alike they are."""
     return fingerprints.document_fingerprints(table(spark, sf_dir, "documents"))
+
+
+OP12_SQL = r"""
+WITH t AS (
+  SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS pos
+  FROM conversations WHERE conv_id IS NOT NULL
+), c AS (
+  SELECT conv_id, count(*) AS len, conv_id - conv_id % 20 AS base,
+         xor(list_reduce(list_concat([4294967295::UBIGINT],
+                         list_transform(string_split(conv_id::VARCHAR, ''), x -> ascii(x)::UBIGINT)),
+                         (r, b) -> list_reduce(list_concat([xor(r, b)], [0, 0, 0, 0, 0, 0, 0, 0]::UBIGINT[]),
+                         (x, z) -> CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384::UBIGINT) ELSE x >> 1 END)),
+             4294967295::UBIGINT) % 4 AS h
+  FROM t GROUP BY conv_id
+), k AS (
+  SELECT c.*, least(c.h, coalesce(b.len, 0)) AS taken FROM c LEFT JOIN c b ON b.conv_id = c.base
+), s AS (
+  SELECT k.conv_id, t.pos AS depth, t.role, t.text FROM k JOIN t ON t.conv_id = k.base AND t.pos <= k.h
+  UNION ALL SELECT k.conv_id, t.pos - k.h + k.taken, t.role, t.text FROM k JOIN t ON t.conv_id = k.conv_id AND t.pos > k.h
+), m AS (
+  SELECT conv_id, depth, len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')) AS words, max(depth) OVER (PARTITION BY conv_id) AS len,
+         list({'r': role, 't': text}) OVER (PARTITION BY conv_id ORDER BY depth ROWS UNBOUNDED PRECEDING) AS prefix FROM s
+  UNION ALL SELECT conv_id, 0, 0, coalesce((SELECT max(depth) FROM s WHERE s.conv_id = c.conv_id), 0), [] FROM c
+), n AS (
+  SELECT min(conv_id) AS conv_id, depth, prefix, count(*) AS n_convs, max(words) AS words,
+         sha256(coalesce(string_agg(CASE WHEN depth = len THEN conv_id::VARCHAR END, ',' ORDER BY conv_id), '')) AS ends_sha256
+  FROM m GROUP BY depth, prefix
+), mine AS (
+  SELECT m.conv_id, m.depth, n.conv_id AS owner FROM m JOIN n ON m.depth = n.depth AND m.prefix = n.prefix
+), p AS (
+  SELECT n.*, u.owner AS parent FROM n LEFT JOIN mine u ON u.conv_id = n.conv_id AND u.depth = n.depth - 1
+), kids AS (
+  SELECT parent AS conv_id, depth - 1 AS depth, count(*) AS n_children FROM p WHERE depth > 0 GROUP BY ALL
+), q AS (
+  SELECT p.*, coalesce(n_children, 0) AS n_children FROM p LEFT JOIN kids USING (conv_id, depth)
+), sub AS (
+  SELECT u.owner AS conv_id, u.depth, sum(CASE WHEN q.n_children = 0 THEN 1 ELSE 0 END) AS n_leaves,
+         sum((q.n_convs - 1) * q.words) AS saved_tokens
+  FROM q JOIN mine u ON u.conv_id = q.conv_id AND u.depth <= q.depth GROUP BY ALL
+)
+SELECT conv_id, CAST(depth AS BIGINT) AS depth, parent AS parent_conv_id, n_convs, n_children, CAST(n_leaves AS BIGINT) AS n_leaves,
+       CAST(saved_tokens AS BIGINT) AS saved_tokens, ends_sha256
+FROM q JOIN sub USING (conv_id, depth)
+"""
+
+
+@query("op12_prefix_trie", OP12_SQL)
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Prefix trie of rebuilt conversations; subtree leaves and savings from a ranked Euler tour."""
+    return prefix_trie.prefix_trie(table(spark, sf_dir, "conversations"), rebuild=True)
