@@ -190,9 +190,9 @@ WITH t AS (
 ), c AS (
   SELECT conv_id, count(*) AS len, conv_id - conv_id % 20 AS base,
          xor(list_reduce(list_concat([4294967295::UBIGINT],
-                         list_transform(string_split(conv_id::VARCHAR, ''), x -> ascii(x)::UBIGINT)),
-                         (r, b) -> list_reduce(list_concat([xor(r, b)], [0, 0, 0, 0, 0, 0, 0, 0]::UBIGINT[]),
-                         (x, z) -> CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384::UBIGINT) ELSE x >> 1 END)),
+                         list_transform(string_split(conv_id::VARCHAR, ''), lambda x: ascii(x)::UBIGINT)),
+                         lambda r, b: list_reduce(list_concat([xor(r, b)], [0, 0, 0, 0, 0, 0, 0, 0]::UBIGINT[]),
+                         lambda x, z: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384::UBIGINT) ELSE x >> 1 END)),
              4294967295::UBIGINT) % 4 AS h
   FROM t GROUP BY conv_id
 ), k AS (
