@@ -19,6 +19,8 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .moments import compute_moments
+
 
 def estimate_gaussian(df: DataFrame, cols: Sequence[str]) -> tuple[np.ndarray, np.ndarray]:
     """Per-feature mean and population variance in one job."""
@@ -30,16 +32,9 @@ def estimate_gaussian(df: DataFrame, cols: Sequence[str]) -> tuple[np.ndarray, n
 
 
 def covariance_matrix(df: DataFrame, cols: Sequence[str]) -> tuple[np.ndarray, np.ndarray]:
-    """A10: means and the full population covariance (covar_pop of every pair)."""
-    k = len(cols)
-    exprs = [F.avg(c).alias(f"m{i}") for i, c in enumerate(cols)]
-    exprs += [F.covar_pop(cols[i], cols[j]).alias(f"c{i}_{j}") for i in range(k) for j in range(i, k)]
-    row = df.agg(*exprs).first()
-    cov = np.zeros((k, k))
-    for i in range(k):
-        for j in range(i, k):
-            cov[i, j] = cov[j, i] = row[f"c{i}_{j}"]
-    return np.array([row[f"m{i}"] for i in range(k)], dtype=float), cov
+    """A10: means and the full population covariance, over the rows that have every column."""
+    m = compute_moments(df, cols)
+    return m.mean, m.cov
 
 
 def log_density(cols: Sequence[str], mu: Sequence[float], var) -> Column:

@@ -9,9 +9,8 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 import numpy as np
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..functions.core import dot
 from . import moments as mo
@@ -41,18 +40,16 @@ def linear_gradient(df: DataFrame, cols: Sequence[str], label: str, w: Sequence[
     return dw, float(row["db"])
 
 
-def history_frame(spark: SparkSession, hist: list) -> DataFrame:
-    schema = T.StructType([T.StructField("iter", T.IntegerType()), T.StructField("cost", T.DoubleType()),
-                           T.StructField("w", T.ArrayType(T.DoubleType())), T.StructField("b", T.DoubleType())])
-    return spark.createDataFrame([(int(i), float(c), [float(x) for x in w], float(b)) for i, c, w, b in hist], schema)
-
-
 def fit_gradient_descent(df: DataFrame, cols: Sequence[str], label: str, w0: Sequence[float], b0: float,
-                         alpha: float, iters: int, lam: float = 0.0, decay_points: int = 0):
-    """M8/M9 (linear): one moment job, then the exact update iterated on the
-    driver.  Returns (w, b, Moments, history list)."""
+                         alpha: float, iters: int, lam: float = 0.0, decay_points: int = 0,
+                         decay_digits: int | None = None):
+    """M8/M9 (linear): one moment job and one residual scan (the least-squares cost), then the exact update iterated on
+    the driver.  Returns (w, b, Moments, history list of (iter, cost, w, b, alpha))."""
     m = mo.compute_moments(df, cols, label)
-    w, b, hist = mo.gradient_descent_on_moments(m, w0, b0, alpha, iters, lam, decay_points=decay_points)
+    floor = None
+    if np.linalg.matrix_rank(m.cxx) == m.d:
+        floor = mo.residual_costs(df, cols, label, [mo.least_squares(m)])[None][0]
+    w, b, hist = mo.gradient_descent_on_moments(m, w0, b0, alpha, iters, lam, decay_points, decay_digits, floor)
     return w, b, m, hist
 
 

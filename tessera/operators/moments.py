@@ -2,11 +2,14 @@
 
 One Spark aggregate computes, for feature columns x_1..x_d and a label y,
 the row count, the means and the population covariance matrix of
-[x, y].  Spark's ``covar_pop`` merges partial states with the stable
-pairwise update, so the moments do not lose digits the way raw
-sum-of-products would on large data.  The aggregate is a hash aggregate with
-a map-side partial step: each task ships one small row through the
-exchange regardless of input size or key skew.
+[x, y].  Partial states are merged with the stable pairwise update, so the
+moments do not lose digits the way raw sum-of-products would on large data.
+Few columns are one hash aggregate (``covar_pop`` of every pair); many columns
+go through Arrow batches, whose states (n, means, centred X'X) are one matrix
+product each and are merged task by task and then over a tree of tasks, so
+neither plan nor time grows with the number of column pairs.  Either way
+rows with a missing value in any of the columns are left out, and each task
+ships one state whatever the input size or key skew.
 
 Everything downstream (linear cost, gradient, gradient descent, least
 squares, ridge, cost surfaces, degree and lambda sweeps) is d x d algebra
@@ -19,9 +22,15 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+# From so many columns on the aggregate is made of matrix products: d (d + 1) / 2
+# covariance expressions would outgrow a compiled method.
+WIDE = 12
+TREE = (64, 8, 1)  # tasks per level of the merge of states
+
 
 @dataclass
 class Moments:
@@ -92,35 +101,173 @@ def _from_row(row, names: list[str], has_label: bool) -> Moments:
     return Moments(list(names), int(row["_n"]), mean, cov, has_label)
 
 
-def compute_moments(df: DataFrame, features: Sequence[str], label: str | None = None) -> Moments:
+class _State:
+    """Running n, means and centred sums of products of one group."""
+
+    def __init__(self, k: int) -> None:
+        self.n, self.mean, self.m2 = 0, np.zeros(k), np.zeros((k, k))
+
+    def add(self, n: int, mean: np.ndarray, m2: np.ndarray) -> None:
+        if not n:
+            return
+        total = self.n + n
+        delta = mean - self.mean
+        self.m2 += m2 + np.outer(delta, delta) * (self.n * n / total)
+        self.mean = self.mean + delta * (n / total)
+        self.n = total
+
+
+def _states(rows: DataFrame, names: Sequence[str]) -> DataFrame:
+    """One row (grp, n, mean, m2) per task and group of ``rows`` (grp, then ``names`` as doubles without nulls)."""
+    k = len(names)
+
+    def run(batches):
+        held: dict = {}
+        for b in batches:
+            if not b.num_rows:
+                continue
+            x = np.column_stack([b.column(i + 1).to_numpy(zero_copy_only=False) for i in range(k)]).astype(float)
+            keys, of = np.unique(b.column(0).to_numpy(zero_copy_only=False).astype(str), return_inverse=True)
+            for i, key in enumerate(keys.tolist()):
+                part = x if len(keys) == 1 else x[of == i]
+                mean = part.mean(axis=0)
+                part = part - mean
+                held.setdefault(key, _State(k)).add(len(part), mean, part.T @ part)
+        yield from _packed(held)
+
+    return rows.mapInArrow(run, "grp string, n long, mean binary, m2 binary")
+
+
+def _packed(held: dict):
+    for key, st in held.items():
+        yield pa.RecordBatch.from_arrays([pa.array([key]), pa.array([st.n], pa.int64()), pa.array([st.mean.tobytes()], pa.binary()),
+                                          pa.array([st.m2.tobytes()], pa.binary())], names=["grp", "n", "mean", "m2"])
+
+
+def _merged(states: DataFrame, k: int) -> DataFrame:
+    """Tree merge: each level's tasks add the states they receive one by one, holding one state per group."""
+    def run(batches):
+        held: dict = {}
+        for b in batches:
+            for key, n, mean, m2 in zip(*[b.column(i).to_pylist() for i in range(4)], strict=True):
+                held.setdefault(key, _State(k)).add(n, np.frombuffer(mean), np.frombuffer(m2).reshape(k, k))
+        yield from _packed(held)
+
+    for tasks in TREE:
+        states = states.repartition(tasks).mapInArrow(run, "grp string, n long, mean binary, m2 binary")
+    return states
+
+
+def _wide_moments(rows: DataFrame, names: list[str], has_label: bool) -> dict[str, Moments]:
+    """Moments per ``grp`` (a string) by batched matrix products; d x d numbers per group reach the driver."""
+    k = len(names)
+    full = rows.select("grp", *[F.col(c).cast("double").alias(c) for c in names]).dropna(subset=names)
+    out = {}
+    for r in _merged(_states(full, names), k).collect():
+        m2 = np.frombuffer(r["m2"]).reshape(k, k)
+        out[r["grp"]] = Moments(names, r["n"], np.frombuffer(r["mean"]).copy(), (m2 + m2.T) / (2.0 * r["n"]), has_label)
+    return out
+
+
+def compute_moments(df: DataFrame, features: Sequence[str], label: str | None = None, wide: int = WIDE) -> Moments:
     """One aggregate job -> Moments on the driver (size O(d^2))."""
     names = list(features) + ([label] if label else [])
-    row = df.select(*names).agg(*moment_exprs(names)).first()
+    if len(names) > wide:
+        found = _wide_moments(df.select(F.lit("").alias("grp"), *names), names, label is not None)
+        if not found:
+            raise ValueError("no rows")
+        return found[""]
+    row = df.select(*names).dropna().agg(*moment_exprs(names)).first()
     if row["_n"] == 0:
         raise ValueError("no rows")
     return _from_row(row, names, label is not None)
 
 
 def compute_moments_by(df: DataFrame, key: str, features: Sequence[str], label: str | None = None,
-                       max_groups: int = 10_000) -> dict:
+                       max_groups: int = 10_000, wide: int = WIDE) -> dict:
     """A7 per group of a low-cardinality key (e.g. the split label): one job,
-    one row per group (partial aggregation keeps skewed groups cheap).  The
-    number of groups brought to the driver is checked against ``max_groups``."""
+    one row per group (partial aggregation keeps skewed groups cheap).  More than
+    ``max_groups`` groups, which would not fit the driver, raise."""
     names = list(features) + ([label] if label else [])
-    rows = df.select(key, *names).groupBy(key).agg(*moment_exprs(names)).limit(max_groups + 1).collect()
-    if len(rows) > max_groups:
+    if len(names) > wide:
+        ids = df.select(key).distinct().limit(max_groups + 1).collect()
+        rows = df.select(F.col(key).cast("string").alias("grp"), *names)
+        found = _wide_moments(rows, names, label is not None) if len(ids) <= max_groups else {}
+        by_text = {str(r[0]): r[0] for r in ids}
+        got = {by_text[g]: m for g, m in found.items()}
+    else:
+        ids = (df.select(key, *names).dropna(subset=names).groupBy(key).agg(*moment_exprs(names))
+               .limit(max_groups + 1).collect())
+        got = {r[key]: _from_row(r, names, label is not None) for r in ids}
+    if len(ids) > max_groups:
         raise ValueError(f"more than {max_groups} groups of {key}")
-    return {r[key]: _from_row(r, names, label is not None) for r in rows}
+    return got
+
+
+# --- errors of many candidate models in one scan (M3, E6, E7, E9, E10) --------
+
+MAX_TERMS = 256
+
+
+def residual_costs(df: DataFrame, features: Sequence[str], label: str, candidates: Sequence[tuple[Sequence[float], float]],
+                   group: str | None = None, max_terms: int = MAX_TERMS) -> dict:
+    """group -> [1/(2m) sum (w.x + b - y)^2 for every candidate (w, b)], from the rows themselves in one scan.
+
+    Sums of squared residuals are never negative and keep their digits where the fit is close, which the quadratic form of
+    the moments does not.  A candidate with fewer weights than features uses the first ones.  Up to ``max_terms``
+    products are expressions of one aggregate; more go through Arrow batches (one matrix product a batch),
+    each task shipping one row per group."""
+    cols = list(features)
+    key = F.col(group) if group else F.lit(None).cast("string")
+    rows = df.select(key.alias("_g"), *[F.col(c).cast("double").alias(f"_x{i}") for i, c in enumerate(cols)],
+                     F.col(label).cast("double").alias("_y")).dropna(subset=[*[f"_x{i}" for i in range(len(cols))], "_y"])
+    if sum(len(w) for w, _ in candidates) <= max_terms:
+        def error(w, b) -> Column:
+            e = sum((F.lit(float(x)) * F.col(f"_x{i}") for i, x in enumerate(w)), F.lit(0.0)) + F.lit(float(b)) - F.col("_y")
+            return e * e
+        got = rows.groupBy("_g").agg(*[F.avg(error(w, b)).alias(f"c{i}") for i, (w, b) in enumerate(candidates)]).collect()
+        return {r["_g"]: [0.5 * r[f"c{i}"] for i in range(len(candidates))] for r in got}
+    weights = np.zeros((len(cols), len(candidates)))
+    for i, (w, _) in enumerate(candidates):
+        weights[: len(w), i] = w
+    bias = np.array([b for _, b in candidates], dtype=float)
+
+    def run(batches):
+        held: dict = {}
+        for b in batches:
+            if not b.num_rows:
+                continue
+            x = np.column_stack([b.column(i + 1).to_numpy(zero_copy_only=False) for i in range(len(cols))])
+            e = x @ weights + bias - b.column(len(cols) + 1).to_numpy(zero_copy_only=False)[:, None]
+            seen: dict = {}
+            of = np.array([seen.setdefault(g, len(seen)) for g in b.column(0).to_pylist()])
+            for g, i in seen.items():
+                part = e[of == i]
+                n, total = held.get(g, (0, 0.0))
+                held[g] = n + len(part), total + (part * part).sum(axis=0)
+        for g, (n, total) in held.items():
+            yield pa.RecordBatch.from_arrays([pa.array([g], b.column(0).type), pa.array([n], pa.int64()), pa.array([total], pa.list_(pa.float64()))],
+                                             names=["_g", "n", "s"])
+
+    kind = rows.schema["_g"].dataType.simpleString()
+    parts = rows.mapInArrow(run, f"_g {kind}, n long, s array<double>")
+    long = parts.select("_g", "n", F.posexplode("s").alias("i", "v"))
+    got = long.groupBy("_g", "i").agg(F.sum("n").alias("n"), F.sum("v").alias("v")).collect()
+    out: dict = {}
+    for r in got:
+        out.setdefault(r["_g"], [0.0] * len(candidates))[r["i"]] = 0.5 * r["v"] / r["n"]
+    return out
 
 
 # --- linear model algebra on moments (M3, M6, M10, M11, E8) -----------------
 
 def linear_cost(m: Moments, w: Sequence[float], b: float, lam: float = 0.0) -> float:
-    """M3: 1/(2m) sum (w.x+b-y)^2 + lam/(2m) sum w^2, exactly from moments."""
+    """M3: 1/(2m) sum (w.x+b-y)^2 + lam/(2m) sum w^2 from moments, for cost histories.  The quadratic form cancels
+    where the fit is close (never below 0 here); ``residual_costs`` gives such costs from the rows."""
     w = np.asarray(w, dtype=float)
     bias = float(w @ m.mu_x + b - m.mu_y)
     var = float(w @ m.cxx @ w - 2.0 * w @ m.cxy + m.cyy)
-    return 0.5 * (var + bias * bias) + lam / (2.0 * m.n) * float(w @ w)
+    return 0.5 * (max(var, 0.0) + bias * bias) + lam / (2.0 * m.n) * float(w @ w)
 
 
 def linear_gradient(m: Moments, w: Sequence[float], b: float, lam: float = 0.0) -> tuple[np.ndarray, float]:
@@ -132,31 +279,40 @@ def linear_gradient(m: Moments, w: Sequence[float], b: float, lam: float = 0.0)
 
 
 def gradient_descent_on_moments(m: Moments, w0: Sequence[float], b0: float, alpha: float, iters: int,
-                                lam: float = 0.0, history_cap: int = 100_000,
-                                decay_points: int = 0) -> tuple[np.ndarray, float, list]:
+                                lam: float = 0.0, decay_points: int = 0, decay_digits: int | None = None,
+                                floor: float | None = None) -> tuple[np.ndarray, float, list]:
     """M8 (linear): the reference's simultaneous update, iterated on the moments.
 
-    Returns (w, b, history) with history rows (iter, cost, w, b); the cost is
-    recorded for the first ``history_cap`` iterations like the reference.
-    ``decay_points`` > 0 turns on M9: at each of that many evenly spaced
-    progress points, alpha is divided by 10 when the cost did not change.
+    Returns (w, b, history) with a history row (iter, cost, w, b, alpha) per iteration.  ``decay_points`` > 0 turns on M9: at
+    that many evenly spaced progress points (every ceil(iters / points) iterations), alpha is divided by 10
+    for what follows when the cost is the one of the point before (``decay_digits``: rounded so far).  With
+    ``floor``, the least-squares cost from the rows, a cost is floor plus a quadratic form around the least-squares
+    solution: a sum of terms that are not negative, so nothing cancels.
     """
     w = np.asarray(w0, dtype=float).copy()
     b = float(b0)
+    best = None if floor is None else least_squares(m)
+
+    def cost() -> float:
+        if best is None:
+            return linear_cost(m, w, b, lam)
+        dw = w - best[0]
+        shift = float(dw @ m.mu_x + b - best[1])
+        return floor + 0.5 * (float(dw @ m.cxx @ dw) + shift * shift) + lam / (2.0 * m.n) * float(w @ w)
+
     hist = []
-    check_every = max(1, iters // decay_points) if decay_points else 0
+    every = -(-iters // decay_points) if decay_points else 0
     last_cost = None
     for i in range(iters):
         dw, db = linear_gradient(m, w, b, lam)
         w = w - alpha * dw
         b = b - alpha * db
-        if i < history_cap:
-            hist.append((i, linear_cost(m, w, b, lam), w.tolist(), b))
-        if check_every and i % check_every == 0:
-            cost = linear_cost(m, w, b, lam)
-            if last_cost is not None and cost == last_cost:
+        hist.append((i, cost(), w.tolist(), b, alpha))
+        if every and i % every == 0:
+            now = hist[-1][1] if decay_digits is None else round(hist[-1][1], decay_digits)
+            if now == last_cost:
                 alpha /= 10.0
-            last_cost = cost
+            last_cost = now
     return w, b, hist
 
 

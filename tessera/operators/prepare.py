@@ -7,12 +7,13 @@ fitted statistics inlined as literals, so scoring new rows never shuffles.
 from __future__ import annotations
 
 import itertools
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .ordering import global_position
+from .ordering import at_or_before, order_statistics
 
 # --- T1/T2: z-score with the population standard deviation -----------------
 
@@ -100,22 +101,9 @@ def poly_one(df: DataFrame, col: str, degree: int, prefix: str | None = None) ->
     return df.withColumns({f"{p}{k}": F.pow(x, F.lit(float(k))) for k in range(1, degree + 1)})
 
 
-def map_feature_exprs(x1: str, x2: str, degree: int = 6) -> list[Column]:
-    """x1^(i-j) * x2^j for i = 1..d, j = 0..i in that order (27 terms at d=6)."""
-    out = []
-    for i in range(1, degree + 1):
-        for j in range(i + 1):
-            out.append(F.pow(F.col(x1), F.lit(float(i - j))) * F.pow(F.col(x2), F.lit(float(j))))
-    return out
-
-
-def map_feature(df: DataFrame, x1: str, x2: str, degree: int = 6, prefix: str = "m") -> DataFrame:
-    exprs = map_feature_exprs(x1, x2, degree)
-    return df.withColumns({f"{prefix}{k}": e for k, e in enumerate(exprs)})
-
-
 def poly_terms(cols: Sequence[str], degree: int) -> list[tuple[str, ...]]:
-    """T8 term list in the usual degree-then-lexicographic order (no bias)."""
+    """T7/T8 term list in the usual degree-then-lexicographic order (no bias); of two columns that is
+    x1^i, x1^(i-1) x2, ..., x2^i for each degree i (27 terms up to 6)."""
     terms = []
     for d in range(1, degree + 1):
         terms += list(itertools.combinations_with_replacement(cols, d))
@@ -167,13 +155,39 @@ def train_test_split(df: DataFrame, key: str, test_size: float) -> tuple[DataFra
             lab.where(F.col("_split") == "test").drop("_split"))
 
 
+def _label_by_rank(df: DataFrame, order: list[str], cuts: list[tuple[str, int]], last: str, col: str) -> DataFrame:
+    """Label the rows up to rank r in ``order`` by the first (label, r) that reaches them, the rest ``last``.
+
+    The keys at the ranks are order statistics (no full sort); rows that tie in all of ``order`` are told apart by
+    their place in the scan, so the counts are exact."""
+    rows = df.withColumn("_tie", F.monotonically_increasing_id())
+    order = [*order, "_tie"]
+    keys = order_statistics(rows, order, [r for _, r in cuts])
+    label = None
+    for name, r in cuts:
+        if r in keys:
+            here = at_or_before(order, keys[r])
+            label = F.when(here, F.lit(name)) if label is None else label.when(here, F.lit(name))
+    return rows.withColumn(col, F.lit(last) if label is None else label.otherwise(F.lit(last))).drop("_tie")
+
+
+def exact_split(df: DataFrame, key: Sequence[str], fractions: Sequence[tuple[str, float]], col: str = "split") -> DataFrame:
+    """T9 with exact row counts: rows in order of a hash of ``key`` (then ``key``) are cut so that what is left after each
+    label has ceil(n * its fraction) rows, as a two-way split with a test fraction leaves ceil(n * test)."""
+    n, left, cuts = df.count(), 1.0, []
+    for name, part in list(fractions)[:-1]:
+        left -= part
+        cuts.append((name, n - math.ceil(round(n * left, 9))))
+    text = F.concat_ws("-", *[F.col(k) for k in key])
+    rows = df.withColumn("_h", F.conv(F.substring(F.md5(text), 1, 15), 16, 10).cast("bigint"))
+    return _label_by_rank(rows, ["_h", *key], cuts, fractions[-1][0], col).drop("_h")
+
+
 def prefix_split(df: DataFrame, order_cols: Sequence[str], train_frac: float = 0.8,
                  col: str = "split") -> DataFrame:
-    """The first ``train_frac`` of the rows in ``order_cols`` order are
-    train, the rest eval.  Positions come from a distributed global sort."""
-    pos = global_position(df, order_cols, "_pos", total="_n")
-    cut = F.floor(F.lit(float(train_frac)) * F.col("_n"))
-    return pos.withColumn(col, F.when(F.col("_pos") < cut, "train").otherwise("eval")).drop("_pos", "_n")
+    """The first ``train_frac`` of the rows in ``order_cols`` order are train, the rest eval."""
+    cut = math.floor(float(train_frac) * df.count())
+    return _label_by_rank(df, list(order_cols), [("train", cut)], "eval", col)
 
 
 # --- P9-P13 --------------------------------------------------------------

@@ -15,13 +15,12 @@ one row per task to the exchange, not one row per rating.
 import math
 from collections.abc import Sequence
 
-import numpy as np
-import pandas as pd
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage, fits_broadcast, working_set
+from .nearest import nearest_items  # noqa: F401  (C9, J6)
 
 # Adam's default decay rates and epsilon of the optimiser the
 # reference trains with.
@@ -218,57 +217,6 @@ def recommend_unseen(scored: DataFrame, ratings: DataFrame, user: str, item: str
     return top_k(unseen, user, [F.col(score).desc(), F.col(item)], k)
 
 
-# --- C9 / J6: exact nearest item, blocked -------------------------------------
-
-def nearest_items(df: DataFrame, id_col: str, vec_cols: Sequence[str], block_rows: int = 2048) -> DataFrame:
-    """For every item the other item at the smallest squared distance
-    (lowest id on ties), exactly.
-
-    Items are hashed into B = ceil(n / block_rows) blocks.  Every block pair
-    (a, b) is one co-group: the query rows of block a meet the candidate
-    rows of block b inside one task, where numpy computes the distance block
-    and emits only each query row's best candidate.  Each row is shipped
-    2B times (n*B rows, never n^2) and no group holds more than two blocks;
-    a final min per id (map-side combined) picks the overall winner."""
-    n = df.count()
-    blocks = max(1, math.ceil(n / block_rows))
-    cols = list(vec_cols)
-    base = df.select(F.col(id_col).cast("long").alias("_id"), *[F.col(c).cast("double") for c in cols])
-    base = base.withColumn("_blk", F.pmod(F.xxhash64("_id"), F.lit(blocks)))
-    fan = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
-    queries = base.select(F.col("_blk").alias("_a"), fan.alias("_b"), "_id", *cols)
-    # the candidate side gets its own column names: two projections of one frame
-    # would otherwise share attribute ids, and the optimizer may prune one side
-    ccols = [f"_c{i}" for i in range(len(cols))]
-    cands = base.select(fan.alias("_a"), F.col("_blk").alias("_b"), F.col("_id").alias("_cid"),
-                        *[F.col(c).alias(n) for c, n in zip(cols, ccols)])
-
-    def best_in_pair(q: pd.DataFrame, c: pd.DataFrame) -> pd.DataFrame:
-        if q.empty or c.empty:
-            return pd.DataFrame({"_id": pd.Series([], dtype="int64"), "_nn": pd.Series([], dtype="int64"),
-                                 "_d": pd.Series([], dtype="float64")})
-        qa = q[cols].to_numpy(dtype=float)
-        ca = c[ccols].to_numpy(dtype=float)
-        d = np.zeros((len(qa), len(ca)))
-        for j in range(qa.shape[1]):
-            diff = qa[:, j:j + 1] - ca[None, :, j]
-            d += diff * diff
-        qid = q["_id"].to_numpy()
-        cid = c["_cid"].to_numpy()
-        d[qid[:, None] == cid[None, :]] = np.inf  # self excluded
-        order = np.argsort(cid, kind="stable")   # lowest id first, so argmin picks it on ties
-        d, cid = d[:, order], cid[order]
-        best = np.argmin(d, axis=1)
-        return pd.DataFrame({"_id": qid, "_nn": cid[best], "_d": d[np.arange(len(qid)), best]})
-
-    per_pair = queries.groupBy("_a", "_b").cogroup(cands.groupBy("_a", "_b")).applyInPandas(
-        best_in_pair, "_id long, _nn long, _d double")
-    per_pair = per_pair.where(F.col("_d") < F.lit(float("inf")))
-    best = per_pair.groupBy("_id").agg(F.min(F.struct("_d", "_nn")).alias("_m"))
-    return best.select(F.col("_id").alias(id_col), F.col("_m._nn").alias("nearest_id"),
-                       F.col("_m._d").alias("sq_dist"))
-
-
 # --- A8 / A9 / T13 --------------------------------------------------------------
 
 def genre_rollup(ratings: DataFrame, item_genres: DataFrame, item: str, genre: str, rating: str) -> DataFrame:

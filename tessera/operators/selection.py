@@ -1,10 +1,9 @@
-"""Model selection on moments.
+"""Model selection.
 
-A sweep never re-reads the data per candidate.  One grouped aggregate
-returns the moments of every split (train / cv / test) at the largest
-candidate feature set; each candidate is then a sub-block of those moments,
-scaled with the train statistics and solved on the driver, and its train and
-cv halved MSE are exact quadratic forms of the same moments.
+A sweep reads the data twice, however many candidates it has.  The first scan returns the train rows' moments at
+the largest candidate feature set; each candidate is a sub-block of them, scaled with the train statistics
+and solved on the driver.  The second carries the squared residuals of all candidates at once and gives their
+halved MSE on every split from the rows themselves, so an error is never negative and keeps its digits.
 """
 
 from __future__ import annotations
@@ -17,19 +16,19 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from . import moments as mo
-from .ordering import global_position
-from .prepare import poly_one
+from .ordering import at_or_before, order_statistics
+from .prepare import poly_one, zscore_transform
 
 
-def _fit_eval(train: mo.Moments, others: dict[str, mo.Moments], idx: Sequence[int], alpha: float | None):
+def _fit(train: mo.Moments, idx: Sequence[int], alpha: float | None):
+    """Weights for the features ``idx`` of ``train``, in their own units."""
     tr = train.select(idx)
     stats = mo.scaler_from(tr)
     trz = mo.standardize(tr, stats)
     w, b = mo.least_squares(trz) if alpha is None else mo.ridge(trz, alpha)
-    errs = {"train": mo.linear_cost(trz, w, b)}
-    for name, m in others.items():
-        errs[name] = mo.linear_cost(mo.standardize(m.select(idx), stats), w, b)
-    return w, b, errs
+    mu, sd = (np.array([stats[n][i] for n in tr.names[: tr.d]]) for i in (0, 1))
+    w = w / sd
+    return w, float(b - w @ mu)
 
 
 def _frame(spark: SparkSession, rows: list[tuple], names: list[str], types: list) -> DataFrame:
@@ -37,85 +36,113 @@ def _frame(spark: SparkSession, rows: list[tuple], names: list[str], types: list
     return spark.createDataFrame(rows, schema)
 
 
-def _best_flags(values: list[float]) -> list[int]:
-    best = int(np.argmin(values))
-    return [1 if i == best else 0 for i in range(len(values))]
+def _sweep_frame(spark: SparkSession, key: str, key_type, labels: list, errors: dict, baseline: float | None) -> DataFrame:
+    """One row per candidate: its errors on train, cv and test (null without such rows), the gaps cv - train (E13
+    variance) and train - baseline (E13 bias, null without a baseline), and 1 for the lowest cv error."""
+    train, cv = errors["train"], errors["cv"]
+    test = errors.get("test", [None] * len(labels))
+    best = int(np.argmin(cv))
+    rows = [(k, train[i], cv[i], test[i], cv[i] - train[i], None if baseline is None else train[i] - baseline, int(i == best))
+            for i, k in enumerate(labels)]
+    return _frame(spark, rows, [key, "train_mse_half", "cv_mse_half", "test_mse_half", "cv_minus_train", "train_minus_baseline", "is_best"],
+                  [key_type, *[T.DoubleType()] * 5, T.LongType()])
+
+
+def chebyshev(df: DataFrame, x: str, degree: int, lo: float, hi: float, prefix: str) -> DataFrame:
+    """Columns T_1(u) .. T_degree(u), u = x moved from [lo, hi] to [-1, 1]: they span the same polynomials as the
+    powers of x, without their near dependence at high degrees."""
+    names = [f"{prefix}{k}" for k in range(1, degree + 1)]
+    out = df.withColumn(names[0], (F.col(x) * 2.0 - F.lit(lo + hi)) / F.lit(hi - lo if hi > lo else 1.0))
+    for k in range(1, degree):
+        before = F.col(names[k - 2]) if k > 1 else F.lit(1.0)
+        out = out.withColumn(names[k], F.lit(2.0) * F.col(names[0]) * F.col(names[k - 1]) - before)
+    return out
 
 
 def degree_sweep(df: DataFrame, x: str, y: str, degrees: Sequence[int], split_col: str = "split",
-                 alpha: float | None = None) -> DataFrame:
-    """E6 (+E13 gap column): for each degree, x..x^d scaled with train stats,
-    least squares (or ridge) on train, halved MSE on train and cv; the
-    degree with the lowest cv error is flagged."""
+                 alpha: float | None = None, baseline: float | None = None) -> DataFrame:
+    """For each degree the polynomial of x fitted on train by least squares (or ridge on the z-scored powers),
+    with its halved MSE on train, cv and test, the gaps, and a flag for the degree with the lowest cv error.
+
+    Least squares is fitted in Chebyshev polynomials of x (same predictions, any degree)."""
     dmax = max(degrees)
-    poly = poly_one(df.select(split_col, x, y), x, dmax, prefix="_p")
     names = [f"_p{k}" for k in range(1, dmax + 1)]
-    ms = mo.compute_moments_by(poly, split_col, names, y)
-    rows = []
-    for d in degrees:
-        _, _, e = _fit_eval(ms["train"], {"cv": ms["cv"]}, list(range(d)), alpha)
-        rows.append((int(d), e["train"], e["cv"]))
-    flags = _best_flags([r[2] for r in rows])
-    out = [(d, tr, cv, cv - tr, f) for (d, tr, cv), f in zip(rows, flags)]
-    return _frame(df.sparkSession, out, ["degree", "train_mse_half", "cv_mse_half", "cv_minus_train", "is_best"],
-                  [T.LongType(), T.DoubleType(), T.DoubleType(), T.DoubleType(), T.LongType()])
+    rows = df.select(F.col(split_col).alias("split"), F.col(x).cast("double").alias("_x"), F.col(y).alias("_y"))
+    train = rows.where(F.col("split") == "train")
+    if alpha is None:
+        ends = train.agg(F.min("_x"), F.max("_x")).first()
+        feats = lambda d: chebyshev(d, "_x", dmax, ends[0], ends[1], "_p")
+    else:
+        feats = lambda d: poly_one(d, "_x", dmax, prefix="_p")
+    m = mo.compute_moments(feats(train), names, "_y")
+    models = [_fit(m, range(d), alpha) for d in degrees]
+    errors = mo.residual_costs(feats(rows), names, "_y", models, "split")
+    return _sweep_frame(df.sparkSession, "degree", T.LongType(), [int(d) for d in degrees], errors, baseline)
 
 
 def lambda_sweep(df: DataFrame, x: str, y: str, degree: int, lambdas: Sequence[float],
-                 split_col: str = "split") -> DataFrame:
+                 split_col: str = "split", baseline: float | None = None) -> DataFrame:
     """Ridge strength sweep at a fixed degree on the same moments."""
-    poly = poly_one(df.select(split_col, x, y), x, degree, prefix="_p")
     names = [f"_p{k}" for k in range(1, degree + 1)]
-    ms = mo.compute_moments_by(poly, split_col, names, y)
-    rows = []
-    for lam in lambdas:
-        _, _, e = _fit_eval(ms["train"], {"cv": ms["cv"]}, list(range(degree)), float(lam))
-        rows.append((float(lam), e["train"], e["cv"]))
-    flags = _best_flags([r[2] for r in rows])
-    out = [(lam, tr, cv, cv - tr, f) for (lam, tr, cv), f in zip(rows, flags)]
-    return _frame(df.sparkSession, out, ["reg_lambda", "train_mse_half", "cv_mse_half", "cv_minus_train", "is_best"],
-                  [T.DoubleType(), T.DoubleType(), T.DoubleType(), T.DoubleType(), T.LongType()])
+    rows = poly_one(df.select(F.col(split_col).alias("split"), F.col(x).alias("_x"), F.col(y).alias("_y")), "_x", degree, prefix="_p")
+    m = mo.compute_moments(rows.where(F.col("split") == "train"), names, "_y")
+    stats = mo.scaler_from(m)
+    models = [mo.ridge(mo.standardize(m, stats), float(lam)) for lam in lambdas]
+    errors = mo.residual_costs(zscore_transform(rows, stats), names, "_y", models, "split")
+    return _sweep_frame(df.sparkSession, "reg_lambda", T.DoubleType(), [float(v) for v in lambdas], errors, baseline)
 
 
 def feature_set_sweep(df: DataFrame, feature_sets: dict[str, Sequence[str]], y: str,
-                      split_col: str = "split") -> DataFrame:
+                      split_col: str = "split", baseline: float | None = None) -> DataFrame:
     """Compare feature lists; one moment pass over their union."""
     allf = []
     for fs in feature_sets.values():
         allf += [c for c in fs if c not in allf]
-    ms = mo.compute_moments_by(df.select(split_col, *allf, y), split_col, allf, y)
-    rows = []
-    for name, fs in feature_sets.items():
-        _, _, e = _fit_eval(ms["train"], {"cv": ms["cv"]}, [allf.index(c) for c in fs], None)
-        rows.append((name, e["train"], e["cv"]))
-    flags = _best_flags([r[2] for r in rows])
-    out = [(n, tr, cv, cv - tr, f) for (n, tr, cv), f in zip(rows, flags)]
-    return _frame(df.sparkSession, out, ["feature_set", "train_mse_half", "cv_mse_half", "cv_minus_train", "is_best"],
-                  [T.StringType(), T.DoubleType(), T.DoubleType(), T.DoubleType(), T.LongType()])
+    rows = df.select(F.col(split_col).alias("split"), *allf, F.col(y).alias("_y"))
+    m = mo.compute_moments(rows.where(F.col("split") == "train"), allf, "_y")
+    models = []
+    for fs in feature_sets.values():
+        w = np.zeros(len(allf))
+        at = [allf.index(c) for c in fs]
+        w[at], b = _fit(m, at, None)
+        models.append((w, b))
+    errors = mo.residual_costs(rows, allf, "_y", models, "split")
+    return _sweep_frame(df.sparkSession, "feature_set", T.StringType(), list(feature_sets), errors, baseline)
 
 
 def learning_curve(df: DataFrame, features: Sequence[str], y: str, order_cols: Sequence[str], steps: int = 10,
                    split_col: str = "split") -> DataFrame:
-    """E9 (+T11): fit on the first k/steps of the train rows (in order_cols
-    order), k = 1..steps; train error on that prefix, cv error on all cv rows.
+    """E9 (+T11): fit on the first k/steps of the train rows (in order_cols order), k = 1..steps; train error on that
+    prefix, cv error on all cv rows.
 
-    Train rows get a distributed global position; moments are aggregated
-    per prefix step (one grouped job) and merged cumulatively."""
+    The rows at the cuts are found as order statistics, without a full sort; rows then know their step by
+    comparison with the cut keys.  Rows that tie in all order columns are told apart by their place in the scan."""
     cols = list(features)
-    train = df.where(F.col(split_col) == "train").select(*dict.fromkeys([*order_cols, *cols, y]))
-    pos = global_position(train, order_cols, "_pos", total="_n")
-    step = F.floor(F.col("_pos") * F.lit(steps) / F.col("_n")).cast("int")
-    tr = pos.select(step.alias("_step"), *cols, y)
-    cvr = df.where(F.col(split_col) == "cv").select(F.lit(-1).alias("_step"), *cols, y)
-    parts = mo.compute_moments_by(tr.unionByName(cvr), "_step", cols, y)  # prefixes and cv in one job
-    cv = parts.pop(-1)
-    rows, acc = [], None
+    keep = list(dict.fromkeys([*order_cols, *cols, y]))
+    rows = df.where(F.col(split_col).isin("train", "cv")).select(F.col(split_col).alias("_split"), *keep, F.monotonically_increasing_id().alias("_tie"))
+    order = [*order_cols, "_tie"]
+    train = rows.where(F.col("_split") == "train")
+    n = train.count()
+    ranks = [-(-k * n // steps) for k in range(1, steps)]
+    cuts = order_statistics(train, order, ranks)
+    step = F.when(F.col("_split") == "cv", F.lit(-1))
+    for k, r in enumerate(ranks):
+        if r in cuts:
+            step = step.when(at_or_before(order, cuts[r]), F.lit(k))
+    parted = rows.select(step.otherwise(F.lit(steps - 1)).alias("_step"), *dict.fromkeys([*cols, y]))
+    parts = mo.compute_moments_by(parted.where("_step >= 0"), "_step", cols, y)
+    models, sizes, acc = [], [], None
     for k in range(steps):
         if k in parts:
             acc = parts[k] if acc is None else mo.merge(acc, parts[k])
-        _, _, e = _fit_eval(acc, {"cv": cv}, list(range(len(cols))), None)
-        rows.append((int(acc.n), e["train"], e["cv"]))
-    return _frame(df.sparkSession, rows, ["train_rows", "train_mse_half", "cv_mse_half"],
+        models.append(_fit(acc, range(len(cols)), None))
+        sizes.append(int(acc.n))
+    errors = mo.residual_costs(parted, cols, y, models, "_step")
+    out = []
+    for k in range(steps):
+        train_sse = sum(parts[s].n * errors[s][k] for s in range(k + 1) if s in parts)
+        out.append((sizes[k], train_sse / sizes[k], errors[-1][k]))
+    return _frame(df.sparkSession, out, ["train_rows", "train_mse_half", "cv_mse_half"],
                   [T.LongType(), T.DoubleType(), T.DoubleType()])
 
 

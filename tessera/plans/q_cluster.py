@@ -113,6 +113,22 @@ def covariance_matrix_q(spark, sf):
     return spark.createDataFrame(rows, "i long, j long, cov double")
 
 
+EMB_COV_SQL = """
+WITH e AS (SELECT vec_id, range AS i, CAST(embedding[range + 1] AS DOUBLE) AS x FROM embeddings, range(64))
+SELECT a.i, b.i AS j, round(covar_pop(a.x, b.x), 10) AS cov FROM e a JOIN e b ON a.vec_id = b.vec_id GROUP BY a.i, b.i
+"""
+
+
+@query("embedding_covariance", EMB_COV_SQL)
+def embedding_covariance(spark, sf):
+    """A10/A7 with many columns: covariance of all 64 embedding dimensions from batched products of centred rows."""
+    names = [f"e{i}" for i in range(64)]
+    emb = tbl(spark, sf, "embeddings").select(*array_cols("embedding", 64, "e"))
+    _, cov = an.covariance_matrix(emb, names)
+    rows = [(i, j, round(float(cov[i, j]), 10)) for i in range(64) for j in range(64)]
+    return spark.createDataFrame(rows, "i long, j long, cov double")
+
+
 THRESH_SQL = f"""
 WITH {_logp_diag_sql()},
 ptr AS (SELECT exp(-0.5 * 2 * ln(2 * pi()) - 0.5 * (ln(v0) + ln(v1))

@@ -10,7 +10,7 @@ from ..operators.evaluate import halved_mse_expr
 from ..operators.prepare import zscore, zscore_transform
 from .common import LI_ORDER, LI_X, LI_Y, long_table, tbl
 from .registry import query
-from .sqlgen import moments_select, ols_weights_sql
+from .sqlgen import moments_select, nested_ols_sql, ols_weights_sql
 
 # ---------------------------------------------------------------------------
 # Flagship: T1 z-score -> A7 moments -> M10 solve -> M1 score -> E1.
@@ -135,7 +135,7 @@ def linear_gradient_descent(spark, sf):
     li = tbl(spark, sf, "lineitem").select(*LI_X, (F.col(LI_Y) / 1000.0).alias("y"))
     z, _ = zscore(li, LI_X)
     w, b, _, hist = lin.fit_gradient_descent(z, LI_X, "y", [0.0] * 3, 0.0, GD_ALPHA, GD_ITERS)
-    rows = [(int(i), round(c, 6), *[round(x, 6) for x in ws], round(bb, 6)) for i, c, ws, bb in hist]
+    rows = [(int(i), round(c, 6), *[round(x, 6) for x in ws], round(bb, 6)) for i, c, ws, bb, _ in hist]
     schema = "iter long, cost double, " + ", ".join(f"w_{c} double" for c in LI_X) + ", b double"
     return spark.createDataFrame(rows, schema)
 
@@ -289,6 +289,39 @@ def degree_sweep_q(spark, sf):
     return _round_sweep(degree_sweep(split_lineitem(spark, sf), "l_quantity", "y", DEGREES), "degree")
 
 
+DEEP = 10
+BASELINE = 90.0  # a stated reference error, as a human level or a competing model's
+
+
+def _deep_sql() -> str:
+    names = [f"t{k}" for k in range(1, DEEP + 1)]
+    ctes = [f"base AS (SELECT {SPLIT_SQL} AS split, l_quantity AS x, {LI_Y} / 1000.0 AS y FROM lineitem)",
+            "ends AS (SELECT min(x) AS lo, max(x) AS hi FROM base WHERE split = 'train')",
+            "c1 AS (SELECT split, y, 1.0::DOUBLE AS t0, (x * 2.0 - (lo + hi)) / (hi - lo) AS t1 FROM base, ends)"]
+    ctes += [f"c{k} AS (SELECT *, 2.0 * t1 * t{k - 1} - t{k - 2} AS t{k} FROM c{k - 1})" for k in range(2, DEEP + 1)]
+    ctes.append(f"tr AS (SELECT * FROM c{DEEP} WHERE split = 'train')")
+    solve, w = nested_ols_sql("tr", names, "y")
+    pred = lambda d: " + ".join(f"w{d}_{i} * t{i + 1}" for i in range(d)) + f" + b{d}"
+    errs = [f"avg(power({pred(d)} - y, 2)) / 2 AS e{d}" for d in range(1, DEEP + 1)]
+    ctes += [*solve, f"e AS (SELECT split, {', '.join(errs)} FROM c{DEEP}, {w} GROUP BY split)",
+             "l AS (" + " UNION ALL ".join(f"SELECT {d}::BIGINT AS degree, split, e{d} AS err FROM e" for d in range(1, DEEP + 1)) + ")",
+             "p AS (SELECT degree, max(err) FILTER (split = 'train') AS tr, max(err) FILTER (split = 'cv') AS cv, "
+             "max(err) FILTER (split = 'test') AS te FROM l GROUP BY degree)"]
+    return ("WITH " + ",\n".join(ctes) + f"""
+SELECT degree, round(tr, 6) AS train_mse_half, round(cv, 6) AS cv_mse_half, round(te, 6) AS test_mse_half,
+       round(cv - tr, 6) AS cv_minus_train, round(tr - {BASELINE!r}, 6) AS train_minus_baseline,
+       CAST(CASE WHEN cv = min(cv) OVER () THEN 1 ELSE 0 END AS BIGINT) AS is_best FROM p""")
+
+
+@query("degree_sweep_deep", _deep_sql())
+def degree_sweep_deep(spark, sf):
+    """E6 + E13: degrees 1..10 of quantity fitted on train, errors on train, cv and test from one residual scan, the
+    variance gap and the gap to a baseline error, best by cv."""
+    from ..operators.selection import degree_sweep
+    out = degree_sweep(split_lineitem(spark, sf), "l_quantity", "y", range(1, DEEP + 1), baseline=BASELINE)
+    return out.select("degree", *[F.round(c, 6).alias(c) for c in out.columns[1:-1]], "is_best")
+
+
 @query("lambda_sweep", _sweep_sql(LAMBDAS, lambda l: [f"p{k}" for k in range(1, 5)], lambda l: l,
                                   "reg_lambda", lambda l: f"CAST({l!r} AS DOUBLE)"))
 def lambda_sweep_q(spark, sf):
@@ -342,6 +375,49 @@ def learning_curve_q(spark, sf):
     return out.select("train_rows", *[F.round(c, 6).alias(c) for c in ("train_mse_half", "cv_mse_half")])
 
 
+DECAY_ITERS, DECAY_POINTS, DECAY_ALPHA, DECAY_DIGITS = 205, 20, 0.5, 4
+
+
+def _decay_sql() -> str:
+    """The update unrolled as a recursion that carries alpha and the cost of the last progress point."""
+    from .sqlgen import cov_name
+    d, every = len(LI_X), -(-DECAY_ITERS // DECAY_POINTS)
+    err = " + ".join(f"w_{j} * m_{j}" for j in range(d)) + " + b - m_y"
+    upd = [f"w_{i} - alpha * (({' + '.join(f'{cov_name(i, j)} * w_{j}' for j in range(d))}) - c_{i}_y + m_{i} * ({err})) AS w_{i}"
+           for i in range(d)]
+    quad = " + ".join(f"w_{i} * w_{j} * {cov_name(i, j)}" for i in range(d) for j in range(d))
+    cost = f"0.5 * (({quad}) - 2 * ({' + '.join(f'w_{i} * c_{i}_y' for i in range(d))}) + c_y_y + power({err}, 2))"
+    ws = ", ".join(f"w_{i}" for i in range(d))
+    stats = ", ".join(f"avg({c}) AS mu_{c}, stddev_pop({c}) AS sd_{c}" for c in LI_X)
+    return f"""
+WITH RECURSIVE s AS (SELECT {stats} FROM lineitem),
+z AS (SELECT {", ".join(f"({c} - mu_{c}) / sd_{c} AS {c}" for c in LI_X)}, {LI_Y} / 1000.0 AS y FROM lineitem, s),
+m AS (SELECT {moments_select(LI_X, 'y')} FROM z),
+gd(it, {ws}, b, alpha, last, cost, used) AS (
+  SELECT -1, {', '.join('0.0::DOUBLE' for _ in range(d))}, 0.0::DOUBLE, {DECAY_ALPHA!r}::DOUBLE, NULL::DOUBLE, NULL::DOUBLE, NULL::DOUBLE
+  UNION ALL
+  SELECT it, {ws}, b, CASE WHEN it % {every} = 0 AND round(c, {DECAY_DIGITS}) = last THEN alpha / 10 ELSE alpha END,
+         CASE WHEN it % {every} = 0 THEN round(c, {DECAY_DIGITS}) ELSE last END, c, alpha
+  FROM (SELECT u.*, {cost} AS c FROM (SELECT it + 1 AS it, {', '.join(upd)}, b - alpha * ({err}) AS b, alpha, last
+                                      FROM gd, m WHERE it < {DECAY_ITERS - 1}) u, m))
+SELECT CAST(it AS BIGINT) AS iter, round(cost, 6) AS cost, {', '.join(f'round(w_{i}, 6) AS w_{c}' for i, c in enumerate(LI_X))},
+       round(b, 6) AS b, used AS alpha FROM gd WHERE it >= 0 AND (it % {every} = 0 OR it = {DECAY_ITERS - 1})
+"""
+
+
+@query("linear_gd_decay_path", _decay_sql())
+def linear_gd_decay_path(spark, sf):
+    """M8 + M9: gradient descent with 20 progress points; where the cost (4 decimals) is that of the point before, alpha
+    is divided by 10.  Cost, weights and the alpha used at every progress point and at the end."""
+    li = tbl(spark, sf, "lineitem").select(*LI_X, (F.col(LI_Y) / 1000.0).alias("y"))
+    z, _ = zscore(li, LI_X)
+    _, _, _, hist = lin.fit_gradient_descent(z, LI_X, "y", [0.0] * 3, 0.0, DECAY_ALPHA, DECAY_ITERS, 0.0, DECAY_POINTS, DECAY_DIGITS)
+    every = -(-DECAY_ITERS // DECAY_POINTS)
+    rows = [(int(i), round(c, 6), *[round(x, 6) for x in ws], round(b, 6), alpha) for i, c, ws, b, alpha in hist
+            if i % every == 0 or i == DECAY_ITERS - 1]
+    return spark.createDataFrame(rows, "iter long, cost double, " + ", ".join(f"w_{c} double" for c in LI_X) + ", b double, alpha double")
+
+
 @query("linear_gd_step_decay")
 def linear_gd_step_decay(spark, sf):
     """M8 + M9: 400 gradient-descent steps on z-scored features with 40 progress points; at a progress point

@@ -139,7 +139,7 @@ def polynomial_features(spark, sf):
     """T1 z-score, then T6 one-variable powers x..x^6 and T7 two-variable map (27 monomials at degree 6), averaged over all rows."""
     li = z3(spark, sf)
     p = pr.poly_one(li, "q", 6, prefix="pow_")
-    p = pr.map_feature(p, "d", "x", 6, prefix="map_")
+    p, _ = pr.poly_features(p, ["d", "x"], 6, prefix="map_")
     names = [f"pow_{k}" for k in range(1, 7)] + [f"map_{k}" for k in range(27)]
     one = p.agg(*[F.avg(n).alias(n) for n in names])
     return one.select(F.inline(F.array(*[F.struct(F.lit(n).alias("term"), rnd(n, 8).alias("value")) for n in names])))
@@ -199,12 +199,40 @@ SELECT CASE WHEN pos < CAST(floor(0.8 * n) AS BIGINT) THEN 'train' ELSE 'eval' E
 
 @query("prefix_split", PREFIX_SQL)
 def prefix_split_q(spark, sf):
-    """First 80% of the rows in key order are train (distributed global positions), the rest eval."""
+    """First 80% of the rows in key order are train (the cut key is an order statistic), the rest eval."""
     li = tbl(spark, sf, "lineitem")
     s = pr.prefix_split(li, LI_ORDER, 0.8)
     return s.groupBy("split").agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("l_quantity"), 4).alias("sum_qty"))
 
 
+EXACT_SQL = f"""
+WITH o AS (SELECT l_quantity, {', '.join(c for c in LI_ORDER if c != 'l_quantity')},
+                  ('0x' || substr(md5(concat_ws('-', l_orderkey, l_linenumber)), 1, 15))::BIGINT AS h FROM lineitem),
+r AS (SELECT *, row_number() OVER (ORDER BY h, l_orderkey, l_linenumber, {', '.join(LI_ORDER)}) AS rn, count(*) OVER () AS n FROM o),
+s AS (SELECT 'two_way' AS scheme, CASE WHEN rn <= n - CAST(ceil(n * 33 / 100.0) AS BIGINT) THEN 'train' ELSE 'test' END AS split, * FROM r
+  UNION ALL
+  SELECT 'three_way', CASE WHEN rn <= n - CAST(ceil(n * 40 / 100.0) AS BIGINT) THEN 'train'
+                           WHEN rn <= n - CAST(ceil(n * 20 / 100.0) AS BIGINT) THEN 'cv' ELSE 'test' END, * FROM r)
+SELECT scheme, split, count(*) AS n, max(h) AS last_hash, count(DISTINCT l_orderkey) AS n_orders FROM s GROUP BY scheme, split
+"""
+
+
+@query("exact_splits", EXACT_SQL)
+def exact_splits(spark, sf):
+    """Splits with exact row counts (test of 33%, and 60/20/20) in hash order, cut at order statistics."""
+    li = tbl(spark, sf, "lineitem")
+    parts = [("two_way", [("train", .67), ("test", .33)]), ("three_way", [("train", .6), ("cv", .2), ("test", .2)])]
+    text = F.concat_ws("-", "l_orderkey", "l_linenumber")
+    hashed = F.conv(F.substring(F.md5(text), 1, 15), 16, 10).cast("bigint")
+    out = None
+    for scheme, fractions in parts:
+        s = pr.exact_split(li, ["l_orderkey", "l_linenumber"], fractions).groupBy("split").agg(
+            F.count(F.lit(1)).alias("n"), F.max(hashed).alias("last_hash"), F.count_distinct("l_orderkey").alias("n_orders"))
+        s = s.select(F.lit(scheme).alias("scheme"), "split", "n", "last_hash", "n_orders")
+        out = s if out is None else out.unionByName(s)
+    return out
+
+
 # --- P1-P4, P7, P8 --------------------------------------------------------------
 
 PROJ_SQL = f"""

@@ -61,3 +61,25 @@ def ols_weights_sql(d: int, ridge_alpha: float | None = None) -> list[str]:
              for i in range(d)]
         rhs = [f"n * c_{i}_y" for i in range(d)]
     return cramer_sql(a, rhs)
+
+
+def nested_ols_sql(src: str, xs: list[str], y: str, tag: str = "g") -> tuple[list[str], str]:
+    """CTEs that eliminate the normal equations of y on xs, and the name of a one-row CTE with the weights
+    ``w{d}_{i}`` and intercept ``b{d}`` of every nested model on the first d columns."""
+    d = len(xs)
+    ctes = [f"{tag}m AS (SELECT {moments_select(xs, y)} FROM {src})"]
+    first = [f"{cov_name(i, j)} AS a_{i}_{j}" for i in range(d) for j in range(i, d)] + [f"c_{i}_y AS r_{i}" for i in range(d)]
+    ctes.append(f"{tag}0 AS (SELECT n, m_y, {', '.join(f'm_{i}' for i in range(d))}, {', '.join(first)} FROM {tag}m)")
+    for k in range(d - 1):  # rows below k lose their k-th entry; rows up to k are done
+        cols = [f"a_{i}_{j}" if i <= k else f"a_{i}_{j} - a_{k}_{i} / a_{k}_{k} * a_{k}_{j} AS a_{i}_{j}"
+                for i in range(d) for j in range(i, d)]
+        cols += [f"r_{i}" if i <= k else f"r_{i} - a_{k}_{i} / a_{k}_{k} * r_{k} AS r_{i}" for i in range(d)]
+        ctes.append(f"{tag}{k + 1} AS (SELECT n, m_y, {', '.join(f'm_{i}' for i in range(d))}, {', '.join(cols)} FROM {tag}{k})")
+    out = []
+    for size in range(1, d + 1):
+        for i in reversed(range(size)):
+            rest = "".join(f" - a_{i}_{j} * w{size}_{j}" for j in range(i + 1, size))
+            out.append(f"(r_{i}{rest}) / a_{i}_{i} AS w{size}_{i}")
+        out.append("m_y" + "".join(f" - w{size}_{i} * m_{i}" for i in range(size)) + f" AS b{size}")
+    ctes.append(f"{tag}w AS (SELECT {', '.join(out)} FROM {tag}{d - 1})")
+    return ctes, f"{tag}w"
