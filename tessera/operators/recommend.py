@@ -12,21 +12,14 @@ grouped aggregates with map-side partial sums, so a hot user or item adds
 one row per task to the exchange, not one row per rating.
 """
 
-import math
 from collections.abc import Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import cut_lineage, fits_broadcast, working_set
+from .factors import ADAM_B1, ADAM_B2, ADAM_EPS, recommend_all, train_factors  # noqa: F401  (C2-C4)
 from .nearest import nearest_items  # noqa: F401  (C9, J6)
 
-# Adam's default decay rates and epsilon of the optimiser the
-# reference trains with.
-ADAM_B1, ADAM_B2, ADAM_EPS = 0.9, 0.999, 1e-7
-
-
 def hash_unit(*parts) -> Column:
     """Deterministic U[0,1) from md5 of the parts joined by '-'; portable to any
     engine with md5 (first 32 bits / 2^32)."""
@@ -90,92 +83,7 @@ def cofi_cost(ratings: DataFrame, items: DataFrame, users: DataFrame, user: str,
     return 0.5 * sse + lam / 2.0 * (w2 + x2)
 
 
-# --- C2: training by gradient steps -------------------------------------------
-
-def _sq_norm(names: list[str]) -> Column:
-    return sum((F.col(c) * F.col(c) for c in names[1:]), F.col(names[0]) * F.col(names[0]))
-
-
-def _adam_update(fac: DataFrame, grads: DataFrame, key: str, names: list[str], grad_cols: dict, lam_for: dict,
-                 lr: float, t: int, carry: dict) -> DataFrame:
-    """One Keras-style Adam step on the columns ``names`` of a factor table.
-    ``carry`` columns (computed from the old values and the gradient row) are
-    kept next to the updated table for the caller's bookkeeping."""
-    alpha = lr * math.sqrt(1 - ADAM_B2 ** t) / (1 - ADAM_B1 ** t)
-    j = fac.join(grads, key, "left").withColumns(carry)
-    cols = {}
-    for c in names:
-        g = F.coalesce(F.col(grad_cols[c]), F.lit(0.0)) + F.lit(lam_for[c]) * F.col(c)
-        cols[f"m_{c}"] = F.col(f"m_{c}") + (g - F.col(f"m_{c}")) * F.lit(1 - ADAM_B1)
-        cols[f"v_{c}"] = F.col(f"v_{c}") + (g * g - F.col(f"v_{c}")) * F.lit(1 - ADAM_B2)
-    j = j.withColumns(cols)
-    j = j.withColumns({c: F.col(c) - F.lit(alpha) * F.col(f"m_{c}") / (F.sqrt(F.col(f"v_{c}")) + F.lit(ADAM_EPS))
-                       for c in names})
-    return j.select(*fac.columns, *carry)
-
-
-def _gd_update(fac: DataFrame, grads: DataFrame, key: str, names: list[str], grad_cols: dict, lam_for: dict,
-               lr: float, carry: dict) -> DataFrame:
-    j = fac.join(grads, key, "left").withColumns(carry)
-    j = j.withColumns({c: F.col(c) - F.lit(lr) * (F.coalesce(F.col(grad_cols[c]), F.lit(0.0))
-                                                    + F.lit(lam_for[c]) * F.col(c)) for c in names})
-    return j.select(*fac.columns, *carry)
-
-
-def train_factors(ratings: DataFrame, items: DataFrame, users: DataFrame, user: str, item: str, rating: str,
-                  k: int, lam: float, lr: float, iters: int, optimizer: str = "adam",
-                  checkpoint_every: int = 5):
-    """Gradient steps on C1.  Each step: join ratings to both factor
-    tables (J8), per-user and per-item gradient sums (grouped aggregates),
-    then an optimiser update joined back onto the factor tables.  Two jobs
-    per step: each materialises one updated factor table and, in the same
-    pass, sums the old squared norms (and the squared errors, carried in the
-    per-user gradient rows) for the cost.  Lineage is cut every
-    ``checkpoint_every`` steps with a reliable checkpoint.
-
-    Returns (items, users, history) with history = [(step, cost before step)]."""
-    fnames = [f"f_{j}" for j in range(k)]
-    unames = fnames + ["b"]
-    ratings = working_set(ratings.select(user, item, rating))
-    # factor tables keep their row counts across steps: one count each proves their size
-    small = fits_broadcast(items.count(), k + 1) and fits_broadcast(users.count(), k + 2)
-    if optimizer == "adam":
-        items = items.withColumns({f"{p}_{c}": F.lit(0.0) for c in fnames for p in ("m", "v")})
-        users = users.withColumns({f"{p}_{c}": F.lit(0.0) for c in unames for p in ("m", "v")})
-    history = []
-    held: list[DataFrame] = []  # persisted factor tables of the previous step
-    ulam = {c: lam for c in fnames} | {"b": 0.0}
-    ilam = {c: lam for c in fnames}
-    gcols = {c: f"g_{c}" for c in unames}
-    for t in range(1, iters + 1):
-        j = joined_predictions(ratings, items, users, user, item, rating, k, small).persist(StorageLevel.MEMORY_AND_DISK)
-        gu = j.groupBy(user).agg(*[F.sum(F.col("err") * F.col(f"x_{q}")).alias(f"g_f_{q}") for q in range(k)],
-                                 F.sum("err").alias("g_b"), F.sum(F.col("err") * F.col("err")).alias("_sse"))
-        gi = j.groupBy(item).agg(*[F.sum(F.col("err") * F.col(f"w_{q}")).alias(f"g_f_{q}") for q in range(k)])
-        ucarry = {"_old_sq": _sq_norm(fnames), "_sse": F.coalesce(F.col("_sse"), F.lit(0.0))}
-        icarry = {"_old_sq": _sq_norm(fnames)}
-        if optimizer == "adam":
-            users_n = _adam_update(users, gu, user, unames, gcols, ulam, lr, t, ucarry)
-            items_n = _adam_update(items, gi, item, fnames, gcols, ilam, lr, t, icarry)
-        else:
-            users_n = _gd_update(users, gu, user, unames, gcols, ulam, lr, ucarry)
-            items_n = _gd_update(items, gi, item, fnames, gcols, ilam, lr, icarry)
-        if t % checkpoint_every == 0 or t == iters:
-            users_n, items_n = cut_lineage(users_n), cut_lineage(items_n)
-        else:
-            users_n = users_n.persist(StorageLevel.MEMORY_AND_DISK)
-            items_n = items_n.persist(StorageLevel.MEMORY_AND_DISK)
-        us_row = users_n.agg(F.sum("_old_sq").alias("w2"), F.sum("_sse").alias("sse")).first()
-        x2 = items_n.agg(F.sum("_old_sq")).first()[0] or 0.0
-        history.append((t - 1, 0.5 * (us_row["sse"] or 0.0) + lam / 2.0 * ((us_row["w2"] or 0.0) + x2)))
-        j.unpersist()
-        for f in held:
-            f.unpersist()
-        held = [users_n, items_n]
-        users, items = users_n.drop("_old_sq", "_sse"), items_n.drop("_old_sq")
-    ratings.unpersist()
-    return items.select(item, *fnames), users.select(user, *unames), history
-
+# --- C2: training by gradient steps is in factors.py ---------------------------
 
 def ml_als(ratings: DataFrame, user: str, item: str, rating: str, rank: int = 10, reg: float = 0.1,
            iters: int = 10, seed: int = 1):

@@ -9,11 +9,14 @@ parts.  Factors start from md5-hashed values of the id (portable).
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 from pyspark.sql import functions as F
 
 from ..functions.core import array_dot, l2_normalize
 from ..operators import recommend as rc
+from ..operators.factors import ADAM_B1, ADAM_B2, ADAM_EPS
 from ..operators import dense as dn
 from ..operators.prepare import minmax_inverse
 from ..session import cut_lineage
@@ -116,31 +119,30 @@ def cofi_cost_q(spark, sf):
 K2, STEPS, LR, LAM = 3, 3, 0.1, 1.0
 
 
-def _train_sql() -> str:
-    import math
-    from ..operators.recommend import ADAM_B1, ADAM_B2, ADAM_EPS
-    fn = [f"f_{j}" for j in range(K2)]
+def _train_sql(k: int, steps: int, digits: int) -> str:
+    """Every step unrolled; each step's tables are materialised, as the next one reads them more than once."""
+    fn = [f"f_{j}" for j in range(k)]
     un = fn + ["b"]
-    sq = " + ".join(f"f_{j} * f_{j}" for j in range(K2))
+    sq = " + ".join(f"f_{j} * f_{j}" for j in range(k))
     parts = [RATINGS_SQL,
              "mean AS (SELECT item_id, avg(rating) AS item_mean FROM ratings GROUP BY item_id)",
-             "rn AS (SELECT r.user_id, r.item_id, r.rating - m.item_mean AS y FROM ratings r JOIN mean m "
+             "rn AS MATERIALIZED (SELECT r.user_id, r.item_id, r.rating - m.item_mean AS y FROM ratings r JOIN mean m "
              "ON r.item_id = m.item_id)",
-             _factor_sql("it0r", "part", "p_partkey", "item_id", "x", K2, False),
-             _factor_sql("us0r", "customer", "c_custkey", "user_id", "w", K2, True),
+             _factor_sql("it0r", "part", "p_partkey", "item_id", "x", k, False),
+             _factor_sql("us0r", "customer", "c_custkey", "user_id", "w", k, True),
              "it0 AS (SELECT *, " + ", ".join(f"0.0::DOUBLE AS m_{c}, 0.0::DOUBLE AS v_{c}" for c in fn) + " FROM it0r)",
              "us0 AS (SELECT *, " + ", ".join(f"0.0::DOUBLE AS m_{c}, 0.0::DOUBLE AS v_{c}" for c in un) + " FROM us0r)"]
     costs = []
-    for t in range(1, STEPS + 1):
+    for t in range(1, steps + 1):
         p = t - 1
         alpha = LR * math.sqrt(1 - ADAM_B2 ** t) / (1 - ADAM_B1 ** t)
-        dotx = " + ".join(f"i.f_{j} * u.f_{j}" for j in range(K2))
-        parts.append(f"j{t} AS (SELECT r.user_id, r.item_id, {', '.join(f'i.f_{j} AS x_{j}, u.f_{j} AS w_{j}' for j in range(K2))}, "
+        dotx = " + ".join(f"i.f_{j} * u.f_{j}" for j in range(k))
+        parts.append(f"j{t} AS MATERIALIZED (SELECT r.user_id, r.item_id, {', '.join(f'i.f_{j} AS x_{j}, u.f_{j} AS w_{j}' for j in range(k))}, "
                      f"({dotx} + u.b - r.y) AS err FROM rn r JOIN it{p} i ON r.item_id = i.item_id "
                      f"JOIN us{p} u ON r.user_id = u.user_id)")
-        parts.append(f"gu{t} AS (SELECT user_id, {', '.join(f'sum(err * x_{j}) AS g_f_{j}' for j in range(K2))}, "
+        parts.append(f"gu{t} AS (SELECT user_id, {', '.join(f'sum(err * x_{j}) AS g_f_{j}' for j in range(k))}, "
                      f"sum(err) AS g_b FROM j{t} GROUP BY user_id)")
-        parts.append(f"gi{t} AS (SELECT item_id, {', '.join(f'sum(err * w_{j}) AS g_f_{j}' for j in range(K2))} "
+        parts.append(f"gi{t} AS (SELECT item_id, {', '.join(f'sum(err * w_{j}) AS g_f_{j}' for j in range(k))} "
                      f"FROM j{t} GROUP BY item_id)")
         parts.append(f"c{t} AS (SELECT {p} AS iter, 0.5 * (SELECT sum(err * err) FROM j{t}) + {LAM!r} / 2 * "
                      f"((SELECT sum({sq}) FROM us{p}) + (SELECT sum({sq}) FROM it{p})) AS cost)")
@@ -154,19 +156,19 @@ def _train_sql() -> str:
                          f"FROM {side}{p} s LEFT JOIN {g}{t} g ON s.{key} = g.{key})")
             upd = ", ".join(f"{c} - {alpha!r} * m_{c} / (sqrt(v_{c}) + {ADAM_EPS!r}) AS {c}" for c in names)
             keep = ", ".join(f"m_{c}, v_{c}" for c in names)
-            parts.append(f"{side}{t} AS (SELECT {key}, {upd}, {keep} FROM {side}{t}a)")
-    final_i = f"it{STEPS}"
-    final_u = f"us{STEPS}"
+            parts.append(f"{side}{t} AS MATERIALIZED (SELECT {key}, {upd}, {keep} FROM {side}{t}a)")
+    final_i = f"it{steps}"
+    final_u = f"us{steps}"
     return ("WITH " + ",\n".join(parts) + "\n" + " UNION ALL ".join(
-        f"SELECT CAST(iter AS BIGINT) AS iter, round(cost, 6) AS cost FROM c{t}" for t in range(1, STEPS + 1))
-        + f" UNION ALL SELECT {STEPS}::BIGINT, round(0.5 * (SELECT sum(power("
-        + " + ".join(f"i.f_{j} * u.f_{j}" for j in range(K2))
+        f"SELECT CAST(iter AS BIGINT) AS iter, round(cost, {digits}) AS cost FROM c{t}" for t in range(1, steps + 1))
+        + f" UNION ALL SELECT {steps}::BIGINT, round(0.5 * (SELECT sum(power("
+        + " + ".join(f"i.f_{j} * u.f_{j}" for j in range(k))
         + f" + u.b - r.y, 2)) FROM rn r JOIN {final_i} i ON r.item_id = i.item_id JOIN {final_u} u "
           f"ON r.user_id = u.user_id) + {LAM!r} / 2 * ((SELECT sum({sq}) FROM {final_u}) + (SELECT sum({sq}) "
-          f"FROM {final_i})), 6)")
+          f"FROM {final_i})), {digits})")
 
 
-@query("cofi_train", _train_sql())
+@query("cofi_train", _train_sql(K2, STEPS, 6))
 def cofi_train(spark, sf):
     """C2 + T12: Adam steps on the C1 objective over mean-normalised ratings; cost before each step and after the last."""
     items, users = factors(spark, sf, K2)
@@ -180,6 +182,21 @@ def cofi_train(spark, sf):
     return spark.createDataFrame(rows, "iter long, cost double")
 
 
+K16, STEPS16 = 16, 20
+
+
+@query("cofi_train_16", _train_sql(K16, STEPS16, 3))
+def cofi_train_16(spark, sf):
+    """C2 + T12: twenty Adam steps with 16 factors in blocks of users and items; cost before each step and after the last."""
+    items, users = factors(spark, sf, K16)
+    rn = cut_lineage(rc.normalize_ratings(ratings_frame(spark, sf), "item_id", "rating").select(
+        "user_id", "item_id", F.col("rating_norm").alias("y")))
+    it, us, hist = rc.train_factors(rn, items, users, "user_id", "item_id", "y", K16, LAM, LR, STEPS16)
+    final = rc.cofi_cost(rn, it, us, "user_id", "item_id", "y", K16, LAM)
+    rows = [(i, round(c, 3)) for i, c in hist] + [(STEPS16, round(final, 3))]
+    return spark.createDataFrame(rows, "iter long, cost double")
+
+
 # --- C3 / C4 / C5 / C6 -------------------------------------------------------------
 
 def scored_requested(spark, sf):
@@ -189,7 +206,8 @@ def scored_requested(spark, sf):
     urows = [row.asDict() for row in ufac.where(F.col("user_id").isin(users)).collect()]
     means = rc.item_means(r, "item_id", "rating")
     it = items.join(means, "item_id", "left")
-    return r, rc.score_users(it, "item_id", urows, K1, item_mean="item_mean")
+    # of the ratings only the requested users' are needed from here on
+    return r.where(F.col("user_id").isin(users)), rc.score_users(it, "item_id", urows, K1, item_mean="item_mean")
 
 
 SCORE_BASE = f"""{RATINGS_SQL}, {TOPU_SQL},
@@ -220,6 +238,29 @@ def recommend_unseen(spark, sf):
                                              rnd("score", 6).alias("score"))
 
 
+RECO_ALL_SQL = f"""
+WITH {RATINGS_SQL},
+{_factor_sql('it', 'part', 'p_partkey', 'item_id', 'x', K1, False)},
+{_factor_sql('us', 'customer', 'c_custkey', 'user_id', 'w', K1, True)},
+mean AS (SELECT item_id, avg(rating) AS item_mean FROM ratings GROUP BY item_id),
+sc AS (SELECT u.user_id, i.item_id, {' + '.join(f'i.f_{j} * u.f_{j}' for j in range(K1))} + u.b + coalesce(m.item_mean, 0.0) AS score
+       FROM it i LEFT JOIN mean m ON m.item_id = i.item_id CROSS JOIN us u),
+un AS (SELECT sc.* FROM sc ANTI JOIN ratings r ON r.user_id = sc.user_id AND r.item_id = sc.item_id)
+SELECT user_id, row_number() OVER (PARTITION BY user_id ORDER BY score DESC, item_id) AS rank, item_id, round(score, 6) AS score
+FROM un QUALIFY rank <= 5
+"""
+
+
+@query("recommend_all_users", RECO_ALL_SQL)
+def recommend_all_users(spark, sf):
+    """C3/C4 for every user: scores (+ item mean) by blocks of users and items, the best five unrated items of each."""
+    r = ratings_frame(spark, sf, materialize=True)
+    items, users = factors(spark, sf, K1)
+    items = items.join(rc.item_means(r, "item_id", "rating").select("item_id", "item_mean"), "item_id", "left")
+    top = rc.recommend_all(r, items, users, "user_id", "item_id", K1, 5, "item_mean")
+    return top.select("user_id", F.col("rank").cast("long").alias("rank"), "item_id", rnd("score", 6).alias("score"))
+
+
 ORIG_SQL = f"""
 WITH {SCORE_BASE}
 SELECT sc.user_id, sc.item_id, round(r.rating, 6) AS rating, round(sc.score, 6) AS predicted

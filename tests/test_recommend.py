@@ -39,7 +39,7 @@ def _np_cost(x, w, b, y, r, lam):
 def test_gradient_steps_lower_cost_and_match_numpy(spark):
     r, it, us = _tables(spark)
     it2, us2, hist = rc.train_factors(r, it, us, "user_id", "item_id", "rating", 4, 1.0, 0.01, 3, optimizer="gd",
-                                      checkpoint_every=2)
+                                      block_rows=2, piece_rows=1)
     x, w, b = np.array(X_R), np.array(W_R), np.array(B_R)
     y, m = np.array(Y_R), np.array(R_R)
     for _ in range(3):
@@ -52,6 +52,56 @@ def test_gradient_steps_lower_cost_and_match_numpy(spark):
     assert hist[0][1] == pytest.approx(_np_cost(np.array(X_R), np.array(W_R), np.array(B_R), y, m, 1.0))
 
 
+@pytest.mark.parametrize("block_rows,piece_rows", [(16_384, 100_000), (7, 5)])
+def test_blocked_training_matches_dense_adam(spark, block_rows, piece_rows):
+    rng = np.random.default_rng(3)
+    nu, ni, k, lam, lr = 30, 20, 4, 0.7, 0.05
+    y = rng.normal(size=(ni, nu)) * 2
+    m = rng.random((ni, nu)) < 0.2
+    m[3], m[:, 7] = True, True  # a hot item, a hot user
+    m[5], m[:, 9] = False, False  # and none
+    x, w, b = rng.normal(size=(ni, k)), rng.normal(size=(nu, k)), rng.normal(size=nu)
+    r = spark.createDataFrame([(u, f"i{i:02}", float(y[i, u])) for i in range(ni) for u in range(nu) if m[i, u]] + [(99, "i00", 1.0), (0, "zz", 1.0), (9, "i05", None)],
+                              "user_id long, item_id string, rating double").repartition(3)
+    it = spark.createDataFrame([(f"i{i:02}", *map(float, x[i])) for i in range(ni)], ["item_id"] + [f"f_{j}" for j in range(k)])
+    us = spark.createDataFrame([(u, *map(float, w[u]), float(b[u])) for u in range(nu)], ["user_id"] + [f"f_{j}" for j in range(k)] + ["b"])
+    it2, us2, hist = rc.train_factors(r, it, us, "user_id", "item_id", "rating", k, lam, lr, 6, block_rows=block_rows, piece_rows=piece_rows)
+    state = {n: (np.zeros_like(v), np.zeros_like(v)) for n, v in (("x", x), ("w", w), ("b", b))}
+    for t in range(1, 7):
+        assert hist[t - 1][1] == pytest.approx(_np_cost(x, w, b, y, m, lam), rel=1e-12)
+        e = (x @ w.T + b - y) * m
+        grads = {"x": e @ w + lam * x, "w": e.T @ x + lam * w, "b": e.sum(0)}
+        new = {}
+        for n, v in (("x", x), ("w", w), ("b", b)):
+            a, s = state[n]
+            a = a + (grads[n] - a) * 0.1
+            s = s + (grads[n] ** 2 - s) * (1 - 0.999)
+            state[n] = (a, s)
+            new[n] = v - lr * np.sqrt(1 - 0.999 ** t) / (1 - 0.9 ** t) * a / (np.sqrt(s) + 1e-7)
+        x, w, b = new["x"], new["w"], new["b"]
+    got = np.array([[row[f"f_{j}"] for j in range(k)] for row in it2.orderBy("item_id").collect()])
+    assert np.allclose(got, x, rtol=1e-9, atol=1e-9)
+    assert np.allclose([row["b"] for row in us2.orderBy("user_id").collect()], b, rtol=1e-9, atol=1e-9)
+
+
+def test_recommend_all_matches_dense_scores(spark):
+    rng = np.random.default_rng(5)
+    x, w, b = rng.integers(0, 3, (40, 2)).astype(float), rng.integers(-1, 2, (25, 2)).astype(float), rng.integers(0, 2, 25).astype(float)
+    off = [None if i % 7 == 0 else float(i % 3) for i in range(40)]
+    rated = {(u, i) for u in range(25) for i in range(40) if u == 4 or i == 6 or (u * i) % 5 == 1}
+    it = spark.createDataFrame([(i, *map(float, x[i]), off[i]) for i in range(40)], "item_id long, f_0 double, f_1 double, off double")
+    us = spark.createDataFrame([(u, *map(float, w[u]), float(b[u])) for u in range(25)], "user_id long, f_0 double, f_1 double, b double")
+    r = spark.createDataFrame(list(rated), "user_id long, item_id long")
+    for block_rows in (6, 1000):
+        got = rc.recommend_all(r, it, us, "user_id", "item_id", 2, 5, "off", block_rows=block_rows, step=3).collect()
+        have = {(g.user_id, g.rank): (g.item_id, g.score) for g in got}
+        want = {}
+        for u in range(25):
+            scores = sorted((-(x[i] @ w[u] + b[u] + (off[i] or 0.0)), i) for i in range(40) if (u, i) not in rated)
+            want |= {(u, n + 1): (i, -s) for n, (s, i) in enumerate(scores[:5])}
+        assert have == want and not any(u == 4 for u, _ in have)
+
+
 def test_nearest_items_blocked_equals_brute_force(spark):
     rng = np.random.default_rng(2)
     v = rng.integers(0, 4, size=(60, 3)).astype(float)  # integer grid: many exact ties
