@@ -1,25 +1,26 @@
 """Decision trees on binary features.
 
-The level-wise builder reads the data once per level: a single grouped
-aggregate by node returns, for every node of the level and every feature,
-the counts needed for information gain (node size, positives, left size,
-left positives).  Rows are never multiplied per feature and the output of
-the aggregate has one row per node, i.e. at most 2^depth rows.  The split
-decision (best feature per node) is applied back to the rows as a literal
-map from node id to feature, so routing rows to children is a projection.
+Rows with the same features differ only in their labels, so they are first
+grouped into patterns with counts; a hot pattern is one row per task.  The builder
+then works level by level on the patterns.  A level's statistics are in long form, one
+row per (node, feature), so neither plan nor driver grows with the number of
+features; the best split of a node is the first row of a window, and patterns
+are routed to children by a join with the (written) splits of the levels
+above, so that no copy of the rows is kept per level.
+
+Boosting (D8) runs such a tree per round over a running score column, with
+the validation error of every round and patience.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
-from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from ..session import working_set
+from ..session import cut_lineage
 
 
 def entropy(p: float) -> float:
@@ -50,71 +51,161 @@ def best_split(gains: Sequence[float]) -> int:
     return best
 
 
-def split_stats(df: DataFrame, features: Sequence[str], label: str, node: str = "node_id") -> list:
-    """D3 statistics of every node of a level in one aggregate."""
-    y = F.col(label).cast("long")
-    exprs = [F.count(F.lit(1)).alias("n"), F.sum(y).alias("n1")]
-    for j, f in enumerate(features):
-        fv = F.col(f).cast("long")
-        exprs += [F.sum(fv).alias(f"l{j}"), F.sum(fv * y).alias(f"l1_{j}")]
-    return df.groupBy(node).agg(*exprs).collect()
+def patterns(df: DataFrame, features: Sequence[str], sums: dict[str, Column]) -> DataFrame:
+    """One row per distinct combination of the features, as array ``f`` of 0 and 1, with sums over its rows."""
+    f = F.array(*[F.coalesce(F.col(c).cast("int"), F.lit(0)) for c in features])
+    rows = df.select(f.alias("f"), *[c.cast("double").alias(n) for n, c in sums.items()])
+    return rows.groupBy("f").agg(*[F.sum(n).alias(n) for n in sums])
 
 
-def route(node: Column, features: Sequence[str], decisions: dict[int, int]) -> Column:
-    """Child id 2*node (feature == 1, left) or 2*node + 1 (right)."""
-    fmap = F.create_map(*[x for k, v in decisions.items() for x in (F.lit(k), F.lit(v))])
-    feat = F.element_at(fmap, node)
-    value = F.element_at(F.array(*[F.col(f).cast("int") for f in features]), feat + 1)
-    return node * 2 + F.when(value == 1, 0).otherwise(1)
+def _entropy_col(part: Column, whole: Column) -> Column:
+    p = part / whole
+    return F.when((part <= 0) | (part >= whole), F.lit(0.0)).otherwise(-p * F.log2(p) - (1 - p) * F.log2(1 - p))
 
 
-TREE_SCHEMA = T.StructType([T.StructField("node_id", T.LongType()), T.StructField("depth", T.LongType()),
-                            T.StructField("feature", T.LongType()), T.StructField("n", T.LongType()),
-                            T.StructField("n_pos", T.LongType()), T.StructField("gain", T.DoubleType())])
+def entropy_gain(left: dict[str, Column], all_: dict[str, Column]) -> Column:
+    """Information gain from the sums ``n`` and ``n1`` of the left child and the node; an empty child weighs 0."""
+    n, n1, nl, nl1 = all_["n"], all_["n1"], left["n"], left["n1"]
+
+    def child(part: Column, pos: Column) -> Column:
+        return F.when(part > 0, part / n * _entropy_col(pos, part)).otherwise(F.lit(0.0))
+
+    return _entropy_col(n1, n) - (child(nl, nl1) + child(n - nl, n1 - nl1))
+
+
+def level_stats(rows: DataFrame, values: Sequence[str], gain: Callable) -> DataFrame:
+    """(node_id, feature, t_<value>, gain): per node of ``rows`` (node_id, f, values) and feature that some row has,
+    and with feature -1 and no gain the node itself.  One aggregate."""
+    long = rows.select("node_id", *values, F.posexplode(F.concat(F.array(F.lit(1)), "f")).alias("at", "on")).where("on = 1")
+    sums = long.groupBy("node_id", (F.col("at") - 1).alias("feature")).agg(*[F.sum(v).alias(f"l_{v}") for v in values])
+    w = Window.partitionBy("node_id")
+    whole = sums.withColumns({f"t_{v}": F.max(F.when(F.col("feature") < 0, F.col(f"l_{v}"))).over(w) for v in values})
+    g = gain({v: F.col(f"l_{v}") for v in values}, {v: F.col(f"t_{v}") for v in values})
+    return whole.select("node_id", "feature", *[f"t_{v}" for v in values], F.when(F.col("feature") >= 0, g).alias("gain"))
+
+
+def best_splits(stats: DataFrame, values: Sequence[str]) -> DataFrame:
+    """Per node the feature with the greatest positive gain (the lowest on ties), else -1 and no gain."""
+    w = Window.partitionBy("node_id").orderBy(F.when(F.col("gain") > 0, F.col("gain")).desc_nulls_last(),
+                                              F.when(F.col("gain") > 0, F.col("feature")))
+    first = stats.withColumn("r", F.row_number().over(w)).where("r = 1")
+    good = F.col("gain") > 0
+    return first.select("node_id", F.when(good, F.col("feature")).otherwise(F.lit(-1)).cast("long").alias("feature"),
+                        *[f"t_{v}" for v in values], F.when(good, F.col("gain")).alias("gain"))
+
+
+def route(rows: DataFrame, splits: DataFrame) -> DataFrame:
+    """Rows of a split node move to 2 * node (feature 1, left) or 2 * node + 1 (right); others are left out."""
+    cuts = splits.where("feature >= 0").select("node_id", F.col("feature").alias("cut"))
+    child = F.col("node_id") * 2 + F.when(F.element_at("f", F.col("cut").cast("int") + 1) == 1, 0).otherwise(1)
+    return rows.join(cuts, "node_id").withColumn("node_id", child).drop("cut")
+
+
+def grow(rows: DataFrame, values: Sequence[str], max_depth: int, gain: Callable) -> list[DataFrame]:
+    """The nodes of each depth (node_id, depth, feature, t_<value>, gain), written.  ``rows``: f and values."""
+    levels: list[DataFrame] = []
+    here = rows.withColumn("node_id", F.lit(1).cast("long"))
+    for depth in range(max_depth + 1):
+        stats = level_stats(here, values, gain)
+        if depth == max_depth:
+            nodes = stats.where("feature < 0").withColumns({"gain": F.lit(None).cast("double"), "feature": F.lit(-1).cast("long")})
+        else:
+            nodes = best_splits(stats, values)
+        levels.append(cut_lineage(nodes.withColumn("depth", F.lit(depth).cast("long"))))
+        if depth == max_depth or not levels[-1].where("feature >= 0").limit(1).count():
+            break
+        here = route(here, levels[-1])
+    return levels
 
 
 def build_tree(df: DataFrame, features: Sequence[str], label: str, max_depth: int) -> DataFrame:
-    """Level-wise tree to ``max_depth``.  Returns (node_id, depth, feature,
-    n, n_pos, gain) for every node; feature = -1 marks a leaf.  A node
-    without positive gain becomes a leaf (the reference would split it on
+    """Level-wise tree to ``max_depth``.  Returns (node_id, depth, feature, n, n_pos, gain) for every node;
+    feature = -1 marks a leaf.  A node without positive gain becomes a leaf (the reference would split it on
     its last column)."""
-    spark: SparkSession = df.sparkSession
-    data = working_set(df.select(*features, F.col(label).cast("long").alias(label)).withColumn("node_id", F.lit(1).cast("long")))
-    out, frames = [], [data]
-    try:
-        active = data
-        for depth in range(max_depth + 1):
-            stats = split_stats(active, features, label)
-            if not stats:
-                break
-            decisions = {}
-            for r in stats:
-                node, n, n1 = int(r["node_id"]), int(r["n"]), int(r["n1"])
-                if depth == max_depth:
-                    out.append((node, depth, -1, n, n1, None))
-                    continue
-                gains = [information_gain(n, n1, int(r[f"l{j}"]), int(r[f"l1_{j}"])) for j in range(len(features))]
-                b = best_split(gains)
-                out.append((node, depth, b, n, n1, gains[b] if b >= 0 else None))
-                if b >= 0:
-                    decisions[node] = b
-            if not decisions or depth == max_depth:
-                break
-            keep = F.col("node_id").isin(list(decisions))
-            active = active.where(keep).withColumn("node_id", route(F.col("node_id"), features, decisions))
-            active = active.persist(StorageLevel.MEMORY_AND_DISK)
-            frames.append(active)
-    finally:
-        for f in frames:
-            f.unpersist()
-    return spark.createDataFrame(out, TREE_SCHEMA)
+    rows = cut_lineage(patterns(df, features, {"n": F.lit(1), "n1": F.col(label)}))
+    levels = grow(rows, ["n", "n1"], max_depth, entropy_gain)
+    out = levels[0]
+    for more in levels[1:]:
+        out = out.unionByName(more)
+    return out.select("node_id", "depth", "feature", F.col("t_n").cast("long").alias("n"), F.col("t_n1").cast("long").alias("n_pos"), "gain")
 
 
 def root_gains(df: DataFrame, features: Sequence[str], label: str) -> list[float]:
     """D3 for the root node: information gain of every feature."""
-    r = split_stats(df.withColumn("node_id", F.lit(1)), features, label)[0]
-    return [information_gain(int(r["n"]), int(r["n1"]), int(r[f"l{j}"]), int(r[f"l1_{j}"]))
-            for j in range(len(features))]
+    rows = patterns(df, features, {"n": F.lit(1), "n1": F.col(label)}).withColumn("node_id", F.lit(1))
+    got = {r["feature"]: r["gain"] for r in level_stats(rows, ["n", "n1"], entropy_gain).where("feature >= 0").collect()}
+    return [float(got.get(j, 0.0)) for j in range(len(features))]
+
+
+# --- D8: boosting with a best round ------------------------------------------
+
+def boost(train: DataFrame, valid: DataFrame, features: Sequence[str], label: str, rounds: int = 500, step: float = 0.1,
+          max_depth: int = 6, lam: float = 1.0, min_child: float = 1.0, patience: int = 50):
+    """Logistic gradient boosting on binary features with early stopping.
+
+    Each round grows a tree on the gradients g = p - y and hessians h = p (1 - p) of the running score, a leaf adding
+    -step G / (H + lam); a split's gain is (GL^2 / (HL + lam) + GR^2 / (HR + lam) - G^2 / (H + lam)) / 2, and both
+    children need hessians of ``min_child``.  Rounds end when the validation log-loss has not improved for ``patience`` of
+    them.  Returns (history, trees): history rows (round, train_loss, valid_loss), the best round being the first
+    with the least valid_loss; trees (round, node_id, feature, value), value null but for leaves."""
+    y = F.col(label).cast("double")
+    both = train.select(*features, F.lit(1).alias("_t"), y.alias("_y")).unionByName(valid.select(*features, F.lit(0).alias("_t"), y.alias("_y")))
+    t, yy = F.col("_t"), F.col("_y")
+    state = patterns(both, features, {"n": t, "n1": t * yy, "vn": 1 - t, "vn1": (1 - t) * yy})
+    state = cut_lineage(state.withColumn("score", F.lit(0.0)))
+
+    def gain(left: dict, all_: dict) -> Column:
+        gl, hl, g, h = left["g"], left["h"], all_["g"], all_["h"]
+        value = 0.5 * (gl * gl / (hl + lam) + (g - gl) * (g - gl) / (h - hl + lam) - g * g / (h + lam))
+        return F.when((hl >= min_child) & (h - hl >= min_child), value).otherwise(F.lit(0.0))
+
+    def loss(n: str, pos: str) -> Column:
+        s = F.col("score")  # -log p = log(1 + e^-s) for a positive label, log(1 + e^s) for another
+        each = lambda z: F.greatest(z, F.lit(0.0)) + F.log1p(F.exp(-F.abs(z)))
+        return F.sum(F.col(pos) * each(-s) + (F.col(n) - F.col(pos)) * each(s)) / F.sum(n)
+
+    history, trees, best, best_round = [], None, math.inf, 0
+    for r in range(1, rounds + 1):
+        p = 1.0 / (1.0 + F.exp(-F.col("score")))
+        rows = state.withColumns({"g": F.col("n") * p - F.col("n1"), "h": F.col("n") * p * (1 - p)})
+        levels = grow(rows.select("f", "g", "h"), ["g", "h"], max_depth, gain)
+        here, moved = state.withColumn("node_id", F.lit(1).cast("long")), None
+        value = F.lit(-step) * F.col("t_g") / (F.col("t_h") + lam)
+        nodes = None
+        for level in levels:
+            leaves = level.where("feature < 0").select("node_id", value.alias("value"))
+            part = here.join(leaves, "node_id").withColumn("score", F.col("score") + F.col("value")).select(*state.columns)
+            moved = part if moved is None else moved.unionByName(part)
+            here = route(here, level)
+            tree = level.select(F.lit(r).alias("round"), "node_id", "feature", F.when(F.col("feature") < 0, value).alias("value"))
+            nodes = tree if nodes is None else nodes.unionByName(tree)
+        trees = nodes if trees is None else trees.unionByName(nodes)
+        state = cut_lineage(moved)
+        row = state.agg(loss("n", "n1").alias("train"), loss("vn", "vn1").alias("valid")).first()
+        history.append((r, row["train"], row["valid"]))
+        if row["valid"] is not None and row["valid"] < best:
+            best, best_round = row["valid"], r
+        if r - best_round >= patience:
+            break
+    return history, trees
+
+
+def boost_scores(df: DataFrame, features: Sequence[str], trees: DataFrame, best_round: int, max_depth: int = 6,
+                 out: str = "score") -> DataFrame:
+    """Add the sum of the leaf values that the first ``best_round`` trees give a row (its log-odds)."""
+    f = F.array(*[F.coalesce(F.col(c).cast("int"), F.lit(0)) for c in features])
+    kinds = df.select(f.alias("f")).distinct()
+    use = trees.where(F.col("round") <= best_round)
+    at = kinds.select("f", F.explode(F.sequence(F.lit(1), F.lit(best_round))).alias("round")).withColumn("node_id", F.lit(1).cast("long"))
+    done = None
+    for _ in range(max_depth + 1):
+        met = at.join(use, ["round", "node_id"])
+        leaf = met.where("feature < 0").select("f", "value")
+        done = leaf if done is None else done.unionByName(leaf)
+        child = F.col("node_id") * 2 + F.when(F.element_at("f", F.col("feature").cast("int") + 1) == 1, 0).otherwise(1)
+        at = met.where("feature >= 0").select("f", "round", child.alias("node_id"))
+    scores = done.groupBy("f").agg(F.sum("value").alias(out))
+    return df.withColumn("_f", f).join(scores.withColumnRenamed("f", "_f"), "_f").drop("_f")
 
 
 # --- pyspark.ml wrappers (D6-D8, E11) ---------------------------------------

@@ -98,6 +98,56 @@ def information_gain_root(spark, sf):
                                  "feature string, gain double, node_entropy double")
 
 
+BOOST_ROUNDS, BOOST_STEP, BOOST_DEPTH, BOOST_PATIENCE = 6, 0.5, 2, 6
+SPLIT_ID = "concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey)"
+
+
+def _boost_sql() -> str:
+    """Rounds unrolled over the table of feature patterns; every round's tree has two levels of splits."""
+    k = len(FEATS)
+    feats = ", ".join(FEATS)
+    parts = ["r AS (SELECT " + ", ".join(f"CASE WHEN {sql} THEN 1 ELSE 0 END AS {n}" for n, (sql, _) in BIN.items())
+             + f", CASE WHEN l_returnflag = 'R' THEN 1 ELSE 0 END AS y, (('0x' || substr(md5({SPLIT_ID}), 1, 8))::BIGINT) % 100 < 80 AS t "
+             "FROM lineitem)",
+             f"s0 AS MATERIALIZED (SELECT {feats}, 1.0 * count(*) FILTER (t) AS n, 1.0 * count(*) FILTER (t AND y = 1) AS n1, "
+             f"1.0 * count(*) FILTER (NOT t) AS vn, 1.0 * count(*) FILTER (NOT t AND y = 1) AS vn1, 0.0::DOUBLE AS score FROM r GROUP BY {feats})"]
+    outs = []
+    for r in range(1, BOOST_ROUNDS + 1):
+        parts.append(f"a{r}_0 AS MATERIALIZED (SELECT *, 1 AS node, n / (1 + exp(-score)) - n1 AS g, "
+                     f"n / (1 + exp(-score)) * (1 - 1 / (1 + exp(-score))) AS h FROM s{r - 1})")
+        for d in range(BOOST_DEPTH):
+            sums = ", ".join(f"sum(g * {f}) AS gl{j}, sum(h * {f}) AS hl{j}" for j, f in enumerate(FEATS))
+            gains = ", ".join(f"CASE WHEN hl{j} >= 1 AND hh - hl{j} >= 1 THEN 0.5 * (gl{j} * gl{j} / (hl{j} + 1) + (gg - gl{j}) * (gg - gl{j}) "
+                              f"/ (hh - hl{j} + 1) - gg * gg / (hh + 1)) ELSE 0 END AS g{j}" for j in range(k))
+            parts.append(f"b{r}_{d} AS MATERIALIZED (SELECT *, {_best_sql(k)} AS best FROM (SELECT *, {gains} FROM (SELECT node, sum(g) AS gg, "
+                         f"sum(h) AS hh, {sums} FROM a{r}_{d} GROUP BY node)))")
+            on = "CASE best " + " ".join(f"WHEN {j} THEN {f}" for j, f in enumerate(FEATS)) + " END"
+            # a node that does not split keeps its rows as its own left child: its sums, and so its leaf, stay the same
+            parts.append(f"a{r}_{d + 1} AS MATERIALIZED (SELECT a.* EXCLUDE (node), 2 * a.node + CASE WHEN best < 0 OR {on} = 1 THEN 0 ELSE 1 END AS node "
+                         f"FROM a{r}_{d} a JOIN b{r}_{d} b ON a.node = b.node)")
+        parts.append(f"v{r} AS (SELECT node, -{BOOST_STEP!r} * sum(g) / (sum(h) + 1) AS value FROM a{r}_{BOOST_DEPTH} GROUP BY node)")
+        parts.append(f"s{r} AS MATERIALIZED (SELECT {feats}, n, n1, vn, vn1, score + value AS score FROM a{r}_{BOOST_DEPTH} a JOIN v{r} v ON a.node = v.node)")
+        loss = lambda n, p: f"sum({p} * ln(1 + exp(-score)) + ({n} - {p}) * ln(1 + exp(score))) / sum({n})"
+        outs.append(f"SELECT {r}::BIGINT AS round, {loss('n', 'n1')} AS tr, {loss('vn', 'vn1')} AS va FROM s{r}")
+    return ("WITH " + ",\n".join(parts) + ",\nu AS (" + " UNION ALL ".join(outs) + ") SELECT round, round(tr, 9) AS train_loss, "
+            "round(va, 9) AS valid_loss, CAST(round = (SELECT arg_min(round, va) FROM u) AS BIGINT) AS is_best FROM u")
+
+
+@query("boosted_rounds", _boost_sql())
+def boosted_rounds(spark, sf):
+    """Six rounds of logistic gradient boosting on binary features, train and validation loss of each, best round flagged."""
+    key = F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
+    li = tbl(spark, sf, "lineitem")
+    d = li.select(*[F.when(c(), 1).otherwise(0).alias(n) for n, (_, c) in BIN.items()],
+                  F.when(F.col("l_returnflag") == "R", 1).otherwise(0).alias("y"),
+                  split_label(key, [("train", 0.8), ("test", 0.2)]).alias("split"))
+    history, _ = tr.boost(d.where("split = 'train'"), d.where("split = 'test'"), FEATS, "y", BOOST_ROUNDS, BOOST_STEP, BOOST_DEPTH,
+                          patience=BOOST_PATIENCE)
+    best = min(history, key=lambda h: (h[2], h[0]))[0]
+    rows = [(r, round(a, 9), round(b, 9), int(r == best)) for r, a, b in history]
+    return spark.createDataFrame(rows, "round long, train_loss double, valid_loss double, is_best long")
+
+
 NUM = ["l_quantity", "l_discount", "l_tax", "l_extendedprice"]
 
 

@@ -69,3 +69,70 @@ def test_levelwise_random(spark):
     _brute(x, list(y), list(range(300)), 0, 3, 1, want)
     assert got == sorted(want)
     assert not math.isnan(sum(r[3] for r in got))
+
+
+def test_many_features_and_missing_values(spark):
+    """Two hundred features, of which a hidden one decides; a NULL feature counts as 0."""
+    rng = np.random.default_rng(8)
+    x = rng.integers(0, 2, size=(150, 200))
+    cols = [f"f{i}" for i in range(200)]
+    rows = [tuple(None if v == 0 and i % 3 == 0 else int(v) for v in r) + (int(r[123]),) for i, r in enumerate(x)]
+    df = spark.createDataFrame(rows, ", ".join(f"{c} int" for c in [*cols, "y"]))
+    got = {r.node_id: r for r in tr.build_tree(df, cols, "y", 4).collect()}
+    assert got[1].feature == 123 and set(got) == {1, 2, 3} and got[2].n_pos == got[2].n and got[3].n_pos == 0
+    assert tr.build_tree(df.where("f0 > 5"), cols, "y", 2).count() == 0
+
+
+def _plain_boost(x, y, vx, vy, rounds, step, depth, patience, lam=1.0, min_child=1.0):
+    score, vscore, out, best = np.zeros(len(y)), np.zeros(len(vy)), [], (math.inf, 0)
+
+    def loss(s, t):
+        return float(np.mean(np.maximum(s, 0) - s * t + np.log1p(np.exp(-np.abs(s)))))
+
+    for r in range(1, rounds + 1):
+        p = 1 / (1 + np.exp(-score))
+        g, h = p - y, p * (1 - p)
+
+        def grow(idx, vidx, d):
+            G, H = g[idx].sum(), h[idx].sum()
+            top, pick = 0.0, None
+            if d < depth:
+                for j in range(x.shape[1]):
+                    l = idx[x[idx, j] == 1]
+                    gl, hl = g[l].sum(), h[l].sum()
+                    if hl < min_child or H - hl < min_child:
+                        continue
+                    v = 0.5 * (gl ** 2 / (hl + lam) + (G - gl) ** 2 / (H - hl + lam) - G ** 2 / (H + lam))
+                    if v > top + 1e-12:
+                        top, pick = v, j
+            if pick is None:
+                score[idx] += -step * G / (H + lam)
+                vscore[vidx] += -step * G / (H + lam)
+                return
+            for side in (1, 0):
+                grow(idx[x[idx, pick] == side], vidx[vx[vidx, pick] == side], d + 1)
+
+        grow(np.arange(len(y)), np.arange(len(vy)), 0)
+        out.append((r, loss(score, y), loss(vscore, vy)))
+        if out[-1][2] < best[0]:
+            best = (out[-1][2], r)
+        if r - best[1] >= patience:
+            break
+    return out, vscore
+
+
+def test_boosting_equals_plain_booster(spark):
+    rng = np.random.default_rng(9)
+    x = rng.integers(0, 2, size=(400, 5))
+    y = ((x[:, 0] & x[:, 2]) ^ (rng.random(400) < 0.25)).astype(int)
+    cols = [f"f{i}" for i in range(5)]
+    df = spark.createDataFrame([(*map(int, r), int(t), i) for i, (r, t) in enumerate(zip(x, y))], [*cols, "y", "id"])
+    train, valid = df.where("id < 280"), df.where("id >= 280")
+    history, trees = tr.boost(train, valid, cols, "y", rounds=12, step=0.5, max_depth=2, patience=2)
+    want, _ = _plain_boost(x[:280], y[:280], x[280:], y[280:], 12, 0.5, 2, 2)
+    assert len(history) == len(want) < 12  # stopped early
+    assert np.allclose(history, want, rtol=1e-10)
+    best = min(history, key=lambda h: (h[2], h[0]))[0]
+    got = tr.boost_scores(valid, cols, trees, best, 2).orderBy("id").toPandas()["score"]
+    _, vscore = _plain_boost(x[:280], y[:280], x[280:], y[280:], best, 0.5, 2, 99)
+    assert np.allclose(got, vscore, rtol=1e-10)
