@@ -174,15 +174,6 @@ def binary_entropy(p) -> Column:
     return F.when(p.isNull() | (p <= 0.0) | (p >= 1.0), F.lit(0.0)).otherwise(h)
 
 
-def safe_div(num, den) -> Column:
-    """num/den, NULL when den is 0 (ANSI-safe)."""
-    return F.try_divide(_c(num), _c(den))
-
-
-def to_array(cols: Sequence) -> Column:
-    return F.array(*[_c(c).cast("double") for c in cols])
-
-
 def array_cols(arr, n: int, prefix: str) -> list[Column]:
     """Spread the first n array elements into scalar columns prefix0..prefix{n-1}."""
     a = _c(arr)

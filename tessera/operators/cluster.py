@@ -95,14 +95,6 @@ def run_kmeans(df: DataFrame, cols: Sequence[str], initial, max_iters: int = 10)
     return cents, history
 
 
-def ml_kmeans(df: DataFrame, cols: Sequence[str], k: int, seed: int = 1, max_iter: int = 20):
-    """k-means|| initialisation through pyspark.ml (no given initial centres)."""
-    from pyspark.ml.clustering import KMeans
-    from pyspark.ml.feature import VectorAssembler
-    data = VectorAssembler(inputCols=list(cols), outputCol="_features").transform(df)
-    return KMeans(k=k, seed=seed, maxIter=max_iter, featuresCol="_features").fit(data)
-
-
 def centroid_table(spark, centroids, cols: Sequence[str], cluster: str = "cluster") -> DataFrame:
     rows = [(int(k), *[float(v) for v in c]) for k, c in enumerate(np.asarray(centroids))]
     return spark.createDataFrame(rows, [cluster, *cols])

@@ -6,11 +6,11 @@ whole-stage codegen.  With many weights a single expression would not fit a
 compiled method, so the forward pass runs as a vectorised pandas UDF over
 Arrow batches with the weights in its closure.
 
-Training (R5): data-parallel full-batch Adam.  Each step ships the current
-weights to the tasks; every task computes the summed loss and gradient of
-its rows with numpy (``mapInPandas``), the per-task gradient vectors are
-summed position-wise by a grouped aggregate, and the driver applies the
-Adam update to a parameter vector whose size is the model's, not the data's.
+Training (R5): data-parallel Adam on all rows or on deterministic mini-batches.
+Each step ships the current weights to the tasks; every task returns the summed
+loss and gradient of its rows as one array, the arrays are added over a tree of
+tasks, and the driver applies the Adam update to a parameter vector whose size is
+the model's, not the data's.
 """
 
 import math
@@ -20,12 +20,14 @@ from functools import reduce
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.core import ACTIVATIONS, activation_sql, dot_sql
 from ..session import working_set
+from .moments import sum_vectors
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])  # executors need no copy of the package
 
@@ -34,18 +36,6 @@ LAYER_ACTIVATIONS = ("relu", "sigmoid", "linear", "softmax")
 ADAM_B1, ADAM_B2, ADAM_EPS = 0.9, 0.999, 1e-7
 
 
-def dense_exprs(inputs: Sequence[Column], w: np.ndarray, b: np.ndarray, activation: str) -> list[Column]:
-    """One layer as generated expressions; w is (n_in, n_out)."""
-    g = ACTIVATIONS[activation]
-    out = []
-    for j in range(w.shape[1]):
-        z = F.lit(float(b[j]))
-        for i, a in enumerate(inputs):
-            z = z + a * F.lit(float(w[i, j]))
-        out.append(g(z))
-    return out
-
-
 def _np_act(name: str, z: np.ndarray) -> np.ndarray:
     if name == "relu":
         return np.maximum(z, 0.0)
@@ -173,42 +163,44 @@ def batch_loss_grad(x: np.ndarray, y: np.ndarray, layers, loss: str) -> tuple[fl
     return total, np.concatenate([np.concatenate([gw.ravel(), gb.ravel()]) for gw, gb in grads])
 
 
-def train_full_batch(df: DataFrame, in_cols: Sequence[str], label: str, layers, loss: str = "mse",
-                     lr: float = 0.01, steps: int = 10, l2: float = 0.0):
-    """Full-batch Adam; per step one Spark job computes sum of loss and
-    gradient over all rows.  The objective is mean loss + l2/(2m)*sum W^2
-    (biases unpenalised).  Returns (layers, history[(step, objective)])."""
-    data = working_set(df.select(*[F.col(c).cast("double") for c in in_cols], F.col(label).cast("double").alias("_y")))
-    m = data.count()
+def train_batches(df: DataFrame, in_cols: Sequence[str], label: str, layers, loss: str = "mse", lr: float = 0.01,
+                  steps: int = 10, l2: float = 0.0, batch: Column | None = None, batches: int = 1):
+    """Adam on mini-batches.  ``batch`` numbers a row's batch from 0 (a function of the row, so batches are the
+    same on every run); step t uses batch t mod ``batches``.  Without it every step uses all rows.
+
+    The loss (mse, logits_bce, sparse_ce) is one Spark job per step: every task returns the sums of its rows as one
+    array, arrays are added over a tree of tasks.  The objective is mean loss + l2/(2m) * sum W^2 (biases
+    unpenalised), m the batch's rows.  Rows with a missing value are left out; an empty batch changes nothing.
+    Returns (layers, history[(step, objective before the step, on its batch)])."""
+    number = F.lit(0) if batch is None else batch.cast("int")
+    cols = list(in_cols)
+    data = working_set(df.select(number.alias("_b"), F.col(label).cast("double").alias("_y"),
+                                 *[F.col(c).cast("double").alias(f"_x{i}") for i, c in enumerate(cols)]).dropna())
     theta = _flatten(layers)
     mom, vel = np.zeros_like(theta), np.zeros_like(theta)
     is_w = _flatten([(np.ones_like(w), np.zeros_like(b), a) for w, b, a in layers])
     history = []
-    cols = list(in_cols)
     try:
         for t in range(1, steps + 1):
             current = _unflatten(theta, layers)
 
             def part(it, current=current):
-                total, grad, seen = 0.0, None, False
-                for pdf in it:
-                    if pdf.empty:
+                total = None
+                for b in it:
+                    if not b.num_rows:
                         continue
-                    lsum, g = batch_loss_grad(pdf[cols].to_numpy(dtype=float), pdf["_y"].to_numpy(dtype=float),
-                                              current, loss)
-                    total += lsum
-                    grad = g if grad is None else grad + g
-                    seen = True
-                if seen:
-                    yield pd.DataFrame({"pos": np.arange(len(grad) + 1, dtype="int64"),
-                                        "val": np.concatenate([[total], grad])})
-
-            sums = data.mapInPandas(part, "pos long, val double").groupBy("pos").agg(F.sum("val").alias("val"))
-            vec = np.zeros(len(theta) + 1)
-            for r in sums.collect():
-                vec[r["pos"]] = r["val"]
-            loss_sum, grad = vec[0], vec[1:] / m
-            grad = grad + (l2 / m) * theta * is_w
+                    y, *x = (b.column(i).to_numpy(zero_copy_only=False) for i in range(1, b.num_columns))
+                    lsum, g = batch_loss_grad(np.column_stack(x), y, current, loss)
+                    v = np.concatenate([[float(b.num_rows), lsum], g])
+                    total = v if total is None else total + v
+                if total is not None:
+                    yield pa.RecordBatch.from_arrays([pa.array([total], pa.list_(pa.float64()))], names=["v"])
+
+            rows = data.where(F.col("_b") == (t - 1) % batches)
+            m, loss_sum, *grad = sum_vectors(rows.mapInArrow(part, "v array<double>"), len(theta) + 2)
+            if not m:
+                continue
+            grad = np.array(grad) / m + (l2 / m) * theta * is_w
             history.append((t - 1, float(loss_sum / m + l2 / (2 * m) * float(np.sum((theta * is_w) ** 2)))))
             mom = mom + (grad - mom) * (1 - ADAM_B1)
             vel = vel + (grad * grad - vel) * (1 - ADAM_B2)
@@ -219,6 +211,12 @@ def train_full_batch(df: DataFrame, in_cols: Sequence[str], label: str, layers,
     return _unflatten(theta, layers), history
 
 
+def train_full_batch(df: DataFrame, in_cols: Sequence[str], label: str, layers, loss: str = "mse",
+                     lr: float = 0.01, steps: int = 10, l2: float = 0.0):
+    """R5 with every step over all rows."""
+    return train_batches(df, in_cols, label, layers, loss, lr, steps, l2)
+
+
 def ml_mlp(df: DataFrame, in_cols: Sequence[str], label: str, hidden: Sequence[int], n_classes: int,
            max_iter: int = 100, seed: int = 1):
     """Pyspark.ml MultilayerPerceptronClassifier (sigmoid hidden layers,

@@ -12,16 +12,19 @@ task, of which only each user's best unrated items leave it.
 from __future__ import annotations
 
 import math
+import sys
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark import StorageLevel
+from pyspark import StorageLevel, cloudpickle
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage
 
+cloudpickle.register_pickle_by_value(sys.modules[__name__])  # executors need no copy of the package
+
 # Adam's default decay rates and epsilon of the optimiser the
 # reference trains with.
 ADAM_B1, ADAM_B2, ADAM_EPS = 0.9, 0.999, 1e-7

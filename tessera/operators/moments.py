@@ -18,14 +18,18 @@ on the driver: its size depends on the number of features, never on rows.
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Sequence
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+cloudpickle.register_pickle_by_value(sys.modules[__name__])  # executors need no copy of the package
+
 # From so many columns on the aggregate is made of matrix products: d (d + 1) / 2
 # covariance expressions would outgrow a compiled method.
 WIDE = 12
@@ -158,6 +162,24 @@ def _merged(states: DataFrame, k: int) -> DataFrame:
     return states
 
 
+def sum_vectors(parts: DataFrame, size: int) -> np.ndarray:
+    """The sum of all rows' array ``v`` (``size`` doubles): tasks add what they receive one by one, over a tree of
+    tasks; one vector reaches the driver."""
+    def run(batches):
+        total = None
+        for b in batches:
+            if b.num_rows:
+                part = np.asarray(b.column(0).flatten(), dtype=float).reshape(b.num_rows, size).sum(axis=0)
+                total = part if total is None else total + part
+        if total is not None:
+            yield pa.RecordBatch.from_arrays([pa.array([total], pa.list_(pa.float64()))], names=["v"])
+
+    for tasks in TREE[1:]:
+        parts = parts.repartition(tasks).mapInArrow(run, "v array<double>")
+    got = parts.collect()
+    return np.array(got[0]["v"]) if got else np.zeros(size)
+
+
 def _wide_moments(rows: DataFrame, names: list[str], has_label: bool) -> dict[str, Moments]:
     """Moments per ``grp`` (a string) by batched matrix products; d x d numbers per group reach the driver."""
     k = len(names)

@@ -11,7 +11,7 @@ from ..functions import core as fn
 from ..functions.core import array_cols
 from ..operators import dense as dn
 from ..operators.evaluate import accuracy_expr, halved_mse_expr, sparse_cross_entropy_expr
-from ..operators.prepare import zscore
+from ..operators.prepare import hash_bucket, zscore
 from .common import LI_X, LI_Y, rnd, tbl
 from .registry import query
 
@@ -124,6 +124,78 @@ def dense_train(spark, sf):
     return spark.createDataFrame(rows, "step long, objective double")
 
 
+# R5's other losses: literal start weights, Adam on two batches by hash, every step also unrolled in SQL.
+LOSS_LR, LOSS_L2, LOSS_STEPS, LOSS_BATCHES = 0.05, 3.0, 4, 2
+LOSS_NETS = {
+    "logits_bce": [(rule_weights(3, 2, 5, 0.8), np.array([0.1, -0.05]), "relu"), (rule_weights(2, 1, 6, 0.8), np.array([0.02]), "linear")],
+    "sparse_ce": [(rule_weights(3, 2, 7, 0.8), np.array([-0.1, 0.15]), "relu"), (rule_weights(2, 3, 8, 0.8), np.array([0.0, 0.1, -0.1]), "linear")],
+}
+LOSS_LABELS = {"logits_bce": "CASE WHEN l_returnflag = 'R' THEN 1 ELSE 0 END",
+               "sparse_ce": "CASE l_returnflag WHEN 'A' THEN 0 WHEN 'N' THEN 1 ELSE 2 END"}
+
+
+def _loss_sql() -> str:
+    key = "concat_ws('-', l_orderkey, l_linenumber)"
+    st = ", ".join(f"avg({c}) AS mu_{c}, stddev_pop({c}) AS sd_{c}" for c in LI_X)
+    parts = [f"s AS (SELECT {st} FROM lineitem)",
+             "d AS MATERIALIZED (SELECT " + ", ".join(f"({c} - mu_{c}) / sd_{c} AS x{i}" for i, c in enumerate(LI_X))
+             + f", ('0x' || substr(md5({key}), 1, 8))::BIGINT % 100 % {LOSS_BATCHES} AS batch, "
+             + ", ".join(f"{sql} AS y_{n}" for n, sql in LOSS_LABELS.items()) + " FROM lineitem, s)"]
+    outs = []
+    for name, net in LOSS_NETS.items():
+        (w1, b1, _), (w2, b2, _) = net
+        k = w2.shape[1]
+        at = {f"p{i}_{j}": w1[i, j] for i in range(3) for j in range(2)} | {f"c{j}": b1[j] for j in range(2)}
+        at |= {f"q{j}_{o}": w2[j, o] for j in range(2) for o in range(k)} | {f"e{o}": b2[o] for o in range(k)}
+        pen = [n for n in at if n[0] in "pq"]
+        parts.append(f"{name}0 AS (SELECT " + ", ".join(f"{float(v)!r}::DOUBLE AS {n}, 0.0::DOUBLE AS m_{n}, 0.0::DOUBLE AS v_{n}" for n, v in at.items()) + ")")
+        for t in range(1, LOSS_STEPS + 1):
+            prev = f"{name}{t - 1}"
+            z = ", ".join(f"c{j} + " + " + ".join(f"x{i} * p{i}_{j}" for i in range(3)) + f" AS z{j}" for j in range(2))
+            o = ", ".join(f"e{u} + greatest(z0, 0) * q0_{u} + greatest(z1, 0) * q1_{u} AS o{u}" for u in range(k))
+            if name == "logits_bce":
+                loss, deltas = "greatest(o0, 0) - o0 * y + ln(1 + exp(-abs(o0)))", ["1 / (1 + exp(-o0)) - y"]
+            else:
+                den = " + ".join(f"exp(o{u})" for u in range(k))
+                pick = "CASE y " + " ".join(f"WHEN {u} THEN o{u}" for u in range(k)) + " END"
+                loss, deltas = f"ln({den}) - {pick}", [f"exp(o{u}) / ({den}) - CASE WHEN y = {u} THEN 1 ELSE 0 END" for u in range(k)]
+            back = [f"CASE WHEN z{j} > 0 THEN " + " + ".join(f"d{u} * q{j}_{u}" for u in range(k)) + " ELSE 0 END AS h{j}".replace("{j}", str(j)) for j in range(2)]
+            g = {f"p{i}_{j}": f"x{i} * h{j}" for i in range(3) for j in range(2)} | {f"c{j}": f"h{j}" for j in range(2)}
+            g |= {f"q{j}_{u}": f"greatest(z{j}, 0) * d{u}" for j in range(2) for u in range(k)} | {f"e{u}": f"d{u}" for u in range(k)}
+            sums = ", ".join(f"sum({e}) / count(*)" + (f" + {LOSS_L2!r} / count(*) * any_value({n})" if n in pen else "") + f" AS g_{n}" for n, e in g.items())
+            sq = " + ".join(f"{n} * {n}" for n in pen)
+            parts.append(f"{name}g{t} AS MATERIALIZED (SELECT {sums}, avg({loss}) + {LOSS_L2!r} / (2 * count(*)) * any_value({sq}) AS objective FROM ("
+                         f"SELECT *, {', '.join(back)} FROM (SELECT *, {', '.join(f'{e} AS d{u}' for u, e in enumerate(deltas))} FROM ("
+                         f"SELECT *, {o} FROM (SELECT *, {z} FROM (SELECT x0, x1, x2, y_{name} AS y FROM d WHERE batch = {(t - 1) % LOSS_BATCHES}), {prev})))))")
+            alpha = LOSS_LR * math.sqrt(1 - dn.ADAM_B2 ** t) / (1 - dn.ADAM_B1 ** t)
+            mv = ", ".join(f"{n}, m_{n} + (g_{n} - m_{n}) * {1 - dn.ADAM_B1!r} AS m_{n}, v_{n} + (g_{n} * g_{n} - v_{n}) * {1 - dn.ADAM_B2!r} AS v_{n}" for n in at)
+            new = ", ".join(f"{n} - {alpha!r} * m_{n} / (sqrt(v_{n}) + {dn.ADAM_EPS!r}) AS {n}, m_{n}, v_{n}" for n in at)
+            parts.append(f"{name}{t} AS MATERIALIZED (SELECT {new} FROM (SELECT {mv} FROM {prev}, {name}g{t}))")
+            outs.append(f"SELECT '{name}' AS loss, 'objective_{t - 1}' AS term, round(objective, 7) AS value FROM {name}g{t}")
+        outs += [f"SELECT '{name}', '{n}', round({n}, 7) FROM {name}{LOSS_STEPS}" for n in at]
+    return "WITH " + ",\n".join(parts) + "\n" + " UNION ALL ".join(outs)
+
+
+@query("dense_train_losses", _loss_sql())
+def dense_train_losses(spark, sf):
+    """R5 with logits_bce (3-2-1) and sparse_ce (3-2-3): four Adam steps on two batches by hash from literal start weights, L2;
+    objective of every step and the final weights."""
+    li = tbl(spark, sf, "lineitem")
+    key = F.concat_ws("-", "l_orderkey", "l_linenumber")
+    d = li.select(*LI_X, key.alias("k"), *[F.expr(sql).alias(f"y_{n}") for n, sql in LOSS_LABELS.items()])
+    z, _ = zscore(d, LI_X)
+    rows = []
+    for name, net in LOSS_NETS.items():
+        fitted, hist = dn.train_batches(z, LI_X, f"y_{name}", net, name, LOSS_LR, LOSS_STEPS, LOSS_L2,
+                                        hash_bucket("k") % LOSS_BATCHES, LOSS_BATCHES)
+        rows += [(name, f"objective_{i}", round(v, 7)) for i, v in hist]
+        (w1, b1, _), (w2, b2, _) = fitted
+        at = {f"p{i}_{j}": w1[i, j] for i in range(3) for j in range(2)} | {f"c{j}": b1[j] for j in range(2)}
+        at |= {f"q{j}_{o}": w2[j, o] for j in range(2) for o in range(w2.shape[1])} | {f"e{o}": b2[o] for o in range(w2.shape[1])}
+        rows += [(name, n, round(float(v), 7)) for n, v in at.items()]
+    return spark.createDataFrame(rows, "loss string, term string, value double")
+
+
 @query("dense_lambda_sweep")
 def dense_lambda_sweep(spark, sf):
     """The R5 network trained with L2 strength 0, 1 and 10; final objective and halved MSE per strength."""

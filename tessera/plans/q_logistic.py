@@ -11,6 +11,7 @@ from ..operators.evaluate import (accuracy_expr, binary_cross_entropy_expr, clas
 from ..operators.prepare import zscore
 from .common import LI_X, rnd, tbl
 from .registry import query
+from .sqlgen import cramer_sql
 
 W_LOG = [0.3, -0.2, 0.1]
 B_LOG = -0.5
@@ -138,6 +139,33 @@ def binary_cross_entropy(spark, sf):
     return out.select(*[rnd(c, 8).alias(c) for c in out.columns])
 
 
+def _newton_sql(steps: int = 9) -> str:
+    """Newton steps unrolled: weighted Gram sums of each, the 4 x 4 system by determinants."""
+    xs = [*LI_X, "1.0"]
+    d = len(xs)
+    parts, prev = [BASE_SQL, "n0 AS (SELECT " + ", ".join(f"0.0::DOUBLE AS t{i}" for i in range(d)) + ")"], "n0"
+    for s in range(1, steps + 1):
+        zz = " + ".join(f"t{i} * {x}" for i, x in enumerate(xs))
+        lam = lambda i: f" + {LAM!r} * any_value(t{i})" if i < d - 1 else ""
+        sums = [f"sum((p - y) * {x}){lam(i)} AS g{i}" for i, x in enumerate(xs)]
+        sums += [f"sum(p * (1 - p) * {xs[i]} * {xs[j]}){f' + {LAM!r}' if i == j < d - 1 else ''} AS h{i}_{j}" for i in range(d) for j in range(i, d)]
+        parts.append(f"g{s} AS MATERIALIZED (SELECT {', '.join(f'any_value(t{i}) AS t{i}' for i in range(d))}, {', '.join(sums)} "
+                     f"FROM (SELECT *, {_sig(zz)} AS p FROM z, {prev}))")
+        move = cramer_sql([[f"h{min(i, j)}_{max(i, j)}" for j in range(d)] for i in range(d)], [f"g{i}" for i in range(d)])
+        parts.append(f"n{s} AS MATERIALIZED (SELECT {', '.join(f't{i} - {m} AS t{i}' for i, m in enumerate(move))} FROM g{s})")
+        prev = f"n{s}"
+    return ("WITH " + ",\n".join(parts) + f"\nSELECT 'intercept' AS term, round(t{d - 1}, 6) AS value FROM {prev}"
+            + "".join(f" UNION ALL SELECT '{c}', round(t{i}, 6) FROM {prev}" for i, c in enumerate(LI_X)))
+
+
+@query("logistic_newton", _newton_sql())
+def logistic_newton(spark, sf):
+    """M12 by Newton steps: L2 logistic regression (lambda = 0.7), one weighted-Gram aggregate per step, to convergence."""
+    w, b, _ = lg.fit_newton(base(spark, sf), LI_X, "y", LAM)
+    rows = [("intercept", round(b, 6))] + [(c, round(float(v), 6)) for c, v in zip(LI_X, w)]
+    return spark.createDataFrame(rows, "term string, value double")
+
+
 @query("logistic_ml_fit")
 def logistic_ml_fit(spark, sf):
     """L2 logistic regression (lambda = 0.7, C = 1/lambda) through pyspark.ml L-BFGS."""
