@@ -13,7 +13,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .ordering import at_or_before, order_statistics
+from ..session import cut_lineage
+from .ordering import at_or_before, global_position, order_statistics
 
 # --- T1/T2: z-score with the population standard deviation -----------------
 
@@ -207,6 +208,19 @@ def one_hot(df: DataFrame, cols: Sequence[str], max_levels: int = 1000) -> DataF
     return out
 
 
+def level_table(df: DataFrame, col: str) -> DataFrame:
+    """The level dictionary of a column, from the data: (level, code), codes from 0 in sorted order, nulls left out."""
+    levels = df.where(F.col(col).isNotNull()).select(F.col(col).alias("level")).distinct()
+    return global_position(cut_lineage(levels), ["level"], "code")
+
+
+def one_hot_long(df: DataFrame, id_col: str, col: str, levels: DataFrame) -> DataFrame:
+    """P9 in long form for any number of levels: (id, level, code, flag = 1) of the one active level of each row;
+    the other flags are 0 by absence.  A row whose value is no level of the dictionary has no row."""
+    rows = df.select(id_col, F.col(col).alias("level"))
+    return rows.join(levels, "level").select(id_col, "level", "code", F.lit(1).alias("flag"))
+
+
 def explode_multi(df: DataFrame, col: str, sep_regex: str = r"[|]", out: str | None = None) -> DataFrame:
     """P10: "A|B" -> one row per value."""
     return df.withColumn(out or col, F.explode(F.split(F.col(col), sep_regex)))

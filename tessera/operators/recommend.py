@@ -129,9 +129,10 @@ def recommend_unseen(scored: DataFrame, ratings: DataFrame, user: str, item: str
 
 def genre_rollup(ratings: DataFrame, item_genres: DataFrame, item: str, genre: str, rating: str) -> DataFrame:
     """Per genre the number of items, their mean rating and number of ratings."""
-    j = ratings.join(item_genres.select(item, genre), item)
-    return j.groupBy(genre).agg(F.count_distinct(item).alias("num_items"), F.avg(rating).alias("ave_rating"),
-                                F.count(F.lit(1)).alias("num_ratings"))
+    per_item = ratings.groupBy(item).agg(F.sum(rating).alias("_s"), F.count(rating).alias("_v"), F.count(F.lit(1)).alias("_n"))
+    j = per_item.join(item_genres.select(item, genre), item)  # ratings are summed per item before they meet the tags
+    return j.groupBy(genre).agg(F.count_distinct(item).alias("num_items"), (F.sum("_s") / F.sum("_v")).alias("ave_rating"),
+                                F.sum("_n").alias("num_ratings"))
 
 
 def most_rated(ratings: DataFrame, item: str, rating: str, k: int = 10) -> DataFrame:
@@ -150,3 +151,16 @@ def user_profile(ratings: DataFrame, item_genres: DataFrame, user: str, item: st
     per = per.fillna(0.0, subset=list(levels))
     tot = ratings.groupBy(user).agg(F.count(F.lit(1)).alias("rating_count"), F.avg(rating).alias("rating_ave"))
     return tot.join(per, user)
+
+
+def user_level_means(ratings: DataFrame, item_levels: DataFrame, levels: DataFrame, user: str, item: str, level: str,
+                     rating: str) -> DataFrame:
+    """T13 in long form: (user, level, code, mean, n) for every user and every level of the dictionary ``levels``
+    (level, code), however many there are; mean 0 and n 0 where the user rated nothing of it."""
+    per = (ratings.join(item_levels.select(item, F.col(level).alias("level")), item)
+           .groupBy(user, "level").agg(F.avg(rating).alias("mean"), F.count(F.lit(1)).alias("n")))
+    users = ratings.select(user).distinct()
+    codes = levels.agg(F.sort_array(F.collect_list(F.struct("code", "level"))).alias("all"))  # the dictionary, one row
+    every = users.withColumn("all", codes.scalar()).select(user, F.inline("all"))
+    return every.join(per, [user, "level"], "left").select(
+        user, "level", "code", F.coalesce("mean", F.lit(0.0)).alias("mean"), F.coalesce("n", F.lit(0)).cast("long").alias("n"))

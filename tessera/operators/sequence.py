@@ -19,7 +19,7 @@ from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..session import cut_lineage
+from ..session import cut_lineage, fits_broadcast
 from .ordering import following, latest_n, rolling_mean  # noqa: F401  (re-exported)
 
 
@@ -76,19 +76,24 @@ def evaluate_policy(trans: DataFrame, rew: DataFrame, policy: DataFrame, gamma:
     values and the number of sweeps."""
     tp = trans.join(policy.select("s", "a"), ["s", "a"]).select("s", "sp", "p").persist(StorageLevel.MEMORY_AND_DISK)
     values = start.select("s", "v") if start is not None else rew.select("s", F.lit(0.0).alias("v"))
+    # a row per state: counted, and broadcast if that size allows; a sweep is then one exchange, of partial sums
+    small = F.broadcast if fits_broadcast(rew.count(), 2) else lambda df: df
     sweeps, change = 0, None
     while sweeps < max_sweeps:
         new = values
-        for _ in range(min(sweeps_per_job, max_sweeps - sweeps)):
-            ev = (tp.join(new.select(F.col("s").alias("sp"), "v"), "sp", "left")
-                  .groupBy("s").agg(F.sum(F.col("p") * F.coalesce("v", F.lit(0.0))).alias("ev")))
-            new = rew.join(ev, "s", "left").select(
-                "s", (F.col("r") + F.lit(gamma) * F.coalesce("ev", F.lit(0.0))).alias("v"))
+        known = rew.join(values.withColumnRenamed("v", "old"), "s", "left")
+        count = min(sweeps_per_job, max_sweeps - sweeps)
+        for i in range(count):
+            ev = small(tp.join(small(new.select(F.col("s").alias("sp"), "v")), "sp", "left")
+                       .groupBy("s").agg(F.sum(F.col("p") * F.coalesce("v", F.lit(0.0))).alias("ev")))
+            last = i == count - 1  # the written round carries its own change
+            extra = [F.abs(F.col("r") + F.lit(gamma) * F.coalesce("ev", F.lit(0.0)) - F.coalesce("old", F.lit(0.0))).alias("change")] if last else []
+            new = (known if last else rew).join(ev, "s", "left").select(
+                "s", (F.col("r") + F.lit(gamma) * F.coalesce("ev", F.lit(0.0))).alias("v"), *extra)
             sweeps += 1
         new = cut_lineage(new)
-        change = (new.join(values.withColumnRenamed("v", "old"), "s", "left")
-                  .agg(F.max(F.abs(F.col("v") - F.coalesce("old", F.lit(0.0))))).first()[0])
-        values = new
+        change = new.agg(F.max("change")).first()[0]
+        values = new.drop("change")
         if change is None or change < tol:
             tp.unpersist()
             return values, sweeps

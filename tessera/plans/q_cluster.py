@@ -155,6 +155,8 @@ def anomaly_threshold(spark, sf):
     pv = va.select("y", an.density(FEATS, mu, var).alias("p"))
     best = an.select_threshold(pv, "p", "y").first()
     eps = best["epsilon"]
+    if eps is None:  # all scores are equal: there is no sweep, and the SQL has no row either
+        return spark.createDataFrame([], "epsilon double, f1 double, n_anomalies long")
     flagged = an.flag_anomalies(tr.select(an.density(FEATS, mu, var).alias("p")), "p", eps)
     n = flagged.agg(F.sum("is_anomaly").cast("long").alias("n")).first()["n"]
     return spark.createDataFrame([(round(eps, 12), round(best["f1"], 8), int(n))],

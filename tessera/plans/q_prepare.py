@@ -233,6 +233,19 @@ def exact_splits(spark, sf):
     return out
 
 
+ONE_HOT_LONG_SQL = """
+WITH lv AS (SELECT level, row_number() OVER (ORDER BY level) - 1 AS code FROM (SELECT DISTINCT p_type AS level FROM part WHERE p_type IS NOT NULL))
+SELECT p_partkey, p_type AS level, code, 1::INTEGER AS flag FROM part JOIN lv ON p_type = level
+"""
+
+
+@query("one_hot_levels", ONE_HOT_LONG_SQL)
+def one_hot_levels(spark, sf):
+    """P9 in long form: the active part type of every part and its code in the level dictionary of the data."""
+    part = tbl(spark, sf, "part")
+    return pr.one_hot_long(part, "p_partkey", "p_type", pr.level_table(part, "p_type"))
+
+
 # --- P1-P4, P7, P8 --------------------------------------------------------------
 
 PROJ_SQL = f"""

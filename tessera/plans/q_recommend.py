@@ -18,7 +18,7 @@ from ..functions.core import array_dot, l2_normalize
 from ..operators import recommend as rc
 from ..operators.factors import ADAM_B1, ADAM_B2, ADAM_EPS
 from ..operators import dense as dn
-from ..operators.prepare import minmax_inverse
+from ..operators.prepare import level_table, minmax_inverse
 from ..session import cut_lineage
 from .common import rnd, tbl
 from .registry import query
@@ -374,6 +374,25 @@ def user_profile_q(spark, sf):
                        *[rnd(t, 6).alias(t) for t in TYPES])
 
 
+LEVELS_SQL = f"""
+WITH {RATINGS_SQL},
+lv AS (SELECT level, row_number() OVER (ORDER BY level) - 1 AS code FROM (SELECT DISTINCT p_type AS level FROM part WHERE p_type IS NOT NULL)),
+m AS (SELECT r.user_id, p.p_type AS level, avg(r.rating) AS mean, count(*) AS n FROM ratings r JOIN part p ON p.p_partkey = r.item_id GROUP BY ALL)
+SELECT u.user_id, lv.level, lv.code, round(coalesce(m.mean, 0.0), 6) AS mean, coalesce(m.n, 0) AS n
+FROM (SELECT DISTINCT user_id FROM ratings) u CROSS JOIN lv LEFT JOIN m ON m.user_id = u.user_id AND m.level = lv.level
+"""
+
+
+@query("user_profile_levels", LEVELS_SQL)
+def user_profile_levels(spark, sf):
+    """T13 + P9 with the levels of the data: mean rating of every user for every part type of the level dictionary."""
+    part = tbl(spark, sf, "part")
+    it = part.select(F.col("p_partkey").alias("item_id"), "p_type")
+    r = ratings_frame(spark, sf, materialize=True)
+    out = rc.user_level_means(r, it, level_table(part, "p_type"), "user_id", "item_id", "p_type", "rating")
+    return out.select("user_id", "level", "code", rnd("mean", 6).alias("mean"), "n")
+
+
 # --- C7 / C8: two towers ---------------------------------------------------------
 
 def _tower(n_in: int, n_hidden: int, n_out: int, seed: int):
@@ -433,7 +452,7 @@ SELECT rk.user_id, CAST(rnk AS BIGINT) AS rank, rk.item_id, p.p_name, round(pred
 def two_tower_recommend(spark, sf):
     """User tower on the T13 profile, item tower on part features (R1/R2), L2-normalised (F8) dot (F6),
     T3 inverse scaling to the rating range, J2 left join of the user's own rating (0 if none), W7 top-5, J1 names."""
-    r = ratings_frame(spark, sf)
+    r = ratings_frame(spark, sf, materialize=True)
     users = requested_users(r)
     it = tbl(spark, sf, "part").select(F.col("p_partkey").alias("item_id"), "p_type")
     prof = rc.user_profile(r, it, "user_id", "item_id", "p_type", "rating", TYPES)

@@ -147,3 +147,16 @@ def test_user_profile_keeps_users_without_genres(spark):
     tags = spark.createDataFrame([(1, "a")], "item int, genre string")
     out = {r.user: (r.rating_count, r.a) for r in rc.user_profile(ratings, tags, "user", "item", "genre", "rating", ["a"]).collect()}
     assert out == {"u": (1, 4.0), "v": (1, 0.0)}
+
+
+def test_a_seventh_level_survives(spark):
+    from tessera.operators import prepare as pr
+    part = spark.createDataFrame([(i, f"T{i % 7}") for i in range(21)] + [(99, None)], "item_id long, kind string")
+    ratings = spark.createDataFrame([(u, i, float(u + i)) for u in range(3) for i in range(u, 21, 2)] + [(8, 99, 1.0)], "user_id long, item_id long, rating double")
+    levels = pr.level_table(part, "kind")
+    assert [(r.level, r.code) for r in levels.orderBy("code").collect()] == [(f"T{i}", i) for i in range(7)]
+    got = {(r.user_id, r.level): (r.mean, r.n) for r in rc.user_level_means(ratings, part, levels, "user_id", "item_id", "kind", "rating").collect()}
+    assert len(got) == 4 * 7 and all(got[8, f"T{i}"] == (0.0, 0) for i in range(7))  # a user without any level keeps rows
+    assert got[0, "T6"] == (np.mean([6.0, 20.0]), 2) and got[1, "T6"] == (14.0, 1)
+    hot = pr.one_hot_long(part, "item_id", "kind", levels)
+    assert hot.count() == 21 and hot.where("level = 'T6' AND code = 6 AND flag = 1").count() == 3
