@@ -132,16 +132,21 @@ WITH l AS (
   SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
          generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS i FROM documents
 ), w AS (
-  SELECT doc_id, i, line, row_number() OVER (PARTITION BY doc_id ORDER BY i) AS k
+  SELECT doc_id, i, line, row_number() OVER (PARTITION BY doc_id ORDER BY i) AS k,
+         len(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) AS nw
   FROM l WHERE regexp_matches(line, '[^\x20\x09-\x0D]')
-), g AS (
-  SELECT doc_id, k, line || chr(10) || lead(line, 1) OVER d || chr(10) || lead(line, 2) OVER d AS key
+), x AS (
+  SELECT doc_id, k, line, nw, lead(line, 1) OVER d AS line2, lead(nw, 1) OVER d AS nw2, lead(line, 2) OVER d AS line3
   FROM w WINDOW d AS (PARTITION BY doc_id ORDER BY k)
+), g AS (
+  SELECT doc_id, k, 1 AS size, line AS key FROM x WHERE nw >= 10
+  UNION ALL SELECT doc_id, k, 2, line || chr(10) || line2 FROM x WHERE nw + nw2 >= 10
+  UNION ALL SELECT doc_id, k, 3, line || chr(10) || line2 || chr(10) || line3 FROM x
 ), later AS (
-  SELECT doc_id, k FROM (SELECT doc_id, k, row_number() OVER (PARTITION BY key ORDER BY doc_id, k) AS nth
-                         FROM g WHERE key IS NOT NULL) WHERE nth > 1
+  SELECT doc_id, k, size FROM (SELECT doc_id, k, size, row_number() OVER (PARTITION BY key ORDER BY doc_id, k) AS nth
+                               FROM g WHERE key IS NOT NULL) WHERE nth > 1
 ), gone AS (
-  SELECT DISTINCT doc_id, k + d AS k FROM later, (SELECT unnest([0, 1, 2]) AS d)
+  SELECT DISTINCT doc_id, k + d AS k FROM later, (SELECT unnest([0, 1, 2]) AS d) WHERE d < size
 ), runs AS (
   SELECT doc_id, count(*) AS n_removed, sum(CASE WHEN prev IS NULL OR prev < k - 1 THEN 1 ELSE 0 END) AS n_runs
   FROM (SELECT doc_id, k, lag(k) OVER (PARTITION BY doc_id ORDER BY k) AS prev FROM gone) GROUP BY doc_id
@@ -158,7 +163,7 @@ FROM documents d LEFT JOIN kept ON d.doc_id = kept.doc_id LEFT JOIN runs ON d.do
 
 @query("op5_line_dedup", OP5_SQL)
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Runs of three or more lines that repeat an earlier place are deleted, found by winnowing."""
+    """Runs of three lines, or of ten words in fewer lines, that repeat an earlier place are deleted, found by winnowing."""
     return (line_dedup.line_dedup(table(spark, sf_dir, "documents"))
             .select("doc_id", "n_lines", "n_removed", "n_runs", F.sha2("kept_text", 256).alias("kept_sha256")))
 

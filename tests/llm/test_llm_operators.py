@@ -201,25 +201,50 @@ def test_suffix_dedup_matches_brute_force(docs):
         assert got == sorted(set(want))
 
 
-def test_line_dedup_matches_brute_force(docs):
-    order = sorted({(i, t or "") for i, t, *_ in ROWS if i is not None and i not in (9, 14)})
-    df = docs.filter("doc_id IS NOT NULL AND doc_id NOT IN (9, 14)")
+PASSAGE = " ".join(f"planted{i}" for i in range(60))
+LINE_ROWS = [*ROWS, (30, f"{PASSAGE}\nown words of thirty", "en", "a", 1), (31, f"before\n \n{PASSAGE}\nafter", "en", "a", 1), (32, PASSAGE, "en", "a", 1),
+             (33, "one two three four\nfive six seven eight nine ten", "en", "a", 1), (34, "x\none two three four\n\nfive six seven eight nine ten\ny", "en", "a", 1),
+             (35, "short line\nother", "en", "a", 1), (36, "short line\nanother", "en", "a", 1)]
+
+
+def test_line_dedup_matches_brute_force(spark):
+    """All rows, also null doc_ids, repeated rows and several texts of one doc_id."""
+    sign = lambda v: v - 2 ** 64 if v >= 2 ** 63 else v
+    order = sorted({(i is not None, i or 0, sign(xxhash.xxh64_intdigest((t or "").encode(), 42)), t or "") for i, t, *_ in LINE_ROWS})
     first, gone = {}, {}
-    for i, t in order:
+    for has, i, _, t in order:
         lines = [x for x in t.split("\n") if words_of(x)]
-        for s in range(len(lines) - 2):
-            if first.setdefault(tuple(lines[s:s + 3]), (i, s)) != (i, s):
-                gone.setdefault(i, set()).update((s, s + 1, s + 2))
-    got = {r.doc_id: r for r in line_dedup.line_dedup(clashing(df)).collect()}
-    for i, t in order:
+        for size in (1, 2, 3):
+            for s in range(len(lines) - size + 1):
+                key = tuple(lines[s:s + size])
+                if size < 3 and sum(len(words_of(x)) for x in key) < 10:
+                    continue
+                if first.setdefault(key, (has, i, t, s)) != (has, i, t, s):
+                    gone.setdefault((has, i, t), set()).update(range(s, s + size))
+    want = []
+    for i, t, *_ in LINE_ROWS:
+        t = t or ""
+        out = gone.get((i is not None, i or 0, t), set())
         kept, k = [], 0
         for x in t.split("\n"):
             if words_of(x):
                 k += 1
-                if k - 1 in gone.get(i, ()):
+                if k - 1 in out:
                     continue
             kept.append(x)
-        assert got[i].n_removed == len(gone.get(i, ())) and got[i].kept_text == "\n".join(kept)
+        want.append((i, k, len(out), sum(r - 1 not in out for r in out), "\n".join(kept)))
+    df = spark.createDataFrame(LINE_ROWS, SCHEMA).repartition(3)
+    got = sorted(map(tuple, line_dedup.line_dedup(clashing(df)).collect()), key=repr)
+    assert got == sorted(want, key=repr)
+    kept = {r[0]: r[4] for r in got}
+    assert kept[32] == "" and kept[31] == "before\n \nafter" and kept[34] == "x\n\ny" and kept[36] == "short line\nanother"
+
+
+def test_line_dedup_of_a_very_long_text(spark):
+    lines = "\n".join(f"line number {i} of a long text" for i in range(100_000))
+    got = line_dedup.line_dedup(spark.createDataFrame([(1, lines, "en", "a", 1), (2, lines, "en", "a", 1)], SCHEMA)).orderBy("doc_id").collect()
+    assert [(r.n_lines, r.n_removed, r.n_runs) for r in got] == [(100_000, 0, 0), (100_000, 100_000, 1)]
+    assert got[0].kept_text == lines and got[1].kept_text == ""
 
 
 def test_mixing_meets_targets(spark):
