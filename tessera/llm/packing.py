@@ -101,10 +101,10 @@ def token_sizes(docs: DataFrame, tokenizer: str = TOKENIZER, id_col: str = "doc_
     rows = pick(docs, doc_id=id_col, text=text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc = shared(("ids", tokenizer), lambda: ByteBpeEncoder(tokenizer))
+        enc = shared(("lengths", tokenizer), lambda: ByteBpeEncoder(tokenizer, lengths=True))
         for b in batches:
-            n = [len(ids) // enc.dtype.itemsize + 1 for lo in range(0, b.num_rows, ROWS)
-                 for ids in enc.encode_all([t or "" for t in b.column(1).slice(lo, ROWS).to_pylist()])]
+            n = [size + 1 for lo in range(0, b.num_rows, ROWS)
+                 for size in enc.encode_all([t or "" for t in b.column(1).slice(lo, ROWS).to_pylist()])]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n, pa.int64())], names=["doc_id", "n_tokens"])
 
     return rows.mapInArrow(run, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, n_tokens long")

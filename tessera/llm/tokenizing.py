@@ -10,8 +10,8 @@ from .common import ship
 
 ship(__name__)
 
-#: Encoded chunks kept per worker; beyond it the cache starts anew (a memory bound, not a limit on texts).
-MAX_CACHED = 700_000
+#: Encoded chunks kept per worker, in two halves (a memory bound, not a limit on texts).
+MAX_CACHED = 900_000
 #: Characters of text cut into chunks at once.
 BATCH_CHARS = 2_000_000
 LEARN_BATCH = 4096
@@ -48,19 +48,39 @@ def shared(key: tuple, make):
     return held[key]
 
 
+class Chunks:
+    """What is known of chunks, in two generations: when the newer is full it becomes the older, and chunks met
+    again move back, so frequent ones stay and those met once go."""
+
+    def __init__(self) -> None:
+        self.new: dict = {}
+        self.old: dict = {}
+
+    def missing(self, chunks: set[str]) -> set[str]:
+        """The chunks to learn; all others are in ``new`` afterwards."""
+        if len(self.new) > MAX_CACHED // 2:
+            self.old, self.new = self.new, {}
+        todo = chunks.difference(self.new)
+        again = todo.intersection(self.old)
+        self.new.update(zip(again, map(self.old.__getitem__, again), strict=True))
+        return todo - again
+
+
 class ByteBpeEncoder:
     """encode_all(texts) -> ids of each as little-endian unsigned integers, equal to the library's ids for the whole text.
 
     For byte-level BPE whose pre-tokenizer lets a word take at most one space before it.  A text
     is cut before every space or newline that stands alone between two other characters; no
     pre-token crosses such a cut, so chunks encode independently and the library runs once per
-    distinct chunk.  A text with any other white space goes to the library whole."""
+    distinct chunk.  A text with any other white space goes to the library whole.  With ``lengths``
+    only the number of ids of each text is kept and returned."""
 
-    def __init__(self, name: str):
+    def __init__(self, name: str, lengths: bool = False):
         self.tk = load(name)
         self.dtype = np.dtype("<u2") if self.tk.get_vocab_size() <= 1 << 16 else np.dtype("<u4")
-        self.known: dict[str, bytes | None] = {}
-        self.heads: dict[str, bytes | None] = {}
+        size = self.dtype.itemsize
+        self.kept, self.whole = (lambda raw: len(raw) // size, sum) if lengths else (lambda raw: raw, b"".join)
+        self.known, self.heads = Chunks(), Chunks()
         self.between = np.frombuffer(self._ids([BETWEEN])[0], self.dtype)
 
     def _ids(self, texts: list[str], step: int = LEARN_BATCH) -> list[bytes]:
@@ -92,25 +112,23 @@ class ByteBpeEncoder:
             out += [raw[p + skip:q] for p, q in zip(at, at[1:])]
         return out
 
-    def _learn(self, known: dict[str, bytes | None], chunks: set[str], lead: str) -> None:
+    def _learn(self, known: Chunks, chunks: set[str], lead: str) -> None:
         """Encode the chunks not met before, each after ``lead`` (a newline at its start takes none).
         None marks a chunk whose white space makes the cuts around it unsafe."""
-        if len(known) > MAX_CACHED:
-            known.clear()
         words, lines = [], []
-        for c in chunks.difference(known):
+        for c in known.missing(chunks):
             body = c[1:] if c[:1] == "\n" else c
             if not body or body[0].isspace() or body[-1].isspace():
-                known[c] = None
+                known.new[c] = None
             else:
                 (words if body is c else lines).append(c)
         spaced = [lead + c for c in words]
-        known.update(zip(words, self._joined_ids(spaced) if lead else self._ids(spaced), strict=True))
-        known.update(zip(lines, self._joined_ids(lines), strict=True))
+        known.new.update(zip(words, map(self.kept, self._joined_ids(spaced) if lead else self._ids(spaced)), strict=True))
+        known.new.update(zip(lines, map(self.kept, self._joined_ids(lines)), strict=True))
 
-    def encode_all(self, texts: list[str]) -> list[bytes]:
-        """ids of each text (those of an empty text are none); at most BATCH_CHARS of text are cut at once."""
-        out: list[bytes] = []
+    def encode_all(self, texts: list[str]) -> list:
+        """ids of each text (those of an empty text are none), or their number; at most BATCH_CHARS of text are cut at once."""
+        out: list = []
         at = 0
         while at < len(texts):
             end, size = at, 0
@@ -122,8 +140,8 @@ class ByteBpeEncoder:
             self._learn(self.known, set().union(*(c[1:] for c in cut)), " ")
             for text, (first, *rest) in zip(texts[at:end], cut, strict=True):
                 try:
-                    out.append(self.heads[first] + b"".join(map(self.known.__getitem__, rest)) if text else b"")
+                    out.append(self.heads.new[first] + self.whole(map(self.known.new.__getitem__, rest)) if text else self.kept(b""))
                 except TypeError:
-                    out += self._ids([text])
+                    out += map(self.kept, self._ids([text]))
             at = end
         return out
