@@ -25,26 +25,56 @@ SHARD_ITEMS = 4096
 ROWS = 500
 
 
+def expected_fill(sizes: list[int], at: int, length: int) -> int:
+    """Tokens that a bin of ``length`` gets if it is opened for sizes[at] (decreasing sizes) and filled with the
+    largest of the sizes that follow, as long as one fits."""
+    keys = _Falling(sizes)
+    used, at = sizes[at], at + 1
+    while used < length:
+        at = bisect_left(keys, used - length, at)  # the first that is not larger than the room
+        if at >= len(sizes):
+            break
+        used += sizes[at]
+        at += 1
+    return used
+
+
+class _Falling:
+    """A decreasing list as bisect wants it: negated."""
+
+    def __init__(self, sizes: list[int]) -> None:
+        self.sizes = sizes
+
+    def __len__(self) -> int:
+        return len(self.sizes)
+
+    def __getitem__(self, i: int) -> int:
+        return -self.sizes[i]
+
+
 def best_fit(sizes: list[int], lengths: tuple[int, ...] = LENGTHS, overhead: int = OVERHEAD) -> list[tuple[int, int, int]]:
     """(bin, offset, bin length) for each size (1 .. max length), sizes in decreasing order.
 
-    Each item goes to the open bin that it leaves least room in, else a new bin is opened.
-    The new bin's length is the one of least cost per token among the permitted lengths that hold
-    the item, up to a ceiling; all permitted ceilings are tried together and the cheapest whole
-    packing is taken, after every bin is downsized to the least length that holds its contents."""
+    Each item goes to the open bin that it leaves least room in, else a new bin is opened.  All permitted lengths that
+    hold the item compete for it: each is filled in thought with what still follows, downsized to that, and
+    the least cost per token opens (the smaller on ties).  As what follows is shared by all bins, the
+    whole is also packed with the largest lengths left out, one after the other, and the cheapest
+    packing is taken.  At last every bin is downsized to the least length that holds its contents."""
     lengths = tuple(sorted(lengths))
     best = None
     for ceiling in lengths:
         room: list[tuple[int, int]] = []  # (free tokens, bin), sorted
         used: list[int] = []
         placed = []
-        for s in sizes:
+        for i, s in enumerate(sizes):
             at = bisect_left(room, (s, -1))
             if at < len(room):
                 free, b = room.pop(at)
             else:
                 fitting = [c for c in lengths if s <= c <= ceiling] or [next(c for c in lengths if c >= s)]
-                free, b = min(fitting, key=lambda c: ((c + overhead) / c, c)), len(used)
+                fills = [(expected_fill(sizes, i, c), c) for c in fitting]
+                _, free = min(((lengths[bisect_left(lengths, u)] + overhead) / u, c) for u, c in fills)
+                b = len(used)
                 used.append(0)
             placed.append((b, used[b]))
             used[b] += s
