@@ -30,13 +30,16 @@ FOLDS = 4
 #: Added to counts of words, seen and expected.
 PRIOR = 0.5
 MAX_DOMAINS = 64
-MAX_STEPS = 50
+#: Steps before the fit gives up with an error, and the slope (in shares of all tokens) that counts as none.
+MAX_STEPS = 500_000
+STILL = 1e-9
 #: Distinct posteriors the driver takes; the model has at most 2^N_FLAGS (1 + domains x LEVELS) = 8256.
 MAX_KINDS = 10_000
 #: Largest miss of a domain, as a share of its target; of a domain without target, as a share of all tokens.
 TOLERANCE = 1e-2
 UNWANTED = 2e-3
 #: Share of tokens per (quality, toxic) domain of the labels table.
+REACHED = "array<struct<domain:string,share:double,target:double>>"
 TARGETS = {"q1t0": 0.85, "q0t0": 0.12, "q1t1": 0.02, "q0t1": 0.01}
 
 
@@ -55,7 +58,7 @@ def _featured(rows: DataFrame) -> DataFrame:
     out = rows.withColumn("t", present("text"))
     out = (out.withColumn("flat", F.trim(F.regexp_replace(F.lower(t), r"[^\p{L}]+", " ")))
            .withColumn("n_tokens", F.regexp_count("t", F.lit(HAS_WORD + "+")).cast("long"))
-           .withColumn("marks", F.regexp_count("t", F.lit(r"[#*$%&|<>]")))
+           .withColumn("marks", F.length("t") - F.length(F.translate("t", "#*$%&|<>", "")))
            .withColumn("twice", F.regexp_count("t", F.lit(r"(?<!\S)(\S++)\s++\1(?!\S)")))
            .withColumn("capitals", F.regexp_count("t", F.lit(r"\p{Lu}"))))
     shouts = F.length("t") - F.length(F.replace(t, F.lit("!"), F.lit("")))
@@ -181,28 +184,18 @@ def fit_posterior(docs: DataFrame, domains: DataFrame, max_labelled: int = MAX_L
     return Posterior(names, choose_words(sample, names, vocabulary), base, weight)
 
 
-def _rate(p: Column, pulls: list[list[float]]) -> Column:
-    """The rate after the given steps: r <- max(0, r - p . pull), from r = 1."""
-    r = F.lit(1.0)
-    for pull in pulls:
-        r = F.greatest(F.lit(0.0), r - sum((p[d] * F.lit(g) for d, g in enumerate(pull)), F.lit(0.0)))
-    return r
-
-
 def fit_rates(scored: DataFrame, domains: list[str], targets: dict[str, float], max_steps: int = MAX_STEPS,
-              tolerance: float = TOLERANCE) -> tuple[list[list[float]], dict[str, tuple[float, float]]]:
-    """Steps (one pull per domain each) of projected-gradient least squares, and the targets missed.
-
-    Minimises the whitened squared miss of the domain equations sum_i tok_i p_id r_i = T_d over
-    r >= 0, where T_d is the domain's share of all tokens and the whitening is G = sum_i tok_i p_i p_i'.
-    Preconditioned by 1/tok_i, a document's step depends on its posteriors only, and the system's
-    largest eigenvalue is 1, so the step length is 1; it is exact until a rate meets the bound at 0.
-    From then on the step whitened over the documents with a rate above 0 is tried first, and kept if
-    it lessens the miss.  Documents of equal posteriors move alike, so one aggregate over all of them
-    sums the tokens of each distinct posterior (at most MAX_KINDS) and the steps run on these sums;
-    a document's rate is replayed from the step vectors.  Stops when every domain is within
-    ``tolerance`` of its target (one without target: within UNWANTED of all tokens), or after
-    ``max_steps``; domains still farther off are returned as {domain: (share reached, target)}."""
+              tolerance: float = TOLERANCE) -> tuple[list[tuple[list[float], float]], dict[str, tuple[float, float]]]:
+    """(posteriors, rate) of every distinct posterior, and {domain: (share reached, target)} of all domains.
+
+    Minimises the squared miss of the domain equations sum_i tok_i p_id r_i = T_d over r >= 0, T_d the domain's
+    share of all tokens, by projected gradient from r = 1.  Preconditioned by 1/tok_i, a document's step depends on
+    its posteriors only, so documents of equal posteriors move alike: one aggregate over all documents
+    sums the tokens of each distinct posterior (at most MAX_KINDS), and the steps run on these sums, with
+    momentum that starts anew where it would climb.  Ends when every domain is within a tenth of
+    ``tolerance`` of its target (one without target: of UNWANTED of all tokens), or where no step lessens
+    the miss: then the targets are out of reach of the posteriors and the rates are the least-squares ones.  Raises if
+    neither is reached in ``max_steps``."""
     rows = scored.groupBy("p").agg(F.sum("n_tokens").alias("n")).limit(MAX_KINDS + 1).collect()
     if len(rows) > MAX_KINDS:
         raise ValueError(f"more than {MAX_KINDS} distinct posteriors")
@@ -212,23 +205,30 @@ def fit_rates(scored: DataFrame, domains: list[str], targets: dict[str, float],
     now = tok @ p
     total = now.sum()
     share = np.array([max(0.0, targets.get(d, 0.0)) if now[i] > 0 else 0.0 for i, d in enumerate(domains)])
-    if total <= 0 or share.sum() <= 0:
-        return [], {}
-    goal = total * share / share.sum()
-    near = np.where(goal > 0, tolerance * goal, UNWANTED * total)
     rate = np.ones(len(p))
-    whiten = np.linalg.pinv(p.T @ (p * tok[:, None]), hermitian=True)
-    pulls: list[list[float]] = []
-    while (np.abs(now - goal) > near).any() and len(pulls) < max_steps:
-        off = now - goal
-        moved = p[rate > 0]
-        quick = np.linalg.pinv(moved.T @ (moved * tok[rate > 0][:, None]), hermitian=True) @ off
-        then = (tok * np.maximum(0.0, rate - p @ quick)) @ p - goal
-        pull = quick if then @ whiten @ then < 0.9 * (off @ whiten @ off) else whiten @ off
-        pulls.append(pull.tolist())
-        rate = np.maximum(0.0, rate - p @ pull)
-        now = (tok * rate) @ p
-    return pulls, {d: (now[i] / total, goal[i] / total) for i, d in enumerate(domains) if abs(now[i] - goal[i]) > near[i]}
+    if total <= 0 or share.sum() <= 0:
+        return [(r.p, 1.0) for r in rows], {}
+    tok, goal = tok / total, share / share.sum()
+    near = 0.1 * np.where(goal > 0, tolerance * goal, UNWANTED)
+    step = 1.0 / np.linalg.eigvalsh(p.T @ (p * tok[:, None]))[-1]
+    ahead, speed = rate, 1.0
+    for _ in range(max_steps):
+        off = (tok * rate) @ p - goal
+        slope = p @ off
+        # no rate can move against the slope: zero slope, or a rate at its bound that would go below
+        still = np.abs(np.where((rate > 0) | (slope < 0), slope, 0.0)).max() <= STILL
+        if (np.abs(off) <= near).all() or still:
+            now = (tok * rate) @ p
+            return ([(r.p, float(x)) for r, x in zip(rows, rate, strict=True)],
+                    {d: (float(now[i]), float(goal[i])) for i, d in enumerate(domains)})
+        pull = p @ ((tok * ahead) @ p - goal)
+        new = np.maximum(0.0, ahead - step * pull)
+        if (tok * pull) @ (new - rate) > 0:  # the momentum climbs
+            speed, ahead, new = 1.0, rate, np.maximum(0.0, rate - step * slope)
+        faster = (1 + math.sqrt(1 + 4 * speed * speed)) / 2
+        ahead = np.maximum(0.0, new + (speed - 1) / faster * (new - rate))
+        rate, speed = new, faster
+    raise RuntimeError(f"rates still change after {max_steps} steps")
 
 
 def document_rates(docs: DataFrame, labels: DataFrame, targets: dict[str, float] | None = None,
@@ -238,23 +238,30 @@ def document_rates(docs: DataFrame, labels: DataFrame, targets: dict[str, float]
     copies = floor(rate), plus one with the fraction as probability (a hash of doc_id and text
     decides, so a rerun decides alike).  Targets that cannot be met are named in a
     warning.  Without ``texts`` the scores are written once, else read twice from the texts.
-    Without labelled documents every rate is 1.  A null
+    Without labelled documents every rate is 1.  ``reached`` lists the share of every domain and its target.  A null
     text has no tokens; its rate follows from its posteriors like any other.  Rows repeated
     in doc_id and text get the same copies."""
     model = fit_posterior(docs, label_domains(labels))
     if model is None:
         plain = docs.withColumn("n_tokens", F.regexp_count(present("text"), F.lit(HAS_WORD + "+")).cast("long"))
         return plain.withColumn("p", F.array().cast("array<double>")).withColumn("rate", F.lit(1.0)) \
-            .withColumn("copies", F.lit(1)).withColumn("domain", F.lit(None).cast("string"))
+            .withColumn("copies", F.lit(1)).withColumn("domain", F.lit(None).cast("string")).withColumn("reached", F.lit(None).cast(REACHED))
     u = F.pmod(F.xxhash64("doc_id", "text", F.lit("mixing")), F.lit(1 << 40)) / F.lit(float(1 << 40))
     rated = model.attach(docs.withColumn("u", u))
     if not texts:
         rated = cut_lineage(rated.drop("text"))
-    pulls, missed = fit_rates(rated.select("n_tokens", "p"), model.domains, targets or TARGETS)
+    kinds, reached = fit_rates(rated.select("n_tokens", "p"), model.domains, targets or TARGETS)
+    missed = {d: (now, goal) for d, (now, goal) in reached.items()
+              if abs(now - goal) > (TOLERANCE * goal if goal > 0 else UNWANTED)}
     if missed:
         warnings.warn("domain targets missed: " + ", ".join(f"{d} {now:.4g} of {goal:.4g}" for d, (now, goal)
                                                             in missed.items()), stacklevel=2)
-    rated = rated.withColumn("rate", F.round(_rate(F.col("p"), pulls), 9))
+    # a rate per distinct posterior: at most MAX_KINDS rows
+    rates = rated.sparkSession.createDataFrame(kinds, "p array<double>, rate double")
+    rated = rated.join(F.broadcast(rates), "p", "left").withColumn("rate", F.round("rate", 9))
+    reach = F.array(*[F.struct(F.lit(d).alias("domain"), F.lit(now).alias("share"), F.lit(goal).alias("target"))
+                      for d, (now, goal) in sorted(reached.items())]) if reached else F.lit(None).cast(REACHED)
+    rated = rated.withColumn("reached", reach)
     whole = F.floor("rate")
     names = F.array(*[F.lit(d) for d in model.domains])
     return (rated.withColumn("copies", (whole + (F.col("u") < F.col("rate") - whole).cast("int")).cast("int")).drop("u")
@@ -262,9 +269,14 @@ def document_rates(docs: DataFrame, labels: DataFrame, targets: dict[str, float]
 
 
 def mixing_rates(docs: DataFrame, labels: DataFrame, targets: dict[str, float] | None = None) -> DataFrame:
-    """doc_id, n_tokens, domain (most likely), score (its posterior), rate and copies for every document."""
+    """doc_id, n_tokens, domain (most likely), score (its posterior), rate, copies, target, reached for every document.
+
+    ``target`` is the share of all tokens that the document's domain should have, ``reached`` the expected share at
+    these rates; they differ where the targets are out of reach of the posteriors (null without labels)."""
     rated = document_rates(pick(docs, "doc_id", "text", *[c for c in docs.columns if c == "lang"][:1]), labels, targets, texts=False)
-    return rated.select("doc_id", "n_tokens", "domain", F.array_max("p").alias("score"), "rate", "copies")
+    own = F.get(F.filter("reached", lambda r: r["domain"] == F.col("domain")), F.lit(0))
+    return rated.select("doc_id", "n_tokens", "domain", F.array_max("p").alias("score"), "rate", "copies",
+                        own["target"].alias("target"), own["share"].alias("reached"))
 
 
 def mix(docs: DataFrame, labels: DataFrame, targets: dict[str, float] | None = None) -> DataFrame:
