@@ -12,6 +12,7 @@ import warnings
 from functools import reduce
 
 import numpy as np
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -23,6 +24,8 @@ MAX_LABELLED = 4000
 #: Words whose presence counts as evidence, at most, and the least information (nats) of one.
 VOCABULARY = 1024
 MIN_GAIN = 9.0
+#: Hash buckets that words are looked up in.
+BUCKETS = 128
 #: A domain's evidence counts as such when it leads every other domain's by this many nats.
 LEVELS = (2.0, 6.0)
 #: The evidence is calibrated on documents that did not choose its words, by as many parts.
@@ -85,10 +88,22 @@ class Evidence:
         if self.words:
             known = F.split(F.lit(" ".join(self.words)), " ")
             rows = featured.withColumn("met", F.array_intersect("words", known))
-            rows = rows.select(*keep, *flags, F.transform("met", lambda w: F.array_position(known, w).cast("int") - 1).alias("at"))
+            # a word's place: its bucket by hash, then its position among the few words there
+            buckets: list[list[tuple[str, int]]] = [[] for _ in range(BUCKETS)]
+            for i, w in enumerate(self.words):
+                buckets[xxhash.xxh64_intdigest(w.encode(), 42) % BUCKETS].append((w, i))
+            room = max(map(len, buckets))
+            held = F.array(*[F.split(F.lit(" ".join(w for w, _ in b)), " ") for b in buckets])
+
+            def place(w: Column) -> Column:
+                h = F.pmod(F.xxhash64(w), F.lit(BUCKETS)).cast("int")
+                return h * room + F.array_position(held[h], w).cast("int") - 1
+
+            rows = rows.select(*keep, *flags, F.transform("met", place).alias("at"))
 
             def total(ratio: list[float]) -> Column:
-                weight = F.split(F.lit(" ".join(map(repr, ratio))), " ").cast("array<double>")
+                padded = [repr(ratio[b[k][1]]) if k < len(b) else "0.0" for b in buckets for k in range(room)]
+                weight = F.split(F.lit(" ".join(padded)), " ").cast("array<double>")
                 return F.aggregate("at", F.lit(0.0), lambda a, i: a + F.get(weight, i))
 
             rows = rows.select(*keep, *flags, *[total(r).alias(f"e{i}") for i, r in enumerate(self.ratios)])
