@@ -24,11 +24,13 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from math import ceil, isqrt
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 SAMPLES = 32  # sampled rows per block boundary
+PICKS = 65_536  # rows sampled from a stretch that holds an asked rank
 BLOCK = "_block"
 COPY = "_copy"
 
@@ -263,36 +265,97 @@ def latest_n(df: DataFrame, keys, order_cols: Sequence[str], n: int, position: s
 
 # --- order statistics -----------------------------------------------------------
 
-def order_statistics(df: DataFrame, order_cols: Sequence[str], ranks: Sequence[int], per_block: int = 10_000) -> dict[int, Row]:
+def order_key(order_cols: Sequence[str]) -> Column:
+    """The row's ``order_cols`` as one value that compares as they sort."""
+    return F.struct(*[F.col(c).alias(f"o{i}") for i, c in enumerate(order_cols)])
+
+
+def cuts_before(key: str, kind: T.StructType, cuts: Sequence[Sequence]) -> Column:
+    """How many of the ascending ``cuts`` lie before the row, by halving.  ``key`` is a column of ``order_key`` (of type
+    ``kind``): comparing it is a short call, where one condition on all columns per cut outgrows a compiled method."""
+    def value(v, dt: T.DataType) -> Column:
+        return F.lit(str(v) if v is not None and isinstance(dt, T.TimestampNTZType) else v).cast(dt)
+
+    def at(cut) -> Column:
+        return F.struct(*[value(v, f.dataType).alias(f.name) for v, f in zip(cut, kind.fields, strict=True)])
+
+    def among(lo: int, hi: int) -> Column:
+        if lo == hi:
+            return F.lit(lo)
+        mid = (lo + hi) // 2
+        return F.when(F.col(key) <= at(cuts[mid]), among(lo, mid)).otherwise(among(mid + 1, hi))
+
+    return among(0, len(cuts))
+
+
+def order_statistics(df: DataFrame, order_cols: Sequence[str], ranks: Sequence[int], per_block: int = 10_000,
+                     picks: int = PICKS) -> dict[int, Row]:
     """rank (1-based) -> the values of ``order_cols`` of the row at that rank, without a full sort.
 
-    One pass counts the rows between sampled boundaries; only blocks that hold an asked rank are looked at
-    again, cut anew while they exceed ``per_block`` rows, and then ranked.  Ranks beyond the table are left out."""
-    rows = df.select(*order_cols)
+    Sampled keys around each asked rank (``picks`` of the rows, by hash) bracket it; one pass counts the rows between
+    the brackets, and only the rows of the stretches that hold an asked rank are kept for the next round, for all
+    ranks at once.  Stretches of at most ``per_block`` rows are ranked.  Ranks beyond the table are left out."""
     asked = sorted({int(r) for r in ranks if r >= 1})
     if not asked:
         return {}
-    d = deal(rows, [], order_cols, per_block)
-    blocks = d.sizes.get((), [(-1, None)])
-    found: dict[int, Row] = {}
-    at = 0
-    small: dict[int, int] = {}
-    for b, n in blocks:
-        inside = [r - at for r in asked if r > at and (n is None or r <= at + n)]
-        if inside and n is not None and n > 4 * per_block and len(blocks) > 1:
-            part = order_statistics(d.frame.where(F.col(BLOCK) == b), order_cols, inside, per_block)
-            found |= {r + at: v for r, v in part.items()}
-        elif inside:
-            small[b] = at
-        at += n or 0
-    if small:
-        near = d.frame.where(F.col(BLOCK).isin(list(small)))
-        placed = near.withColumn("_rn", F.row_number().over(d.window()).cast("long"))
-        start = F.lit(0).cast("long")
-        for b, s in small.items():
-            start = F.when(F.col(BLOCK) == b, F.lit(s)).otherwise(start)
-        placed = placed.withColumn("_rank", F.col("_rn") + start).where(F.col("_rank").isin(asked))
-        found |= {r["_rank"]: Row(**{c: r[c] for c in order_cols}) for r in placed.collect()}
+    cols = [*order_cols, "_place"]  # rows that tie are told apart by their place in the scan
+    rows = df.select(*order_cols, F.monotonically_increasing_id().alias("_place")).select(order_key(cols).alias("_key"))
+    kind = rows.schema["_key"].dataType
+    n = rows.count()
+    # stretch -> (ranks within it, rows before it, its rows, one of how many rows is picked)
+    open_ = {0: ([r for r in asked if r <= n], 0, n, max(1, n // picks))}
+    rows, held, found = rows.select(F.lit(0).alias("_in"), "_key"), None, {}
+
+    def per_stretch(values: dict[int, Column]) -> Column:
+        out = F.lit(None)
+        for i, v in values.items():
+            out = F.when(F.col("_in") == i, v).otherwise(out)
+        return out
+
+    while True:
+        small = {i: v for i, v in open_.items() if v[2] <= per_block}
+        if any(v[0] for v in small.values()):
+            rn = F.row_number().over(Window.partitionBy("_in").orderBy("_key"))
+            near = rows.where(F.col("_in").isin(list(small))).select("_in", "_key", rn.alias("_rn"))
+            wanted = per_stretch({i: F.col("_rn").isin([r - at for r in inside]) for i, (inside, at, _, _) in small.items()})
+            found |= {r["_rn"] + small[r["_in"]][1]: Row(**dict(zip(order_cols, r["_key"]))) for r in near.where(wanted).collect()}
+        big = {i: v for i, v in open_.items() if v[2] > per_block and v[0]}
+        if not big:
+            break
+        step = per_stretch({i: F.lit(v[3]) for i, v in big.items()})
+        sample = rows.where(F.col("_in").isin(list(big)) & (F.pmod(F.xxhash64("_key"), step) == 0)).groupBy("_in").agg(
+            F.sort_array(F.collect_list("_key")).alias("s"))
+        share = per_stretch({i: F.array(*[F.lit((r - at) / m) for r in inside]) for i, (inside, at, m, _) in big.items()})
+        wide = F.when(step == 1, F.lit(0)).otherwise(F.ceil(F.sqrt(F.size("s"))) * 2 + 4)  # four standard deviations or more
+
+        def bracket(f):
+            mid = F.round(f * F.size("s")).cast("int") - 1  # of a whole stretch the very row
+            return F.array(*[F.struct(p.alias("p"), F.get("s", p).alias("k")) for p in ((mid - wide - 1).cast("int"), (mid + wide).cast("int"))])
+
+        chosen = {r["_in"]: {p: k for p, k in r["b"] if k is not None} for r in sample.select(
+            "_in", F.flatten(F.transform(share, bracket)).alias("b")).collect()}
+        # each stretch is cut at its own keys; what holds a rank goes on under a new number
+        first, number = {}, 0
+        for i in big:
+            first[i], number = number, number + len(chosen.get(i, {})) + 1
+        place = per_stretch({i: cuts_before("_key", kind, [k for _, k in sorted(chosen.get(i, {}).items())]) + f for i, f in first.items()})
+        cut = rows.where(F.col("_in").isin(list(big))).select(place.alias("_in"), "_key")
+        sizes = {r["_in"]: r["n"] for r in cut.groupBy("_in").agg(F.count(F.lit(1)).alias("n")).collect()}
+        open_ = {}
+        for i, (inside, at, m, every) in big.items():
+            for j in range(first[i], first[i] + len(chosen.get(i, {})) + 1):
+                here = sizes.get(j, 0)
+                ours = [r for r in inside if at < r <= at + here]
+                if ours:  # a stretch that was not cut is sampled more closely
+                    open_[j] = (ours, at, here, max(1, min(here // picks, every // 4 if here == m else every)))
+                at += here
+        rows, old = cut.where(F.col("_in").isin(list(open_))).persist(StorageLevel.MEMORY_AND_DISK), held
+        rows.count()
+        if old is not None:
+            old.unpersist()
+        held = rows
+    if held is not None:
+        held.unpersist()
     return found
 
 

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage
-from .ordering import at_or_before, global_position, order_statistics
+from .ordering import cuts_before, global_position, order_key, order_statistics
 
 # --- T1/T2: z-score with the population standard deviation -----------------
 
@@ -164,12 +164,14 @@ def _label_by_rank(df: DataFrame, order: list[str], cuts: list[tuple[str, int]],
     rows = df.withColumn("_tie", F.monotonically_increasing_id())
     order = [*order, "_tie"]
     keys = order_statistics(rows, order, [r for _, r in cuts])
-    label = None
-    for name, r in cuts:
-        if r in keys:
-            here = at_or_before(order, keys[r])
-            label = F.when(here, F.lit(name)) if label is None else label.when(here, F.lit(name))
-    return rows.withColumn(col, F.lit(last) if label is None else label.otherwise(F.lit(last))).drop("_tie")
+    reached = sorted((r, -i, name) for i, (name, r) in enumerate(cuts) if r in keys)
+    rows = rows.withColumn("_key", order_key(order))
+    before = cuts_before("_key", rows.schema["_key"].dataType, [keys[r] for r, _, _ in reached])
+    names = []  # per count of cuts before a row: the first label in ``cuts`` that reaches it
+    for j in range(len(reached)):
+        names.append(max(reached[j:], key=lambda x: x[1])[2])
+    label = F.element_at(F.array(*[F.lit(x) for x in [*names, last]]), before + 1)
+    return rows.withColumn(col, label).drop("_tie", "_key")
 
 
 def exact_split(df: DataFrame, key: Sequence[str], fractions: Sequence[tuple[str, float]], col: str = "split") -> DataFrame:

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from . import moments as mo
-from .ordering import at_or_before, order_statistics
+from .ordering import cuts_before, order_key, order_statistics
 from .prepare import poly_one, zscore_transform
 
 
@@ -125,11 +125,12 @@ def learning_curve(df: DataFrame, features: Sequence[str], y: str, order_cols: S
     n = train.count()
     ranks = [-(-k * n // steps) for k in range(1, steps)]
     cuts = order_statistics(train, order, ranks)
-    step = F.when(F.col("_split") == "cv", F.lit(-1))
-    for k, r in enumerate(ranks):
-        if r in cuts:
-            step = step.when(at_or_before(order, cuts[r]), F.lit(k))
-    parted = rows.select(step.otherwise(F.lit(steps - 1)).alias("_step"), *dict.fromkeys([*cols, y]))
+    reached = [r for r in ranks if r in cuts]
+    rows = rows.withColumn("_key", order_key(order))
+    before = cuts_before("_key", rows.schema["_key"].dataType, [cuts[r] for r in reached])
+    step = F.when(F.col("_split") == "cv", F.lit(-1)).otherwise(
+        F.element_at(F.array(*[F.lit(k) for k in [*[ranks.index(r) for r in reached], steps - 1]]), before + 1))
+    parted = rows.select(step.alias("_step"), *dict.fromkeys([*cols, y]))
     parts = mo.compute_moments_by(parted.where("_step >= 0"), "_step", cols, y)
     models, sizes, acc = [], [], None
     for k in range(steps):

@@ -171,3 +171,28 @@ def test_running_aggregates_across_blocks(hot):
                     assert (r.s, r.lo, r.hi, r.b) == (sum(seen), min(seen), max(seen), xor)
                 else:
                     assert np.isnan(r.s) and np.isnan(r.b)
+
+
+@pytest.mark.parametrize("picks,per_block", [(300, 50)])
+def test_order_statistics_look_for_all_ranks_at_once(spark, hot, picks, per_block):
+    want = _sorted(hot)
+
+    def jobs(ranks):
+        group = f"ranks-{picks}-{len(ranks)}"
+        spark.sparkContext.setJobGroup(group, group)
+        try:
+            got = od.order_statistics(hot.select("t", "k"), ["t"], ranks, per_block, **({"picks": picks} if picks else {}))
+        finally:
+            spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        assert {r: v.t for r, v in got.items()} == {r: want["t"][r - 1] for r in ranks}
+        return len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+
+    assert jobs([300 * k for k in range(1, 10)]) <= 2 * jobs([1500]) + 10
+
+
+def test_cuts_before_counts_cuts_with_nulls(spark):
+    rows = spark.createDataFrame([(None, 2), (1, None), (1, 3), (2, 1), (2, 9)], "a long, b int")
+    keyed = rows.withColumn("_key", od.order_key(["a", "b"]))
+    cuts = [(None, 2), (1, None), (1, 3), (1, 3), (2, 5)]
+    got = {(r.a, r.b): r.n for r in keyed.withColumn("n", od.cuts_before("_key", keyed.schema["_key"].dataType, cuts)).collect()}
+    assert got == {(None, 2): 0, (1, None): 1, (1, 3): 2, (2, 1): 4, (2, 9): 5}
