@@ -28,8 +28,9 @@ from .ordering import BLOCK, deal
 cloudpickle.register_pickle_by_value(sys.modules[__name__])  # executors need no copy of the package
 
 PIVOTS = 32
-BLOCK_ROWS = 512
+BLOCK_ROWS = 4096  # in many dimensions few blocks can be skipped: a visitor then travels once per so many rows
 VISITORS = 8192  # visitors that meet a block's vectors in one task
+ROUNDING = 4e-15  # a product's relative rounding, per coordinate, with room
 SLACK = 1e-9     # bounds are loosened by this part, so that rounding cannot skip a block
 
 
@@ -48,16 +49,38 @@ def squared(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 
 def _best(ids, vecs, other_ids, others, step: int = 256) -> tuple[np.ndarray, np.ndarray]:
-    """(id, squared distance) of the closest other for every row; lowest id on ties."""
+    """(id, squared distance) of the closest other for every row; lowest id on ties.
+
+    A matrix product gives every distance up to rounding; those that rounding could make the smallest are
+    summed again in order of the coordinates, so the result is that of ``squared`` over all pairs."""
     order = np.argsort(other_ids, kind="stable")
     other_ids, others = other_ids[order], others[order]
     nn, dist = np.full(len(ids), -1, np.int64), np.full(len(ids), np.inf)
+    if not len(others):
+        return nn, dist
+    with np.errstate(over="ignore", invalid="ignore"):
+        norms, own = (others * others).sum(axis=1), (vecs * vecs).sum(axis=1)
+        slack = (own + norms.max()) * (ROUNDING * (vecs.shape[1] + 4))
     for at in range(0, len(ids), step):
-        d = squared(vecs[at:at + step], others)
-        d[ids[at:at + step, None] == other_ids[None, :]] = np.inf
-        k = np.argmin(d, axis=1)
-        dist[at:at + step] = d[np.arange(len(k)), k]
-        nn[at:at + step] = other_ids[k]
+        part, mine = vecs[at:at + step], ids[at:at + step]
+        same = mine[:, None] == other_ids[None, :] if np.isin(mine, other_ids).any() else np.zeros((1, 1), bool)
+        if np.isfinite(slack[at:at + step]).all():
+            d = norms[None, :] - 2.0 * (part @ others.T)
+            d = np.where(same, np.inf, d) if same.any() else d
+            least = d.min(axis=1) + slack[at:at + step]
+            row, col = np.nonzero((d <= least[:, None]) & (d < np.inf))
+            exact = np.zeros(len(row))
+            for j in range(vecs.shape[1]):
+                diff = part[row, j] - others[col, j]
+                exact += diff * diff
+            by = np.lexsort((col, exact, row))  # per row the smallest distance, then the lowest id
+            first = by[np.unique(row[by], return_index=True)[1]]
+            dist[at + row[first]], nn[at + row[first]] = exact[first], other_ids[col[first]]
+        else:  # numbers whose squares are out of range
+            d = np.where(same, np.inf, squared(part, others))
+            k = np.argmin(d, axis=1)
+            dist[at:at + step] = d[np.arange(len(k)), k]
+            nn[at:at + step] = other_ids[k]
     return nn, dist
 
 

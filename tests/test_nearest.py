@@ -3,6 +3,7 @@
 import numpy as np
 import pytest
 
+from tessera.operators import nearest
 from tessera.operators.nearest import nearest_items
 
 
@@ -50,3 +51,20 @@ def test_small_inputs(spark):
     df = spark.createDataFrame([(1, 0.0), (2, None), (3, 4.0)], "id long, c0 double")
     assert {r.id: r.nearest_id for r in nearest_items(df, "id", ["c0"]).collect()} == {1: 3, 3: 1}
     assert nearest_items(df.where("id > 9"), "id", ["c0"]).count() == 0
+
+
+def test_best_is_exact_where_a_product_rounds(monkeypatch):
+    """Vectors far from the origin: the product form loses the small distances, the result must not; and distances
+    of all pairs are not summed coordinate by coordinate."""
+    rng = np.random.default_rng(9)
+    for shift, dims in ((0.0, 64), (1e8, 3), (1e200, 2)):
+        vecs = shift + rng.integers(0, 6, (300, dims)).astype(float) * (0.25 if shift < 1e100 else 1e190)
+        ids = rng.permutation(300).astype(np.int64)
+        d = nearest.squared(vecs, vecs)
+        np.fill_diagonal(d, np.inf)
+        want = [(ids[d[i] == d[i].min()].min() if np.isfinite(d[i]).any() else None, d[i].min()) for i in range(300)]
+        if shift < 1e100:
+            monkeypatch.setattr(nearest, "squared", None)
+        nn, dist = nearest._best(ids, vecs, ids, vecs)
+        monkeypatch.undo()
+        assert all((n, x) == w for (n, x), w in zip(zip(nn, dist), want) if w[0] is not None)
