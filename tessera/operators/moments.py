@@ -19,7 +19,7 @@ on the driver: its size depends on the number of features, never on rows.
 from __future__ import annotations
 
 import sys
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -30,12 +30,16 @@ from pyspark.sql import functions as F
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])  # executors need no copy of the package
 
-# From so many columns on the aggregate is made of matrix products: d (d + 1) / 2
-# covariance expressions would outgrow a compiled method.
-WIDE = 12
+# Above so many columns the aggregate is made of matrix products: d (d + 1) / 2
+# covariance expressions would outgrow a compiled method (8,000 bytes of code, beyond which it is interpreted).
+WIDE = 6
 TREE = (64, 8, 1)  # tasks per level of the merge of states
 
 
+# Names of derived columns and the function that makes them, in the tasks, of the matrix of the features.
+Terms = tuple[Sequence[str], Callable[[np.ndarray], np.ndarray]]
+
+
 @dataclass
 class Moments:
     """Moments of columns ``names`` (features first, label last if any)."""
@@ -121,9 +125,11 @@ class _State:
         self.n = total
 
 
-def _states(rows: DataFrame, names: Sequence[str]) -> DataFrame:
-    """One row (grp, n, mean, m2) per task and group of ``rows`` (grp, then ``names`` as doubles without nulls)."""
+def _states(rows: DataFrame, names: Sequence[str], width: int, terms: Terms | None, label: int) -> DataFrame:
+    """One row (grp, n, mean, m2) per task and group of ``rows`` (grp, then ``names`` as doubles without nulls, the last
+    ``label`` of them labels); with ``terms`` of the columns made of the features.  ``width``: columns in a state."""
     k = len(names)
+    make = terms[1] if terms else None
 
     def run(batches):
         held: dict = {}
@@ -131,12 +137,14 @@ def _states(rows: DataFrame, names: Sequence[str]) -> DataFrame:
             if not b.num_rows:
                 continue
             x = np.column_stack([b.column(i + 1).to_numpy(zero_copy_only=False) for i in range(k)]).astype(float)
+            if make:
+                x = np.column_stack([make(x[:, : k - label]), x[:, k - label:]])
             keys, of = np.unique(b.column(0).to_numpy(zero_copy_only=False).astype(str), return_inverse=True)
             for i, key in enumerate(keys.tolist()):
                 part = x if len(keys) == 1 else x[of == i]
                 mean = part.mean(axis=0)
                 part = part - mean
-                held.setdefault(key, _State(k)).add(len(part), mean, part.T @ part)
+                held.setdefault(key, _State(width)).add(len(part), mean, part.T @ part)
         yield from _packed(held)
 
     return rows.mapInArrow(run, "grp string, n long, mean binary, m2 binary")
@@ -180,22 +188,24 @@ def sum_vectors(parts: DataFrame, size: int) -> np.ndarray:
     return np.array(got[0]["v"]) if got else np.zeros(size)
 
 
-def _wide_moments(rows: DataFrame, names: list[str], has_label: bool) -> dict[str, Moments]:
+def _wide_moments(rows: DataFrame, names: list[str], has_label: bool, terms: Terms | None = None) -> dict[str, Moments]:
     """Moments per ``grp`` (a string) by batched matrix products; d x d numbers per group reach the driver."""
-    k = len(names)
+    made = [*terms[0], *names[len(names) - has_label:]] if terms else names
+    k = len(made)
     full = rows.select("grp", *[F.col(c).cast("double").alias(c) for c in names]).dropna(subset=names)
     out = {}
-    for r in _merged(_states(full, names), k).collect():
+    for r in _merged(_states(full, names, k, terms, int(has_label)), k).collect():
         m2 = np.frombuffer(r["m2"]).reshape(k, k)
-        out[r["grp"]] = Moments(names, r["n"], np.frombuffer(r["mean"]).copy(), (m2 + m2.T) / (2.0 * r["n"]), has_label)
+        out[r["grp"]] = Moments(made, r["n"], np.frombuffer(r["mean"]).copy(), (m2 + m2.T) / (2.0 * r["n"]), has_label)
     return out
 
 
-def compute_moments(df: DataFrame, features: Sequence[str], label: str | None = None, wide: int = WIDE) -> Moments:
-    """One aggregate job -> Moments on the driver (size O(d^2))."""
+def compute_moments(df: DataFrame, features: Sequence[str], label: str | None = None, wide: int = WIDE,
+                    terms: Terms | None = None) -> Moments:
+    """One aggregate job -> Moments on the driver (size O(d^2)).  ``terms``: of columns made of the features instead."""
     names = list(features) + ([label] if label else [])
-    if len(names) > wide:
-        found = _wide_moments(df.select(F.lit("").alias("grp"), *names), names, label is not None)
+    if terms or len(names) > wide:
+        found = _wide_moments(df.select(F.lit("").alias("grp"), *names), names, label is not None, terms)
         if not found:
             raise ValueError("no rows")
         return found[""]
@@ -228,28 +238,29 @@ def compute_moments_by(df: DataFrame, key: str, features: Sequence[str], label:
 
 # --- errors of many candidate models in one scan (M3, E6, E7, E9, E10) --------
 
-MAX_TERMS = 256
+MAX_TERMS = 32  # products in one aggregate; more outgrow a compiled method, as above
 
 
 def residual_costs(df: DataFrame, features: Sequence[str], label: str, candidates: Sequence[tuple[Sequence[float], float]],
-                   group: str | None = None, max_terms: int = MAX_TERMS) -> dict:
+                   group: str | None = None, max_terms: int = MAX_TERMS, terms: Terms | None = None) -> dict:
     """group -> [1/(2m) sum (w.x + b - y)^2 for every candidate (w, b)], from the rows themselves in one scan.
 
     Sums of squared residuals are never negative and keep their digits where the fit is close, which the quadratic form of
     the moments does not.  A candidate with fewer weights than features uses the first ones.  Up to ``max_terms``
     products are expressions of one aggregate; more go through Arrow batches (one matrix product a batch),
-    each task shipping one row per group."""
+    each task shipping one row per group.  With ``terms`` the candidates weigh columns made of the features."""
     cols = list(features)
+    make = terms[1] if terms else None
     key = F.col(group) if group else F.lit(None).cast("string")
     rows = df.select(key.alias("_g"), *[F.col(c).cast("double").alias(f"_x{i}") for i, c in enumerate(cols)],
                      F.col(label).cast("double").alias("_y")).dropna(subset=[*[f"_x{i}" for i in range(len(cols))], "_y"])
-    if sum(len(w) for w, _ in candidates) <= max_terms:
+    if not terms and sum(len(w) for w, _ in candidates) <= max_terms:
         def error(w, b) -> Column:
             e = sum((F.lit(float(x)) * F.col(f"_x{i}") for i, x in enumerate(w)), F.lit(0.0)) + F.lit(float(b)) - F.col("_y")
             return e * e
         got = rows.groupBy("_g").agg(*[F.avg(error(w, b)).alias(f"c{i}") for i, (w, b) in enumerate(candidates)]).collect()
         return {r["_g"]: [0.5 * r[f"c{i}"] for i in range(len(candidates))] for r in got}
-    weights = np.zeros((len(cols), len(candidates)))
+    weights = np.zeros((len(terms[0]) if terms else len(cols), len(candidates)))
     for i, (w, _) in enumerate(candidates):
         weights[: len(w), i] = w
     bias = np.array([b for _, b in candidates], dtype=float)
@@ -260,6 +271,7 @@ def residual_costs(df: DataFrame, features: Sequence[str], label: str, candidate
             if not b.num_rows:
                 continue
             x = np.column_stack([b.column(i + 1).to_numpy(zero_copy_only=False) for i in range(len(cols))])
+            x = make(x) if make else x
             e = x @ weights + bias - b.column(len(cols) + 1).to_numpy(zero_copy_only=False)[:, None]
             seen: dict = {}
             of = np.array([seen.setdefault(g, len(seen)) for g in b.column(0).to_pylist()])

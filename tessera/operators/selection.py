@@ -8,7 +8,7 @@ halved MSE on every split from the rows themselves, so an error is never negativ
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -48,15 +48,17 @@ def _sweep_frame(spark: SparkSession, key: str, key_type, labels: list, errors:
                   [key_type, *[T.DoubleType()] * 5, T.LongType()])
 
 
-def chebyshev(df: DataFrame, x: str, degree: int, lo: float, hi: float, prefix: str) -> DataFrame:
-    """Columns T_1(u) .. T_degree(u), u = x moved from [lo, hi] to [-1, 1]: they span the same polynomials as the
-    powers of x, without their near dependence at high degrees."""
-    names = [f"{prefix}{k}" for k in range(1, degree + 1)]
-    out = df.withColumn(names[0], (F.col(x) * 2.0 - F.lit(lo + hi)) / F.lit(hi - lo if hi > lo else 1.0))
-    for k in range(1, degree):
-        before = F.col(names[k - 2]) if k > 1 else F.lit(1.0)
-        out = out.withColumn(names[k], F.lit(2.0) * F.col(names[0]) * F.col(names[k - 1]) - before)
-    return out
+def chebyshev(degree: int, lo: float, hi: float) -> Callable[[np.ndarray], np.ndarray]:
+    """The function that makes columns T_1(u) .. T_degree(u) of a column x, u = x moved from [lo, hi] to [-1, 1]: they span
+    the same polynomials as the powers of x, without their near dependence at high degrees."""
+    def columns(x: np.ndarray) -> np.ndarray:
+        u = (x[:, 0] * 2.0 - (lo + hi)) / (hi - lo if hi > lo else 1.0)
+        t = [np.ones_like(u), u]
+        for _ in range(1, degree):
+            t.append(2.0 * u * t[-1] - t[-2])
+        return np.column_stack(t[1:])
+
+    return columns
 
 
 def degree_sweep(df: DataFrame, x: str, y: str, degrees: Sequence[int], split_col: str = "split",
@@ -69,14 +71,14 @@ def degree_sweep(df: DataFrame, x: str, y: str, degrees: Sequence[int], split_co
     names = [f"_p{k}" for k in range(1, dmax + 1)]
     rows = df.select(F.col(split_col).alias("split"), F.col(x).cast("double").alias("_x"), F.col(y).alias("_y"))
     train = rows.where(F.col("split") == "train")
-    if alpha is None:
+    if alpha is None:  # the terms are made where they are multiplied: as columns, each would hold those before it
         ends = train.agg(F.min("_x"), F.max("_x")).first()
-        feats = lambda d: chebyshev(d, "_x", dmax, ends[0], ends[1], "_p")
+        feats, cols, terms = (lambda d: d), ["_x"], (names, chebyshev(dmax, ends[0], ends[1]))
     else:
-        feats = lambda d: poly_one(d, "_x", dmax, prefix="_p")
-    m = mo.compute_moments(feats(train), names, "_y")
+        feats, cols, terms = (lambda d: poly_one(d, "_x", dmax, prefix="_p")), names, None
+    m = mo.compute_moments(feats(train), cols, "_y", terms=terms)
     models = [_fit(m, range(d), alpha) for d in degrees]
-    errors = mo.residual_costs(feats(rows), names, "_y", models, "split")
+    errors = mo.residual_costs(feats(rows), cols, "_y", models, "split", terms=terms)
     return _sweep_frame(df.sparkSession, "degree", T.LongType(), [int(d) for d in degrees], errors, baseline)
 
 

@@ -135,3 +135,21 @@ def test_step_decay_lowers_alpha_only_on_a_plateau():
         if i % 3 == 0:
             alpha, last = (alpha / 10 if costs[i] == last else alpha), costs[i]
     assert alphas == want and alphas[-1] < alphas[0]
+
+
+def test_moments_and_costs_of_terms_made_in_the_tasks(spark):
+    """Polynomial terms of a sweep are made where they are used: the plan does not grow with the degree."""
+    rng = np.random.default_rng(6)
+    x = rng.uniform(2.0, 9.0, 300)
+    df = spark.createDataFrame([(["train", "cv", "test"][i % 3], float(v), float(np.sin(v)), None if i else 1.0) for i, v in enumerate(x)],
+                               "split string, x double, y double, z double")
+    make = se.chebyshev(4, 2.0, 9.0)
+    m = mo.compute_moments(df, ["x"], "y", terms=(["a", "b", "c", "d"], make))
+    t = np.polynomial.chebyshev.chebvander((x * 2 - 11.0) / 7.0, 4)[:, 1:]
+    full = np.column_stack([t, np.sin(x)])
+    assert m.d == 4 and m.n == 300 and np.allclose(m.mean, full.mean(axis=0)) and np.allclose(m.cov, np.cov(full.T, bias=True))
+    got = {r.degree: r.train_mse_half for r in se.degree_sweep(df, "x", "y", [3, 6, 14]).collect()}
+    for d, err in got.items():
+        xs = x[::3]
+        fit = np.polynomial.Chebyshev.fit(xs, np.sin(xs), d)
+        assert err == pytest.approx(np.mean((fit(xs) - np.sin(xs)) ** 2) / 2, rel=1e-5, abs=1e-20)
