@@ -160,3 +160,40 @@ def test_a_seventh_level_survives(spark):
     assert got[0, "T6"] == (np.mean([6.0, 20.0]), 2) and got[1, "T6"] == (14.0, 1)
     hot = pr.one_hot_long(part, "item_id", "kind", levels)
     assert hot.count() == 21 and hot.where("level = 'T6' AND code = 6 AND flag = 1").count() == 3
+
+
+@pytest.mark.parametrize("head", [1, 6, 17, 39, 40])
+def test_recommend_all_with_a_small_head_equals_dense_scores(spark, head):
+    """Users whose best lie in the head are done there, the others meet every item; rated, tied and repeated rows."""
+    rng = np.random.default_rng(8)
+    x, w, b = rng.normal(size=(40, 2)).round(1), rng.normal(size=(25, 2)).round(1), rng.normal(size=25).round(1)
+    off = [None if i % 9 == 0 else float(i % 8) for i in range(40)]
+    rated = {(u, i) for u in range(25) for i in range(40) if u == 4 or (u * i) % 5 == 1 or (u == 7 and i % 8 > 1)}
+    it = spark.createDataFrame([(i, *map(float, x[i]), off[i]) for i in range(40)], "item_id int, f_0 double, f_1 double, off double")
+    us = spark.createDataFrame([(u or None, *map(float, w[u]), float(b[u])) for u in range(25)], "user_id long, f_0 double, f_1 double, b double")
+    r = spark.createDataFrame([*rated, (3, 1000), (1, 2), (1, 2)], "user_id long, item_id int")
+    got = rc.recommend_all(r, it, us, "user_id", "item_id", 2, 5, "off", block_rows=9, step=3, head=head).collect()
+    have = {(g.user_id, g.rank): (g.item_id, round(g.score, 9)) for g in got}
+    want = {}
+    for u in range(25):
+        mine = rated | {(3, 1000), (1, 2)} if u else set()  # a null user has no ratings
+        scores = sorted((-(x[i, 0] * w[u, 0] + x[i, 1] * w[u, 1] + b[u] + (off[i] or 0.0)), i) for i in range(40) if (u, i) not in mine)
+        want |= {(u or None, n + 1): (i, round(-s, 9)) for n, (s, i) in enumerate(scores[:5])}
+    assert have == want
+
+
+def test_cofi_cost_of_several_lambdas_reads_ratings_once(spark):
+    it = spark.createDataFrame([(i, 0.1 * i, 0.2) for i in range(6)], "item_id long, f_0 double, f_1 double")
+    us = spark.createDataFrame([(u, 0.3, 0.1 * u, 0.5) for u in range(5)], "user_id long, f_0 double, f_1 double, b double")
+    seen = spark.sparkContext.accumulator(0)
+
+    def mark(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    rows = [(u, i, float(u + i)) for u in range(5) for i in range(6)]
+    r = spark.createDataFrame(rows, "user_id long, item_id long, rating double").mapInArrow(mark, "user_id long, item_id long, rating double")
+    both = rc.cofi_cost(r, it, us, "user_id", "item_id", "rating", 2, (0.0, 1.5))
+    assert seen.value == len(rows)
+    assert both == pytest.approx([rc.cofi_cost(r, it, us, "user_id", "item_id", "rating", 2, v) for v in (0.0, 1.5)])
