@@ -197,3 +197,13 @@ def test_cofi_cost_of_several_lambdas_reads_ratings_once(spark):
     both = rc.cofi_cost(r, it, us, "user_id", "item_id", "rating", 2, (0.0, 1.5))
     assert seen.value == len(rows)
     assert both == pytest.approx([rc.cofi_cost(r, it, us, "user_id", "item_id", "rating", 2, v) for v in (0.0, 1.5)])
+
+
+def test_training_blocks_do_not_multiply_with_the_rows(spark, monkeypatch):
+    """A factor block travels to every block of the other side: their number is held while blocks are small."""
+    from tessera.operators import factors
+    fac = spark.range(3000).selectExpr("id AS item_id", "0.1D AS f_0", "0.2D AS f_1")
+    blocks, n = factors._blocks(fac, "item_id", ["f_0", "f_1"], 10, factors.BLOCKS)
+    assert n == factors.BLOCKS and blocks.selectExpr("explode(ids) AS i").distinct().count() == 3000
+    monkeypatch.setattr(factors, "BLOCK_BYTES", 4000)  # 250 rows of two factors
+    assert factors._blocks(fac, "item_id", ["f_0", "f_1"], 10, factors.BLOCKS)[1] == 12
