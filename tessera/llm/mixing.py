@@ -199,8 +199,8 @@ def fit_posterior(docs: DataFrame, domains: DataFrame, max_labelled: int = MAX_L
     return Posterior(names, choose_words(sample, names, vocabulary), base, weight)
 
 
-def fit_rates(scored: DataFrame, domains: list[str], targets: dict[str, float], max_steps: int = MAX_STEPS,
-              tolerance: float = TOLERANCE) -> tuple[list[tuple[list[float], float]], dict[str, tuple[float, float]]]:
+def reach_targets(scored: DataFrame, domains: list[str], targets: dict[str, float], max_steps: int = MAX_STEPS,
+                  tolerance: float = TOLERANCE) -> tuple[list[tuple[list[float], float]], dict[str, tuple[float, float]]]:
     """(posteriors, rate) of every distinct posterior, and {domain: (share reached, target)} of all domains.
 
     Minimises the squared miss of the domain equations sum_i tok_i p_id r_i = T_d over r >= 0, T_d the domain's
@@ -246,6 +246,22 @@ def fit_rates(scored: DataFrame, domains: list[str], targets: dict[str, float],
     raise RuntimeError(f"rates still change after {max_steps} steps")
 
 
+def _missed(reached: dict[str, tuple[float, float]]) -> dict[str, tuple[float, float]]:
+    return {d: (now, goal) for d, (now, goal) in reached.items() if abs(now - goal) > (TOLERANCE * goal if goal > 0 else UNWANTED)}
+
+
+def fit_rates(scored: DataFrame, domains: list[str], targets: dict[str, float]) -> tuple[list[tuple[list[float], float]], dict[str, tuple[float, float]]]:
+    """``reach_targets`` with only the domains whose target is missed: {domain: (share reached, target)}."""
+    kinds, reached = reach_targets(scored, domains, targets)
+    return kinds, _missed(reached)
+
+
+def _rate(p: Column, kinds: list[tuple[list[float], float]]) -> Column:
+    """The fitted rate of a posterior; for few kinds, as the expression holds them all."""
+    known = F.array(*[F.array(*[F.lit(float(x)) for x in k]) for k, _ in kinds])
+    return F.element_at(F.map_from_arrays(known, F.array(*[F.lit(float(r)) for _, r in kinds])), p)
+
+
 def document_rates(docs: DataFrame, labels: DataFrame, targets: dict[str, float] | None = None,
                    texts: bool = True) -> DataFrame:
     """``docs`` (distinct column names; doc_id, text, and lang if there) with n_tokens, p, rate and copies.
@@ -265,9 +281,8 @@ def document_rates(docs: DataFrame, labels: DataFrame, targets: dict[str, float]
     rated = model.attach(docs.withColumn("u", u))
     if not texts:
         rated = cut_lineage(rated.drop("text"))
-    kinds, reached = fit_rates(rated.select("n_tokens", "p"), model.domains, targets or TARGETS)
-    missed = {d: (now, goal) for d, (now, goal) in reached.items()
-              if abs(now - goal) > (TOLERANCE * goal if goal > 0 else UNWANTED)}
+    kinds, reached = reach_targets(rated.select("n_tokens", "p"), model.domains, targets or TARGETS)
+    missed = _missed(reached)
     if missed:
         warnings.warn("domain targets missed: " + ", ".join(f"{d} {now:.4g} of {goal:.4g}" for d, (now, goal)
                                                             in missed.items()), stacklevel=2)
