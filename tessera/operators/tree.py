@@ -15,6 +15,7 @@ the validation error of every round and patience.
 from __future__ import annotations
 
 import math
+import re
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -272,33 +273,72 @@ def boosted_trees(df: DataFrame, features: Sequence[str], label: str, max_iter:
                          **kw).fit(_assemble(df, features, label))
 
 
+#: Bins of a feature, and rows that its candidate splits are taken from (all rows if there are no more), as in pyspark.ml.
+MAX_BINS = 32
+SPLIT_ROWS = 10_000
+
+
+def candidate_splits(rows: DataFrame, feature: str) -> list[float]:
+    """The thresholds that pyspark.ml tries for a feature of these few rows: a deep regression on the rank uses them all."""
+    from pyspark.ml.regression import DecisionTreeRegressor
+    ranked = rows.select(feature, F.dense_rank().over(Window.orderBy(feature)).alias("_rank"))
+    model = DecisionTreeRegressor(featuresCol="_features", labelCol="_rank", maxDepth=30, maxBins=MAX_BINS,
+                                  seed=55).fit(_assemble(ranked, [feature], "_rank"))
+    return sorted({float(x) for x in re.findall(r"feature 0 <= (\S+)\)", model.toDebugString)})
+
+
+def binned_patterns(train: DataFrame, test: DataFrame, features: Sequence[str], label: str, splits: Sequence[Sequence[float]]) -> DataFrame:
+    """One row per combination of the features' bins (1, 2, ..., a value at a split in the lower bin) and label, with
+    the train rows ``n`` and test rows ``vn`` that have it.  A null or NaN feature is an error, as in VectorAssembler."""
+    def bin_of(c: str, cuts: Sequence[float]) -> Column:
+        above = sum(((F.col(c) > F.lit(x)).cast("int") for x in cuts), F.lit(1))
+        return F.when(F.col(c).isNull() | F.isnan(F.col(c).cast("double")), F.raise_error(F.lit(f"null or NaN in {c}")).cast("int")).otherwise(above)
+
+    both = train.select(*features, F.col(label), F.lit(1).alias("_t")).unionByName(test.select(*features, F.col(label), F.lit(0).alias("_t")))
+    rows = both.select(*[bin_of(c, cuts).alias(c) for c, cuts in zip(features, splits, strict=True)], F.col(label).cast("double").alias(label), "_t")
+    return rows.groupBy(*features, label).agg(F.sum("_t").cast("double").alias("n"), F.sum(1 - F.col("_t")).cast("double").alias("vn"))
+
+
 def param_sweep(train: DataFrame, test: DataFrame, features: Sequence[str], label: str,
                 max_depths: Sequence[int], min_instances: Sequence[int], parallelism: int = 4) -> list[tuple]:
     """A pyspark.ml parameter grid over tree depth and minimum node size,
     fitted concurrently (each setting's jobs are submitted from its own
-    thread); returns (max_depth, min_instances, train_accuracy, test_accuracy)."""
+    thread); returns (max_depth, min_instances, train_accuracy, test_accuracy).
+
+    A tree sees a row only by the bins of its features, so every setting is fitted and scored on the distinct
+    combinations of bins and label, weighted by their rows: at most MAX_BINS to the number of features for a label,
+    however many rows there are.  The least rows of a child are its least weight there."""
     from concurrent.futures import ThreadPoolExecutor
 
     from pyspark.ml.classification import DecisionTreeClassifier
     from pyspark.ml.tuning import ParamGridBuilder
-    est = DecisionTreeClassifier(featuresCol="_features", labelCol=label, seed=55)
+    total = train.count()
+    few = cut_lineage(train.select(*features) if total <= SPLIT_ROWS else train.select(*features).sample(SPLIT_ROWS / total, seed=55))
+    with ThreadPoolExecutor(max_workers=parallelism) as pool:
+        splits = list(pool.map(lambda c: candidate_splits(few, c), features))
+    rows = _assemble(cut_lineage(binned_patterns(train, test, features, label, splits)), features, label).cache()
+    met = rows.where("n > 0")
+    # this many bins allowed, pyspark.ml looks at all rows for its splits: one between each two bins
+    bins = max(MAX_BINS, math.isqrt(met.count()) + 1)
+    est = DecisionTreeClassifier(featuresCol="_features", labelCol=label, weightCol="n", maxBins=bins, seed=55)
     grid = ParamGridBuilder().addGrid(est.maxDepth, list(max_depths)).addGrid(
         est.minInstancesPerNode, list(min_instances)).build()
-    tr = _assemble(train, features, label).cache()
-    te = _assemble(test, features, label).cache()
 
     def fit_one(pm):
-        model = est.fit(tr, pm)
-        acc = [float(model.transform(d).agg(F.avg(F.when(F.col("prediction") == F.col(label), 1.0).otherwise(0.0)))
-                     .first()[0]) for d in (tr, te)]
-        return int(pm[est.maxDepth]), int(pm[est.minInstancesPerNode]), acc[0], acc[1]
+        depth, least = int(pm[est.maxDepth]), int(pm[est.minInstancesPerNode])
+        # fewer than twice the least rows: no split leaves both children enough
+        can = total >= 2 * least
+        model = est.copy({est.maxDepth: depth if can else 0, est.minInstancesPerNode: 1,
+                          est.minWeightFractionPerNode: (least - 0.5) / total if can else 0.0}).fit(met)
+        hit = F.col("prediction") == F.col(label)
+        got = model.transform(rows).agg(*[(F.sum(F.when(hit, F.col(w)).otherwise(0.0)) / F.sum(w)).alias(w) for w in ("n", "vn")]).first()
+        return depth, least, float(got["n"]), float(got["vn"])
 
     try:
         with ThreadPoolExecutor(max_workers=parallelism) as pool:
             return list(pool.map(fit_one, grid))
     finally:
-        tr.unpersist()
-        te.unpersist()
+        rows.unpersist()
 
 
 def forest_sweep(train: DataFrame, test: DataFrame, features: Sequence[str], label: str, sizes: Sequence[int],
