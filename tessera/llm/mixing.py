@@ -55,19 +55,27 @@ def label_domains(labels: DataFrame) -> DataFrame:
 
 
 def _featured(rows: DataFrame) -> DataFrame:
-    """Add n_tokens (words), words (distinct lower-case letter runs) and boolean surface flags x0, x1, ...
+    """Add n_tokens (words), words (lower-case letter runs) and boolean surface flags x0, x1, ...
     that need no language to a frame with ``text``."""
     t = F.col("t")
     out = rows.withColumn("t", present("text"))
-    out = (out.withColumn("flat", F.trim(F.regexp_replace(F.lower(t), r"[^\p{L}]+", " ")))
+    # one pass leaves the few characters that are counted one by one; the other passes each read the text once
+    few = F.regexp_replace(t, r"[^\p{Lu}!#*$%&|<>]+", "")
+    out = (out.withColumn("words", F.split(F.lower(t), r"[^\p{L}]+"))
            .withColumn("n_tokens", F.regexp_count("t", F.lit(HAS_WORD + "+")).cast("long"))
-           .withColumn("marks", F.length("t") - F.length(F.translate("t", "#*$%&|<>", "")))
-           .withColumn("twice", F.regexp_count("t", F.lit(r"(?<!\S)(\S++)\s++\1(?!\S)")))
-           .withColumn("capitals", F.regexp_count("t", F.lit(r"\p{Lu}"))))
-    shouts = F.length("t") - F.length(F.replace(t, F.lit("!"), F.lit("")))
+           .withColumn("few", few)
+           .withColumn("twice", F.regexp_count(F.concat(F.lit(" "), t), F.lit(r"\s(\S++)\s++\1(?!\S)"))))
+    unmarked = F.translate("few", "#*$%&|<>", "")
+    out = (out.withColumn("marks", F.length("few") - F.length(unmarked))
+           .withColumn("capitals", F.length(F.translate(unmarked, "!", "")))
+           .withColumn("shouts", F.length("few") - F.length(F.translate("few", "!", ""))))
+    # the words joined by single spaces are seldom so short that the capitals can be a third of them
+    least = 2 * F.size("words") - 5
+    loud = 3 * F.col("capitals") > F.length(F.trim(F.array_join("words", " ")))
     flags = [F.col("n_tokens") < 50, 50 * F.col("marks") > F.length("t"), F.length("t") > 8 * F.col("n_tokens"),
-             10 * F.col("twice") > F.col("n_tokens"), 3 * F.col("capitals") > F.length("flat"), 40 * shouts > F.length("t")]
-    return out.select("*", F.split("flat", " ").alias("words"), *[c.alias(f"x{i}") for i, c in enumerate(flags)])
+             10 * F.col("twice") > F.col("n_tokens"), F.when(3 * F.col("capitals") <= least, False).otherwise(loud),
+             40 * F.col("shouts") > F.length("t")]
+    return out.select("*", *[c.alias(f"x{i}") for i, c in enumerate(flags)])
 
 
 N_FLAGS = 6
@@ -86,8 +94,9 @@ class Evidence:
         d = range(len(self.ratios))
         flags = [f"x{i}" for i in range(N_FLAGS)]
         if self.words:
-            known = F.split(F.lit(" ".join(self.words)), " ")
-            rows = featured.withColumn("met", F.array_intersect("words", known))
+            # words are letters only; a list of literals becomes one hash set, an array would be hashed for every text
+            known = ", ".join(f"'{w}'" for w in self.words)
+            rows = featured.withColumn("met", F.array_distinct(F.expr(f"filter(words, w -> w IN ({known}))")))
             # a word's place: its bucket by hash, then its position among the few words there
             buckets: list[list[tuple[str, int]]] = [[] for _ in range(BUCKETS)]
             for i, w in enumerate(self.words):

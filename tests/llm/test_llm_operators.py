@@ -247,6 +247,28 @@ def test_line_dedup_of_a_very_long_text(spark):
     assert got[0].kept_text == lines and got[1].kept_text == ""
 
 
+def test_mixing_flags_match_plain_counts(spark):
+    """The flags from few passes over a text equal counts by regular expressions, and known words are one hash set in the plan."""
+    texts = ["", None, " ", "a a", "a a a a b", "  x  x", "q\nq q q", "A B C", "ABC d", "#*$%&|<>! A", "!!! !!", "12 12 12", "\u00c9 \u00e9 \u01c5", "\U0001d400 b",
+             "\u0130I \u0130I", "A\x1cA A", "word " * 60, "-a-", "foo  foo\x0bfoo\x0cfoo"]
+    got = mixing._featured(spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string")).orderBy("doc_id").collect()
+    t = F.col("t")
+    flat = F.trim(F.regexp_replace(F.lower(t), r"[^\p{L}]+", " "))
+    n = F.regexp_count(t, F.lit(r"[^\x20\x09-\x0D]+"))
+    plain = [n < 50, 50 * F.regexp_count(t, F.lit("[#*$%&|<>]")) > F.length(t), F.length(t) > 8 * n,
+             10 * F.regexp_count(t, F.lit(r"(?<!\S)(\S++)\s++\1(?!\S)")) > n, 3 * F.regexp_count(t, F.lit(r"\p{Lu}")) > F.length(flat),
+             40 * F.regexp_count(t, F.lit("!")) > F.length(t)]
+    want = spark.createDataFrame([(i, x or "") for i, x in enumerate(texts)], "doc_id int, t string").select("doc_id", flat.alias("flat"), n.alias("n"), *[
+        c.alias(f"x{i}") for i, c in enumerate(plain)]).orderBy("doc_id").collect()
+    for g, w in zip(got, want, strict=True):
+        assert (g.n_tokens, " ".join(x for x in g.words if x), *[g[f"x{i}"] for i in range(6)]) == (w.n, w.flat, *[w[f"x{i}"] for i in range(6)])
+    words = [f"w{'abcdefghijklmnop'[i]}" for i in range(16)]
+    scored = mixing.Evidence(words, [[1.0] * 16, [-1.0] * 16]).attach(mixing._featured(spark.createDataFrame([("WA wb wb zz",)], "text string")), [])
+    plan = scored._jdf.queryExecution().executedPlan().toString()
+    assert "INSET" in plan and "array_intersect" not in plan
+    assert scored.first().x6 and not scored.first().x7
+
+
 def test_mixing_meets_targets(spark):
     rng = np.random.default_rng(1)
     good, bad = WORDS[:9], WORDS[9:]
