@@ -15,7 +15,7 @@ the validation error of every round and patience.
 from __future__ import annotations
 
 import math
-import re
+from collections import Counter
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -278,13 +278,39 @@ MAX_BINS = 32
 SPLIT_ROWS = 10_000
 
 
-def candidate_splits(rows: DataFrame, feature: str) -> list[float]:
-    """The thresholds that pyspark.ml tries for a feature of these few rows: a deep regression on the rank uses them all."""
-    from pyspark.ml.regression import DecisionTreeRegressor
-    ranked = rows.select(feature, F.dense_rank().over(Window.orderBy(feature)).alias("_rank"))
-    model = DecisionTreeRegressor(featuresCol="_features", labelCol="_rank", maxDepth=30, maxBins=MAX_BINS,
-                                  seed=55).fit(_assemble(ranked, [feature], "_rank"))
-    return sorted({float(x) for x in re.findall(r"feature 0 <= (\S+)\)", model.toDebugString)})
+def split_rows(train: DataFrame, features: Sequence[str], total: int, seed: int) -> list:
+    """The rows that pyspark.ml looks at for its candidate splits with this seed: all, or about SPLIT_ROWS sampled ones."""
+    rows = train.select(*[F.col(c).cast("double").alias(c) for c in features])
+    if total <= SPLIT_ROWS:
+        return rows.collect()
+    spark = train.sparkSession
+    drawn = spark._jvm.org.apache.spark.util.random.XORShiftRandom(seed).nextInt()
+    some = rows._jdf.rdd().sample(False, SPLIT_ROWS / total, drawn)
+    return DataFrame(spark._jsparkSession.createDataFrame(some.toJavaRDD(), rows._jdf.schema()), spark).collect()
+
+
+def candidate_splits(values: Sequence[float], total: int) -> list[float]:
+    """The thresholds that pyspark.ml tries for a feature of ``total`` rows with these values in ``split_rows``: between
+    all values if they are few, else where the count of values comes closest to each MAX_BINS-th part.  As
+    there, zeros are not counted but make up the rows expected."""
+    counts = Counter(v for v in values if v is not None and v != 0)
+    if not counts:
+        return []
+    met, expected, n_splits = sum(counts.values()), min(SPLIT_ROWS, total), min(MAX_BINS, total) - 1
+    if expected > met:
+        counts[0.0] = expected - met
+    found = sorted(counts.items())
+    between = [(x + y) / 2.0 for (x, _), (y, _) in zip(found, found[1:])]
+    if len(between) <= n_splits:
+        return between
+    out, stride, so_far = [], expected / (n_splits + 1), found[0][1]
+    target = stride
+    for (_, n), cut in zip(found[1:], between):
+        before, so_far = so_far, so_far + n
+        if abs(before - target) < abs(so_far - target):
+            out.append(cut)
+            target += stride
+    return out
 
 
 def binned_patterns(train: DataFrame, test: DataFrame, features: Sequence[str], label: str, splits: Sequence[Sequence[float]]) -> DataFrame:
@@ -313,9 +339,8 @@ def param_sweep(train: DataFrame, test: DataFrame, features: Sequence[str], labe
     from pyspark.ml.classification import DecisionTreeClassifier
     from pyspark.ml.tuning import ParamGridBuilder
     total = train.count()
-    few = cut_lineage(train.select(*features) if total <= SPLIT_ROWS else train.select(*features).sample(SPLIT_ROWS / total, seed=55))
-    with ThreadPoolExecutor(max_workers=parallelism) as pool:
-        splits = list(pool.map(lambda c: candidate_splits(few, c), features))
+    few = split_rows(train, features, total, seed=55)
+    splits = [candidate_splits([r[c] for r in few], total) for c in features]
     rows = _assemble(cut_lineage(binned_patterns(train, test, features, label, splits)), features, label).cache()
     met = rows.where("n > 0")
     # this many bins allowed, pyspark.ml looks at all rows for its splits: one between each two bins
