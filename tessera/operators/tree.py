@@ -316,12 +316,19 @@ def candidate_splits(values: Sequence[float], total: int) -> list[float]:
 def binned_patterns(train: DataFrame, test: DataFrame, features: Sequence[str], label: str, splits: Sequence[Sequence[float]]) -> DataFrame:
     """One row per combination of the features' bins (1, 2, ..., a value at a split in the lower bin) and label, with
     the train rows ``n`` and test rows ``vn`` that have it.  A null or NaN feature is an error, as in VectorAssembler."""
-    def bin_of(c: str, cuts: Sequence[float]) -> Column:
-        above = sum(((F.col(c) > F.lit(x)).cast("int") for x in cuts), F.lit(1))
-        return F.when(F.col(c).isNull() | F.isnan(F.col(c).cast("double")), F.raise_error(F.lit(f"null or NaN in {c}")).cast("int")).otherwise(above)
-
+    from pyspark.ml.feature import Bucketizer
     both = train.select(*features, F.col(label), F.lit(1).alias("_t")).unionByName(test.select(*features, F.col(label), F.lit(0).alias("_t")))
-    rows = both.select(*[bin_of(c, cuts).alias(c) for c, cuts in zip(features, splits, strict=True)], F.col(label).cast("double").alias(label), "_t")
+    # a bucket holds its lower bound, a bin its upper one: so the negatives are put into buckets
+    x = [F.col(c).cast("double") for c in features]
+    rows = both.select(*[F.when(v.isNull() | F.isnan(v), F.raise_error(F.lit(f"null or NaN in {c}")).cast("double")).otherwise(0.0 - v).alias(f"_x{i}")
+                         for i, (c, v) in enumerate(zip(features, x, strict=True))], F.col(label).cast("double").alias(label), "_t")
+    cut = [i for i, cuts in enumerate(splits) if cuts]
+    if cut:
+        rows = Bucketizer(inputCols=[f"_x{i}" for i in cut], outputCols=[f"_b{i}" for i in cut],
+                          splitsArray=[[-math.inf, *[0.0 - t for t in reversed(splits[i])], math.inf] for i in cut]).transform(rows)
+    # a feature without splits has one bin; its values are still looked at for nulls
+    bins = [F.lit(len(cuts) + 1) - F.col(f"_b{i}").cast("int") if cuts else F.col(f"_x{i}").isNotNull().cast("int") for i, cuts in enumerate(splits)]
+    rows = rows.select(*[b.alias(c) for b, c in zip(bins, features, strict=True)], label, "_t")
     return rows.groupBy(*features, label).agg(F.sum("_t").cast("double").alias("n"), F.sum(1 - F.col("_t")).cast("double").alias("vn"))
 
 
