@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tessera.llm import (components, exact_dedup, langid, line_dedup, mixing, packing, quality_rules, simhash,
+from tessera.llm import (components, exact_dedup, langid, line_dedup, mixing, packing, quality_rules, queries, simhash,
                          suffix_dedup, token_counts, token_files)
 
 WORDS = "alpha beta gamma delta epsilon zeta eta theta iota kappa lambda mu nu xi omicron pi rho sigma tau".split()
@@ -202,6 +202,22 @@ def test_suffix_dedup_matches_brute_force(docs):
 
 
 PASSAGE = " ".join(f"planted{i}" for i in range(60))
+
+
+def test_suffix_dedup_query_on_planted_passages(spark, tmp_path):
+    """Every copy of a passage of 400 bytes goes, one of 399 bytes stays, clean documents of any length stay; n_bytes is the input's."""
+    own = lambda i, n: " ".join(f"own{i}word{j}" for j in range(n))
+    just, less = "é" + PASSAGE[:398], "漢" + PASSAGE[::-1][:396]
+    assert [len(x.encode()) for x in (just, less)] == [400, 399]
+    texts = {1: (own(1, 5) + "1", PASSAGE, "1" + own(1, 9)), 2: ("2", PASSAGE, "2" + own(2, 300)), 3: (own(3, 900), "", ""), 4: ("", "", own(4, 2)),
+             5: (own(5, 20) + "5", just, "5"), 6: ("6", just, "6" + own(6, 20)), 7: (own(7, 20) + "7" + less + "7", "", ""), 8: ("8" + less + "8", "", "")}
+    rows = [(i, "".join(t), "en", "a", 1) for i, t in texts.items()] + [(9, None, None, None, None)]
+    spark.createDataFrame(rows, SCHEMA).write.parquet(str(tmp_path / "documents.parquet"))
+    got = queries.QUERIES["op6_suffix_dedup"](spark, str(tmp_path)).orderBy("doc_id").collect()
+    want = [(i, len((a + b + c).encode()), len(b.encode()), int(b != ""), hashlib.sha256((a + c).encode()).hexdigest()) for i, (a, b, c) in texts.items()]
+    assert [tuple(r) for r in got] == [*want, (9, 0, 0, 0, hashlib.sha256(b"").hexdigest())]
+
+
 LINE_ROWS = [*ROWS, (30, f"{PASSAGE}\nown words of thirty", "en", "a", 1), (31, f"before\n \n{PASSAGE}\nafter", "en", "a", 1), (32, PASSAGE, "en", "a", 1),
              (33, "one two three four\nfive six seven eight nine ten", "en", "a", 1), (34, "x\none two three four\n\nfive six seven eight nine ten\ny", "en", "a", 1),
              (35, "short line\nother", "en", "a", 1), (36, "short line\nanother", "en", "a", 1)]
