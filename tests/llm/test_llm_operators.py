@@ -218,6 +218,42 @@ def test_suffix_dedup_query_on_planted_passages(spark, tmp_path):
     assert [tuple(r) for r in got] == [*want, (9, 0, 0, 0, hashlib.sha256(b"").hexdigest())]
 
 
+def test_suffix_dedup_classes_of_any_size(spark, monkeypatch):
+    """Edges of matches, found by comparing contexts or, in classes too large for that, start by start: equal to brute force,
+    with zero bytes, periods and repeated rows; no written table outgrows the sampled suffixes when contexts are compared."""
+    rng = np.random.default_rng(3)
+    word = lambda n, letters="abcdefgh": "".join(rng.choice(list(letters), n))
+    core, parts = word(90), [word(60, "ab\0é") for _ in range(3)]
+    texts = [word(k % 50) + core[k % 7:90 - k % 11] + word(30) for k in range(30)] + [word(9) + parts[k % 3] + word(k) + parts[k % 2][:45] for k in range(12)]
+    texts += ["xyz" * 40, "yzx" * 21 + core, "\0" * 70, "\0" * 50 + "a"]
+    rows = [(i, t, "en", "a", 1) for i, t in enumerate(texts)]
+    length, window = 40, 16
+    seen, marks = {}, [bytearray(len(t.encode())) for t in texts]
+    for i, t in enumerate(texts):
+        for p in range(len(t.encode()) - length + 1):
+            seen.setdefault(t.encode()[p:p + length], []).append((i, p))
+    for places in seen.values():
+        for i, p in places if len(places) > 1 else ():
+            marks[i][p:p + length] = b"\1" * length
+    want = [(i, sum(m), bytes(c for c, x in zip(t.encode(), m, strict=True) if not x)) for i, (t, m) in enumerate(zip(texts, marks, strict=True))]
+    suffixes = sum(len(suffix_dedup.sample_suffixes(t.encode(), length, window)[0]) for t in texts)
+    sizes, cut = [], suffix_dedup.cut_lineage
+
+    def counted(df):
+        out = cut(df)
+        sizes.append(out.count())
+        return out
+
+    monkeypatch.setattr(suffix_dedup, "cut_lineage", counted)
+    data = spark.createDataFrame(rows, SCHEMA)
+    for most, docs, copies in ((64, data, 1), (5, data.unionByName(data).unionByName(data), 3), (0, data, 1)):
+        sizes.clear()
+        monkeypatch.setattr(suffix_dedup, "CLASS", most, raising=False)
+        got = sorted((r.doc_id, r.n_removed, bytes(r.kept)) for r in suffix_dedup.suffix_dedup(docs, length, window).collect())
+        assert got == sorted(want * copies)
+        assert max(sizes) <= suffixes * copies or most < 64
+
+
 LINE_ROWS = [*ROWS, (30, f"{PASSAGE}\nown words of thirty", "en", "a", 1), (31, f"before\n \n{PASSAGE}\nafter", "en", "a", 1), (32, PASSAGE, "en", "a", 1),
              (33, "one two three four\nfive six seven eight nine ten", "en", "a", 1), (34, "x\none two three four\n\nfive six seven eight nine ten\ny", "en", "a", 1),
              (35, "short line\nother", "en", "a", 1), (36, "short line\nanother", "en", "a", 1)]
