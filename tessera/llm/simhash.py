@@ -194,7 +194,8 @@ def _ball_links(members: DataFrame) -> DataFrame:
     flips away with both flips in one half of the word.  At a point, all members one flip away
     or less are within 2 of each other, and within 3 of those two flips away: each links to the
     smallest of the former.  Of three differing bits two lie in one half, so every link of
-    distance 3 has such a point.  Rows grow with the members, not with their pairs."""
+    distance 3 has such a point.  Rows grow with the members, not with their pairs.  Spark guesses
+    the size of exploded rows from their source's, so they are merged and never broadcast."""
     flips = [0, *(1 << b for b in range(BITS)),
              *((1 << a) | (1 << b) for half in (range(32), range(32, 64)) for a, b in combinations(half, 2))]
     points = members.select("fp", F.explode(F.array(*[F.lit(_as_int64(x)) for x in flips])).alias("flip"))
@@ -203,7 +204,7 @@ def _ball_links(members: DataFrame) -> DataFrame:
     hubs = cut_lineage(points.groupBy("at").agg(F.count(F.lit(1)).alias("n"),
                                                 F.min(F.when(F.col("near"), F.col("fp"))).alias("hub"))
                        .filter("n > 1 AND hub IS NOT NULL").select("at", "hub"))
-    return points.join(hubs, "at").filter("fp <> hub").select(F.col("fp").alias("u"), F.col("hub").alias("v"))
+    return points.hint("merge").join(hubs, "at").filter("fp <> hub").select(F.col("fp").alias("u"), F.col("hub").alias("v"))
 
 
 def links(nodes: DataFrame, max_distance: int = MAX_DISTANCE, pair_bucket: int = PAIR_BUCKET) -> DataFrame:
@@ -212,7 +213,8 @@ def links(nodes: DataFrame, max_distance: int = MAX_DISTANCE, pair_bucket: int =
 
     Probe rows (mask, masked value) are counted per bucket with map-side combining.  Buckets
     of two hold their pair already; buckets up to ``pair_bucket`` are compared in a bounded
-    array and only verified pairs leave it; members of larger buckets go through _ball_links."""
+    array and only verified pairs leave it; members of larger buckets go through _ball_links.
+    Probe rows are merged, not broadcast, as the points of _ball_links are."""
     if max_distance != 3:
         raise ValueError("the exact way for large buckets is written for a distance of 3")
     masks = choose_masks(nodes, max_distance)
@@ -225,7 +227,7 @@ def links(nodes: DataFrame, max_distance: int = MAX_DISTANCE, pair_bucket: int =
     near = lambda a, b: F.bit_count(a.bitwiseXOR(b)) <= max_distance
     found = buckets.filter("n = 2").filter(near(F.col("u"), F.col("v"))).select("u", "v")
     mid = buckets.filter((F.col("n") > 2) & (F.col("n") <= pair_bucket)).select("m", "key")
-    arrays = probes.join(mid, ["m", "key"]).groupBy("m", "key").agg(F.collect_list("fp").alias("a"))
+    arrays = probes.hint("merge").join(mid, ["m", "key"]).groupBy("m", "key").agg(F.collect_list("fp").alias("a"))
     a = F.col("a")
     pairs = F.flatten(F.transform(a, lambda x, i: F.filter(
         F.transform(F.slice(a, i + 2, F.size(a)), lambda y: F.struct(x.alias("u"), y.alias("v"))),

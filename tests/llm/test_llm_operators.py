@@ -138,6 +138,17 @@ def test_simhash_links_in_small_and_large_buckets(spark, bucket):
     assert part(lambda f: want[f]) == part(lambda f: got.get(signed(f), signed(f)))
 
 
+def test_simhash_never_broadcasts_exploded_rows(spark):
+    rng = np.random.default_rng(11)
+    fps = [int(x) for x in rng.integers(-2**63, 2**63, 300, dtype=np.int64)]
+    fps += [fps[0] ^ (1 << a) ^ (1 << b) for a in range(12) for b in range(a)]
+    nodes = simhash.cut_lineage(spark.createDataFrame([(x,) for x in sorted(set(fps))], "fp long"))
+    for found in (simhash.links(nodes, pair_bucket=4), simhash._ball_links(nodes)):
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
+        assert {(r.u, r.v) for r in found.collect()}
+
+
 def test_allocate_meets_the_pigeonhole_sum():
     costs = [{-1: 0.0, 0: 5.0, 1: 9.0}, {-1: 0.0, 0: 50.0, 1: 90.0}, {-1: 0.0, 0: 4.0, 1: 40.0}]
     paid, picked = simhash.allocate(costs, 1)
