@@ -207,3 +207,38 @@ def test_training_blocks_do_not_multiply_with_the_rows(spark, monkeypatch):
     assert n == factors.BLOCKS and blocks.selectExpr("explode(ids) AS i").distinct().count() == 3000
     monkeypatch.setattr(factors, "BLOCK_BYTES", 4000)  # 250 rows of two factors
     assert factors._blocks(fac, "item_id", ["f_0", "f_1"], 10, factors.BLOCKS)[1] == 12
+
+
+def _odd_tables(spark):
+    rng = np.random.default_rng(6)
+    it = spark.createDataFrame([(f"i{i % 14}" if i else None, *map(float, rng.normal(size=2))) for i in range(17)], "item_id string, f_0 double, f_1 double")
+    us = spark.createDataFrame([(u % 10 if u else None, *map(float, rng.normal(size=3))) for u in range(13)], "user_id int, f_0 double, f_1 double, b double")
+    rows = [(u, f"i{i}", float(u - i)) for u in range(13) for i in range(16) if (u + i) % 3] + [(2, "i3", 4.0), (None, "i1", 1.0), (1, None, 1.0), (1, "i1", None)]
+    return spark.createDataFrame(rows, "user_id long, item_id string, rating double"), it, us
+
+
+def test_cost_in_blocks_equals_joined_cost(spark, monkeypatch):
+    """Repeated, absent and NULL users and items."""
+    r, it, us = _odd_tables(spark)
+    joined = rc.cofi_cost(r, it, us, "user_id", "item_id", "rating", 2, 0.7)
+    it2, us2, hist = rc.train_factors(r, it, us, "user_id", "item_id", "rating", 2, 0.7, 0.1, 2, block_rows=3, piece_rows=4)
+    assert hist[0][1] == pytest.approx(joined, rel=1e-12) and it2.schema["item_id"] == it.schema["item_id"] and us2.schema["user_id"] == us.schema["user_id"]
+    assert it2.count() == 17 and us2.count() == 13
+    monkeypatch.setattr(rc, "BLOCK_BYTES", 0)
+    monkeypatch.setattr(rc, "joined_predictions", None)
+    assert rc.cofi_cost(r, it, us, "user_id", "item_id", "rating", 2, 0.7) == pytest.approx(joined, rel=1e-12)
+    assert rc.cofi_cost(r.limit(0), it, us.limit(0), "user_id", "item_id", "rating", 2, 0.0) == 0.0
+
+
+def test_training_keeps_no_tables_of_its_steps(spark):
+    from tessera.session import ensure_checkpoint_dir
+    top = spark._jvm.org.apache.hadoop.fs.Path(ensure_checkpoint_dir(spark))
+    fs = top.getFileSystem(spark._jsc.hadoopConfiguration())
+    held = lambda: fs.getContentSummary(top).getDirectoryCount()
+    r, it, us = _odd_tables(spark)
+    added = []
+    for steps in (1, 4):
+        was = held()
+        rc.train_factors(r, it, us, "user_id", "item_id", "rating", 2, 0.7, 0.1, steps, block_rows=50)
+        added.append(held() - was)
+    assert added[0] == added[1]
